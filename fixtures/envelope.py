@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.functions.records import iso_utc
+from forgepulse.functions.records import iso_utc, parsed_once
 from forgepulse.sources.landing import stamp, to_records
 
 # Event type of the table -> event type of the feed.
@@ -108,8 +108,13 @@ def feed_records(events: DataFrame, dirty: bool = False) -> DataFrame:
 
 def raw_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     """The raw relation without a landing zone in between: the JSON text is parsed in flight."""
-    return feed_records(events, dirty).select(
-        F.parse_json("record").alias("raw_data"), F.current_timestamp().alias("loaded_at")
+    return parse_records(feed_records(events, dirty))
+
+
+def parse_records(records: DataFrame) -> DataFrame:
+    return records.select(
+        parsed_once(F.parse_json("record")).alias("raw_data"),
+        F.current_timestamp().alias("loaded_at"),
     )
 
 

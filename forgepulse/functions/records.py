@@ -39,6 +39,16 @@ def array_elements(text: Column) -> Column:
     )
 
 
+def parsed_once(record: Column) -> Column:
+    """A generator that yields ``record`` unchanged, one row for one row.
+
+    The optimizer copies the expression behind a column into every filter and projection above
+    it. A parser must not be copied, as each copy parses the text again; nothing is copied
+    through a generator.
+    """
+    return F.explode(F.array(record))
+
+
 def iso_utc(moment: Column) -> Column:
     """ISO-8601 text with a Z suffix for a zone-less timestamp that holds UTC."""
     return F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))

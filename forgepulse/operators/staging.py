@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from forgepulse import schemas as S
 from forgepulse.functions.records import field
 
 
-def stg_events(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """One row per raw record, 15 typed columns.
+def stg_events(raw: DataFrame, strict: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per raw record, 15 typed columns, followed by the ``keep`` columns of ``raw``.
 
     ``raw`` needs ``raw_data VARIANT`` and ``loaded_at``. With ``strict`` a value of the wrong
     type aborts the query; validated records cannot trigger that. A map-only projection: over a
@@ -23,4 +25,4 @@ def stg_events(raw: DataFrame, strict: bool = True) -> DataFrame:
         for name, only, path, kind in S.STAGED_BY_TYPE
     ]
     star = F.when(event_type == S.WATCH, 1).otherwise(0).alias("is_star_event")
-    return raw.select(*fixed, *by_type, star, "loaded_at")
+    return raw.select(*fixed, *by_type, star, "loaded_at", *keep)

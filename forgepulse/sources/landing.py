@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
-from forgepulse.functions.records import array_elements, iso_utc
+from forgepulse.functions.records import array_elements, iso_utc, parsed_once
 
 LAYOUTS = ("array", "lines")
 
@@ -116,11 +116,13 @@ def write_landing(
 def scan_landing(
     spark: SparkSession, paths: str | Sequence[str], layout: str = "lines"
 ) -> DataFrame:
-    """Text of the landing files with lineage and partition columns; nothing is parsed yet, so a
-    filter on year/month/day prunes files."""
+    """Text of the files of one or more landing zones with lineage and partition columns; nothing
+    is parsed yet, so a filter on year/month/day prunes files in each of them."""
     roots = [paths] if isinstance(paths, str) else list(paths)
-    text = spark.read.schema(S.LANDING_SCHEMA).text(roots, wholetext=layout == "array")
-    return with_lineage(text)
+    reader = spark.read.schema(S.LANDING_SCHEMA)
+    return union_feeds(
+        [with_lineage(reader.text(root, wholetext=layout == "array")) for root in roots]
+    )
 
 
 def with_lineage(text: DataFrame) -> DataFrame:
@@ -149,7 +151,9 @@ def parse_landing(text: DataFrame, layout: str = "lines") -> DataFrame:
             *keep,
         )
         return opened.select(F.explode("records").alias("raw_data"), "raw_text", *keep)
-    parsed = text.withColumn("raw_data", F.try_parse_json("value"))
+    parsed = text.select(
+        parsed_once(F.try_parse_json("value")).alias("raw_data"), "value", *keep
+    )
     bad_text = F.when(F.col("raw_data").isNull(), F.col("value")).alias("raw_text")
     return parsed.select("raw_data", bad_text, *keep)
 

@@ -1,0 +1,98 @@
+"""Run registered queries and their DuckDB counterparts side by side.
+
+Usage: python -m tests.compare [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+DEFAULT_DIR = "/root/testdata/sf0.01"
+
+
+def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for file in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else round(value, 9)
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None)
+    return value
+
+
+# Spark type -> DuckDB type of a matching column.
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def spark_rows(df) -> tuple[list, list]:
+    names = sorted(df.columns)
+    schema = [(n, TYPES.get(dict(df.dtypes)[n], dict(df.dtypes)[n])) for n in names]
+    rows = [tuple(_plain(row[n]) for n in names) for row in df.select(*names).collect()]
+    return schema, sorted(rows, key=repr)
+
+
+def oracle_rows(connection, sql: str) -> tuple[list, list]:
+    relation = connection.sql(sql)
+    types = dict(zip(relation.columns, map(str, relation.types)))
+    names = sorted(relation.columns)
+    positions = [relation.columns.index(n) for n in names]
+    rows = [tuple(_plain(row[p]) for p in positions) for row in relation.fetchall()]
+    return [(n, types[n]) for n in names], sorted(rows, key=repr)
+
+
+def main() -> int:
+    import __spark_entry__ as entry_module
+    from forgepulse.session import build_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else DEFAULT_DIR
+    spark = build_session(
+        master="local[8]",
+        conf={"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = oracle_connection(sf_dir)
+    sql = entry_module.oracle_sql()
+    bad = 0
+    for name, query in entry_module.queries().items():
+        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+            continue
+        start = time.perf_counter()
+        try:
+            schema, rows = spark_rows(query(spark, sf_dir))
+        except Exception as error:  # report and go on with the next query
+            print(f"{name:26s} ERROR {str(error)[:1500]}")
+            bad += 1
+            continue
+        seconds = time.perf_counter() - start
+        if name not in sql:
+            print(f"{name:26s} {len(rows):7d} rows {seconds:6.2f}s (no oracle)")
+            continue
+        oracle_schema, expected = oracle_rows(connection, sql[name])
+        same = rows == expected and schema == oracle_schema
+        bad += not same
+        print(f"{name:26s} {len(rows):7d} rows {seconds:6.2f}s {'ok' if same else 'DIFFERS'}")
+        if schema != oracle_schema:
+            print("   spark ", schema, "\n   oracle", oracle_schema)
+        elif not same:
+            print("   oracle rows", len(expected))
+            print("   only spark ", [r for r in rows if r not in set(expected)][:3])
+            print("   only oracle", [r for r in expected if r not in set(rows)][:3])
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main() else 0)
