@@ -13,7 +13,6 @@ from fixtures.oracle import ORACLE
 from forgepulse import schemas as S
 from forgepulse.functions.measures import day_of
 from forgepulse.operators import quality
-from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.staging import stg_events
 from forgepulse.operators.validation import valid_records, validation_summary
 from forgepulse.plans import insights, models, pipeline, reports
@@ -137,12 +136,11 @@ def q_validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = envelope.overlapping_records(_feed(spark, sf_dir))
-    return stg_events(envelope.parse_records(records))
+    return envelope.parse_records(envelope.overlapping_records(_feed(spark, sf_dir)))
 
 
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_keys(_overlapping(spark, sf_dir), "event_id")
+    return quality.duplicate_keys(stg_events(_overlapping(spark, sf_dir)), "event_id")
 
 
 def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +277,7 @@ def q_ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparable(latest_copy(_overlapping(spark, sf_dir)))
+    return _comparable(pipeline.staging_of(_overlapping(spark, sf_dir)))
 
 
 def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

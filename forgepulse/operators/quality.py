@@ -55,14 +55,14 @@ def unexpected_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Da
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys without a parent, with their row counts.
 
-    Child rows collapse to one row per key before the anti-join, so a hot key cannot skew it.
+    Both sides collapse to one row per key before the anti-join, so a hot key cannot skew it.
     """
     keys = (
         child.where(F.col(child_key).isNotNull())
         .groupBy(child_key)
         .agg(F.count(F.lit(1)).alias("events"))
     )
-    parents = parent.select(F.col(parent_key).alias("__parent"))
+    parents = parent.select(F.col(parent_key).alias("__parent")).distinct()
     return keys.join(parents, keys[child_key] == parents["__parent"], "left_anti")
 
 

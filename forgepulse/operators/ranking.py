@@ -38,7 +38,7 @@ def rank_within(
         ranks = ranks.where(F.col(name) <= k)
     keys = [*by, value]
     ranks = ranks.select(*[F.col(c).alias(f"__{c}") for c in keys], name)
-    same = F.lit(True)
-    for column in keys:
+    same = df[value] == ranks[f"__{value}"]
+    for column in by:
         same = same & df[column].eqNullSafe(ranks[f"__{column}"])
     return df.join(ranks, same).drop(*[f"__{c}" for c in keys])

@@ -50,7 +50,7 @@ def write_table(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
 
 def staging_of(raw: DataFrame) -> DataFrame:
     """Validated, typed, one row per event."""
-    return latest_copy(stg_events(valid_records(raw)))
+    return latest_copy(stg_events(valid_records(raw)), null_keys=False)
 
 
 def build_models(staged: DataFrame, tables: Tables, k: int = S.TOP_K) -> dict[str, DataFrame]:

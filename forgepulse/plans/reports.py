@@ -11,13 +11,16 @@ from forgepulse import schemas as S
 from forgepulse.functions.measures import percent_change
 
 
+def _utc_now() -> Column:
+    return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+
+
 def _day(as_of: dt.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
+    return F.to_date(_utc_now()) if as_of is None else F.lit(as_of)
 
 
 def _moment(as_of: dt.datetime | None) -> Column:
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return now.cast("timestamp_ntz")
+    return _utc_now() if as_of is None else F.lit(as_of.isoformat(" ")).cast("timestamp_ntz")
 
 
 def repo_health(

@@ -39,10 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; on a cluster a
     machine-local folder would be invisible to other executors, so that is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:

@@ -34,7 +34,7 @@ def append_load(
         F.count_if(F.col("raw_text").isNotNull()).alias("bad"),
     )
     _write(readable(observed), raw_path, load_id)
-    good, bad = counts.get["good"], counts.get["bad"]
+    good, bad = counts.get.get("good", 0), counts.get.get("bad", 0)
     if bad:
         _write(unreadable(parsed), quarantine_path, load_id)
     return LoadCounts(load_id, good, bad)
