@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgepulse import schemas as S
 from forgepulse.functions.records import iso_utc, parsed_once
 from forgepulse.sources.landing import stamp, to_records
 
@@ -95,10 +96,34 @@ def feed_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     day = F.to_date("ts")
     shaped = events.select(
         F.struct(*fields).alias("event"), F.date_add(day, delay).alias("landing_date"), "ts", "k",
-        F.date_add(day, delay + 1).cast("timestamp_ntz").alias("pulled"),
+        F.date_add(day, delay + 1).cast("timestamp_ntz").alias("extracted_at"),
     )
     source_repo = F.concat(F.lit("org/repo_"), (F.col("k") % 7).cast("string"))
-    return stamp(shaped, F.col("pulled"), source_repo).drop("pulled")
+    return stamp(shaped, F.col("extracted_at"), source_repo)
+
+
+def staged_events(events: DataFrame) -> DataFrame:
+    """The staging relation of the clean feed as typed columns, without JSON in between: what a
+    written staging table holds. Columns a query does not use are pruned down to the scan."""
+    only = {name: event_type for name, event_type, _, _ in S.STAGED_BY_TYPE}
+    event_type = F.col("event.type")
+    action = F.col("event.payload.action")
+    return feed_events(events).select(
+        F.col("event.id").alias("event_id"),
+        event_type.alias("event_type"),
+        F.col("event.actor.id").alias("actor_id"),
+        F.col("event.actor.login").alias("actor_login"),
+        F.col("event.repo.id").alias("repo_id"),
+        F.col("event.repo.name").alias("repo_name"),
+        F.col("ts").alias("event_timestamp"),
+        "extracted_at",
+        F.col("event._source_repo").alias("source_repo"),
+        F.when(event_type == only["push_commit_count"], F.col("event.payload.size"))
+        .alias("push_commit_count"),
+        F.when(event_type == only["issue_action"], action).alias("issue_action"),
+        F.when(event_type == only["pr_action"], action).alias("pr_action"),
+        F.when(event_type == S.WATCH, 1).otherwise(0).alias("is_star_event"),
+    )
 
 
 def feed_records(events: DataFrame, dirty: bool = False) -> DataFrame:

@@ -118,6 +118,7 @@ _STAGED = """event_id, event_type, actor_id, actor_login, repo_id, repo_name, ev
 
 ORACLE = {
     "stg_events": FEED + f"SELECT {_STAGED} FROM stg",
+    "feed_daily_activity": DAILY + "SELECT * FROM daily ORDER BY repo_name, activity_date",
     "daily_activity": DAILY + "SELECT * FROM daily ORDER BY repo_name, activity_date",
     "top_contributors": TOP + "SELECT * FROM top ORDER BY repo_name, contribution_score DESC",
     "event_trends": TRENDS + "SELECT * FROM trends ORDER BY repo_name, event_type, event_hour DESC",

@@ -15,8 +15,9 @@ def stg_events(raw: DataFrame, strict: bool = True, keep: Sequence[str] = ()) ->
     """One row per raw record, 15 typed columns, followed by the ``keep`` columns of ``raw``.
 
     ``raw`` needs ``raw_data VARIANT`` and ``loaded_at``. With ``strict`` a value of the wrong
-    type aborts the query; validated records cannot trigger that. A map-only projection: over a
-    raw table in Parquet only the paths that a query uses are read from the shredded variant.
+    type aborts the query; validated records cannot trigger that. One map-only projection with
+    literal paths: over a raw table in Parquet the scan then reads just the shredded columns of
+    the paths that a query uses, already typed, and no variant is put together.
     """
     fixed = [field("raw_data", path, kind, strict).alias(name) for name, path, kind in S.STAGED_FIELDS]
     event_type = field("raw_data", "$.type", "string", strict)
