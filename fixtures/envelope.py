@@ -6,6 +6,8 @@ pull-request action ``k % 3``. The dirty variant breaks the records of single ``
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,94 +38,105 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _unless(broken_at: int, dirty: bool, value: Column, otherwise: Column | None = None) -> Column:
-    if not dirty:
-        return value
-    hit = F.col("k") == broken_at
-    if otherwise is None:
-        return F.when(~hit, value)
-    return F.when(hit, otherwise).otherwise(value)
+def _leaves() -> SimpleNamespace:
+    """Values of one clean feed event as expressions over the ``events`` table."""
+    k, user = F.col("k"), F.col("user_id").cast("string")
+    repo = (k % 7).cast("string")
+    types = F.create_map(*[F.lit(x) for pair in TYPE_OF.items() for x in pair])
+    action = F.array(*[F.lit(a) for a in ACTIONS])[(k % 3).cast("int")]
+    return SimpleNamespace(
+        event_id=F.col("event_id").cast("string"),
+        event_type=types[F.col("event_type")],
+        actor_id=F.col("user_id"),
+        login=F.concat(F.lit("user_"), user),
+        actor_url=F.concat(F.lit(f"{BASE_URL}/u/"), user),
+        repo_id=k % 7,
+        repo_name=F.concat(F.lit("org/repo_"), repo),
+        repo_url=F.concat(F.lit(f"{BASE_URL}/r/"), repo),
+        size=F.when((F.col("event_type") == "purchase") & (k % 10 != 0), k % 10),
+        issue_action=F.when(F.col("event_type") == "error", action),
+        pr_action=F.when(F.col("event_type") == "click", action),
+    )
+
 
+def _pull(events: DataFrame) -> Column:
+    """Days between an event and the pull that delivered it."""
+    return F.col("delay") if "delay" in events.columns else F.lit(0)
 
-def _number(value: Column, dirty: bool) -> Column:
-    """The actor id; as a variant where the dirty variant needs two JSON types."""
-    if not dirty:
-        return value
-    return (
-        F.when(F.col("k") == TEXT_ACTOR_ID, F.lit("abc").cast("variant"))
-        .when(F.col("k") == NUMERIC_TEXT_ACTOR_ID, value.cast("string").cast("variant"))
-        .otherwise(value.cast("variant"))
-    )
+
+def _pulled_at(delay: Column) -> Column:
+    return F.date_add(F.to_date("ts"), delay + 1).cast("timestamp_ntz")
 
 
 def feed_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     """``event`` struct, ``landing_date``; stamped with the next midnight as pull time, or
     ``delay`` days later where the input has that column."""
-    delay = F.col("delay") if "delay" in events.columns else F.lit(0)
-    user = F.col("user_id").cast("string")
-    repo = (F.col("k") % 7).cast("string")
-    event_type = F.create_map(*[F.lit(x) for pair in TYPE_OF.items() for x in pair])[
-        F.col("event_type")
-    ]
-    has_action = F.col("event_type").isin("error", "click")
-    action = F.array(*[F.lit(a) for a in ACTIONS])[(F.col("k") % 3).cast("int")]
-    size = F.when((F.col("event_type") == "purchase") & (F.col("k") % 10 != 0), F.col("k") % 10)
+
+    def unless(broken_at: int, value: Column, otherwise: Column | None = None) -> Column:
+        if not dirty:
+            return value
+        kept = F.when(F.col("k") != broken_at, value)
+        return kept if otherwise is None else kept.otherwise(otherwise)
+
+    leaf = _leaves()
+    event_id, actor_id = leaf.event_id, leaf.actor_id
+    if dirty:  # as variants, to give one field two JSON types
+        event_id = unless(NUMERIC_ID, event_id.cast("variant"), F.col("event_id").cast("variant"))
+        actor_id = (
+            F.when(F.col("k") == TEXT_ACTOR_ID, F.lit("abc").cast("variant"))
+            .when(F.col("k") == NUMERIC_TEXT_ACTOR_ID, actor_id.cast("string").cast("variant"))
+            .otherwise(actor_id.cast("variant"))
+        )
     actor = F.struct(
-        _number(F.col("user_id"), dirty).alias("id"),
-        _unless(NO_LOGIN, dirty, F.concat(F.lit("user_"), user)).alias("login"),
-        _unless(NO_URLS, dirty, F.concat(F.lit(f"{BASE_URL}/u/"), user)).alias("url"),
+        actor_id.alias("id"),
+        unless(NO_LOGIN, leaf.login).alias("login"),
+        unless(NO_URLS, leaf.actor_url).alias("url"),
     )
-    source = F.struct(
-        (F.col("k") % 7).alias("id"),
-        _unless(NO_REPO_NAME, dirty, F.concat(F.lit("org/repo_"), repo)).alias("name"),
-        _unless(NO_URLS, dirty, F.concat(F.lit(f"{BASE_URL}/r/"), repo)).alias("url"),
+    repo = F.struct(
+        leaf.repo_id.alias("id"),
+        unless(NO_REPO_NAME, leaf.repo_name).alias("name"),
+        unless(NO_URLS, leaf.repo_url).alias("url"),
     )
-    event_id = F.col("event_id").cast("string")
-    if dirty:
-        event_id = F.when(
-            F.col("k") == NUMERIC_ID, F.col("event_id").cast("variant")
-        ).otherwise(event_id.cast("variant"))
+    action = F.coalesce(leaf.issue_action, leaf.pr_action)
     fields = [
         event_id.alias("id"),
-        _unless(NO_TYPE, dirty, event_type).alias("type"),
-        _unless(NO_ACTOR, dirty, actor).alias("actor"),
-        source.alias("repo"),
-        _unless(BAD_TIME, dirty, iso_utc(F.col("ts")), F.lit("not-a-date")).alias("created_at"),
-        F.struct(size.alias("size"), F.when(has_action, action).alias("action")).alias("payload"),
+        unless(NO_TYPE, leaf.event_type).alias("type"),
+        unless(NO_ACTOR, actor).alias("actor"),
+        repo.alias("repo"),
+        unless(BAD_TIME, iso_utc(F.col("ts")), F.lit("not-a-date")).alias("created_at"),
+        F.struct(leaf.size.alias("size"), action.alias("action")).alias("payload"),
     ]
     if dirty:
         fields.append(F.when(F.col("k") == EXTRA_FIELD, F.lit("kept")).alias("unknown_field"))
-    day = F.to_date("ts")
+    delay = _pull(events)
     shaped = events.select(
-        F.struct(*fields).alias("event"), F.date_add(day, delay).alias("landing_date"), "ts", "k",
-        F.date_add(day, delay + 1).cast("timestamp_ntz").alias("extracted_at"),
+        F.struct(*fields).alias("event"),
+        F.date_add(F.to_date("ts"), delay).alias("landing_date"),
+        _pulled_at(delay).alias("pulled"), "ts", "k",
     )
-    source_repo = F.concat(F.lit("org/repo_"), (F.col("k") % 7).cast("string"))
-    return stamp(shaped, F.col("extracted_at"), source_repo)
+    return stamp(shaped, F.col("pulled"), leaf.repo_name).drop("pulled")
 
 
 def staged_events(events: DataFrame) -> DataFrame:
     """The staging relation of the clean feed as typed columns, without JSON in between: what a
     written staging table holds. Columns a query does not use are pruned down to the scan."""
-    only = {name: event_type for name, event_type, _, _ in S.STAGED_BY_TYPE}
-    event_type = F.col("event.type")
-    action = F.col("event.payload.action")
-    return feed_events(events).select(
-        F.col("event.id").alias("event_id"),
-        event_type.alias("event_type"),
-        F.col("event.actor.id").alias("actor_id"),
-        F.col("event.actor.login").alias("actor_login"),
-        F.col("event.repo.id").alias("repo_id"),
-        F.col("event.repo.name").alias("repo_name"),
+    leaf = _leaves()
+    typed = events.select(
+        leaf.event_id.alias("event_id"),
+        leaf.event_type.alias("event_type"),
+        leaf.actor_id.alias("actor_id"),
+        leaf.login.alias("actor_login"),
+        leaf.repo_id.alias("repo_id"),
+        leaf.repo_name.alias("repo_name"),
         F.col("ts").alias("event_timestamp"),
-        "extracted_at",
-        F.col("event._source_repo").alias("source_repo"),
-        F.when(event_type == only["push_commit_count"], F.col("event.payload.size"))
-        .alias("push_commit_count"),
-        F.when(event_type == only["issue_action"], action).alias("issue_action"),
-        F.when(event_type == only["pr_action"], action).alias("pr_action"),
-        F.when(event_type == S.WATCH, 1).otherwise(0).alias("is_star_event"),
+        _pulled_at(_pull(events)).alias("extracted_at"),
+        leaf.repo_name.alias("source_repo"),
+        leaf.size.alias("push_commit_count"),
+        leaf.issue_action.alias("issue_action"),
+        leaf.pr_action.alias("pr_action"),
     )
+    star = F.when(F.col("event_type") == S.WATCH, 1).otherwise(0)
+    return typed.withColumn("is_star_event", star)
 
 
 def feed_records(events: DataFrame, dirty: bool = False) -> DataFrame:

@@ -38,7 +38,16 @@ def day_of(moment: str = "event_timestamp") -> Column:
 
 
 def hour_of(moment: str = "event_timestamp") -> Column:
-    return F.date_trunc("hour", F.col(moment)).cast("timestamp_ntz")
+    """Start of the hour. ``date_trunc`` would go through the session time zone and move hours
+    that its clock changes skip; this stays on the zone-less wall clock."""
+    return F.to_date(F.col(moment)).cast("timestamp_ntz") + F.make_dt_interval(
+        hours=F.hour(F.col(moment))
+    )
+
+
+def period_of(period: str, moment: str = "event_timestamp") -> Column:
+    """First day of the week, month, quarter or year."""
+    return F.trunc(F.to_date(F.col(moment)), period)
 
 
 def day_boundaries(first: str, last: str) -> Column:

@@ -62,7 +62,7 @@ def retention(stg: DataFrame) -> DataFrame:
     Without a self-join: an event marks its own week as active and the week before as followed
     up; both marks meet in one hash aggregate with map-side combine.
     """
-    week = F.to_date(F.date_trunc("week", "event_timestamp"))
+    week = M.period_of("week")
     marks = F.array(
         F.struct(week.alias("week_start"), F.lit(1).alias("active"), F.lit(0).alias("again")),
         F.struct(F.date_sub(week, 7).alias("week_start"), F.lit(0).alias("active"),
@@ -87,7 +87,7 @@ def contributor_growth(stg: DataFrame, period: str = "month") -> DataFrame:
     """Distinct contributors per repository and period, and the change in percent since the
     previous active period."""
     periods = stg.groupBy(
-        "repo_name", F.to_date(F.date_trunc(period, "event_timestamp")).alias("period_start")
+        "repo_name", M.period_of(period).alias("period_start")
     ).agg(F.count_distinct("actor_login").alias("contributors"))
     by_period = Window.partitionBy("repo_name").orderBy(F.col("period_start").asc_nulls_last())
     return periods.withColumn(
