@@ -26,27 +26,25 @@ def castable(record: str, path: str, kind: str) -> Column:
     return F.try_variant_get(F.col(record), path, kind).isNotNull()
 
 
-def array_elements(text: Column) -> Column:
-    """Records of one whole landing file: the elements of its JSON array, or its single object.
+def line_records(line: Column) -> Column:
+    """The record of one line as an array of variants; NULL when the line is not JSON.
 
-    Elements become variants one by one, so the size limit of a variant applies to an event and
-    not to the file. Malformed text gives NULL.
+    A JSON parser stops after the first complete value and ignores what follows; in brackets,
+    trailing text makes the line malformed instead of being lost.
     """
-    single = F.try_parse_json(text)
-    return F.coalesce(
-        F.from_json(text, "array<variant>"),
-        F.when(single.isNotNull(), F.array(single)),
-    )
+    return F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<variant>")
 
 
-def parsed_once(record: Column) -> Column:
-    """A generator that yields ``record`` unchanged, one row for one row.
+def file_records(text: Column) -> Column:
+    """The records of one whole file: the elements of its JSON array, or its single object; NULL
+    when the text is not JSON or goes on after the array.
 
-    The optimizer copies the expression behind a column into every filter and projection above
-    it. A parser must not be copied, as each copy parses the text again; nothing is copied
-    through a generator.
+    Elements become variants one by one, so the size limit of a variant applies to an event and
+    not to the file.
     """
-    return F.explode(F.array(record))
+    wrapped = F.concat(F.lit('{"records":'), text, F.lit("}"))
+    elements = F.from_json(wrapped, "struct<records:array<variant>>")["records"]
+    return F.coalesce(elements, line_records(text))
 
 
 def iso_utc(moment: Column) -> Column:

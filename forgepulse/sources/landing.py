@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
-from forgepulse.functions.records import array_elements, iso_utc, parsed_once
+from forgepulse.functions.records import file_records, iso_utc, line_records
 
 LAYOUTS = ("array", "lines")
 
@@ -136,34 +136,33 @@ def with_lineage(text: DataFrame) -> DataFrame:
 
 def parse_landing(text: DataFrame, layout: str = "lines") -> DataFrame:
     """One row per event: ``raw_data VARIANT``. Text that is not JSON gives one row with NULL
-    ``raw_data`` and the whole text in ``raw_text``; blank files and lines give none."""
+    ``raw_data`` and the whole text in ``raw_text``; blank files and lines give none. Split the
+    result with ``readable`` and ``unreadable``."""
     keep = ("file_name", "loaded_at", *S.LANDING_PARTITIONS)
-    text = text.where(F.trim("value") != "")
-    if layout == "array":
-        files = text.withColumn("records", array_elements(F.col("value")))
-        bad_text = F.when(F.col("records").isNull(), F.col("value")).alias("raw_text")
-        # Only an unreadable file carries its text on; an empty array yields no row.
-        opened = files.select(
-            F.when(
-                F.col("records").isNull(), F.array(F.lit(None).cast("variant"))
-            ).otherwise(F.col("records")).alias("records"),
-            bad_text,
-            *keep,
-        )
-        return opened.select(F.explode("records").alias("raw_data"), "raw_text", *keep)
-    parsed = text.select(
-        parsed_once(F.try_parse_json("value")).alias("raw_data"), "value", *keep
+    records_of = file_records if layout == "array" else line_records
+    found = F.col("records")
+    # Only unreadable text travels on with its row; readable text is dropped here.
+    opened = (
+        text.where(F.trim("value") != "")
+        .withColumn("records", records_of(F.col("value")))
+        .select("records", F.when(found.isNull(), F.col("value")).alias("raw_text"), *keep)
     )
-    bad_text = F.when(F.col("raw_data").isNull(), F.col("value")).alias("raw_text")
-    return parsed.select("raw_data", bad_text, *keep)
+    # The outer form keeps a row for unreadable text. It also keeps one for an empty array, with
+    # neither record nor text, which both filters below drop; but for the inner form the optimizer
+    # adds a size filter under the generator, and that would parse every text twice.
+    return opened.select(F.explode_outer("records").alias("raw_data"), "raw_text", *keep)
 
 
 def readable(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("raw_text").isNull()).drop("raw_text")
+    return parsed.where(F.col("raw_data").isNotNull()).drop("raw_text")
+
+
+def is_unreadable() -> Column:
+    return F.col("raw_data").isNull() & F.col("raw_text").isNotNull()
 
 
 def unreadable(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("raw_text").isNotNull()).select(
+    return parsed.where(is_unreadable()).select(
         "raw_text", F.lit("malformed json").alias("reason"),
         *[c for c in parsed.columns if c not in ("raw_data", "raw_text")],
     )

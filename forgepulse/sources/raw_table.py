@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
-from forgepulse.sources.landing import readable, unreadable
+from forgepulse.sources.landing import is_unreadable, readable, unreadable
 
 
 @dataclass(frozen=True)
@@ -30,8 +30,8 @@ def append_load(
     counts = Observation(f"load {load_id}")
     observed = parsed.observe(
         counts,
-        F.count_if(F.col("raw_text").isNull()).alias("good"),
-        F.count_if(F.col("raw_text").isNotNull()).alias("bad"),
+        F.count_if(F.col("raw_data").isNotNull()).alias("good"),
+        F.count_if(is_unreadable()).alias("bad"),
     )
     _write(readable(observed), raw_path, load_id)
     good, bad = counts.get.get("good", 0), counts.get.get("bad", 0)
