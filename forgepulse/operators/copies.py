@@ -17,17 +17,14 @@ def latest_copy(
     ``row_number() = 1`` plans a group limit in front of the shuffle, so each map task forwards
     at most one row per key: an event that makes up a third of the input costs one row per task
     behind it. Rows without a key are no copies of each other and skip the shuffle; finding them
-    is a second scan, which ``null_keys=False`` saves for validated rows, where none exist.
+    is a second scan, which ``null_keys=False`` saves for validated rows, where none exist. (Should
+    one exist after all, it stays and fails the not-null check.)
     """
     order = [F.col("extracted_at").desc_nulls_last()]
     if "loaded_at" in staged.columns:
         order.append(F.col("loaded_at").desc_nulls_last())
     order += [F.col(c).asc_nulls_last() for c in _TIE_BREAKERS if c in staged.columns]
     copy_no = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    latest = (
-        staged.where(F.col(key).isNotNull())
-        .withColumn("__copy", copy_no)
-        .where(F.col("__copy") == 1)
-        .drop("__copy")
-    )
+    keyed = staged.where(F.col(key).isNotNull()) if null_keys else staged
+    latest = keyed.withColumn("__copy", copy_no).where(F.col("__copy") == 1).drop("__copy")
     return latest.unionAll(staged.where(F.col(key).isNull())) if null_keys else latest

@@ -1,0 +1,197 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from forgepulse.operators.ranking import rank_within
+from forgepulse.plans import insights, models, reports
+from tests.helpers import by_key, plan_of, staged
+
+
+def test_active_days_counts_midnights(spark):
+    stg = staged(spark, [{"at": "2024-01-01 23:00:00"}, {"at": "2024-01-02 01:00:00"}])
+    assert models.contributor_stats(stg).first()["active_days"] == 1
+
+
+def test_pushes_without_size_give_null_commits_and_score(spark):
+    stg = staged(
+        spark,
+        [
+            {"actor": "ann", "at": "2024-01-01 00:00:00"},
+            {"actor": "bob", "at": "2024-01-01 00:00:00"},
+            {"actor": "bob", "at": "2024-01-01 00:00:00", "type": "IssuesEvent"},
+            {"actor": "cid", "at": "2024-01-01 00:00:00", "size": 3},
+            {"actor": "cid", "at": "2024-01-01 00:00:00", "type": "PullRequestEvent"},
+        ],
+    )
+    found = by_key(models.contributor_stats(stg), "contributor")
+    assert found["ann"]["commit_count"] is None and found["ann"]["contribution_score"] is None
+    assert found["bob"]["commit_count"] == 0 and found["bob"]["contribution_score"] == 1
+    assert found["cid"]["contribution_score"] == 3 * 2 + 5
+
+
+def test_score_weights_are_parameters(spark):
+    stg = staged(spark, [{"at": "2024-01-01 00:00:00", "size": 4}])
+    stats = models.contributor_stats(stg, {"commit_count": 10})
+    assert stats.first()["contribution_score"] == 40
+
+
+def test_lag_compares_with_previous_active_hour(spark):
+    events = [{"at": "2024-01-01 01:10:00"}] * 3 + [{"at": "2024-01-01 05:59:59"}]
+    found = by_key(models.event_trends(staged(spark, events)), "event_hour")
+    first, later = dt.datetime(2024, 1, 1, 1), dt.datetime(2024, 1, 1, 5)
+    assert found[first]["prev_hour_count"] is None and found[first]["over_hour_change"] is None
+    assert found[later]["prev_hour_count"] == 3 and found[later]["over_hour_change"] == -2
+
+
+def test_null_keys_form_groups_and_sort_last_in_the_frame(spark):
+    stg = staged(
+        spark,
+        [
+            {"at": "2024-01-01 00:00:00", "actor": None},
+            {"at": "2024-01-01 00:00:00", "actor": "ann"},
+            {"at": None, "actor": "bob"},
+            {"at": None, "actor": None, "repo": None},
+        ],
+    )
+    found = by_key(models.daily_activity(stg), "repo_name", "activity_date")
+    day = found[("r", dt.date(2024, 1, 1))]
+    assert (day["total_activity"], day["unique_contributors"], day["week_avg"]) == (2, 1, 2.0)
+    assert found[("r", None)]["week_avg"] == 1.5
+    assert found[(None, None)]["unique_contributors"] == 0
+    top = models.top_contributors(models.contributor_stats(stg))
+    assert by_key(top, "contributor", "repo_name")[(None, None)]["contributor_rank"] == 1
+
+
+def test_rolling_mean_spans_rows_not_calendar_days(spark):
+    days = ["2024-01-01", "2024-01-02", "2024-02-01", "2024-03-01", "2024-04-01", "2024-05-01",
+            "2024-06-01", "2024-07-01"]
+    events = [{"at": f"{d} 12:00:00"} for i, d in enumerate(days) for _ in range(i + 1)]
+    found = by_key(models.daily_activity(staged(spark, events)), "activity_date")
+    assert found[dt.date(2024, 1, 2)]["week_avg"] == 1.5
+    assert found[dt.date(2024, 7, 1)]["week_avg"] == sum(range(2, 9)) / 7
+
+
+def test_ties_across_k_all_stay(spark):
+    events = [{"actor": "lead", "at": "2024-01-01 00:00:00"}] * 2
+    events += [{"actor": f"a{i}", "at": "2024-01-01 00:00:00"} for i in range(5)]
+    events += [{"actor": "solo", "repo": "other", "at": "2024-01-01 00:00:00"}]
+    stats = models.contributor_stats(staged(spark, events))
+    top = by_key(models.top_contributors(stats, k=2), "contributor")
+    assert len(top) == 7
+    assert top["lead"]["contributor_rank"] == 1 and top["solo"]["contributor_rank"] == 1
+    assert all(top[f"a{i}"]["contributor_rank"] == 2 for i in range(5))
+    assert set(by_key(models.top_contributors(stats, k=1), "contributor")) == {"lead", "solo"}
+
+
+@pytest.mark.parametrize("k", [None, 1, 3, 20])
+def test_rank_within_equals_window_rank(spark, k):
+    rng = random.Random(7)
+    # One group holds most rows, and most of them tie, as in a popular repository.
+    rows = [("hot", f"a{i}", min(int(rng.paretovariate(0.8)), 500)) for i in range(3000)]
+    rows += [(f"g{i % 40}", f"b{i}", rng.randint(1, 6)) for i in range(1000)]
+    rows += [(None, f"n{i}", rng.randint(1, 3)) for i in range(50)]
+    df = spark.createDataFrame(rows, "g STRING, name STRING, n BIGINT")
+    expected = df.withColumn(
+        "r", F.rank().over(Window.partitionBy("g").orderBy(F.col("n").desc())).cast("bigint")
+    )
+    if k is not None:
+        expected = expected.where(F.col("r") <= k)
+    found = rank_within(df, ["g"], "n", "r", k)
+    assert found.columns == expected.columns
+    assert found.count() == expected.count()
+    assert found.exceptAll(expected).isEmpty()
+
+
+def test_rank_without_broadcast_gives_the_same(spark):
+    df = spark.range(2000).select(
+        F.when(F.col("id") < 1500, "hot").otherwise("cold").alias("g"), (F.col("id") % 5).alias("n")
+    )
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    with_broadcast = Counter(map(tuple, rank_within(df, ["g"], "n", "r").collect()))
+    for setting in settings:
+        spark.conf.set(setting, "-1")
+    try:
+        joined = rank_within(df, ["g"], "n", "r")
+        assert "SortMergeJoin" in plan_of(joined)
+        assert Counter(map(tuple, joined.collect())) == with_broadcast
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+
+
+def test_models_agree_on_totals(spark):
+    rng = random.Random(3)
+    kinds = ["PushEvent", "IssuesEvent", "PullRequestEvent", "WatchEvent", "ForkEvent", "GollumEvent"]
+    events = [
+        {
+            "type": rng.choice(kinds), "actor": f"a{rng.randint(1, 9)}", "repo": f"r{rng.randint(1, 3)}",
+            "at": f"2024-01-{rng.randint(1, 28):02d} {rng.randint(0, 23):02d}:00:00",
+        }
+        for _ in range(500)
+    ]
+    stg = staged(spark, events)
+    assert models.daily_activity(stg).agg(F.sum("total_activity")).first()[0] == 500
+    assert models.event_trends(stg).agg(F.sum("event_count")).first()[0] == 500
+    assert models.contributor_stats(stg).agg(F.sum("total_events")).first()[0] == 500
+
+
+def test_retention_and_growth(spark):
+    stg = staged(
+        spark,
+        [
+            {"actor": "ann", "at": "2024-01-01 00:00:00"},  # week of Jan 1
+            {"actor": "ann", "at": "2024-01-07 23:59:59"},
+            {"actor": "bob", "at": "2024-01-03 00:00:00"},
+            {"actor": "ann", "at": "2024-01-08 00:00:00"},  # week of Jan 8
+            {"actor": "cid", "at": "2024-01-22 00:00:00"},  # week of Jan 22, after a gap
+            {"actor": None, "at": "2024-01-22 00:00:00"},
+            {"actor": "dan", "at": None},
+        ],
+    )
+    kept = by_key(insights.retention(stg), "week_start")
+    assert set(kept) == {dt.date(2024, 1, 1), dt.date(2024, 1, 8), dt.date(2024, 1, 22)}
+    first = kept[dt.date(2024, 1, 1)]
+    assert (first["contributors"], first["retained"], first["retention_rate"]) == (2, 1, 0.5)
+    assert kept[dt.date(2024, 1, 8)]["retained"] == 0
+    growth = by_key(insights.contributor_growth(stg, "week"), "period_start")
+    assert growth[dt.date(2024, 1, 1)]["growth_pct"] is None
+    assert growth[dt.date(2024, 1, 8)]["growth_pct"] == -50.0
+    assert growth[dt.date(2024, 1, 22)]["prev_contributors"] == 1
+    months = by_key(insights.contributor_growth(stg), "period_start")
+    assert months[dt.date(2024, 1, 1)]["contributors"] == 3
+
+
+def test_anomalies_respect_threshold_window_and_order(spark):
+    events = [{"at": "2024-01-29 10:00:00"}]
+    events += [{"at": "2024-01-30 10:00:00"}] * 5 + [{"at": "2024-01-30 11:00:00"}] * 2
+    trends = models.event_trends(staged(spark, events))
+    found = reports.trend_anomalies(trends, dt.datetime(2024, 1, 31), threshold=2).collect()
+    assert [r["over_hour_change"] for r in found] == [4, -3]
+    assert reports.trend_anomalies(trends, dt.datetime(2024, 1, 31)).isEmpty()
+    assert reports.trend_anomalies(trends, threshold=2).isEmpty()  # relative to now
+
+
+def test_health_keeps_earlier_days_in_the_mean(spark):
+    events = [{"at": "2024-01-01 00:00:00"}] * 3 + [{"at": "2024-01-10 00:00:00"}]
+    daily = models.daily_activity(staged(spark, events))
+    rows = reports.repo_health(daily, "r", dt.date(2024, 1, 10), days=5).collect()
+    assert [(r["activity_date"], r["week_avg"], r["pct_above_avg"]) for r in rows] == [
+        (dt.date(2024, 1, 10), 2.0, -50.0)
+    ]
+
+
+def test_hours_do_not_depend_on_the_session_time_zone(spark):
+    # 02:30 does not exist in New York on this day.
+    stg = staged(spark, [{"at": "2024-03-10 02:30:00"}])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert models.event_trends(stg).first()["event_hour"] == dt.datetime(2024, 3, 10, 2)
+        assert models.daily_activity(stg).first()["activity_date"] == dt.date(2024, 3, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
