@@ -15,7 +15,7 @@ from forgepulse.functions.measures import day_of
 from forgepulse.operators import quality
 from forgepulse.operators.staging import stg_events
 from forgepulse.operators.validation import valid_records, validation_summary
-from forgepulse.plans import insights, models, pipeline, reports
+from forgepulse.plans import build, insights, models, reports
 from forgepulse.session import new_folder, settle
 from forgepulse.sources import landing, raw_table
 from forgepulse.streaming.incremental import incremental_load
@@ -36,7 +36,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed staging relation, the input of the models; ``feed_*`` queries, ingest and pipeline
+    """Typed staging relation, the input of the models; ``feed_*`` queries, ingest and the full build
     go through the JSON text instead."""
     return envelope.staged_events(_feed(spark, sf_dir))
 
@@ -289,7 +289,7 @@ def q_ingest_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _comparable(pipeline.staging_of(_overlapping(spark, sf_dir)))
+    return _comparable(build.staging_of(_overlapping(spark, sf_dir)))
 
 
 def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,9 +297,9 @@ def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.landing_inventory(spark, path)
 
 
-def q_pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(spark, envelope.overlapping_records(_feed(spark, sf_dir)))
-    return pipeline.run_pipeline(spark, path, new_folder(spark, "pipeline"))
+    return build.run_build(spark, path, new_folder(spark, "build"))
 
 
 # Contract ----------------------------------------------------------------------------------

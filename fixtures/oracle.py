@@ -282,7 +282,7 @@ SELECT event_id, extracted_at, source_repo FROM stg""",
     "ingest_dedup": COPIES + f"""
 SELECT {_STAGED} FROM copies
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY extracted_at DESC) = 1""",
-    "pipeline_run": TOP + """
+    "full_build": TOP + """
 SELECT 'rows_loaded' AS stage,
   count(*) + count(*) FILTER (hour(event_timestamp) >= 18) AS records FROM stg
 UNION ALL SELECT 'rows_quarantined', 0

@@ -1 +1 @@
-"""Models, reports and the pipeline: operators put together."""
+"""Models, reports and the full build: operators put together."""

@@ -20,7 +20,7 @@ from forgepulse.streaming.incremental import incremental_load
 
 @dataclass(frozen=True)
 class Tables:
-    """Where a pipeline keeps its relations."""
+    """Where a build keeps its relations."""
 
     root: str
 
@@ -44,7 +44,8 @@ def write_table(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     if by is None:
         df.write.mode("overwrite").parquet(path)
     else:
-        df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
+        writer = df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by)
+        writer.option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -67,7 +68,7 @@ def build_models(staged: DataFrame, tables: Tables, k: int = S.TOP_K) -> dict[st
     }
 
 
-def run_pipeline(
+def run_build(
     spark: SparkSession,
     landing: str,
     root: str,

@@ -125,6 +125,13 @@ def scan_landing(
     )
 
 
+def read_back(spark: SparkSession, root: str, file: str, layout: str = "lines") -> DataFrame:
+    """Events of one landed file; ``root`` is the landing zone that its path belongs to."""
+    reader = spark.read.schema(S.LANDING_SCHEMA).option("basePath", root)
+    text = with_lineage(reader.text(file, wholetext=layout == "array"))
+    return readable(parse_landing(text, layout))
+
+
 def with_lineage(text: DataFrame) -> DataFrame:
     return text.select(
         "value",

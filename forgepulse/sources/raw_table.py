@@ -42,7 +42,8 @@ def append_load(
 
 def _write(rows: DataFrame, path: str, load_id: str) -> None:
     folder = f"{path}/load_id={load_id}"
-    rows.write.mode("overwrite").partitionBy(*S.LANDING_PARTITIONS).parquet(folder)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*S.LANDING_PARTITIONS).parquet(folder)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:

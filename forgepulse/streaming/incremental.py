@@ -29,8 +29,6 @@ def incremental_load(
     done: list[LoadCounts] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         parsed = parse_landing(batch, layout)
         done.append(append_load(parsed, raw_path, quarantine_path, f"{name}-{batch_id:010d}"))
 

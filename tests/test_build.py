@@ -4,7 +4,7 @@ import pytest
 
 from fixtures.envelope import overlapping_records, source_events, staged_events
 from forgepulse.operators.quality import QualityError
-from forgepulse.plans import models, pipeline
+from forgepulse.plans import build, models
 from forgepulse.session import new_folder, shared_folder
 from forgepulse.sources import landing
 from tests.helpers import feed_event, records
@@ -21,7 +21,7 @@ def test_whole_run_equals_the_models_on_typed_rows(spark, folder):
     events = source_events(spark, SF_DIR)
     landing.write_landing(overlapping_records(events), folder("l"))
     counts = {r["stage"]: r["records"] for r in
-              pipeline.run_pipeline(spark, folder("l"), folder("out")).collect()}
+              build.run_build(spark, folder("l"), folder("out")).collect()}
     assert counts["rows_loaded"] > counts["stg_events"] == 1000
     assert counts["checks_passed"] == 9
     typed = staged_events(events)
@@ -33,24 +33,24 @@ def test_whole_run_equals_the_models_on_typed_rows(spark, folder):
 
 def test_second_run_adds_new_files(spark, folder):
     landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
-    pipeline.run_pipeline(spark, folder("l"), folder("out"))
+    build.run_build(spark, folder("l"), folder("out"))
     landing.write_landing(
         records(spark, [("2024-01-06", feed_event(1)), ("2024-01-06", feed_event(2))]), folder("l")
     )
     counts = {r["stage"]: r["records"] for r in
-              pipeline.run_pipeline(spark, folder("l"), folder("out")).collect()}
+              build.run_build(spark, folder("l"), folder("out")).collect()}
     assert counts["rows_loaded"] == 2 and counts["stg_events"] == 2
 
 
 def test_run_without_events_fails_but_a_broken_run_can_resume(spark, folder):
     landing.write_landing(records(spark, [("2024-01-05", "{")]), folder("l"))
     with pytest.raises(QualityError, match="no events extracted"):
-        pipeline.run_pipeline(spark, folder("l"), folder("out"))
+        build.run_build(spark, folder("l"), folder("out"))
     landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
-    pipeline.run_pipeline(spark, folder("l"), folder("out"))
+    build.run_build(spark, folder("l"), folder("out"))
     with pytest.raises(QualityError, match="no events extracted"):
-        pipeline.run_pipeline(spark, folder("l"), folder("out"))
-    again = pipeline.run_pipeline(spark, folder("l"), folder("out"), resume=True)
+        build.run_build(spark, folder("l"), folder("out"))
+    again = build.run_build(spark, folder("l"), folder("out"), resume=True)
     assert {r["stage"]: r["records"] for r in again.collect()}["stg_events"] == 1
 
 
@@ -58,13 +58,13 @@ def test_invalid_records_stay_out(spark, folder):
     events = [("2024-01-05", feed_event(1)), ("2024-01-05", feed_event(2, actor=None))]
     landing.write_landing(records(spark, events), folder("l"))
     counts = {r["stage"]: r["records"] for r in
-              pipeline.run_pipeline(spark, folder("l"), folder("out")).collect()}
+              build.run_build(spark, folder("l"), folder("out")).collect()}
     assert (counts["rows_loaded"], counts["stg_events"]) == (2, 1)
 
 
 def test_staging_is_partitioned_by_event_date(spark, folder):
     frame = spark.range(1000).selectExpr("id", "date_add(DATE '2024-01-01', cast(id % 3 AS INT)) AS d")
-    table = pipeline.write_table(frame, folder("t"), by="d")
+    table = build.write_table(frame, folder("t"), by="d")
     assert same(table, frame)
     days = {p.name for p in __import__("pathlib").Path(folder("t")).glob("d=*")}
     assert days == {"d=2024-01-01", "d=2024-01-02", "d=2024-01-03"}
@@ -72,9 +72,9 @@ def test_staging_is_partitioned_by_event_date(spark, folder):
 
 def test_publish_as_view_and_as_table(spark):
     frame = spark.range(3)
-    pipeline.publish(frame, "some_view")
+    build.publish(frame, "some_view")
     assert spark.table("some_view").count() == 3
-    stored = pipeline.publish(frame, "some_table", materialize=True)
+    stored = build.publish(frame, "some_table", materialize=True)
     assert stored.count() == 3
     assert [t.tableType for t in spark.catalog.listTables() if t.name == "some_table"] == ["MANAGED"]
     spark.sql("DROP TABLE some_table")

@@ -117,6 +117,15 @@ def test_date_filter_prunes_files(spark, folder):
     assert "PartitionFilters: [isnotnull(day" in plan_of(found).replace("\n", "")
 
 
+def test_one_file_reads_back(spark, folder):
+    put(folder("l"), json.dumps([feed_event(1)]), name="a.json")
+    put(folder("l"), json.dumps([feed_event(2)]), name="b.json")
+    file = f"{folder('l')}/year=2024/month=01/day=05/b.json"
+    found = landing.read_back(spark, folder("l"), file, "array")
+    assert ids(found) == ["2"]
+    assert (found.first()["month"], found.first()["day"]) == (1, 5)
+
+
 def test_two_landing_zones(spark, folder):
     for name in ("a", "b"):
         landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder(name))
