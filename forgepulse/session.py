@@ -7,18 +7,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Nothing here depends on the size of the data: partition counts, skew splits and broadcast
-# choices are left to adaptive execution, which decides from measured shuffle sizes.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+# Skew splits, broadcasts and the merging of small partitions are left to adaptive execution,
+# which decides from measured shuffle sizes. It merges partitions but never adds any, so their
+# number must be high enough for the largest shuffle: see ``shuffle_conf``.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+MIN_PARTITIONS = 200
+
 _local_folders: dict[str, str] = {}
 
 
@@ -33,6 +38,16 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shuffle_conf(shuffle_bytes: int) -> dict[str, str]:
+    """Partition count for a largest shuffle of ``shuffle_bytes``, to hand to ``build_session``.
+
+    For the models that is roughly the size of the staging columns they use; for building the
+    staging relation, its whole size.
+    """
+    count = max(MIN_PARTITIONS, -(-shuffle_bytes // PARTITION_BYTES))
+    return {"spark.sql.shuffle.partitions": str(count)}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Root for written intermediates: ``spark.checkpoint.dir`` as the cluster names it.
 

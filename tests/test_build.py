@@ -5,7 +5,7 @@ import pytest
 from fixtures.envelope import overlapping_records, source_events, staged_events
 from forgepulse.operators.quality import QualityError
 from forgepulse.plans import build, models
-from forgepulse.session import new_folder, shared_folder
+from forgepulse.session import new_folder, shared_folder, shuffle_conf
 from forgepulse.sources import landing
 from tests.helpers import feed_event, records
 
@@ -80,6 +80,11 @@ def test_publish_as_view_and_as_table(spark):
     spark.sql("DROP TABLE some_table")
 
 
+def test_shuffle_partitions_follow_the_size():
+    assert shuffle_conf(1) == {"spark.sql.shuffle.partitions": "200"}
+    assert shuffle_conf(10 * 2**40) == {"spark.sql.shuffle.partitions": "81920"}
+
+
 def test_intermediates_go_to_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
