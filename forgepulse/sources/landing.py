@@ -88,13 +88,18 @@ def write_landing(
     layout: str = "lines",
     max_records_per_file: int = 10_000,
     max_chars_per_task: int = 64_000_000,
+    compact: bool = False,
 ) -> None:
     """Append ``records`` (``record STRING``, ``landing_date DATE``) to the landing zone.
 
-    Map-only in both layouts: no day is gathered in one task.
+    Map-only in both layouts: no day is gathered in one task. ``compact`` is for bulk loads whose
+    tasks each hold many days: it brings days together first, hot ones in several tasks, and so
+    avoids a small file per task and day.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
+    if compact:
+        records = records.hint("rebalance", F.col("landing_date"))
     dated = records.select(
         "record",
         F.date_format("landing_date", "yyyy").alias("year"),

@@ -19,16 +19,25 @@ class LoadCounts:
 
 
 def append_load(
-    parsed: DataFrame, raw_path: str, quarantine_path: str, load_id: str
+    parsed: DataFrame,
+    raw_path: str,
+    quarantine_path: str,
+    load_id: str,
+    compact: bool = False,
 ) -> LoadCounts:
     """Add one load: readable events to the raw table, unreadable text to the quarantine.
 
     A load owns the folder ``load_id=<id>``. Other loads are never touched, and repeating a load
     after a failure replaces its own half-written output, so events are neither lost nor doubled.
     Counts are observed in the writing stage itself; the quarantine pass runs only when needed.
+
+    A load of a few days is map-only. With many small files of many days every task would write a
+    small file per day; ``compact`` then gathers days first, and adaptive execution splits hot ones.
     """
     counts = Observation(f"load {load_id}")
-    observed = parsed.observe(
+    days = [F.col(c) for c in S.LANDING_PARTITIONS]
+    source = parsed.hint("rebalance", *days) if compact else parsed
+    observed = source.observe(
         counts,
         F.count_if(F.col("raw_data").isNotNull()).alias("good"),
         F.count_if(is_unreadable()).alias("bad"),

@@ -18,6 +18,7 @@ def incremental_load(
     layout: str = "lines",
     name: str = "stream",
     max_files_per_batch: int | None = None,
+    compact: bool = False,
 ) -> list[LoadCounts]:
     """Process all files that arrived since the last run, then stop.
 
@@ -30,7 +31,8 @@ def incremental_load(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_landing(batch, layout)
-        done.append(append_load(parsed, raw_path, quarantine_path, f"{name}-{batch_id:010d}"))
+        load_id = f"{name}-{batch_id:010d}"
+        done.append(append_load(parsed, raw_path, quarantine_path, load_id, compact))
 
     reader = (
         spark.readStream.format("text")

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures.envelope import overlapping_records, source_events, staged_events
 from forgepulse.operators.quality import QualityError
@@ -66,7 +69,11 @@ def test_staging_is_partitioned_by_event_date(spark, folder):
     frame = spark.range(1000).selectExpr("id", "date_add(DATE '2024-01-01', cast(id % 3 AS INT)) AS d")
     table = build.write_table(frame, folder("t"), by="d")
     assert same(table, frame)
-    days = {p.name for p in __import__("pathlib").Path(folder("t")).glob("d=*")}
+    build.write_table(frame.orderBy(F.col("id").desc()), folder("s"), by="d", sort=["id"])
+    for file in Path(folder("s")).rglob("part-*"):
+        values = [r["id"] for r in spark.read.parquet(str(file)).collect()]
+        assert values == sorted(values)
+    days = {p.name for p in Path(folder("t")).glob("d=*")}
     assert days == {"d=2024-01-01", "d=2024-01-02", "d=2024-01-03"}
 
 

@@ -170,6 +170,23 @@ def test_loads_append_and_repeat_in_place(spark, folder):
     assert "PartitionFilters: [isnotnull(day" in plan_of(raw.where("day = 6")).replace("\n", "")
 
 
+@pytest.mark.parametrize("layout", landing.LAYOUTS)
+def test_compact_writes_few_files_and_the_same_rows(spark, folder, layout):
+    events = [(f"2024-01-{1 + i % 4:02d}", feed_event(i)) for i in range(200)] + [("2024-01-01", "{")]
+    frame = records(spark, events).repartition(8)
+    if layout == "array":
+        frame = frame.where("record <> '{'")
+    landing.write_landing(frame, folder("l"), layout, compact=True)
+    assert len(list(Path(folder("l")).rglob("part-*"))) == 4
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), layout), layout)
+    counts = raw_table.append_load(
+        parsed.repartition(8), folder("raw"), folder("q"), "a", compact=True
+    )
+    assert (counts.rows_loaded, counts.rows_quarantined) == (200, int(layout == "lines"))
+    assert len(list(Path(folder("raw")).rglob("part-*"))) == 4
+    assert ids(raw_table.read_raw(spark, folder("raw"))) == sorted(str(i) for i in range(200))
+
+
 def test_retry_without_bad_text_clears_its_old_quarantine(spark, folder):
     landing.write_landing(records(spark, [("2024-01-05", "{")]), folder("l"))
     load(spark, folder, "a")
