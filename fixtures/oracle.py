@@ -37,43 +37,46 @@ stg AS (
 )
 """
 
-DAILY = FEED + """,
+# Counters per group. Commits are unknown (NULL) when a group holds only pushes without a size.
+_COUNTERS = """
+    count(*) AS events,
+    count(*) FILTER (event_type = 'PushEvent') AS pushes,
+    count(*) FILTER (event_type = 'IssuesEvent') AS issues,
+    count(*) FILTER (event_type = 'PullRequestEvent') AS pulls,
+    count(*) FILTER (event_type = 'WatchEvent') AS stars,
+    count(*) FILTER (event_type = 'ForkEvent') AS forks,
+    if(bool_and(event_type = 'PushEvent' AND push_commit_count IS NULL), NULL,
+      coalesce(sum(push_commit_count), 0))::BIGINT AS commits"""
+
+DAILY = FEED + f""",
+days AS (
+  SELECT repo_name, event_timestamp::DATE AS activity_date,
+    count(DISTINCT actor_login) AS people, {_COUNTERS}
+  FROM stg GROUP BY ALL
+),
 daily AS (
-  SELECT repo_name, CAST(event_timestamp AS DATE) AS activity_date,
-    count(*) AS total_activity,
-    count(DISTINCT actor_login) AS unique_contributors,
-    CAST(sum(CASE WHEN event_type = 'PushEvent' THEN 1 ELSE 0 END) AS BIGINT) AS push_events,
-    CAST(sum(CASE WHEN event_type = 'PushEvent' THEN push_commit_count ELSE 0 END) AS BIGINT)
-      AS total_commits,
-    CAST(sum(CASE WHEN event_type = 'IssuesEvent' THEN 1 ELSE 0 END) AS BIGINT) AS issue_events,
-    CAST(sum(CASE WHEN event_type = 'PullRequestEvent' THEN 1 ELSE 0 END) AS BIGINT) AS pr_events,
-    CAST(sum(is_star_event) AS BIGINT) AS star_events,
-    CAST(sum(CASE WHEN event_type = 'ForkEvent' THEN 1 ELSE 0 END) AS BIGINT) AS fork_events,
-    avg(count(*)) OVER (PARTITION BY repo_name ORDER BY CAST(event_timestamp AS DATE)
-      ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS week_avg
-  FROM stg GROUP BY repo_name, CAST(event_timestamp AS DATE)
+  SELECT repo_name, activity_date, events AS total_activity, people AS unique_contributors,
+    pushes AS push_events, commits AS total_commits, issues AS issue_events, pulls AS pr_events,
+    stars AS star_events, forks AS fork_events,
+    list_avg(list_slice(list(events) OVER so_far, -7, -1)) AS week_avg
+  FROM days WINDOW so_far AS (PARTITION BY repo_name ORDER BY activity_date)
 )
 """
 
-TOP = FEED + """,
+TOP = FEED + f""",
 pairs AS (
-  SELECT actor_login AS contributor, repo_name,
-    count(*) AS total_events,
-    count(DISTINCT event_type) AS event_types_used,
-    CAST(sum(CASE WHEN event_type = 'PushEvent' THEN 1 ELSE 0 END) AS BIGINT) AS push_count,
-    CAST(sum(CASE WHEN event_type = 'PushEvent' THEN push_commit_count ELSE 0 END) AS BIGINT)
-      AS commit_count,
-    CAST(sum(CASE WHEN event_type = 'IssuesEvent' THEN 1 ELSE 0 END) AS BIGINT) AS issue_count,
-    CAST(sum(CASE WHEN event_type = 'PullRequestEvent' THEN 1 ELSE 0 END) AS BIGINT) AS pr_count,
-    min(event_timestamp) AS first_commit,
-    max(event_timestamp) AS final_commit,
-    CAST(date_diff('day', min(event_timestamp), max(event_timestamp)) AS BIGINT) AS active_days
-  FROM stg GROUP BY actor_login, repo_name
+  SELECT actor_login AS contributor, repo_name, count(DISTINCT event_type) AS types,
+    min(event_timestamp) AS first_commit, max(event_timestamp) AS final_commit, {_COUNTERS}
+  FROM stg GROUP BY ALL
 ),
 ranked AS (
-  SELECT *, CAST(commit_count * 2 + pr_count * 5 + issue_count AS BIGINT) AS contribution_score,
-    CAST(rank() OVER (PARTITION BY repo_name ORDER BY total_events DESC) AS BIGINT)
-      AS contributor_rank
+  SELECT contributor, repo_name, events AS total_events, types AS event_types_used,
+    pushes AS push_count, commits AS commit_count, issues AS issue_count, pulls AS pr_count,
+    first_commit, final_commit,
+    (final_commit::DATE - first_commit::DATE)::BIGINT AS active_days,
+    (2 * commits + 5 * pulls + issues)::BIGINT AS contribution_score,
+    1 + (SELECT count(*) FROM pairs ahead
+      WHERE ahead.repo_name = pairs.repo_name AND ahead.events > pairs.events) AS contributor_rank
   FROM pairs
 ),
 top AS (SELECT * FROM ranked WHERE contributor_rank <= 20)

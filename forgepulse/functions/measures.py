@@ -14,7 +14,7 @@ def rows() -> Column:
 
 def events_of(event_type: str) -> Column:
     """Number of events of one type; 0, never NULL, on a non-empty group."""
-    return F.sum(F.when(F.col("event_type") == event_type, 1).otherwise(0))
+    return F.count_if(F.col("event_type") == event_type)
 
 
 def commits() -> Column:
@@ -47,6 +47,8 @@ def hour_of(moment: str = "event_timestamp") -> Column:
 
 def period_of(period: str, moment: str = "event_timestamp") -> Column:
     """First day of the week, month, quarter or year."""
+    if period not in ("week", "month", "quarter", "year"):
+        raise ValueError(f"unknown period {period!r}")
     return F.trunc(F.to_date(F.col(moment)), period)
 
 

@@ -167,6 +167,37 @@ def test_retention_and_growth(spark):
     assert months[dt.date(2024, 1, 1)]["contributors"] == 3
 
 
+def test_unknown_period_is_refused(spark):
+    with pytest.raises(ValueError, match="fortnight"):
+        insights.contributor_growth(staged(spark, [{}]), "fortnight")
+
+
+def test_result_orders(spark):
+    at = "2024-01-01 00:00:00"
+    stg = staged(
+        spark,
+        [
+            {"repo": None, "actor": "x", "at": at},
+            {"repo": "b", "actor": "low", "at": at, "size": 1},
+            {"repo": "b", "actor": "high", "at": at, "size": 9},
+            {"repo": "b", "actor": "unknown", "at": at},
+            {"repo": "a", "actor": "x", "at": at, "size": 1},
+            {"repo": "a", "actor": "x", "at": None, "size": 1},
+        ],
+    )
+    top = models.top_contributors(models.contributor_stats(stg))
+    rows = top.orderBy(*models.contributor_order()).collect()
+    assert [(r["repo_name"], r["contributor"]) for r in rows] == [
+        ("a", "x"), ("b", "unknown"), ("b", "high"), ("b", "low"), (None, "x")
+    ]
+    days = models.daily_activity(stg).orderBy(*models.daily_order()).collect()
+    assert [(r["repo_name"], r["activity_date"] is None) for r in days] == [
+        ("a", False), ("a", True), ("b", False), (None, False)
+    ]
+    hours = models.event_trends(stg).orderBy(*models.trend_order()).collect()
+    assert [r["event_hour"] is None for r in hours][:2] == [True, False]
+
+
 def test_anomalies_respect_threshold_window_and_order(spark):
     events = [{"at": "2024-01-29 10:00:00"}]
     events += [{"at": "2024-01-30 10:00:00"}] * 5 + [{"at": "2024-01-30 11:00:00"}] * 2
