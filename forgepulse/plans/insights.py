@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,29 +58,43 @@ def engagement(stg: DataFrame) -> DataFrame:
     )
 
 
+_FIRST_MONDAY = dt.date(1970, 1, 5)
+_BLOCK = 32  # weeks per block
+
+
 def retention(stg: DataFrame) -> DataFrame:
     """Per repository and week: contributors, and how many are active again the week after.
 
-    Without a self-join: an event marks its own week as active and the week before as followed
-    up; both marks meet in one hash aggregate with map-side combine.
+    Without a self-join, and with one large shuffle. A contributor's weeks are bits of a number
+    per block of 32 weeks, collected by ``bit_or`` with map-side combine; bit 32 says that the next
+    block starts with an active week. A week is followed up when the next bit is set.
     """
-    week = M.period_of("week")
-    marks = F.array(
-        F.struct(week.alias("week_start"), F.lit(1).alias("active"), F.lit(0).alias("again")),
-        F.struct(F.date_sub(week, 7).alias("week_start"), F.lit(0).alias("active"),
-                 F.lit(1).alias("again")),
-    )
-    marked = stg.where(
+    week_no = F.floor(F.date_diff(M.day_of(), F.lit(_FIRST_MONDAY)) / 7).cast("int")
+    seen = stg.where(
         F.col("actor_login").isNotNull() & F.col("event_timestamp").isNotNull()
-    ).select("repo_name", "actor_login", F.inline(marks))
-    contributor_weeks = (
-        marked.groupBy("repo_name", "actor_login", "week_start")
-        .agg(F.max("active").alias("active"), F.max("again").alias("again"))
-        .where(F.col("active") == 1)
+    ).select("repo_name", "actor_login", week_no.alias("week_no"))
+    # Arithmetic shift and mask divide by 32 with a remainder of 0..31 before 1970 as well.
+    block = F.shiftright("week_no", 5)
+    position = F.col("week_no").bitwiseAND(_BLOCK - 1)
+    own = F.struct(block.alias("block"), F.expr("shiftleft(1L, week_no & 31)").alias("bits"))
+    to_previous = F.struct((block - 1).alias("block"), F.lit(1 << _BLOCK).alias("bits"))
+    marks = F.when(position == 0, F.array(own, to_previous)).otherwise(F.array(own))
+    blocks = (
+        seen.select("repo_name", "actor_login", F.inline(marks))
+        .groupBy("repo_name", "actor_login", "block")
+        .agg(F.bit_or("bits").alias("bits"))
+    )
+    active = F.filter(
+        F.sequence(F.lit(0), F.lit(_BLOCK - 1)), lambda i: F.getbit(F.col("bits"), i) == 1
     )
+    weeks = blocks.select("repo_name", "block", "bits", F.explode(active).alias("position"))
+    days = (F.col("block") * _BLOCK + F.col("position")) * 7
     return (
-        contributor_weeks.groupBy("repo_name", "week_start")
-        .agg(M.rows().alias("contributors"), F.sum("again").alias("retained"))
+        weeks.groupBy("repo_name", F.date_add(F.lit(_FIRST_MONDAY), days).alias("week_start"))
+        .agg(
+            M.rows().alias("contributors"),
+            F.count_if(F.getbit(F.col("bits"), F.col("position") + 1) == 1).alias("retained"),
+        )
         .withColumn("retention_rate", F.col("retained") / F.col("contributors"))
     )
 

@@ -171,3 +171,21 @@ def test_engagement_totals(case):
             date is None or (e["at"] and day(e) <= date))]
         assert row["total_stars"] == kind_count(until, S.WATCH)
         assert row["total_forks"] == kind_count(until, S.FORK)
+
+
+@pytest.mark.parametrize("first", ["1969-01-01", "2023-05-01"])
+def test_retention_over_years(spark, first):
+    """Weeks on both sides of every block boundary, before and after the epoch."""
+    rng = random.Random(5)
+    start = dt.datetime.fromisoformat(first)
+    events = [
+        {"actor": f"u{rng.randint(1, 4)}", "at": str(start + dt.timedelta(days=rng.randint(0, 800)))}
+        for _ in range(500)
+    ]
+    found = by_key(insights.retention(staged(spark, events)), "week_start")
+    active = {(day(e) - dt.timedelta(days=day(e).weekday()), e["actor"]) for e in events}
+    assert set(found) == {week for week, _ in active} and len(found) > 100
+    for week, row in found.items():
+        here = {a for w, a in active if w == week}
+        back = {a for a in here if (week + dt.timedelta(days=7), a) in active}
+        assert (row["contributors"], row["retained"]) == (len(here), len(back))
