@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,20 @@ def test_intermediates_go_to_the_configured_folder(spark):
         assert shared_folder(spark) == configured.rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert new_folder(spark, "x").startswith(shared_folder(spark))
+
+
+def fake_session(master: str):
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}", getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf={}, sparkContext=context)
+
+
+def test_only_a_local_session_may_do_without_a_shared_folder():
+    assert shared_folder(fake_session("local[2]")) == shared_folder(fake_session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(fake_session("yarn"))
+
+
+def test_a_failing_model_fails_the_build(spark, folder):
+    with pytest.raises(Exception, match="no_such_column|UNRESOLVED_COLUMN"):
+        build.build_models(spark.range(1).withColumnRenamed("id", "no_such_column"),
+                           build.Tables(folder("out")))
