@@ -128,7 +128,7 @@ def _dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stg_events(valid_records(_dirty_raw(spark, sf_dir))).select(
+    return stg_events(valid_records(_dirty_raw(spark, sf_dir)), strict=False).select(
         "event_id", "event_type", "actor_id", "actor_login", "repo_name", "event_timestamp"
     )
 

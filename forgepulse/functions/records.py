@@ -9,16 +9,31 @@ from pyspark.sql import functions as F
 def field(record: str, path: str, kind: str, strict: bool = True) -> Column:
     """Typed value at ``path``; missing and JSON null give NULL.
 
-    A value that cannot be cast aborts the query when ``strict``, else it is NULL as well.
+    A value that cannot be cast aborts the query when ``strict``, else it is NULL as well. The cast
+    itself is always the lenient one: Spark moves it into the Parquet scan, below any filter or
+    condition around it, where a strict cast would fail on records that are never asked for.
     """
-    getter = F.variant_get if strict else F.try_variant_get
-    return getter(F.col(record), path, kind)
+    value = F.try_variant_get(F.col(record), path, kind)
+    if not strict or not can_fail(kind):
+        return value
+    text = F.try_variant_get(F.col(record), path, "string")
+    message = F.concat(F.lit(f"{path} is not a {kind}: "), text)
+    return F.coalesce(value, F.when(json_type(record, path) != "VOID", F.raise_error(message)))
 
 
-def is_json_string(record: str, path: str) -> Column:
-    """True when the value at ``path`` is a JSON string, not merely castable to text."""
+def can_fail(kind: str) -> bool:
+    return kind not in ("string", "variant")
+
+
+def is_wrong_type(record: str, path: str, kind: str) -> Column:
+    """True when there is a value at ``path`` that does not convert to ``kind``."""
+    return ~castable(record, path, kind) & (json_type(record, path) != "VOID")
+
+
+def json_type(record: str, path: str) -> Column:
+    """Type name of the value at ``path``: STRING, BIGINT, ...; VOID for null and for no value."""
     value = F.try_variant_get(F.col(record), path, "variant")
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
 
 def castable(record: str, path: str, kind: str) -> Column:

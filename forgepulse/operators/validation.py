@@ -16,9 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.functions.records import castable, is_json_string
+from forgepulse.functions.records import castable, json_type
 
 _INTEGER = ("actor.id", "repo.id")
+_TIMESTAMP = ("created_at",)
+_NULLABLE_TEXT = ("actor.display_login",)
 REASONS = (
     "id", "type", "created_at", "actor.id", "actor.login", "actor.display_login", "actor.url",
     "repo.id", "repo.name", "repo.url",
@@ -29,17 +31,12 @@ def _holds(reason: str) -> Column:
     path = f"$.{reason}"
     if reason in _INTEGER:
         return castable("raw_data", path, "bigint")
-    if reason == "created_at":
-        return is_json_string("raw_data", path) & castable("raw_data", path, "timestamp_ntz")
-    if reason == "actor.display_login":
-        # A JSON null and a missing field both read as NULL text.
-        absent = F.try_variant_get(F.col("raw_data"), path, "string").isNull()
-        structured = F.try_variant_get(F.col("raw_data"), path, "variant")
-        not_nested = ~F.coalesce(
-            F.schema_of_variant(structured).rlike("^(OBJECT|ARRAY)"), F.lit(False)
-        )
-        return (absent & not_nested) | is_json_string("raw_data", path)
-    return is_json_string("raw_data", path)
+    if reason in _NULLABLE_TEXT:
+        return json_type("raw_data", path).isin("STRING", "VOID")
+    text = json_type("raw_data", path) == "STRING"
+    if reason in _TIMESTAMP:
+        return text & castable("raw_data", path, "timestamp_ntz")
+    return text
 
 
 def is_valid() -> Column:

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
 from forgepulse.functions import measures as M
 from forgepulse.operators import quality
 from forgepulse.operators.copies import latest_copy
-from forgepulse.operators.staging import stg_events
+from forgepulse.operators.staging import stg_events, wrong_types
 from forgepulse.operators.validation import valid_records
 from forgepulse.plans import models
 from forgepulse.sources.raw_table import LoadCounts, read_raw
@@ -55,9 +55,23 @@ def write_table(
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staging_of(raw: DataFrame) -> DataFrame:
-    """Validated, typed, one row per event."""
-    return latest_copy(stg_events(valid_records(raw)), null_keys=False)
+def staging_of(raw: DataFrame, casts: Observation | None = None) -> DataFrame:
+    """Validated, typed, one row per event.
+
+    Values of the wrong type in fields that validation does not cover are NULL; with ``casts`` they
+    are counted per column while the rows pass.
+    """
+    valid = valid_records(raw)
+    if casts is None:
+        return latest_copy(stg_events(valid, strict=False), null_keys=False)
+    flags = {name: (f"__wrong_{name}", wrong) for name, wrong in wrong_types().items()}
+    typed = stg_events(
+        valid, strict=False, keep=[wrong.alias(flag) for flag, wrong in flags.values()]
+    )
+    counted = typed.observe(
+        casts, *[F.count_if(F.col(flag)).alias(name) for name, (flag, _) in flags.items()]
+    )
+    return latest_copy(counted.drop(*[flag for flag, _ in flags.values()]), null_keys=False)
 
 
 def build_models(staged: DataFrame, tables: Tables, k: int = S.TOP_K) -> dict[str, DataFrame]:
@@ -93,13 +107,15 @@ def run_build(
     k: int = S.TOP_K,
     resume: bool = False,
     compact: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Load new files, rebuild staging and models, run the checks; returns rows per stage.
 
     Fails before the models when the run brought no events, and before publishing views when a
     check fails. To repeat a run that broke after its load, pass ``resume``: its files count as
     loaded already, and everything behind the raw table is rebuilt from it. ``compact`` is for
-    a first load of many days (see ``append_load``).
+    a first load of many days (see ``append_load``). With ``strict`` the run also fails on a
+    value of the wrong type in a field that validation does not cover; without, it is NULL.
     """
     tables = Tables(root)
     loads: list[LoadCounts] = incremental_load(
@@ -109,10 +125,14 @@ def run_build(
     if not resume and not sum(c.rows_loaded for c in loads):
         raise quality.QualityError("no events extracted")
     raw = read_raw(spark, tables.at("raw_events"))
-    staged = staging_of(raw).withColumn("event_date", M.day_of())
+    casts = Observation("casts")
+    staged = staging_of(raw, casts).withColumn("event_date", M.day_of())
     staged = write_table(
         staged, tables.at("stg_events"), by="event_date", sort=["repo_name"]
     ).drop("event_date")
+    wrong = {column: count for column, count in casts.get.items() if count}
+    if strict and wrong:
+        raise quality.QualityError(f"values of the wrong type: {wrong}")
     built = build_models(staged, tables, k)
     checks = quality.gate(
         quality.model_results(

@@ -59,11 +59,25 @@ def test_run_without_events_fails_but_a_broken_run_can_resume(spark, folder):
 
 
 def test_invalid_records_stay_out(spark, folder):
+    actor = {"id": "not a number", "login": "x", "url": "u"}
     events = [("2024-01-05", feed_event(1)), ("2024-01-05", feed_event(2, actor=None))]
+    events += [("2024-01-05", feed_event(3, actor=actor)), ("2024-01-05", feed_event(4, created_at="x"))]
     landing.write_landing(records(spark, events), folder("l"))
     counts = {r["stage"]: r["records"] for r in
               build.run_build(spark, folder("l"), folder("out")).collect()}
-    assert (counts["rows_loaded"], counts["stg_events"]) == (2, 1)
+    assert (counts["rows_loaded"], counts["stg_events"]) == (4, 1)
+
+
+def test_wrong_payload_types_fail_a_strict_run_only(spark, folder):
+    bad = feed_event(2, payload={"size": "many"})
+    landing.write_landing(
+        records(spark, [("2024-01-05", feed_event(1)), ("2024-01-05", bad)]), folder("l")
+    )
+    with pytest.raises(QualityError, match="push_commit_count': 1"):
+        build.run_build(spark, folder("l"), folder("out"))
+    build.run_build(spark, folder("l"), folder("out"), resume=True, strict=False)
+    rows = spark.table("stg_events").orderBy("event_id").collect()
+    assert [r["push_commit_count"] for r in rows] == [2, None]
 
 
 def test_staging_is_partitioned_by_event_date(spark, folder):
