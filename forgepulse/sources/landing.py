@@ -7,6 +7,7 @@ form for bulk loads. Files get unique names and are only ever added.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -124,17 +125,27 @@ def scan_landing(
     """Text of the files of one or more landing zones with lineage and partition columns; nothing
     is parsed yet, so a filter on year/month/day prunes files in each of them."""
     roots = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.schema(S.LANDING_SCHEMA)
-    return union_feeds(
-        [with_lineage(reader.text(root, wholetext=layout == "array")) for root in roots]
-    )
+    return union_feeds([_scan(spark, root, root, layout) for root in roots])
+
+
+def scan_days(
+    spark: SparkSession, root: str, first: dt.date, last: dt.date, layout: str = "lines"
+) -> DataFrame:
+    """Like ``scan_landing`` for the days ``first`` to ``last``. A filter prunes files after the
+    whole zone has been listed; this lists only the folders of these days."""
+    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+    folders = ",".join(day.strftime("year=%Y/month=%m/day=%d") for day in days)
+    return _scan(spark, root, f"{root}/{{{folders}}}", layout)
 
 
 def read_back(spark: SparkSession, root: str, file: str, layout: str = "lines") -> DataFrame:
     """Events of one landed file; ``root`` is the landing zone that its path belongs to."""
+    return readable(parse_landing(_scan(spark, root, file, layout), layout))
+
+
+def _scan(spark: SparkSession, root: str, path: str, layout: str) -> DataFrame:
     reader = spark.read.schema(S.LANDING_SCHEMA).option("basePath", root)
-    text = with_lineage(reader.text(file, wholetext=layout == "array"))
-    return readable(parse_landing(text, layout))
+    return with_lineage(reader.text(path, wholetext=layout == "array"))
 
 
 def with_lineage(text: DataFrame) -> DataFrame:

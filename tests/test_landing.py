@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 from pathlib import Path
 
@@ -117,6 +118,19 @@ def test_date_filter_prunes_files(spark, folder):
     assert "PartitionFilters: [isnotnull(day" in plan_of(found).replace("\n", "")
 
 
+def test_days_are_listed_alone(spark, folder):
+    events = [(f"2023-12-{d}", feed_event(d)) for d in (30, 31)]
+    events += [(f"2024-01-{d:02d}", feed_event(d)) for d in (1, 2, 4)]
+    landing.write_landing(records(spark, events), folder("l"))
+    text = landing.scan_days(spark, folder("l"), dt.date(2023, 12, 31), dt.date(2024, 1, 3))
+    found = landing.readable(landing.parse_landing(text))
+    assert ids(found) == ["1", "2", "31"]  # a day without a folder is no error
+    assert len(text.inputFiles()) == 3
+    assert {(r["year"], r["month"], r["day"]) for r in found.collect()} == {
+        (2023, 12, 31), (2024, 1, 1), (2024, 1, 2)
+    }
+
+
 def test_one_file_reads_back(spark, folder):
     put(folder("l"), json.dumps([feed_event(1)]), name="a.json")
     put(folder("l"), json.dumps([feed_event(2)]), name="b.json")
