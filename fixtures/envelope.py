@@ -34,7 +34,7 @@ BASE_URL = "https://feed.example"
 
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint")
+        "k", F.variant_get(F.parse_json("props"), "$.k", "bigint")
     )
 
 

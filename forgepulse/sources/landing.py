@@ -205,5 +205,5 @@ def landing_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_valid_dump(valid: DataFrame, path: str) -> None:
-    """Validated events as JSON lines, exactly as they came in."""
+    """Validated events as JSON lines with all their fields, known or not."""
     valid.select(F.to_json("raw_data").alias("value")).write.mode("append").text(path)

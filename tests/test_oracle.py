@@ -46,3 +46,35 @@ def test_typed_staging_equals_staging_from_json(spark):
     parsed = stg_events(raw_events(events)).select(*typed.columns)
     assert parsed.schema.simpleString() == typed.schema.simpleString()
     assert parsed.exceptAll(typed).isEmpty() and typed.exceptAll(parsed).isEmpty()
+
+
+SETTINGS = {
+    "spark.sql.session.timeZone": "America/New_York",
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.shuffle.partitions": "3",
+    "spark.sql.variant.writeShredding.enabled": "false",
+    "spark.sql.variant.pushVariantIntoScan": "false",
+}
+
+
+@pytest.fixture
+def other_settings(spark):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["stg_events", "top_contributors", "event_trends", "trend_anomalies", "daily_rank", "retention",
+     "validate_summary", "dq_relationships", "ingest_landing", "ingest_incremental", "full_build"],
+)
+def test_results_do_not_depend_on_session_settings(spark, duck, other_settings, name):
+    _, rows = spark_rows(suite.queries()[name](spark, SF_DIR))
+    assert rows == oracle_rows(duck, ORACLE[name])[1]
