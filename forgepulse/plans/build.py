@@ -16,7 +16,7 @@ from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.staging import stg_events, wrong_types
 from forgepulse.operators.validation import valid_records
 from forgepulse.plans import models
-from forgepulse.sources.raw_table import LoadCounts, read_raw
+from forgepulse.sources.raw_table import LoadCounts, exists, read_raw
 from forgepulse.streaming.incremental import incremental_load
 
 
@@ -40,38 +40,63 @@ def publish(df: DataFrame, name: str, materialize: bool = False) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, by: str | None = None, sort: Sequence[str] = ()
+    df: DataFrame, path: str, by: str | None = None, sort: Sequence[str] = (), mode: str = "static"
 ) -> DataFrame:
     """Replace a table and read it back. Partitioned tables are written behind a rebalance on the
     partition column: adaptive execution splits hot days and merges small ones, so file sizes
     follow the data and not the number of tasks times days. Within a file rows are sorted by
-    ``sort``, which lets filters on these columns skip row groups."""
+    ``sort``, which lets filters on these columns skip row groups. ``mode="dynamic"`` replaces
+    only the partitions that ``df`` has rows for."""
     if by is None:
         df.write.mode("overwrite").parquet(path)
     else:
         rows = df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *sort)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
         writer.partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staging_of(raw: DataFrame, casts: Observation | None = None) -> DataFrame:
-    """Validated, typed, one row per event.
+def staging_of(raw: DataFrame) -> DataFrame:
+    """Validated, typed, one row per event. Values of the wrong type in fields that validation
+    does not cover are NULL."""
+    return latest_copy(stg_events(valid_records(raw), strict=False), null_keys=False)
 
-    Values of the wrong type in fields that validation does not cover are NULL; with ``casts`` they
-    are counted per column while the rows pass.
-    """
-    valid = valid_records(raw)
-    if casts is None:
-        return latest_copy(stg_events(valid, strict=False), null_keys=False)
+
+def _dated_staging(raw: DataFrame, casts: Observation) -> DataFrame:
+    """Validated, typed rows with ``event_date``; values of the wrong type are counted per column
+    while the rows pass. Copies are still in."""
     flags = {name: (f"__wrong_{name}", wrong) for name, wrong in wrong_types().items()}
     typed = stg_events(
-        valid, strict=False, keep=[wrong.alias(flag) for flag, wrong in flags.values()]
+        valid_records(raw), strict=False, keep=[w.alias(flag) for flag, w in flags.values()]
     )
     counted = typed.observe(
         casts, *[F.count_if(F.col(flag)).alias(name) for name, (flag, _) in flags.items()]
     )
-    return latest_copy(counted.drop(*[flag for flag, _ in flags.values()]), null_keys=False)
+    return counted.drop(*[flag for flag, _ in flags.values()]).withColumn("event_date", M.day_of())
+
+
+def update_staging(raw: DataFrame, path: str, into: DataFrame | None = None) -> dict[str, int]:
+    """Write the staging table from ``raw``, or merge ``raw`` into the table ``into`` at ``path``.
+
+    A merge rewrites only the days that ``raw`` has events of: their rows and the new ones together,
+    one copy per event. All copies of an event carry its time and so meet in one day. Returns how
+    many values had the wrong type, by column.
+    """
+    casts = Observation("casts")
+    rows = _dated_staging(raw, casts)
+    mode = "static"
+    if into is not None:
+        # As many rows as there are days in the new files.
+        new_days = stg_events(valid_records(raw), strict=False).select(M.day_of().alias("d"))
+        days = [r["d"] for r in new_days.distinct().collect()]
+        rows = into.where(F.col("event_date").isin(days)).unionByName(rows)
+        mode = "dynamic"
+    write_table(latest_copy(rows, null_keys=False), path, "event_date", ["repo_name"], mode)
+    return {column: count for column, count in casts.get.items() if count}
+
+
+def read_staging(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.STAGED_SCHEMA).parquet(path)
 
 
 def build_models(staged: DataFrame, tables: Tables, k: int = S.TOP_K) -> dict[str, DataFrame]:
@@ -106,33 +131,42 @@ def run_build(
     layout: str = "lines",
     k: int = S.TOP_K,
     resume: bool = False,
+    rebuild: bool = False,
     compact: bool = False,
     strict: bool = True,
 ) -> DataFrame:
-    """Load new files, rebuild staging and models, run the checks; returns rows per stage.
-
-    Fails before the models when the run brought no events, and before publishing views when a
-    check fails. To repeat a run that broke after its load, pass ``resume``: its files count as
-    loaded already, and everything behind the raw table is rebuilt from it. ``compact`` is for
-    a first load of many days (see ``append_load``). With ``strict`` the run also fails on a
-    value of the wrong type in a field that validation does not cover; without, it is NULL.
+    """Load new files, bring staging up to date, build the models, run the checks; returns rows
+    per stage.
+
+    Only the days that new files have events of are staged again. A load that is repeated after a
+    failure stages everything again, as the failure may have hit the staging table; so does
+    ``rebuild``. Fails before the models when the run brought no events, and before publishing views
+    when a check fails. To repeat a run that broke after its load, pass ``resume``: its files count
+    as loaded already. ``compact`` is for a first load of many days (see ``append_load``). With
+    ``strict`` a value of the wrong type in a field that validation does not cover fails the run,
+    and its load stays uncommitted; without, such a value is NULL.
     """
     tables = Tables(root)
+    raw_path, staged_path = tables.at("raw_events"), tables.at("stg_events")
+
+    def stage(load: LoadCounts, repeated: bool) -> None:
+        raw, into = read_raw(spark, raw_path), None
+        if exists(spark, staged_path) and not repeated:
+            raw = raw.where(F.col("load_id") == load.load_id)
+            into = read_staging(spark, staged_path)
+        wrong = update_staging(raw, staged_path, into)
+        if strict and wrong:
+            raise quality.QualityError(f"values of the wrong type: {wrong}")
+
     loads: list[LoadCounts] = incremental_load(
-        spark, landing, tables.at("raw_events"), tables.at("quarantine"), tables.at("checkpoint"),
-        layout, compact=compact,
+        spark, landing, raw_path, tables.at("quarantine"), tables.at("checkpoint"), layout,
+        compact=compact, then=stage,
     )
-    if not resume and not sum(c.rows_loaded for c in loads):
+    if not (resume or rebuild) and not sum(c.rows_loaded for c in loads):
         raise quality.QualityError("no events extracted")
-    raw = read_raw(spark, tables.at("raw_events"))
-    casts = Observation("casts")
-    staged = staging_of(raw, casts).withColumn("event_date", M.day_of())
-    staged = write_table(
-        staged, tables.at("stg_events"), by="event_date", sort=["repo_name"]
-    ).drop("event_date")
-    wrong = {column: count for column, count in casts.get.items() if count}
-    if strict and wrong:
-        raise quality.QualityError(f"values of the wrong type: {wrong}")
+    if rebuild:
+        update_staging(read_raw(spark, raw_path), staged_path)
+    staged = read_staging(spark, staged_path).drop("event_date")
     built = build_models(staged, tables, k)
     checks = quality.gate(
         quality.model_results(

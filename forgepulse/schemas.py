@@ -49,6 +49,12 @@ STAGED_FIELDS = (
     ("source_repo", "$._source_repo", "string"),
     ("payload", "$.payload", "variant"),
 )
+STAGED_SCHEMA = (
+    "event_id STRING, event_type STRING, actor_id BIGINT, actor_login STRING, repo_id BIGINT, "
+    "repo_name STRING, event_timestamp TIMESTAMP_NTZ, extracted_at TIMESTAMP_NTZ, "
+    "source_repo STRING, payload VARIANT, push_commit_count BIGINT, issue_action STRING, "
+    "pr_action STRING, is_star_event INT, loaded_at TIMESTAMP, event_date DATE"
+)
 # Column, the only event type that carries it, path, type.
 STAGED_BY_TYPE = (
     ("push_commit_count", PUSH, "$.payload.size", "bigint"),

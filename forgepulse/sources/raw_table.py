@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,21 @@ def _write(rows: DataFrame, path: str, load_id: str) -> None:
     writer.partitionBy(*S.LANDING_PARTITIONS).parquet(folder)
 
 
+def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:
+    """Whether a load has written anything, complete or not."""
+    return exists(spark, f"{raw_path}/load_id={load_id}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("x INT").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
 

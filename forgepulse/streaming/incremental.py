@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from forgepulse import schemas as S
 from forgepulse.sources.landing import parse_landing, with_lineage
-from forgepulse.sources.raw_table import LoadCounts, append_load
+from forgepulse.sources.raw_table import LoadCounts, append_load, has_load
 
 
 def incremental_load(
@@ -19,6 +22,7 @@ def incremental_load(
     name: str = "stream",
     max_files_per_batch: int | None = None,
     compact: bool = False,
+    then: Callable[[LoadCounts, bool], None] | None = None,
 ) -> list[LoadCounts]:
     """Process all files that arrived since the last run, then stop.
 
@@ -26,13 +30,25 @@ def incremental_load(
     fixed id, so a batch that is repeated after a failure replaces its own output. Stateless and
     map-only: nothing is dropped as late, and copies of an event are resolved by ``latest_copy``
     when the staging relation is built. Landed files must never be overwritten in place.
+
+    ``then(counts, repeated)`` runs after each load and before its batch is committed, so what it
+    derives from the load is repeated with it; ``repeated`` says that an earlier attempt of this
+    batch may have got that far. An error in it fails the run and leaves the batch uncommitted.
     """
     done: list[LoadCounts] = []
+    failed: list[Exception] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_landing(batch, layout)
         load_id = f"{name}-{batch_id:010d}"
+        repeated = has_load(spark, raw_path, load_id)
         done.append(append_load(parsed, raw_path, quarantine_path, load_id, compact))
+        if then is not None:
+            try:
+                then(done[-1], repeated)
+            except Exception as error:
+                failed.append(error)
+                raise
 
     reader = (
         spark.readStream.format("text")
@@ -50,5 +66,10 @@ def incremental_load(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if failed:
+            raise failed[0]
+        raise
     return done

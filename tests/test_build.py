@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -11,7 +12,7 @@ from forgepulse.operators.quality import QualityError
 from forgepulse.plans import build, models
 from forgepulse.session import new_folder, shared_folder, shuffle_conf
 from forgepulse.sources import landing
-from tests.helpers import feed_event, records
+from tests.helpers import feed_event, plan_of, records
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -46,6 +47,102 @@ def test_second_run_adds_new_files(spark, folder):
     assert counts["rows_loaded"] == 2 and counts["stg_events"] == 2
 
 
+def updated_staging(spark, folder):
+    return build.read_staging(spark, folder("out") + "/stg_events")
+
+
+def test_merging_day_by_day_equals_one_build(spark, folder):
+    """Overlapping pulls arrive in four runs; the table must equal a build from all files at once."""
+    everything = overlapping_records(source_events(spark, SF_DIR)).cache()
+    for first, last in ((1, 5), (6, 6), (7, 20), (21, 31)):
+        part = everything.where(
+            f"day(landing_date) BETWEEN {first} AND {last} AND month(landing_date) = 1"
+            + (" OR month(landing_date) = 2" if last == 31 else "")
+        )
+        landing.write_landing(part, folder("l"))
+        build.run_build(spark, folder("l"), folder("out"))
+    landing.write_landing(everything, folder("all"))
+    build.run_build(spark, folder("all"), folder("once"))
+    columns = [c for c in updated_staging(spark, folder).columns if c not in ("payload", "loaded_at")]
+    merged = updated_staging(spark, folder).select(*columns)
+    once = build.read_staging(spark, folder("once") + "/stg_events").select(*columns)
+    assert merged.count() == 1000 and same(merged, once)
+    models_of = [folder(o) + "/daily_activity" for o in ("out", "once")]
+    assert same(*[spark.read.parquet(p) for p in models_of])
+
+
+def test_merge_rewrites_only_days_with_new_events(spark, folder):
+    def files():
+        found = Path(folder("out"), "stg_events").rglob("part-*")
+        return {p.parent.name: p.name for p in found}
+
+    days = [(f"2024-01-{d:02d}", feed_event(d, created_at=f"2024-01-{d:02d}T01:00:00Z")) for d in (1, 2, 3)]
+    landing.write_landing(records(spark, days), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    before = files()
+    late = feed_event(9, created_at="2024-01-02T05:00:00Z")
+    landing.write_landing(records(spark, [("2024-01-09", late)]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    after = files()
+    assert {d for d in before if before[d] != after[d]} == {"event_date=2024-01-02"}
+    assert sorted(r["event_id"] for r in updated_staging(spark, folder).collect()) == ["1", "2", "3", "9"]
+
+
+def test_repeated_load_stages_everything_again(spark, folder, monkeypatch):
+    """A run dies in the middle of replacing a day of the staging table."""
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    landing.write_landing(records(spark, [("2024-01-06", feed_event(2))]), folder("l"))
+    day = Path(folder("out"), "stg_events", "event_date=2024-01-05")
+
+    def die(*arguments):
+        for file in day.iterdir():
+            file.unlink()
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(build, "update_staging", die)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            build.run_build(spark, folder("l"), folder("out"))
+    spark.catalog.clearCache()
+    counts = {r["stage"]: r["records"] for r in
+              build.run_build(spark, folder("l"), folder("out")).collect()}
+    assert (counts["rows_loaded"], counts["stg_events"]) == (1, 2)
+
+
+def test_files_without_valid_events_change_nothing(spark, folder):
+    for event in (feed_event(1, type=None), feed_event(2), feed_event(3, type=None)):
+        landing.write_landing(records(spark, [("2024-01-05", event)]), folder("l"))
+        build.run_build(spark, folder("l"), folder("out"))
+    assert [r["event_id"] for r in updated_staging(spark, folder).collect()] == ["2"]
+
+
+def test_copies_that_disagree_on_the_day_are_noticed_and_rebuilt(spark, folder):
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    moved = feed_event(1, created_at="2024-01-09T00:00:00Z", _extracted_at="2024-01-09T12:00:00Z")
+    landing.write_landing(records(spark, [("2024-01-09", moved)]), folder("l"))
+    with pytest.raises(QualityError, match="unique"):
+        build.run_build(spark, folder("l"), folder("out"))
+    build.run_build(spark, folder("l"), folder("out"), rebuild=True)
+    assert [str(r["event_date"]) for r in updated_staging(spark, folder).collect()] == ["2024-01-09"]
+
+
+def test_merge_reads_only_the_days_it_rewrites(spark, folder):
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    plan = plan_of(updated_staging(spark, folder).where(F.col("event_date").isin([dt.date(2024, 1, 5)])))
+    assert "PartitionFilters: [isnotnull(event_date" in plan.replace("\n", "")
+
+
+def test_rebuild_from_raw(spark, folder):
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    counts = {r["stage"]: r["records"] for r in
+              build.run_build(spark, folder("l"), folder("out"), rebuild=True).collect()}
+    assert (counts["rows_loaded"], counts["stg_events"]) == (0, 1)
+
+
 def test_run_without_events_fails_but_a_broken_run_can_resume(spark, folder):
     landing.write_landing(records(spark, [("2024-01-05", "{")]), folder("l"))
     with pytest.raises(QualityError, match="no events extracted"):
