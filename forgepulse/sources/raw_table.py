@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,13 +61,9 @@ def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("x INT").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """One request to the file system; reading the path to find out would list all its files."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
