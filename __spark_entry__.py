@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -310,15 +311,37 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_feed_daily_activity(spark, "/root/testdata/sf0.001")
 
 
+def _pipeline_parts() -> list[tuple[dict[str, Query], dict[str, str]]]:
+    """Queries and DuckDB counterparts of the training-data operators and of their pipeline, as far
+    as these are there; errors inside them are not swallowed."""
+    parts: list[tuple[dict[str, Query], dict[str, str]]] = []
+    if find_spec("forgepulse.llm"):
+        from forgepulse.llm import queries as llm
+
+        parts.append((llm.QUERIES, llm.ORACLE))
+    if find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        oracle = corpus_pipeline.ORACLE_SQL
+        parts.append(({"pipeline": corpus_pipeline.run}, {"pipeline": oracle} if oracle else {}))
+    return parts
+
+
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
-    return {
+    own = {
         name.removeprefix("q_"): function
         for name, function in globals().items()
         if name.startswith("q_")
     }
+    for added, _ in _pipeline_parts():
+        own.update(added)
+    return own
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB counterparts; ``landing_inventory`` lists files and has none."""
-    return dict(ORACLE)
+    """DuckDB counterparts of the queries that SQL expresses."""
+    own = dict(ORACLE)
+    for _, added in _pipeline_parts():
+        own.update(added)
+    return own
