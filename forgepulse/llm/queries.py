@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import mixing, packing, token_files
+from forgepulse.llm import mixing, packing, simhash_bits, token_files
 from forgepulse.llm.support import settle, table
 from forgepulse.llm.tokens import public_tokenizer
 
@@ -30,6 +30,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
