@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import mixing, packing, simhash_bits, token_files
-from forgepulse.llm.support import settle, table
+from forgepulse.llm import language, mixing, packing, simhash_bits, token_files, toxicity
+from forgepulse.llm.support import crc_of_id, settle, table
 from forgepulse.llm.tokens import public_tokenizer
 
 
@@ -15,6 +15,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, public_tokenizer()))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id("doc_id") % 3 == 1
+    network = language.learn(docs.where(~held_out))
+    return language.identify(docs, network).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = settle(docs.select("doc_id", "source", mixing.word_count("text").alias("size")), "sizes")
@@ -34,6 +43,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.learn(docs, labels.where(crc_of_id("doc_id") % 5 != 0))
+    scored = toxicity.score(docs.select("doc_id", "text"), index)
+    return scored.select(
+        "row.doc_id", (crc_of_id("row.doc_id") % 5 == 0).alias("held_out"), "score",
+        toxicity.predicted().alias("predicted"), "evidence",
+    )
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
