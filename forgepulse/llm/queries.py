@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.llm import language, mixing, packing, simhash_bits, token_files, toxicity
+from forgepulse.llm import (
+    language, mixing, packing, simhash_bits, suffixes, token_files, toxicity,
+)
 from forgepulse.llm.support import crc_of_id, settle, table
 from forgepulse.llm.tokens import public_tokenizer
 
@@ -15,6 +17,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, public_tokenizer()))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id("doc_id") % 3 == 1
