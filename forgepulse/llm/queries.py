@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import (
-    language, mixing, packing, simhash_bits, suffixes, token_files, toxicity,
+    language, mixing, packing, simhash_bits, suffixes, token_files, toxicity, vectors,
 )
 from forgepulse.llm.support import crc_of_id, settle, table
 from forgepulse.llm.tokens import public_tokenizer
@@ -50,6 +50,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizer())
 
 
+def op6_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
 
