@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import (
-    language, mixing, packing, simhash_bits, suffixes, token_files, toxicity, vectors,
+    fingerprints, language, mixing, packing, simhash_bits, suffixes, token_files, toxicity, vectors,
 )
 from forgepulse.llm.support import crc_of_id, settle, table
 from forgepulse.llm.tokens import public_tokenizer
@@ -58,6 +58,10 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bits.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     index = toxicity.learn(docs, labels.where(crc_of_id("doc_id") % 5 != 0))
