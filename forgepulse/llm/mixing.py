@@ -145,9 +145,29 @@ def copies_in_training_order(mixed: DataFrame) -> DataFrame:
 
 
 def first_words(text: Column, words: Column) -> Column:
-    """The text up to its ``words``-th word, for a copy that the target cuts short."""
-    taken = F.regexp_substr(text, F.concat(
-        F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), words.cast("string"),
-        F.lit("}"),
-    ))
-    return F.coalesce(taken, text)
+    """The text up to its ``words``-th word with the white space behind it."""
+    space = r"[\x20\x09-\x0D]"
+    parts = F.split(text, rf"(?<={space})(?=[^\x20\x09-\x0D])")
+    leading = F.regexp_like(text, F.lit(rf"^{space}+[^\x20\x09-\x0D]")).cast("int")
+    return F.array_join(F.slice(parts, F.lit(1), words.cast("int") + leading), "")
+
+
+def mixed_documents(docs: DataFrame, order_key: Column) -> DataFrame:
+    """The columns of ``docs``, a row for each copy that the mix takes, in training order; a copy that
+    the target cuts short ends after its last word, and ``n_chars``, where there is one, follows."""
+    sized = docs.select(
+        F.struct("*").alias("doc"), "source", word_count("text").alias("size"), order_key.alias("key")
+    )
+    copies = copies_in_training_order(mix(sized, "size", "source", F.col("key")))
+    text = F.col("row.doc.text")
+    cut = F.when(F.col("words") < F.col("row.size"), first_words(text, F.col("words"))).otherwise(text)
+    doc = F.col("row.doc").withField("text", cut)
+    if "n_chars" in docs.columns:
+        doc = doc.withField("n_chars", F.char_length(cut).cast(docs.schema["n_chars"].dataType))
+    return copies.select(doc.alias("doc")).select("doc.*")
+
+
+def id_key(doc_id: str | Column = "doc_id") -> Column:
+    """Order key of a row from its id, the same in every run."""
+    text = F.coalesce(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id, F.lit(""))
+    return F.md5(F.concat(F.lit("mix:"), text).cast("binary"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import (
-    fingerprints, language, mixing, packing, simhash_bits, suffixes, token_files, toxicity, vectors,
+    fingerprints, language, mixing, packing, simhash_bits, suffixes, surrogates, token_files, toxicity, vectors,
 )
 from forgepulse.llm.support import crc_of_id, settle, table
 from forgepulse.llm.tokens import public_tokenizer
@@ -38,8 +38,7 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = settle(docs.select("doc_id", "source", mixing.word_count("text").alias("size")), "sizes")
-    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    mixed = mixing.in_training_order(mixing.mix(sized, "size", "source", key))
+    mixed = mixing.in_training_order(mixing.mix(sized, "size", "source", mixing.id_key()))
     return mixed.select(
         F.col("row.doc_id").alias("doc_id"), F.col("row.size").alias("size"),
         "source_size", "target", "taken",
@@ -62,6 +61,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs).select("row.doc_id", "row.text", "n_entities")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     index = toxicity.learn(docs, labels.where(crc_of_id("doc_id") % 5 != 0))
