@@ -1,0 +1,67 @@
+"""Documents with all that may be odd about them."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use inside, as extra columns of documents.
+CLASHING = (
+    "row", "number", "group", "bucket", "range", "mark", "kind", "entity", "label", "key", "place", "size",
+    "words", "copies", "score", "fingerprint", "start", "packed", "mentions", "evidence", "salt", "taken",
+)
+WORDS = (
+    "river stone lantern orchard silver meadow thunder copper violin harbour candle mirror garden winter "
+    "feather basket marble ladder saddle pepper walnut cotton ribbon kettle hammer bottle pillow mantle"
+).split()
+
+
+def prose(seed: int, words: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "", ",", "."]) for _ in range(words))
+
+
+def odd_rows() -> list[tuple]:
+    long = prose(99, 20_000)
+    texts = [
+        (1, prose(1, 80)), (2, None), (3, ""), (4, " \n\t "), (5, prose(1, 80)), (6, prose(6, 300)),
+        (6, prose(6, 300)), (None, prose(8, 120)), (None, None), (9, long), (10, long + " end"),
+        (11, "x"), (12, "日本語のテキスト 😀 é"), (13, "a\u0000b"), (100, prose(1, 80) + " more"),
+        (-7, "mail ann@example.com"), (200, prose(20, 60)), (200, prose(21, 60)), (14, "12 34 !!"),
+    ]
+    sources = ["s1", "s1", None, "", "é", "s2"]
+    langs = ["en", None, "fr"]
+    return [
+        (i, t, langs[n % 3], sources[n % 6], None if t is None else len(t)) for n, (i, t) in enumerate(texts)
+    ]
+
+
+def odd_documents(spark: SparkSession, clashing: bool = False) -> DataFrame:
+    docs = spark.createDataFrame(odd_rows(), SCHEMA)
+    return docs.select("*", *[F.lit(n).alias(c) for n, c in enumerate(CLASHING)]) if clashing else docs
+
+
+def no_documents(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], SCHEMA)
+
+
+def documents(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+
+
+def components(nodes: int, links) -> list[int]:
+    """Least node that each node is connected with."""
+    parent = list(range(nodes))
+
+    def find(a: int) -> int:
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return [find(a) for a in range(nodes)]

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from forgepulse.llm import suffixes
+from tests.llm.cases import documents, no_documents, odd_documents, odd_rows
+
+
+def brute(rows: list[tuple], length: int) -> list[tuple]:
+    """(doc_id, removed flags) of rows in order of their ids, NULL last."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for start in range(len(data) - length + 1):
+            string = data[start: start + length]
+            if string in seen:
+                gone[start: start + length] = b"\1" * length
+            seen.add(string)
+        out.append((doc_id, bytes(gone), bytes(b for b, g in zip(data, gone) if not g)))
+    return out
+
+
+def spans_of(gone: bytes) -> list[tuple]:
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.frombuffer(gone, np.uint8), [0]])))
+    return [tuple(x) for x in edges.reshape(-1, 2).tolist()]
+
+
+def check(spark, rows: list[tuple], length: int, gram: int) -> None:
+    found = suffixes.without_repeats(documents(spark, rows), length, gram).collect()
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, [tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in found)
+    want = sorted((i is None, i or 0, spans_of(gone), kept) for i, gone, kept in brute(rows, length))
+    assert got == want
+
+
+def test_random_texts_of_few_letters_against_brute_force(spark):
+    rng = random.Random(4)
+    for letters in ("a", "ab", "abcdef"):
+        rows = [
+            (i, "".join(rng.choice(letters) for _ in range(rng.choice([0, 3, 11, 12, 13, 60, 200]))) * rng.choice([1, 1, 2]))
+            for i in rng.sample(range(1000), 40)
+        ]
+        check(spark, rows, 12, 5)
+
+
+def test_copies_passages_and_shared_lines_against_brute_force(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    passage, line = " ".join(word() for _ in range(40)), " ".join(word() for _ in range(14))
+    rows = []
+    for i in range(150):
+        own = [" ".join(word() for _ in range(rng.randint(1, 60)))]
+        if i % 3 == 0:
+            own.append(line)
+        if i % 5 == 0:
+            own.append(passage + " é" * (i % 2))
+        rng.shuffle(own)
+        rows.append((i * 7 - 50, "\n".join(own)))
+    rows += [(2000 + i, rows[i][1]) for i in range(30)]
+    check(spark, rows, 100, 50)
+
+
+def test_buckets_that_split_a_frequent_string_agree(spark):
+    text = "the same long text in a third of all documents, over and over again, without any end to it; " * 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(spark, [(i, text + str(i) * 5) for i in range(60)] + [(90, None), (91, "")], 100, 50)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark, clashing=True)
+    rows = suffixes.without_repeats(docs).select("doc_id", "n_bytes", F.size("spans").alias("n"), "kept").collect()
+    # Equal ids follow each other in the order in which they are stored; here that is the list's.
+    want = brute([r[:2] for r in odd_rows()], 100)
+    assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n"], hashlib.sha256(r["kept"]).hexdigest()) for r in rows) == sorted(
+        (i or 0, len(gone), len(spans_of(gone)), hashlib.sha256(kept).hexdigest()) for i, gone, kept in want
+    )
+    assert suffixes.without_repeats(no_documents(spark)).count() == 0
+
+
+def test_runs_hold_each_string_once_and_mark_those_that_may_repeat_within():
+    rng = random.Random(3)
+    for trial in range(300):
+        texts = [
+            bytes(rng.choice(b"ab" if trial % 2 else b"abcdefgh") for _ in range(rng.choice([0, 5, 12, 40, 90]))) * rng.choice([1, 3])
+            for _ in range(rng.randint(1, 6))
+        ]
+        seen, leads = set(), {}
+        for doc, start, count, lead, _, open_ in zip(*suffixes.runs(texts, 12, 5)):
+            strings = [texts[doc][s: s + 12] for s in range(start, start + count)]
+            assert all(len(s) == 12 for s in strings) and (open_ or len(set(strings)) == count)
+            assert all(leads.setdefault(s, lead) == lead for s in strings)
+            seen |= {(doc, s) for s in range(start, start + count)}
+        assert len(seen) == sum(max(0, len(t) - 11) for t in texts)
+
+
+def test_multikey_quicksort():
+    rng = np.random.default_rng(0)
+    for values in (3, 1000):
+        columns = [rng.integers(0, values, 20_000) for _ in range(3)]
+        order, plain = suffixes.multikey_quicksort(columns), np.lexsort(columns[::-1])
+        assert all((c[order] == c[plain]).all() for c in columns)

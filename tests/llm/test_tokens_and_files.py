@@ -1,0 +1,158 @@
+from __future__ import annotations
+
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from forgepulse.llm import packing, token_files
+from forgepulse.llm.tokens import encoder, public_tokenizer
+from tests.llm.cases import documents, no_documents, odd_documents, odd_rows, prose
+
+PATH = public_tokenizer()
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def library_ids(text: str | None) -> np.ndarray:
+    return np.array(LIBRARY.encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+def test_the_encoder_gives_the_ids_of_the_library():
+    signs = ["a", "the", "É", "ß", "'s", "'", "’", "İ", "Σ", "_", "-", "<|endoftext|>", "<|", " ", "\n", "\t",
+             "\x1c", "\xa0", "9", "٣", "中", "😀", "​", "́", "ﬁ", "\x00", "\r", "×", "ª"]
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 12)))
+        assert encoder(PATH).ids(text) == library_ids(text).tobytes(), repr(text)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_vocabulary_is_encoded_like_the_library(name):
+    path = public_tokenizer(name)
+    text = "Two  words,\nthat's  12 é <|endoftext|> the end "
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder(path).ids(text), "<u4").tolist() == ids
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 50), st.integers(0, 49407), st.integers(0, 2**32 - 1)), max_size=700))
+def test_blocks_round_trip(ids):
+    data, starts = token_files.encode_blocks(np.array(ids, np.uint32))
+    back = token_files.decode_blocks(np.frombuffer(data, np.uint8), starts) if ids else np.empty(0)
+    assert back[: len(ids)].tolist() == ids
+
+
+def test_outliers_are_stored_apart_and_keep_the_width_small():
+    ids = np.full(128, 7, np.uint32)
+    ids[[3, 90]] = 49_000
+    data, _ = token_files.encode_blocks(ids)
+    assert data[4] == 0 and data[5] == 2  # no bit for the rest, two exceptions
+    assert len(data) == 6 + 2 * 5
+
+
+def test_a_file_reads_any_range_and_all_documents():
+    lengths = [1, 0, 300, 128, 5000, 1]
+    ids = np.random.default_rng(1).integers(0, 49408, sum(lengths)).astype(np.uint32)
+    stream = io.BytesIO()
+    token_files.write_file(stream, ids, [5, None, -3, 8, 9, 10], lengths)
+    file = token_files.TokenFile(stream.getvalue())
+    assert file.read(250, 700).tolist() == ids[250:700].tolist()
+    starts = np.cumsum([0, *lengths])
+    for (doc_id, start, found), own, low, high in zip(
+        file.documents(), [5, None, -3, 8, 9, 10], starts, starts[1:]
+    ):
+        assert (doc_id, start, found.tolist()) == (own, low, ids[low:high].tolist())
+
+
+def expected_files(rows: list[tuple]) -> list[tuple]:
+    start, out = 0, []
+    for doc_id, ids in sorted(
+        ((r[0], np.append(library_ids(r[1]), 1).astype("<u4")) for r in rows),
+        key=lambda r: (r[0] is None, r[0] or 0),
+    ):
+        out.append((doc_id, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_token_files_hold_all_documents_in_order_of_their_ids(spark):
+    found = [tuple(r) for r in token_files.round_trip(odd_documents(spark, clashing=True), PATH).collect()]
+    assert sorted((r[0] is None, r[0] or 0, *r[2:]) for r in found) == sorted(
+        (r[0] is None, r[0] or 0, *r[1:]) for r in expected_files(odd_rows())
+    )
+    found.sort(key=lambda r: r[1])
+    assert [r[1] for r in found] == np.cumsum([0] + [r[2] for r in found])[:-1].tolist()
+    ids = [r[0] for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is None, i or 0))
+    assert token_files.round_trip(no_documents(spark), PATH).count() == 0
+
+
+def test_files_end_after_a_number_of_ids(spark, folder):
+    docs = documents(spark, [(i, prose(i, 50)) for i in range(40)])
+    files = token_files.write_token_files(docs, folder("ids"), PATH, file_ids=200).collect()
+    assert len(files) > 8 and sum(f["documents"] for f in files) == 40
+
+
+# Packing ------------------------------------------------------------------------------------
+
+
+def test_the_tournament_tree_finds_the_first_fit():
+    rng = random.Random(3)
+    lengths = sorted((rng.randint(1, 100) for _ in range(500)), reverse=True)
+    sequence, offset = packing.first_fit_decreasing(np.array(lengths), 100)
+    room: list[int] = []
+    for length, number, start in zip(lengths, sequence, offset):
+        first = next((i for i, r in enumerate(room) if r >= length), len(room))
+        if first == len(room):
+            room.append(100)
+        assert (number, start) == (first, 100 - room[first])
+        room[first] -= length
+
+
+def test_each_id_lies_in_one_piece_and_sequences_are_gapless(spark):
+    docs = odd_documents(spark, clashing=True)
+    pieces = packing.pack(packing.token_pieces(docs, PATH, with_ids=True), group_pieces=8).collect()
+    by_row: dict = {}
+    for p in pieces:
+        assert len(p["ids"]) == 4 * p["length"] and zlib.crc32(p["ids"]) == p["ids_crc32"]
+        by_row.setdefault((p["doc_id"], p["doc_tokens"]), []).append((p["start"], bytes(p["ids"])))
+    rows = odd_rows()
+    for doc_id, text, *_ in rows:
+        ids = np.append(library_ids(text), 1).astype("<u4").tobytes()
+        same = [r for r in rows if r[0] == doc_id and len(library_ids(r[1])) == len(ids) // 4 - 1]
+        parts = sorted(by_row[doc_id, len(ids) // 4])
+        starts = sorted({s for s, _ in parts})
+        assert starts == list(range(0, len(ids) // 4, 2048)) and len(parts) == len(same) * len(starts)
+        if len(same) == 1:
+            assert b"".join(part for _, part in parts) == ids
+    places: dict = {}
+    for p in pieces:
+        places.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for parts in places.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0] + [n for _, n in parts])[:-1].tolist()
+        assert sum(n for _, n in parts) <= 2048
+    assert packing.pack(packing.token_pieces(no_documents(spark), PATH)).count() == 0
+
+
+def test_sequences_are_the_pieces_in_a_row_and_padded(spark):
+    docs = documents(spark, [(i, prose(i, 40 + 9 * i)) for i in range(60)])
+    packed = packing.pack(packing.token_pieces(docs, PATH, capacity=256, with_ids=True), capacity=256)
+    pieces = packed.collect()
+    for row in packing.sequences(packed, capacity=256, pad_id=7).collect():
+        own = sorted((p["offset"], bytes(p["ids"])) for p in pieces if p["sequence_id"] == row["sequence_id"])
+        ids = b"".join(part for _, part in own)
+        assert row["length"] == len(ids) // 4 and len(row["ids"]) == 1024
+        assert bytes(row["ids"]) == ids + np.full(256 - row["length"], 7, "<u4").tobytes()
+
+
+def test_padding_is_little(spark):
+    docs = documents(spark, [(i, prose(i, 20 + i % 700)) for i in range(900)])
+    pieces = packing.pack(packing.token_pieces(docs, PATH)).collect()
+    used = sum(p["length"] for p in pieces)
+    assert used / (2048 * len({p["sequence_id"] for p in pieces})) > 0.98
