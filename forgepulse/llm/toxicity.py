@@ -1,11 +1,11 @@
 """Toxicity by the nearest labelled examples.
 
 Examples and texts are TF-IDF vectors over stems (the first letters of each word, so that inflected
-and compounded forms are one term); stems that nearly all or hardly any examples have are left out.
-Examples stand in an inverted index whose postings are cut into blocks of examples. The largest
+and compounded forms are one term); stems that hardly any examples have, or many clean ones, are left
+out. Examples stand in an inverted index whose postings are cut into blocks of examples. The largest
 weight of a stem in a block bounds what the block's examples can score; blocks are scored from the
 highest bound down until no bound can reach the k-th cosine found, so the nearest are exact.
-Neighbours vote with the square of their cosine; leaving each example out in turn fits a logistic
+Neighbours vote with their cosine over their distance; leaving each example out in turn fits a logistic
 curve that makes the vote a probability at the share of toxic texts among all labelled rows.
 
 The examples are a bounded sample (``TOXIC``, ``CLEAN``), chosen by a hash of their ids; the index is
@@ -32,11 +32,11 @@ from pyspark.sql.types import StructType
 from forgepulse.llm.support import row_slices
 
 #: Most examples of each label.
-TOXIC, CLEAN = 1024, 3072
+TOXIC, CLEAN = 2048, 4096
 STEM_LETTERS = 4
-#: Least and largest share of examples that may have a stem.
+#: Least share of all examples, and largest share of the clean ones, that may have a stem.
 RAREST, COMMONEST = 0.015, 0.1
-NEIGHBOURS = 7
+NEIGHBOURS = 11
 BLOCK = 64
 #: Blocks that are scored before the bounds are looked at again.
 BLOCKS_AT_ONCE = 6
@@ -108,9 +108,9 @@ class ToxicityIndex:
         return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), sums
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
-        power = cosine * cosine
+        closeness = cosine / (1.05 - np.minimum(cosine, 1.0))
         # Distant neighbours alone say little: a small share of the vote is for neither.
-        return float((power * self.toxic[best]).sum() / (power.sum() + 0.01))
+        return float((closeness * self.toxic[best]).sum() / (closeness.sum() + 0.05))
 
     def score(self, vote: float) -> float:
         return float(1 / (1 + np.exp(-(self.slope * vote + self.shift)))) if self.slope else 0.0
@@ -123,8 +123,11 @@ def build_index(
     # Examples of a label stand together, so that blocks differ in what they can score.
     examples = sorted(examples, key=lambda e: (e[1], e[0]))
     seen = Counter(t for _, _, counts in examples for t in counts)
-    least, most = max(2, RAREST * len(examples)), max(2, COMMONEST * len(examples))
-    terms = {t: i for i, t in enumerate(sorted(t for t, n in seen.items() if least <= n <= most))}
+    clean = [counts for _, label, counts in examples if not label]
+    in_clean = Counter(t for counts in clean for t in counts)
+    least, most = max(2, RAREST * len(examples)), max(2, COMMONEST * len(clean))
+    chosen = sorted(t for t, n in seen.items() if n >= least and in_clean[t] <= most)
+    terms = {t: i for i, t in enumerate(chosen)}
     idf = np.array([np.log((len(examples) + 1) / (seen[t] + 1)) for t in terms], np.float64)
     blocks = max(1, -(-len(examples) // BLOCK))
     toxic = np.zeros(blocks * BLOCK)
