@@ -37,9 +37,9 @@ STEM_LETTERS = 4
 #: Least share of all examples, and largest share of the clean ones, that may have a stem.
 RAREST, COMMONEST = 0.015, 0.1
 NEIGHBOURS = 11
-BLOCK = 64
-#: Blocks that are scored before the bounds are looked at again.
-BLOCKS_AT_ONCE = 6
+BLOCK = 16
+#: Blocks that are scored before the bounds are looked at again, each time three times as many.
+BLOCKS_AT_ONCE = 24
 
 _STEM = re.compile(rf"([^\W\d_]{{1,{STEM_LETTERS}}})[^\W\d_]*")
 
@@ -80,32 +80,37 @@ class ToxicityIndex:
         bound = weight @ self.block_max[term] if len(term) else np.zeros(blocks)
         order = np.argsort(-bound, kind="stable")
         best, cosine = np.empty(0, np.int64), np.empty(0)
-        for first in range(0, blocks, BLOCKS_AT_ONCE):
-            some = order[first: first + BLOCKS_AT_ONCE]
+        first, count = 0, BLOCKS_AT_ONCE
+        while first < blocks:
+            some = order[first: first + count]
             least = cosine[NEIGHBOURS - 1] if len(cosine) >= NEIGHBOURS else 0.0
             # A little slack: sums in another order may differ in the last digits.
             some = some[bound[some] > max(least - 1e-9, 0.0)]
             if not len(some):
                 break
-            best_of, cosine_of = self._scored(term, weight, some)
-            best, cosine = np.append(best, best_of), np.append(cosine, cosine_of)
-            keep = (cosine > 0) & (best != skip)
-            best, cosine = best[keep], cosine[keep]
+            scored = self._scored(term, weight, some)
+            reached = np.nonzero(scored > max(least, 0.0))[0]
+            found = some[reached // BLOCK] * BLOCK + reached % BLOCK
+            best, cosine = np.append(best, found), np.append(cosine, scored[reached])
+            if skip >= 0:
+                best, cosine = best[best != skip], cosine[best != skip]
             top = np.lexsort((best, -cosine))[:NEIGHBOURS]
             best, cosine = best[top], cosine[top]
+            first, count = first + count, 3 * count
         return best, cosine
 
-    def _scored(self, term, weight, blocks) -> tuple[np.ndarray, np.ndarray]:
-        """Exact cosines of the examples of some blocks, from their postings."""
+    def _scored(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Exact cosines of the examples of some blocks, block by block, from their postings."""
         lists = (term[:, None] * self.block_max.shape[1] + blocks).ravel()
         low, sizes = self.starts[lists], self.starts[lists + 1] - self.starts[lists]
-        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        posting = np.repeat(low, sizes) + within
-        place = np.repeat(np.tile(np.arange(len(blocks)), len(term)), sizes)
-        lane = place * BLOCK + self.examples[posting] % BLOCK
-        factor = np.repeat(np.repeat(weight, len(blocks)), sizes)
-        sums = np.bincount(lane, factor * self.weights[posting], minlength=len(blocks) * BLOCK)
-        return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel(), sums
+        filled = np.nonzero(sizes)[0]
+        low, sizes = low[filled], sizes[filled]
+        of = np.repeat(np.arange(len(filled)), sizes)
+        posting = np.arange(len(of)) + (low - np.cumsum(sizes) + sizes)[of]
+        list_of = filled[of]
+        lane = list_of % len(blocks) * BLOCK + self.examples[posting] % BLOCK
+        factor = weight[list_of // len(blocks)]
+        return np.bincount(lane, factor * self.weights[posting], minlength=len(blocks) * BLOCK)
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         closeness = cosine / (1.05 - np.minimum(cosine, 1.0))
@@ -120,8 +125,7 @@ def build_index(
     examples: list[tuple[int, int, Counter]], toxic_rows: int, clean_rows: int
 ) -> ToxicityIndex:
     """Index of (doc_id, toxic, stem counts); the row counts are those of all labelled rows."""
-    # Examples of a label stand together, so that blocks differ in what they can score.
-    examples = sorted(examples, key=lambda e: (e[1], e[0]))
+    examples = sorted(examples, key=lambda e: e[0])
     seen = Counter(t for _, _, counts in examples for t in counts)
     clean = [counts for _, label, counts in examples if not label]
     in_clean = Counter(t for counts in clean for t in counts)
@@ -129,6 +133,12 @@ def build_index(
     chosen = sorted(t for t, n in seen.items() if n >= least and in_clean[t] <= most)
     terms = {t: i for i, t in enumerate(chosen)}
     idf = np.array([np.log((len(examples) + 1) / (seen[t] + 1)) for t in terms], np.float64)
+    # Examples with the same strongest stem stand together, which keeps the bounds of blocks low.
+    plain = ToxicityIndex(terms, idf, *[np.empty(0)] * 5, np.empty((0, 0)))
+    def strongest(example: tuple[int, int, Counter]) -> tuple[int, float, int]:
+        term, weight = plain.vector(example[2])
+        return (int(term[weight.argmax()]), -weight.max(), example[0]) if len(term) else (-1, 0.0, example[0])
+    examples = sorted(examples, key=strongest)
     blocks = max(1, -(-len(examples) // BLOCK))
     toxic = np.zeros(blocks * BLOCK)
     toxic[: len(examples)] = [label for _, label, _ in examples]

@@ -27,10 +27,10 @@ def examples(count: int):
 def test_the_index_finds_the_nearest_exactly():
     rows = examples(400)
     index = toxicity.build_index(rows, 100, 300)
-    order = sorted(rows, key=lambda e: (e[1], e[0]))
-    dense = np.zeros((len(order), len(index.terms)))
-    for n, (_, _, counts) in enumerate(order):
-        term, weight = index.vector(counts)
+    counts_of = {i: counts for i, _, counts in rows}
+    dense = np.zeros((len(rows), len(index.terms)))
+    for n, doc_id in enumerate(index.doc_ids.tolist()):
+        term, weight = index.vector(counts_of[doc_id])
         dense[n, term] = weight
     for _, _, counts in examples(600)[400:]:
         term, weight = index.vector(counts)
