@@ -14,7 +14,7 @@ for all the bytes its strings cover.
    before it repeats that run: all its strings start earlier. A run that shares the leading token only
    may hold some repeated strings.
 2. Strings of the runs left open stand for themselves as suffixes with two tokens, one for each half
-   (128 bits). Sorted by (tokens, place), a suffix equal to the one before it starts earlier too.
+   (96 bits). Sorted by (tokens, place), a suffix equal to the one before it starts earlier too.
 
 Both sorts partition by range with sampled splitters over the whole key, place included, so even a
 string that a third of all documents share is spread over buckets; buckets sort locally by multikey
@@ -42,7 +42,7 @@ LENGTH = 100
 #: Bytes of the strings whose least hash is the leading token.
 GRAM = 50
 #: Bytes of text that are hashed at once, at least one document.
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 #: Segments that multikey quicksort hands to a plain sort.
 SMALL = 4096
 
@@ -83,7 +83,7 @@ class HashedBytes:
     def __init__(self, data: bytes):
         values = np.frombuffer(data, np.uint8)
         # Sizes are rounded up so that few tables of powers are ever made.
-        up, self.down = _powers(1 << max(20, len(values).bit_length()))
+        up, self.down = _powers(1 << max(18, len(values).bit_length()))
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(self.symbols[values] * up[: len(values)], out=self.sums[1:])
 
@@ -176,10 +176,14 @@ def _buckets(
         if not held:
             return
         rows = pa.Table.from_batches(held)
+        held.clear()
         columns = [rows.column(k).to_numpy() for k in keys]
+        del rows
         order = multikey_quicksort(columns)
-        found = judge([c[order] for c in columns])
-        yield from pa.table(found).to_batches(max_chunksize=1 << 16)
+        for i, column in enumerate(columns):
+            columns[i] = column[order]
+        del order
+        yield from pa.table(judge(columns)).to_batches(max_chunksize=1 << 16)
 
     return lambda df: df.select(*keys).mapInArrow(run, schema)
 
@@ -213,7 +217,7 @@ def _judge_strings(columns: list[np.ndarray]) -> dict[str, np.ndarray]:
     edge = np.zeros(len(at), np.int8)
     edge[0] += 1
     edge[-1] += 2
-    token = lambda c: np.where(edge > 0, c[at], 0)
+    token = lambda c: np.where(edge > 0, c[at], c.dtype.type(0))
     return {
         "number": number[at], "start": start[at], "repeated": repeated[at], "edge": edge,
         "bucket": bucket, "left": token(left), "right": token(right),
@@ -283,12 +287,12 @@ def _strings_of(texts: DataFrame, undecided: DataFrame, length: int) -> DataFram
                 middle = start + length // 2
                 columns = [
                     hashed.stretch(start, middle).view(np.int64),
-                    hashed.stretch(middle, start + length).view(np.int64),
+                    (hashed.stretch(middle, start + length) >> np.uint64(32)).astype(np.int32),
                     np.full(len(start), place[i]), np.full(len(start), number[i]), start,
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    schema = ", ".join(f"{n} long" for n in names)
+    schema = "left long, right int, place long, number long, start long"
     return (
         texts.join(of_document, "number").select("place", "number", "packed", "runs")
         .mapInArrow(spell, schema)
@@ -319,7 +323,7 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int, gram: int) -
     keys = ["left", "right", "place", "number", "start"]
     judge = _buckets(
         _judge_strings, keys,
-        "number long, start long, repeated boolean, edge byte, bucket long, left long, right long",
+        "number long, start long, repeated boolean, edge byte, bucket long, left long, right int",
     )
     dense = _strings_of(texts, judged.where("not repeated"), length).repartitionByRange(*keys)
     strings, _ = scratch.write(judge(dense))
