@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
+from functools import reduce
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +14,13 @@ from pyspark.sql import functions as F
 from fixtures import envelope
 from fixtures.oracle import ORACLE
 from forgepulse import schemas as S
+from forgepulse.functions import measures as M
 from forgepulse.functions.measures import day_of
 from forgepulse.operators import quality
 from forgepulse.operators.staging import stg_events
 from forgepulse.operators.validation import valid_records, validation_summary
 from forgepulse.plans import build, insights, models, reports
+from forgepulse.plans import versions as V
 from forgepulse.session import new_folder, settle
 from forgepulse.sources import landing, raw_table
 from forgepulse.streaming.incremental import incremental_load
@@ -42,6 +46,10 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.staged_events(_feed(spark, sf_dir))
 
 
+def q_stg_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stg_events(_raw(spark, sf_dir)).select("event_id", F.to_json("payload").alias("payload"))
+
+
 def _comparable(staged: DataFrame) -> DataFrame:
     """Without the variant, which has no order or hash, and the load time."""
     return staged.drop("payload", "loaded_at")
@@ -84,8 +92,13 @@ def q_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.repo_health(models.daily_activity(_staged(spark, sf_dir)), REPO, AS_OF.date())
 
 
+def q_repo_health_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to the current date, far enough back to meet the data."""
+    return reports.repo_health(models.daily_activity(_staged(spark, sf_dir)), REPO, days=36_500)
+
+
 def q_top_contributors_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_contributors_report(_top(spark, sf_dir), REPO)
+    return reports.top_contributors_report(models.contributor_stats(_staged(spark, sf_dir)), REPO)
 
 
 def q_trend_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,8 +187,7 @@ def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    parents = customers.where(F.col("c_mktsegment") == "BUILDING")
-    return quality.orphans(_staged(spark, sf_dir), "actor_id", parents, "c_custkey")
+    return quality.orphans(customers, "c_custkey", _staged(spark, sf_dir), "actor_id")
 
 
 def q_dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,29 +218,36 @@ def _land(spark: SparkSession, records: DataFrame, layout: str = "lines") -> str
     return path
 
 
-def _damaged(records: DataFrame) -> DataFrame:
+def _damaged(records: DataFrame, at: int = 13) -> DataFrame:
     """Records of one k value lose their end, as if a transfer broke off."""
     cut = F.expr("left(record, length(record) - 7)")
-    return records.withColumn("record", F.when(F.col("k") == 13, cut).otherwise(F.col("record")))
+    return records.withColumn("record", F.when(F.col("k") == at, cut).otherwise(F.col("record")))
+
+
+def _loaded(spark: SparkSession, path: str, layout: str = "lines") -> str:
+    """Raw table with the whole landing zone as one load."""
+    raw_path = new_folder(spark, "raw")
+    parsed = landing.parse_landing(landing.scan_landing(spark, path, layout))
+    raw_table.append_load(parsed, raw_path, "load-1")
+    return raw_path
 
 
 def q_ingest_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(spark, envelope.feed_records(_feed(spark, sf_dir)), "array")
-    raw_path = new_folder(spark, "raw")
-    parsed = landing.parse_landing(landing.scan_landing(spark, path, "array"), "array")
-    raw_table.append_load(parsed, raw_path, new_folder(spark, "quarantine"), "load-1")
-    raw = raw_table.read_raw(spark, raw_path)
-    return _comparable(stg_events(raw, keep=S.LANDING_PARTITIONS))
+    raw = raw_table.read_raw(spark, _loaded(spark, path, "array"))
+    staged = stg_events(raw, keep=[*S.LANDING_PARTITIONS, "file_name"])
+    own = F.format_string("/year=%d/month=%02d/day=%02d/", *S.LANDING_PARTITIONS)
+    return _comparable(
+        staged.withColumn("in_own_folder", F.contains("file_name", own))
+        .withColumn("has_load_time", F.col("loaded_at").isNotNull()).drop("file_name")
+    )
 
 
 def q_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(spark, _damaged(envelope.feed_records(_feed(spark, sf_dir))))
-    parsed = landing.parse_landing(landing.scan_landing(spark, path))
-    raw_path, quarantine_path = new_folder(spark, "raw"), new_folder(spark, "quarantine")
-    raw_table.append_load(parsed, raw_path, quarantine_path, "load-1")
-    day = list(S.LANDING_PARTITIONS)
+    raw_path, day = _loaded(spark, path), list(S.LANDING_PARTITIONS)
     both = raw_table.read_raw(spark, raw_path).select(*day, F.lit(1).alias("ok")).unionAll(
-        raw_table.read_quarantine(spark, quarantine_path).select(*day, F.lit(0))
+        raw_table.read_quarantine(spark, raw_path).select(*day, F.lit(0))
     )
     return both.groupBy(*day).agg(
         F.count_if(F.col("ok") == 1).alias("loaded"),
@@ -239,9 +258,7 @@ def q_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(spark, _damaged(envelope.feed_records(_feed(spark, sf_dir))))
     parsed = landing.parse_landing(landing.scan_landing(spark, path))
-    counts = raw_table.append_load(
-        parsed, new_folder(spark, "raw"), new_folder(spark, "quarantine"), "load-1"
-    )
+    counts = raw_table.append_load(parsed, new_folder(spark, "raw"), "load-1")
     return raw_table.counts_frame(spark, [counts])
 
 
@@ -250,12 +267,11 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = envelope.feed_records(_feed(spark, sf_dir))
     first_days = F.col("landing_date") <= F.lit(dt.date(2024, 1, 3))
     path, raw_path = new_folder(spark, "landing"), new_folder(spark, "raw")
-    quarantine_path, checkpoint = new_folder(spark, "quarantine"), new_folder(spark, "progress")
     run_of: dict[str, int] = {}
     for run, arrivals in ((1, records.where(first_days)), (2, None), (3, records.where(~first_days))):
         if arrivals is not None:
             landing.write_landing(arrivals, path)
-        loads = incremental_load(spark, path, raw_path, quarantine_path, checkpoint)
+        loads = incremental_load(spark, path, raw_path, max_files_per_load=100)
         run_of.update({load.load_id: run for load in loads})
     runs = F.create_map(*[F.lit(x) for pair in run_of.items() for x in pair])
     return (
@@ -265,6 +281,42 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every landed record of dirty, damaged, overlapping pulls, by landing day."""
+    records = envelope.overlapping_records(_feed(spark, sf_dir), dirty=True)
+    path, root = _land(spark, _damaged(records, at=17)), new_folder(spark, "build")
+    build.run_build(spark, path, root)
+    raw_path, day = f"{root}/raw_events", F.make_date(*S.LANDING_PARTITIONS)
+    raw, rejects = raw_table.read_raw(spark, raw_path), build.read_rejects(spark, root)
+    quarantined = raw_table.read_quarantine(spark, raw_path)
+    staged = V.read_days(spark, root, build.STAGING, S.STAGED_SCHEMA, V.read_state(spark, root))
+    of_pull = F.date_sub(F.to_date("extracted_at"), 1)
+    outcomes = [
+        (raw.unionByName(quarantined, allowMissingColumns=True), day, F.lit("landed")),
+        (quarantined, day, F.lit("quarantined")),
+        (rejects, day, F.concat(F.lit("rejected:"), F.get("reasons", F.lit(0)))),
+        (staged, of_pull, F.lit("staged")),
+    ]
+    parts = [
+        rows.groupBy(d.alias("landing_date"), name.alias("outcome")).agg(M.rows().alias("records"))
+        for rows, d, name in outcomes
+    ]
+    valid = valid_records(raw).groupBy(day.alias("landing_date")).agg(M.rows().alias("valid"))
+    kept = parts[-1].select("landing_date", F.col("records").alias("kept"))
+    copies = valid.join(kept, "landing_date", "left").select(
+        "landing_date", F.lit("copies").alias("outcome"),
+        (F.col("valid") - F.coalesce("kept", F.lit(0))).alias("records"),
+    )
+    return reduce(DataFrame.unionAll, [*parts, copies.where(F.col("records") > 0)])
+
+
+def q_ingest_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed file by its own path."""
+    path = _land(spark, envelope.feed_records(_feed(spark, sf_dir)), "array")
+    files = [r["path"] for r in landing.list_files(spark, path).select("path").collect()]
+    return _comparable(stg_events(landing.read_back(spark, path, files, "array")))
+
+
 def q_ingest_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _land(spark, envelope.feed_records(_feed(spark, sf_dir)))
     text = landing.scan_landing(spark, path).where(
@@ -294,8 +346,10 @@ def q_ingest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _land(spark, envelope.feed_records(_feed(spark, sf_dir)), "array")
-    return landing.landing_inventory(spark, path)
+    path = _land(spark, envelope.feed_records(_feed(spark, sf_dir)))
+    return landing.landing_inventory(spark, path).groupBy("landing_date").agg(
+        F.sum("bytes").alias("bytes")
+    )
 
 
 def q_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,12 +357,49 @@ def q_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.run_build(spark, path, new_folder(spark, "build"))
 
 
+def q_build_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The models as tables, as another session reads them."""
+    path = _land(spark, envelope.overlapping_records(_feed(spark, sf_dir)))
+    build.run_build(spark, path, new_folder(spark, "build"), materialize=True)
+    return spark.newSession().table("daily_activity")
+
+
+def _in_three_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    records = envelope.overlapping_records(_feed(spark, sf_dir))
+    path, root = new_folder(spark, "landing"), new_folder(spark, "build")
+    day = F.dayofmonth("landing_date")
+    for arrivals in (day <= 10, (day > 10) & (day <= 12), day > 12):
+        landing.write_landing(records.where(arrivals), path)
+        build.run_build(spark, path, root)
+    return build.open_build(spark, root)
+
+
+def q_build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three models after three arrivals, one row per row of a model."""
+    tables = _in_three_runs(spark, sf_dir)
+    daily = tables["daily_activity"].select(
+        F.lit("daily_activity").alias("model"), "repo_name", F.col("activity_date").cast("string").alias("key"),
+        F.col("total_activity").alias("events"), F.col("unique_contributors").alias("people"),
+        F.col("week_avg").alias("value"),
+    )
+    trends = tables["event_trends"].select(
+        F.lit("event_trends"), "repo_name",
+        F.concat_ws(" ", "event_type", F.date_format("event_hour", "yyyy-MM-dd HH")), "event_count",
+        "unique_users", F.col("over_hour_change").cast("double"),
+    )
+    top = tables["top_contributors"].select(
+        F.lit("top_contributors"), "repo_name", "contributor", "total_events", "event_types_used",
+        F.col("contribution_score").cast("double"),
+    )
+    return daily.unionAll(trends).unionAll(top)
+
+
 # Contract ----------------------------------------------------------------------------------
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: from feed JSON to daily repository activity with its rolling mean."""
-    return q_feed_daily_activity(spark, "/root/testdata/sf0.001")
+    return q_feed_daily_activity(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def _pipeline_parts() -> list[tuple[dict[str, Query], dict[str, str]]]:

@@ -28,6 +28,7 @@ ACTIONS = ("opened", "closed", "reopened")
 # What the dirty variant breaks, by k. 83 and 93 stay valid: numeric text, unknown extra field.
 NO_LOGIN, BAD_TIME, NUMERIC_ID, NO_TYPE, TEXT_ACTOR_ID = 3, 13, 23, 33, 43
 NO_REPO_NAME, NO_URLS, NO_ACTOR, NUMERIC_TEXT_ACTOR_ID, EXTRA_FIELD = 53, 63, 73, 83, 93
+TEXT_REPO_ID, NUMERIC_DISPLAY_LOGIN = 27, 37
 
 BASE_URL = "https://feed.example"
 
@@ -79,7 +80,7 @@ def feed_events(events: DataFrame, dirty: bool = False) -> DataFrame:
         return kept if otherwise is None else kept.otherwise(otherwise)
 
     leaf = _leaves()
-    event_id, actor_id = leaf.event_id, leaf.actor_id
+    event_id, actor_id, repo_id = leaf.event_id, leaf.actor_id, leaf.repo_id
     if dirty:  # as variants, to give one field two JSON types
         event_id = unless(NUMERIC_ID, event_id.cast("variant"), F.col("event_id").cast("variant"))
         actor_id = (
@@ -87,13 +88,19 @@ def feed_events(events: DataFrame, dirty: bool = False) -> DataFrame:
             .when(F.col("k") == NUMERIC_TEXT_ACTOR_ID, actor_id.cast("string").cast("variant"))
             .otherwise(actor_id.cast("variant"))
         )
-    actor = F.struct(
+        repo_id = F.when(F.col("k") == TEXT_REPO_ID, F.lit("abc").cast("variant")).otherwise(
+            repo_id.cast("variant")
+        )
+    actor = [
         actor_id.alias("id"),
         unless(NO_LOGIN, leaf.login).alias("login"),
         unless(NO_URLS, leaf.actor_url).alias("url"),
-    )
+    ]
+    if dirty:
+        actor.append(F.when(F.col("k") == NUMERIC_DISPLAY_LOGIN, F.lit(5)).alias("display_login"))
+    actor = F.struct(*actor)
     repo = F.struct(
-        leaf.repo_id.alias("id"),
+        repo_id.alias("id"),
         unless(NO_REPO_NAME, leaf.repo_name).alias("name"),
         unless(NO_URLS, leaf.repo_url).alias("url"),
     )
@@ -166,8 +173,8 @@ def parse_records(records: DataFrame) -> DataFrame:
     )
 
 
-def overlapping_records(events: DataFrame) -> DataFrame:
+def overlapping_records(events: DataFrame, dirty: bool = False) -> DataFrame:
     """Two pulls per day: every event from 18:00 on comes again with the next day's pull, one
     day later, as copies with a later ``_extracted_at``."""
     pulls = F.when(F.hour("ts") >= 18, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return feed_records(events.withColumn("delay", F.explode(pulls)))
+    return feed_records(events.withColumn("delay", F.explode(pulls)), dirty)

@@ -1,7 +1,9 @@
 """Reference results as DuckDB SQL over the given tables, one statement per registered query.
 
 None of these statements shares code with the Spark side: they start from ``events`` directly,
-without the JSON text, the landing zone or the raw table in between.
+without the JSON text, the landing zone or the raw table in between. Where a model uses a window frame
+or a rank, its statement uses lists or a count of the rows ahead instead, so that a wrong frame or
+rank on one side cannot be repeated on the other.
 """
 
 from __future__ import annotations
@@ -98,7 +100,7 @@ trends AS (
 # The dirty variant: which records break, by k (see fixtures/envelope.py).
 DIRTY = FEED + """,
 dirty AS (
-  SELECT *, k IN (3, 13, 23, 33, 43, 53, 63, 73) AS broken,
+  SELECT *, k IN (3, 13, 23, 27, 33, 37, 43, 53, 63, 73) AS broken,
     CASE WHEN k <> 33 THEN event_type END AS dirty_type,
     CASE WHEN k NOT IN (3, 73) THEN actor_login END AS dirty_login,
     CASE WHEN k <> 53 THEN repo_name END AS dirty_repo,
@@ -116,11 +118,30 @@ copies AS (
 )
 """
 
+# Text of a landed record, without the fields that are absent.
+_RECORD = """'{"id":"' || event_id || '","type":"' || event_type || '","actor":{"id":' || actor_id
+  || ',"login":"' || actor_login || '","url":"https://feed.example/u/' || actor_id
+  || '"},"repo":{"id":' || repo_id || ',"name":"' || repo_name || '","url":"https://feed.example/r/'
+  || repo_id || '"},"created_at":"' || replace(CAST(event_timestamp AS VARCHAR), ' ', 'T')
+  || 'Z","payload":' || payload || ',"_extracted_at":"' || replace(CAST(extracted_at AS VARCHAR), ' ', 'T')
+  || 'Z","_source_repo":"' || source_repo || '"}'"""
+
+PAYLOAD = FEED + """,
+full_rows AS (
+  SELECT *, CASE WHEN push_commit_count IS NOT NULL THEN '{"size":' || push_commit_count || '}'
+    WHEN coalesce(issue_action, pr_action) IS NOT NULL
+      THEN '{"action":"' || coalesce(issue_action, pr_action) || '"}'
+    ELSE '{}' END AS payload
+  FROM stg
+)
+"""
+
 _STAGED = """event_id, event_type, actor_id, actor_login, repo_id, repo_name, event_timestamp,
   extracted_at, source_repo, push_commit_count, issue_action, pr_action, is_star_event"""
 
 ORACLE = {
     "stg_events": FEED + f"SELECT {_STAGED} FROM stg",
+    "stg_payload": PAYLOAD + "SELECT event_id, payload FROM full_rows",
     "feed_daily_activity": DAILY + "SELECT * FROM daily ORDER BY repo_name, activity_date",
     "daily_activity": DAILY + "SELECT * FROM daily ORDER BY repo_name, activity_date",
     "top_contributors": TOP + "SELECT * FROM top ORDER BY repo_name, contribution_score DESC",
@@ -130,6 +151,11 @@ SELECT repo_name, activity_date, total_activity, unique_contributors, week_avg,
   (total_activity - week_avg) / week_avg * 100 AS pct_above_avg
 FROM daily
 WHERE repo_name = 'org/repo_1' AND activity_date >= DATE '2024-01-31' - 30
+ORDER BY activity_date DESC""",
+    "repo_health_now": DAILY + """
+SELECT repo_name, activity_date, total_activity, unique_contributors, week_avg,
+  (total_activity - week_avg) / week_avg * 100 AS pct_above_avg
+FROM daily WHERE repo_name = 'org/repo_1' AND activity_date >= CURRENT_DATE - 36500
 ORDER BY activity_date DESC""",
     "top_contributors_report": TOP + """
 SELECT contributor, repo_name, commit_count, pr_count, contribution_score, contributor_rank
@@ -190,7 +216,8 @@ FROM dirty WHERE NOT broken GROUP BY event_type""",
 tagged AS (
   SELECT unnest(CASE k
     WHEN 3 THEN ['actor.login', 'any'] WHEN 13 THEN ['created_at', 'any']
-    WHEN 23 THEN ['id', 'any'] WHEN 33 THEN ['type', 'any'] WHEN 43 THEN ['actor.id', 'any']
+    WHEN 23 THEN ['id', 'any'] WHEN 27 THEN ['repo.id', 'any'] WHEN 33 THEN ['type', 'any']
+    WHEN 37 THEN ['actor.display_login', 'any'] WHEN 43 THEN ['actor.id', 'any']
     WHEN 53 THEN ['repo.name', 'any'] WHEN 63 THEN ['actor.url', 'repo.url', 'any']
     WHEN 73 THEN ['actor.id', 'actor.login', 'actor.url', 'any'] ELSE ['valid'] END) AS reason
   FROM dirty
@@ -229,10 +256,10 @@ SELECT 'not_null' AS check_name, model, column_name, failures FROM (
 SELECT event_type, count(*) AS events FROM stg
 WHERE event_type NOT IN ('PushEvent', 'IssuesEvent', 'PullRequestEvent', 'WatchEvent')
 GROUP BY event_type""",
-    "dq_relationships": FEED + """
-SELECT actor_id, count(*) AS events FROM stg
-WHERE actor_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-GROUP BY actor_id""",
+    "dq_relationships": """
+SELECT c_custkey, count(*) AS events FROM customer
+WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)
+GROUP BY c_custkey""",
     "dq_row_count": FEED + """
 SELECT CAST(event_timestamp AS DATE) AS activity_date, count(*) AS events,
   CAST(300 AS BIGINT) AS at_least, count(*) >= 300 AS passed
@@ -254,14 +281,25 @@ UNION ALL SELECT 'not_null', 'daily_activity', 'repo_name',
   count(*) FILTER (repo_name IS NULL) FROM stg
 UNION ALL SELECT 'not_null', 'daily_activity', 'activity_date',
   count(*) FILTER (event_timestamp IS NULL) FROM stg
+UNION ALL SELECT 'accepted_values', 'stg_events', 'is_star_event',
+  count(*) FILTER (is_star_event NOT IN (0, 1)) FROM stg
+UNION ALL SELECT 'row_count', 'daily_activity', 'activity_date',
+  if(count(*) = 0, 1, 0)::BIGINT FROM stg
+UNION ALL SELECT 'relationships', 'top_contributors', 'repo_name',
+  count(*) FILTER (repo_name NOT IN (SELECT repo_name FROM stg)) FROM stg
 UNION ALL SELECT 'not_null', 'top_contributors', 'contributor',
   count(*) FILTER (actor_login IS NULL) FROM stg
 UNION ALL SELECT 'not_null', 'event_trends', 'event_hour',
   count(*) FILTER (event_hour IS NULL) FROM trends""",
     "ingest_landing": FEED + f"""
 SELECT {_STAGED}, CAST(year(landing_date) AS INTEGER) AS year,
-  CAST(month(landing_date) AS INTEGER) AS month, CAST(day(landing_date) AS INTEGER) AS day
+  CAST(month(landing_date) AS INTEGER) AS month, CAST(day(landing_date) AS INTEGER) AS day,
+  true AS in_own_folder, true AS has_load_time
 FROM stg""",
+    "ingest_read_back": FEED + f"SELECT {_STAGED} FROM stg",
+    "landing_inventory": PAYLOAD + f"""
+SELECT landing_date, CAST(sum(strlen({_RECORD}) + 1) AS BIGINT) AS bytes
+FROM full_rows GROUP BY landing_date""",
     "ingest_quarantine": FEED + """
 SELECT CAST(year(landing_date) AS INTEGER) AS year,
   CAST(month(landing_date) AS INTEGER) AS month, CAST(day(landing_date) AS INTEGER) AS day,
@@ -285,15 +323,41 @@ SELECT event_id, extracted_at, source_repo FROM stg""",
     "ingest_dedup": COPIES + f"""
 SELECT {_STAGED} FROM copies
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY extracted_at DESC) = 1""",
+    "ingest_accounting": DIRTY + """,
+pulled AS (
+  SELECT dirty.*, landing_date + delay AS pull_date, delay, k = 17 AS damaged,
+    CASE k WHEN 3 THEN 'actor.login' WHEN 13 THEN 'created_at' WHEN 23 THEN 'id'
+      WHEN 27 THEN 'repo.id' WHEN 33 THEN 'type' WHEN 37 THEN 'actor.display_login'
+      WHEN 43 THEN 'actor.id' WHEN 53 THEN 'repo.name' WHEN 63 THEN 'actor.url'
+      WHEN 73 THEN 'actor.id' END AS reason
+  FROM dirty, (VALUES (0), (1)) AS pulls(delay)
+  WHERE delay = 0 OR hour(event_timestamp) >= 18
+),
+fates AS (
+  SELECT pull_date, CASE WHEN damaged THEN 'quarantined' WHEN broken THEN 'rejected:' || reason
+    WHEN delay < max(delay) OVER (PARTITION BY event_id) THEN 'copies' ELSE 'staged' END AS outcome
+  FROM pulled
+)
+SELECT pull_date AS landing_date, outcome, count(*) AS records FROM fates GROUP BY ALL
+UNION ALL SELECT pull_date, 'landed', count(*) FROM fates GROUP BY ALL""",
     "full_build": TOP + """
 SELECT 'rows_loaded' AS stage,
   count(*) + count(*) FILTER (hour(event_timestamp) >= 18) AS records FROM stg
 UNION ALL SELECT 'rows_quarantined', 0
+UNION ALL SELECT 'rows_rejected', 0
 UNION ALL SELECT 'stg_events', count(*) FROM stg
 UNION ALL SELECT 'daily_activity',
   count(*) FROM (SELECT DISTINCT repo_name, CAST(event_timestamp AS DATE) FROM stg)
 UNION ALL SELECT 'top_contributors', count(*) FROM top
 UNION ALL SELECT 'event_trends',
   count(*) FROM (SELECT DISTINCT repo_name, event_type, date_trunc('hour', event_timestamp) FROM stg)
-UNION ALL SELECT 'checks_passed', 9""",
+UNION ALL SELECT 'checks_passed', 12""",
+    "build_materialized": DAILY + "SELECT * FROM daily",
+    "build_incremental": DAILY + TOP.removeprefix(FEED) + TRENDS.removeprefix(FEED) + """
+SELECT 'daily_activity' AS model, repo_name, CAST(activity_date AS VARCHAR) AS key,
+  total_activity AS events, unique_contributors AS people, week_avg AS value FROM daily
+UNION ALL SELECT 'event_trends', repo_name, event_type || ' ' || strftime(event_hour, '%Y-%m-%d %H'),
+  event_count, unique_users, CAST(over_hour_change AS DOUBLE) FROM trends
+UNION ALL SELECT 'top_contributors', repo_name, contributor, total_events, event_types_used,
+  CAST(contribution_score AS DOUBLE) FROM top""",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,25 +43,37 @@ def castable(record: str, path: str, kind: str) -> Column:
     return F.try_variant_get(F.col(record), path, kind).isNotNull()
 
 
-def line_records(line: Column) -> Column:
-    """The record of one line as an array of variants; NULL when the line is not JSON.
-
-    A JSON parser stops after the first complete value and ignores what follows; in brackets,
-    trailing text makes the line malformed instead of being lost.
-    """
-    return F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<variant>")
+#: Stands after a text to tell that a parser read all of it; no text that holds it is accepted.
+_END = "\u2403 end of text \u2403"
 
 
-def file_records(text: Column) -> Column:
-    """The records of one whole file: the elements of its JSON array, or its single object; NULL
-    when the text is not JSON or goes on after the array.
+def text_records(text: Column) -> Column:
+    """The records of one JSON text as an array of variants: the elements of its array or its single
+    value; NULL when the text is not JSON or goes on after its value.
 
-    Elements become variants one by one, so the size limit of a variant applies to an event and
-    not to the file.
+    A JSON parser stops after the first complete value and ignores what follows. Here the text is
+    one element of an array with an end mark behind it: a text that ends the array early hides the
+    mark, one that adds elements moves it, and both give NULL. Elements of an array become variants
+    one by one, so the size limit of a variant applies to an event and not to a file.
     """
-    wrapped = F.concat(F.lit('{"records":'), text, F.lit("}"))
-    elements = F.from_json(wrapped, "struct<records:array<variant>>")["records"]
-    return F.coalesce(elements, line_records(text))
+    def marked(kind: str, end: str) -> Column:
+        whole = F.concat(F.lit("["), text, F.lit(f",{end}]"))
+        # In a lambda the parsed array is one value; outside, each use would parse again.
+        return F.array(F.from_json(whole, f"array<{kind}>"))
+
+    def if_complete(parsed: Column, end: Callable[[Column], Column]) -> Column:
+        complete = F.filter(parsed, lambda p: (F.size(p) == 2) & (end(F.get(p, F.lit(1))) == _END))
+        return F.get(complete, F.lit(0))
+
+    string = lambda value: F.try_variant_get(value, "$", "string")
+    elements = if_complete(
+        marked("array<variant>", f'["{_END}"]'), lambda last: string(F.get(last, F.lit(0)))
+    )
+    single = if_complete(marked("variant", f'"{_END}"'), string)
+    records = F.when(
+        F.regexp_like(text, F.lit(r"^\s*\[")), F.get(elements, F.lit(0))
+    ).otherwise(F.slice(single, 1, 1))
+    return F.when(~F.contains(text, F.lit(_END)), records)
 
 
 def iso_utc(moment: Column) -> Column:

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# After the pull time, the remaining typed columns make the choice repeatable on a retry.
-_TIE_BREAKERS = ("event_timestamp", "event_type", "repo_name", "actor_login", "source_repo")
+# After the pull time, all other columns make the choice repeatable on a retry.
+_TIE_BREAKERS = (
+    "event_timestamp", "event_type", "repo_name", "actor_login", "source_repo", "actor_id", "repo_id",
+    "push_commit_count", "issue_action", "pr_action",
+)
+
+
+def copy_order(columns: Sequence[str]) -> list[Column]:
+    """Order of the copies of an event: the one that stays comes first."""
+    order = [F.col("extracted_at").desc_nulls_last()]
+    if "loaded_at" in columns:
+        order.append(F.col("loaded_at").desc_nulls_last())
+    order += [F.col(c).asc_nulls_last() for c in _TIE_BREAKERS if c in columns]
+    if "payload" in columns:
+        order.append(F.xxhash64(F.to_json("payload")).asc_nulls_last())
+    return order
 
 
 def latest_copy(
-    staged: DataFrame, key: str = "event_id", null_keys: bool = True
+    staged: DataFrame, key: str = "event_id", null_keys: bool = True, within: Sequence[str] = ()
 ) -> DataFrame:
     """The copy with the latest ``extracted_at`` per ``key``; rows without a key all stay.
 
@@ -19,12 +35,11 @@ def latest_copy(
     behind it. Rows without a key are no copies of each other and skip the shuffle; finding them
     is a second scan, which ``null_keys=False`` saves for validated rows, where none exist. (Should
     one exist after all, it stays and fails the not-null check.)
+
+    ``within`` names columns that all copies of an event share. The window is partitioned by them as
+    well, so rows that are clustered by some of them already are not shuffled again.
     """
-    order = [F.col("extracted_at").desc_nulls_last()]
-    if "loaded_at" in staged.columns:
-        order.append(F.col("loaded_at").desc_nulls_last())
-    order += [F.col(c).asc_nulls_last() for c in _TIE_BREAKERS if c in staged.columns]
-    copy_no = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    window = Window.partitionBy(*within, key).orderBy(*copy_order(staged.columns))
     keyed = staged.where(F.col(key).isNotNull()) if null_keys else staged
-    latest = keyed.withColumn("__copy", copy_no).where(F.col("__copy") == 1).drop("__copy")
+    latest = keyed.withColumn("__copy", F.row_number().over(window)).where(F.col("__copy") == 1).drop("__copy")
     return latest.unionAll(staged.where(F.col(key).isNull())) if null_keys else latest

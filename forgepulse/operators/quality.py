@@ -81,6 +81,39 @@ def require_rows(df: DataFrame) -> DataFrame:
     return counted.select("event_count", passed.alias("passed"))
 
 
+def accepted_result(df: DataFrame, model: str, column: str, accepted: Sequence) -> DataFrame:
+    """How many rows have a value outside the accepted set."""
+    return unexpected_values(df, column, accepted).agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("failures")
+    ).select(
+        F.lit("accepted_values").alias("check_name"), F.lit(model).alias("model"),
+        F.lit(column).alias("column_name"), "failures",
+    )
+
+
+def relationship_result(
+    child: DataFrame, model: str, child_key: str, parent: DataFrame, parent_key: str
+) -> DataFrame:
+    """How many child keys have no parent."""
+    return orphans(child, child_key, parent, parent_key).agg(
+        F.count(F.lit(1)).alias("failures")
+    ).select(
+        F.lit("relationships").alias("check_name"), F.lit(model).alias("model"),
+        F.lit(child_key).alias("column_name"), "failures",
+    )
+
+
+def row_count_result(df: DataFrame, model: str, by: str, at_least: int = 1) -> DataFrame:
+    """One failure for each batch below the bound, and one if there is none at all."""
+    counted = row_counts(df, by, at_least).agg(
+        (F.count_if(~F.col("passed")) + F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)).alias("failures")
+    )
+    return counted.select(
+        F.lit("row_count").alias("check_name"), F.lit(model).alias("model"),
+        F.lit(by).alias("column_name"), "failures",
+    )
+
+
 def model_results(
     staged: DataFrame, daily: DataFrame, top: DataFrame, trends: DataFrame
 ) -> DataFrame:
@@ -90,8 +123,11 @@ def model_results(
         not_null_result(
             staged, "stg_events", ["event_id", "event_type", "repo_name", "event_timestamp"]
         ),
+        accepted_result(staged, "stg_events", "is_star_event", (0, 1)),
         not_null_result(daily, "daily_activity", ["repo_name", "activity_date"]),
+        row_count_result(daily, "daily_activity", "activity_date"),
         not_null_result(top, "top_contributors", ["contributor"]),
+        relationship_result(top, "top_contributors", "repo_name", daily, "repo_name"),
         not_null_result(trends, "event_trends", ["event_hour"]),
     ]
     return reduce(DataFrame.unionAll, results)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.functions.records import castable, json_type
+from forgepulse.operators.staging import wrong_types
 
 _INTEGER = ("actor.id", "repo.id")
 _TIMESTAMP = ("created_at",)
@@ -50,6 +51,19 @@ def with_reasons(raw: DataFrame) -> DataFrame:
     return raw.withColumn("reasons", F.array_compact(F.array(*broken)))
 
 
+def with_all_reasons(raw: DataFrame) -> DataFrame:
+    """Add ``reasons`` for the rules and for values that staging could not type: ``type:<column>``."""
+    broken = [F.when(~_holds(reason), F.lit(reason)) for reason in REASONS]
+    broken += [F.when(wrong, F.lit(f"type:{name}")) for name, wrong in untypable().items()]
+    return raw.withColumn("reasons", F.array_compact(F.array(*broken)))
+
+
+def untypable() -> dict[str, Column]:
+    """Staging columns that no rule covers -> whether their value has the wrong type."""
+    covered = {"event_id", "event_type", "actor_id", "actor_login", "repo_id", "repo_name", "event_timestamp"}
+    return {name: wrong for name, wrong in wrong_types().items() if name not in covered}
+
+
 def valid_records(raw: DataFrame) -> DataFrame:
     """Records that satisfy every rule, unchanged."""
     return raw.where(is_valid())

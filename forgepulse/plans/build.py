@@ -1,10 +1,16 @@
-"""The whole run: landing zone -> raw -> staging -> models -> checks."""
+"""The whole run: landing zone -> raw -> staging -> models -> checks -> published state.
+
+A run stages the loads that the published state does not hold yet, writes the days that they change,
+checks what it wrote, and only then publishes. A run that fails leaves the state, its files and the
+views on them as they were; the next run takes up its loads again.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,47 +19,27 @@ from forgepulse import schemas as S
 from forgepulse.functions import measures as M
 from forgepulse.operators import quality
 from forgepulse.operators.copies import latest_copy
-from forgepulse.operators.staging import stg_events, wrong_types
-from forgepulse.operators.validation import valid_records
-from forgepulse.plans import models
-from forgepulse.sources.raw_table import LoadCounts, exists, read_raw
-from forgepulse.streaming.incremental import incremental_load
-
-
-@dataclass(frozen=True)
-class Tables:
-    """Where a build keeps its relations."""
-
-    root: str
+from forgepulse.operators.staging import stg_events
+from forgepulse.operators.validation import REASONS, untypable, valid_records, with_all_reasons
+from forgepulse.plans import models, partials
+from forgepulse.plans import versions as V
+from forgepulse.session import settle
+from forgepulse.sources import raw_table
+from forgepulse.sources.raw_table import read_raw
+from forgepulse.streaming.incremental import FILES_PER_LOAD, incremental_load
 
-    def at(self, name: str) -> str:
-        return f"{self.root}/{name}"
+#: Rows of a day in one staging file, roughly.
+FILE_ROWS = 2_000_000
+STAGING = "stg_events"
 
 
-def publish(df: DataFrame, name: str, materialize: bool = False) -> DataFrame:
-    """Offer a model under ``name``: a view by default, a managed table with ``materialize``."""
-    if materialize:
-        df.write.mode("overwrite").saveAsTable(name)
-        return df.sparkSession.table(name)
-    df.createOrReplaceTempView(name)
-    return df
+@dataclass
+class Staged:
+    """What a run did to staging."""
 
-
-def write_table(
-    df: DataFrame, path: str, by: str | None = None, sort: Sequence[str] = (), mode: str = "static"
-) -> DataFrame:
-    """Replace a table and read it back. Partitioned tables are written behind a rebalance on the
-    partition column: adaptive execution splits hot days and merges small ones, so file sizes
-    follow the data and not the number of tasks times days. Within a file rows are sorted by
-    ``sort``, which lets filters on these columns skip row groups. ``mode="dynamic"`` replaces
-    only the partitions that ``df`` has rows for."""
-    if by is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        rows = df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *sort)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.partitionBy(by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    touched: list[dt.date] = field(default_factory=list)
+    filled: list[dt.date] = field(default_factory=list)
+    rejected: dict[str, int] = field(default_factory=dict)
 
 
 def staging_of(raw: DataFrame) -> DataFrame:
@@ -62,137 +48,231 @@ def staging_of(raw: DataFrame) -> DataFrame:
     return latest_copy(stg_events(valid_records(raw), strict=False), null_keys=False)
 
 
-def _dated_staging(raw: DataFrame, casts: Observation) -> DataFrame:
-    """Validated, typed rows with ``event_date``; values of the wrong type are counted per column
-    while the rows pass. Copies are still in."""
-    flags = {name: (f"__wrong_{name}", wrong) for name, wrong in wrong_types().items()}
-    typed = stg_events(
-        valid_records(raw), strict=False, keep=[w.alias(flag) for flag, w in flags.values()]
+def all_reasons() -> list[str]:
+    return [*REASONS, *[f"type:{name}" for name in untypable()]]
+
+
+def typed_records(raw: DataFrame, counts: Observation) -> DataFrame:
+    """Staging rows of the records that can be staged, with their day; how many of the others broke
+    each rule, and how many broke any, is counted while the rows pass."""
+    checked = with_all_reasons(raw).observe(
+        counts,
+        F.count_if(F.size("reasons") > 0).alias("any"),
+        *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in all_reasons()],
     )
-    counted = typed.observe(
-        casts, *[F.count_if(F.col(flag)).alias(name) for name, (flag, _) in flags.items()]
+    valid = checked.where(F.size("reasons") == 0)
+    return stg_events(valid, strict=False).withColumn(V.DAY, M.day_of())
+
+
+def rejected_records(raw: DataFrame) -> DataFrame:
+    """Records that cannot be staged, whole, with the reasons."""
+    return with_all_reasons(raw).where(F.size("reasons") > 0)
+
+
+def _moved(new: DataFrame, held: DataFrame) -> DataFrame:
+    """(event_id, event_date) of copies that lose to a copy of another day: in the new rows or in the
+    days held so far. Reads keys only, and of held rows only those of new events."""
+    keys = [c for c in new.columns if c != "payload"]
+    fresh, old = new.select(*keys), held.select(*keys)
+    ids = fresh.select("event_id").distinct()
+    apart = (
+        fresh.select("event_id", V.DAY)
+        .unionAll(old.select("event_id", V.DAY).join(ids, "event_id", "left_semi"))
+        .groupBy("event_id").agg(F.min(V.DAY).alias("low"), F.max(V.DAY).alias("high"))
+        .where(F.col("low") != F.col("high")).select("event_id")
+    )
+    several = settle(apart, "copies-on-several-days")
+    if several.isEmpty():
+        return several.withColumn(V.DAY, F.lit(None).cast("date"))
+    both = fresh.unionAll(old).join(several, "event_id", "left_semi")
+    best = latest_copy(both, null_keys=False).select("event_id", F.col(V.DAY).alias("best"))
+    return settle(
+        both.select("event_id", V.DAY).distinct().join(best, "event_id")
+        .where(F.col(V.DAY) != F.col("best")).select("event_id", V.DAY),
+        "moved-copies",
     )
-    return counted.drop(*[flag for flag, _ in flags.values()]).withColumn("event_date", M.day_of())
 
 
-def update_staging(raw: DataFrame, path: str, into: DataFrame | None = None) -> dict[str, int]:
-    """Write the staging table from ``raw``, or merge ``raw`` into the table ``into`` at ``path``.
+def update_staging(
+    spark: SparkSession, raw: DataFrame, root: str, run: str, state: V.State
+) -> Staged:
+    """Write the days of staging that ``raw`` changes, one copy per event, as days of ``run``.
 
-    A merge rewrites only the days that ``raw`` has events of: their rows and the new ones together,
-    one copy per event. All copies of an event carry its time and so meet in one day. Returns how
-    many values had the wrong type, by column.
+    The records are parsed and checked once, while their typed rows are written. Wide rows are then
+    shuffled once, by day and a share of the event ids, deduplicated there and written from there.
+    Copies of an event that disagree on its day are found by their keys alone; then the days of the
+    copies that lose are written again as well.
     """
-    casts = Observation("casts")
-    rows = _dated_staging(raw, casts)
-    mode = "static"
-    if into is not None:
-        # As many rows as there are days in the new files.
-        new_days = stg_events(valid_records(raw), strict=False).select(M.day_of().alias("d"))
-        days = [r["d"] for r in new_days.distinct().collect()]
-        rows = into.where(F.col("event_date").isin(days)).unionByName(rows)
-        mode = "dynamic"
-    write_table(latest_copy(rows, null_keys=False), path, "event_date", ["repo_name"], mode)
-    return {column: count for column, count in casts.get.items() if count}
-
-
-def read_staging(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.STAGED_SCHEMA).parquet(path)
-
-
-def build_models(staged: DataFrame, tables: Tables, k: int = S.TOP_K) -> dict[str, DataFrame]:
-    """Write the models from a written staging table and return scans of them.
+    counts, done = Observation("records"), Staged()
+    new = settle(typed_records(raw, counts), "typed-records")
+    found = counts.get
+    done.rejected = {r: found[r] for r in all_reasons() if found.get(r)}
+    if found.get("any"):
+        rejects = rejected_records(raw).withColumn("run", F.lit(run))
+        rejects.write.mode("append").parquet(f"{root}/rejects")
+    done.rejected["any"] = found.get("any", 0)
+    held = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state)
+    moved = _moved(new, held)
+    touched = new.select(V.DAY).unionAll(moved.select(V.DAY)).distinct()
+    done.touched = sorted(r[V.DAY] for r in touched.collect())
+    old = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state, done.touched)
+    rows = old.unionByName(new)
+    if not moved.isEmpty():
+        rows = rows.join(moved, ["event_id", V.DAY], "left_anti")
+    total = old.count() + new.count()
+    shares = max(1, -(-total // (FILE_ROWS * max(1, len(done.touched)))))
+    share = F.pmod(F.xxhash64("event_id"), F.lit(shares)).alias("share")
+    dealt = rows.select("*", share).repartition(V.DAY, "share")
+    kept = latest_copy(dealt, null_keys=False, within=(V.DAY, "share")).drop("share")
+    V.write_days(kept, root, STAGING, run, ["repo_name"])
+    written = spark.read.schema(S.STAGED_SCHEMA).parquet(V.folder(root, STAGING, run))
+    done.filled = sorted(r[V.DAY] for r in written.select(V.DAY).distinct().collect())
+    return done
+
+
+def build_partials(staged: DataFrame, root: str, run: str) -> None:
+    """Write the daily aggregates of the staged days.
 
     They do not depend on each other and are submitted together: executors that the last tasks of
     one leave idle work on the next.
     """
-
-    def leaders() -> DataFrame:
-        stats = write_table(models.contributor_stats(staged), tables.at("contributor_stats"))
-        return write_table(models.top_contributors(stats, k), tables.at("top_contributors"))
-
     jobs = {
-        "daily_activity": lambda: write_table(
-            models.daily_activity(staged), tables.at("daily_activity")
-        ),
-        "top_contributors": leaders,
-        "event_trends": lambda: write_table(
-            models.event_trends(staged), tables.at("event_trends")
-        ),
+        "daily_counts": partials.daily_counts, "hourly_counts": partials.hourly_counts,
+        "contributor_counts": partials.contributor_counts,
     }
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
-    return {name: job.result() for name, job in running.items()}
+        running = [
+            pool.submit(V.write_days, make(staged).hint("rebalance", V.DAY), root, name, run)
+            for name, make in jobs.items()
+        ]
+    for job in running:
+        job.result()
+
+
+def tables_of(
+    spark: SparkSession, root: str, state: V.State, k: int = S.TOP_K
+) -> dict[str, DataFrame]:
+    """Staging and the models as of a state. Models are added up from the daily aggregates when they
+    are read: a filter on the repository reaches their scans."""
+    read = {
+        name: V.read_days(spark, root, name, schema, state) for name, schema in partials.SCHEMAS.items()
+    }
+    stats = partials.contributor_stats(read["contributor_counts"])
+    return {
+        STAGING: V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state).drop(V.DAY),
+        "daily_activity": partials.daily_activity(read["daily_counts"]),
+        "contributor_stats": stats,
+        "top_contributors": models.top_contributors(stats, k),
+        "event_trends": partials.event_trends(read["hourly_counts"]),
+    }
+
+
+def changed_results(spark: SparkSession, root: str, run: str, state: V.State) -> DataFrame:
+    """The declared checks over what a run wrote, not over all that is held."""
+    days = [d for d, r in state.days.get(STAGING, {}).items() if r == run]
+    staged = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state, days)
+    part = {
+        name: V.read_days(spark, root, name, schema, state, days)
+        for name, schema in partials.SCHEMAS.items()
+    }
+    daily = part["daily_counts"].withColumnRenamed(V.DAY, "activity_date")
+    return quality.model_results(staged, daily, part["contributor_counts"], part["hourly_counts"])
+
+
+def publish(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Offer a table under ``name``: a view, or with ``path`` a table of the catalog whose files are
+    written there first, so that readers of the table before keep theirs."""
+    if path:
+        catalog = df.sparkSession.catalog
+        stored = f"{catalog.currentDatabase()}.{name}"  # a view of that name would hide the table
+        df.write.mode("overwrite").option("path", path).saveAsTable(stored)
+        catalog.dropTempView(name)
+        return df.sparkSession.table(stored)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def open_build(
+    spark: SparkSession, root: str, k: int = S.TOP_K, materialize: bool = False
+) -> dict[str, DataFrame]:
+    """Publish the last state of a build, of this session or any other: as views, or with
+    ``materialize`` as tables of the catalog, which other sessions see."""
+    tables = tables_of(spark, root, V.read_state(spark, root), k)
+    folder = f"{root}/published/{V.new_run()}"
+    return {
+        name: publish(table, name, f"{folder}/{name}" if materialize else None)
+        for name, table in tables.items()
+    }
 
 
 def run_build(
     spark: SparkSession,
     landing: str,
     root: str,
-    layout: str = "lines",
+    layout: str = "auto",
     k: int = S.TOP_K,
-    resume: bool = False,
     rebuild: bool = False,
     compact: bool = False,
-    strict: bool = True,
+    strict: bool = False,
+    materialize: bool = False,
+    max_files_per_load: int = FILES_PER_LOAD,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Load new files, bring staging up to date, build the models, run the checks; returns rows
-    per stage.
-
-    Only the days that new files have events of are staged again. A load that is repeated after a
-    failure stages everything again, as the failure may have hit the staging table; so does
-    ``rebuild``. Fails before the models when the run brought no events, and before publishing views
-    when a check fails. To repeat a run that broke after its load, pass ``resume``: its files count
-    as loaded already. ``compact`` is for a first load of many days (see ``append_load``). With
-    ``strict`` a value of the wrong type in a field that validation does not cover fails the run,
-    and its load stays uncommitted; without, such a value is NULL.
+    """Load new files, stage the days that they change, aggregate and check these, publish; returns
+    rows per stage.
+
+    Records that break a rule or hold values of the wrong type are rejected: counted by reason, and
+    kept whole in ``rejects``. With ``strict`` any rejected record fails the run before it publishes.
+    A run without new events fails. ``rebuild`` stages all loads again. ``days`` limits the listing of
+    the landing zone (see ``incremental_load``); ``compact`` is for a first load of many days;
+    ``materialize`` publishes tables of the catalog instead of views.
     """
-    tables = Tables(root)
-    raw_path, staged_path = tables.at("raw_events"), tables.at("stg_events")
-
-    def stage(load: LoadCounts, repeated: bool) -> None:
-        raw, into = read_raw(spark, raw_path), None
-        if exists(spark, staged_path) and not repeated:
-            raw = raw.where(F.col("load_id") == load.load_id)
-            into = read_staging(spark, staged_path)
-        wrong = update_staging(raw, staged_path, into)
-        if strict and wrong:
-            raise quality.QualityError(f"values of the wrong type: {wrong}")
-
-    loads: list[LoadCounts] = incremental_load(
-        spark, landing, raw_path, tables.at("quarantine"), tables.at("checkpoint"), layout,
-        compact=compact, then=stage,
-    )
-    if not (resume or rebuild) and not sum(c.rows_loaded for c in loads):
+    raw_path, run = f"{root}/raw_events", V.new_run()
+    incremental_load(spark, landing, raw_path, layout, max_files_per_load, days, compact)
+    before = V.State(V.read_state(spark, root).number) if rebuild else V.read_state(spark, root)
+    pending = [i for i in raw_table.load_ids(spark, raw_path) if i not in before.loads]
+    loads = [
+        raw_table.LoadCounts(r["load_id"], r["rows_loaded"], r["rows_quarantined"])
+        for r in raw_table.loads(spark, raw_path).where(F.col("load_id").isin(pending))
+        .select("load_id", "rows_loaded", "rows_quarantined").distinct().collect()
+    ]
+    if not sum(c.rows_loaded for c in loads):
         raise quality.QualityError("no events extracted")
-    if rebuild:
-        update_staging(read_raw(spark, raw_path), staged_path)
-    staged = read_staging(spark, staged_path).drop("event_date")
-    built = build_models(staged, tables, k)
-    checks = quality.gate(
-        quality.model_results(
-            staged, built["daily_activity"], built["top_contributors"], built["event_trends"]
-        )
-    )
-    for name, table in {"stg_events": staged, **built}.items():
-        publish(table, name)
-    return stage_counts(loads, staged, built, checks)
+    staged = update_staging(spark, read_raw(spark, raw_path, pending), root, run, before)
+    if strict and staged.rejected["any"]:
+        raise quality.QualityError(f"rejected records: {staged.rejected}")
+    after = before.with_run(run, [STAGING, *partials.SCHEMAS], staged.touched, staged.filled, pending)
+    checks = 0
+    if staged.filled:
+        written = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, after, staged.filled)
+        build_partials(written, root, run)
+        checks = quality.gate(changed_results(spark, root, run, after)).count()
+    elif not before.runs:
+        raise quality.QualityError(f"no record can be staged: {staged.rejected}")
+    V.publish_state(spark, root, after)
+    return stage_counts(spark, loads, staged, open_build(spark, root, k, materialize), checks)
 
 
 def stage_counts(
-    loads: list[LoadCounts], staged: DataFrame, built: dict[str, DataFrame], checks: DataFrame
+    spark: SparkSession, loads: list, staged: Staged, tables: dict[str, DataFrame], checks: int
 ) -> DataFrame:
     """Rows per stage of one run."""
-    spark = staged.sparkSession
-    loaded = spark.createDataFrame(
-        [
-            ("rows_loaded", sum(c.rows_loaded for c in loads)),
-            ("rows_quarantined", sum(c.rows_quarantined for c in loads)),
-        ],
-        "stage STRING, records BIGINT",
-    )
-    counted = loaded
-    for name, table in {"stg_events": staged, **built, "checks_passed": checks}.items():
-        counted = counted.unionAll(
-            table.agg(M.rows().alias("records")).select(F.lit(name).alias("stage"), "records")
-        )
+    known = [
+        ("rows_loaded", sum(c.rows_loaded for c in loads)),
+        ("rows_quarantined", sum(c.rows_quarantined for c in loads)),
+        ("rows_rejected", staged.rejected["any"]),
+        *[(f"rejected:{r}", n) for r, n in staged.rejected.items() if r != "any"],
+        ("checks_passed", checks),
+    ]
+    counted = spark.createDataFrame(known, "stage STRING, records BIGINT")
+    for name in (STAGING, "daily_activity", "top_contributors", "event_trends"):
+        rows = tables[name].agg(M.rows().alias("records"))
+        counted = counted.unionAll(rows.select(F.lit(name).alias("stage"), "records"))
     return counted
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Records that published runs have rejected, whole, with their reasons."""
+    schema = f"{S.RAW_SCHEMA}, reasons ARRAY<STRING>, run STRING"
+    runs = sorted(V.read_state(spark, root).runs)
+    return raw_table.read_if_there(spark, schema, f"{root}/rejects").where(F.col("run").isin(runs))

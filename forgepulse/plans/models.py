@@ -17,7 +17,11 @@ from forgepulse.operators.ranking import rank_within
 
 def daily_activity(stg: DataFrame, rolling_rows: int = S.ROLLING_ROWS) -> DataFrame:
     """Repository x day. ``week_avg`` is the mean over the last seven days *with activity*."""
-    daily = stg.groupBy("repo_name", M.day_of().alias("activity_date")).agg(
+    return with_week_avg(daily_counts(stg), rolling_rows)
+
+
+def daily_counts(stg: DataFrame) -> DataFrame:
+    return stg.groupBy("repo_name", M.day_of().alias("activity_date")).agg(
         M.rows().alias("total_activity"),
         F.count_distinct("actor_login").alias("unique_contributors"),
         M.events_of(S.PUSH).alias("push_events"),
@@ -27,6 +31,9 @@ def daily_activity(stg: DataFrame, rolling_rows: int = S.ROLLING_ROWS) -> DataFr
         F.sum("is_star_event").alias("star_events"),
         M.events_of(S.FORK).alias("fork_events"),
     )
+
+
+def with_week_avg(daily: DataFrame, rolling_rows: int = S.ROLLING_ROWS) -> DataFrame:
     # One row per day and repository: the window holds days, not events.
     recent = (
         Window.partitionBy("repo_name")
@@ -48,6 +55,10 @@ def contributor_stats(stg: DataFrame, weights: dict[str, int] | None = None) ->
         F.min("event_timestamp").alias("first_commit"),
         F.max("event_timestamp").alias("final_commit"),
     )
+    return with_score(pairs, weights)
+
+
+def with_score(pairs: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
     return pairs.withColumn(
         "active_days", M.day_boundaries("first_commit", "final_commit")
     ).withColumn("contribution_score", M.contribution_score(weights or S.SCORE_WEIGHTS))
@@ -64,10 +75,17 @@ def top_contributors(stats: DataFrame, k: int = S.TOP_K) -> DataFrame:
 
 def event_trends(stg: DataFrame) -> DataFrame:
     """Repository x type x hour, compared with the previous hour *that has events*."""
-    hourly = stg.groupBy("repo_name", "event_type", M.hour_of().alias("event_hour")).agg(
+    return with_hour_change(hourly_counts(stg))
+
+
+def hourly_counts(stg: DataFrame) -> DataFrame:
+    return stg.groupBy("repo_name", "event_type", M.hour_of().alias("event_hour")).agg(
         M.rows().alias("event_count"),
         F.count_distinct("actor_login").alias("unique_users"),
     )
+
+
+def with_hour_change(hourly: DataFrame) -> DataFrame:
     by_hour = Window.partitionBy("repo_name", "event_type").orderBy(
         F.col("event_hour").asc_nulls_last()
     )

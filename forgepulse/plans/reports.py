@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
 from forgepulse.functions.measures import percent_change
+from forgepulse.plans import models
 
 
 def _utc_now() -> Column:
@@ -44,16 +45,17 @@ def repo_health(
     )
 
 
-def top_contributors_report(top: DataFrame, repo: str, k: int = S.REPORT_K) -> DataFrame:
-    """Leaders of one repository by weighted score."""
-    return (
-        top.where((F.col("repo_name") == repo) & (F.col("contributor_rank") <= k))
-        .select(
-            "contributor", "repo_name", "commit_count", "pr_count", "contribution_score",
-            "contributor_rank",
-        )
-        .orderBy(F.col("contribution_score").desc_nulls_first())
-    )
+def top_contributors_report(stats: DataFrame, repo: str, k: int = S.REPORT_K) -> DataFrame:
+    """Leaders of one repository by weighted score, from ``contributor_stats``.
+
+    The repository is chosen before contributors are ranked, so only its rows are read, counted and
+    sorted; ranking reads them twice.
+    """
+    top = models.top_contributors(stats.where(F.col("repo_name") == repo), k)
+    return top.select(
+        "contributor", "repo_name", "commit_count", "pr_count", "contribution_score",
+        "contributor_rank",
+    ).orderBy(F.col("contribution_score").desc_nulls_first())
 
 
 def trend_anomalies(

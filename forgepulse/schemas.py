@@ -25,14 +25,18 @@ ANOMALY_HOURS = 24
 LANDING_PARTITIONS = ("year", "month", "day")
 LANDING_SCHEMA = "value STRING, year INT, month INT, day INT"
 
-# Raw table: one semi-structured record per event, with lineage.
+# Raw table: one semi-structured record per event, with lineage; unreadable text beside it.
 RAW_SCHEMA = (
     "raw_data VARIANT, file_name STRING, loaded_at TIMESTAMP, "
     "load_id STRING, year INT, month INT, day INT"
 )
-QUARANTINE_SCHEMA = (
-    "raw_text STRING, reason STRING, file_name STRING, loaded_at TIMESTAMP, "
-    "load_id STRING, year INT, month INT, day INT"
+RAW_TABLE_SCHEMA = (
+    "raw_data VARIANT, raw_text STRING, file_name STRING, loaded_at TIMESTAMP, "
+    "load_id STRING, readable BOOLEAN, year INT, month INT, day INT"
+)
+# Loads: one row per file of a committed load; a load without files has one row without a path.
+LOADS_SCHEMA = (
+    "load_id STRING, path STRING, length BIGINT, rows_loaded BIGINT, rows_quarantined BIGINT"
 )
 
 # Staging relation: column, path in the record, type. Ids are BIGINT because feeds issue ids

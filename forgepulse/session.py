@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -25,6 +26,7 @@ DEFAULTS = {
 MIN_PARTITIONS = 200
 
 _local_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def build_session(
@@ -66,8 +68,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path below the shared folder (nothing is created yet)."""
-    return f"{shared_folder(spark)}/forgepulse/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the shared folder (nothing is created yet); what is written
+    there is deleted when the driver's process ends."""
+    path = f"{shared_folder(spark)}/forgepulse/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
@@ -79,3 +84,24 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(path: str) -> None:
+    """Delete a folder of intermediates, if it is there."""
+    from pyarrow import fs
+
+    uri = "file:///" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
+    files, name = fs.FileSystem.from_uri(uri)
+    if files.get_file_info(name).type == fs.FileType.Directory:
+        files.delete_dir(name)
+
+
+@atexit.register
+def remove_intermediates() -> None:
+    """Delete what this process has written to the shared folder as intermediates."""
+    for path in _written:
+        try:
+            remove(path)
+        except OSError:  # a store that this process cannot reach any more
+            break
+    _written.clear()

@@ -1,8 +1,8 @@
 """The landing zone: event files below ``year=YYYY/month=MM/day=DD``.
 
 Two layouts. ``array``: every file is one JSON array of events, the form feeds deliver; such a
-file cannot be split, so writers bound its size. ``lines``: one event per line, splittable, the
-form for bulk loads. Files get unique names and are only ever added.
+file cannot be split, so writers bound its size. ``lines``: one event per line, or one array per
+line, splittable, the form for bulk loads. Files get unique names and are only ever added.
 """
 
 from __future__ import annotations
@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
-from forgepulse.functions.records import file_records, iso_utc, line_records
+from forgepulse.functions.records import iso_utc, text_records
 
 LAYOUTS = ("array", "lines")
 
@@ -46,39 +48,46 @@ def union_feeds(feeds: Sequence[DataFrame]) -> DataFrame:
 
 
 def _array_packer(max_records: int, max_chars: int):
-    """Group the records of one task into JSON arrays, per day, without a shuffle.
+    """Join the records of one task into JSON arrays, per day, without a shuffle.
 
-    No array exceeds ``max_records`` records, and when the open arrays of a task together hold
-    more than ``max_chars`` the largest is written out, so memory is bounded however many days
-    and records a task sees.
+    No array exceeds ``max_records`` records. Records are held up to about ``max_chars`` and then
+    written out, so memory is bounded however many days and records a task sees.
     """
 
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: dict[tuple, list[str]] = {}
-        chars: dict[tuple, int] = {}
-        total = 0
-
-        def array_of(day: tuple) -> pa.RecordBatch:
-            text = "[" + ",".join(pending.pop(day)) + "]"
-            return pa.RecordBatch.from_pydict(
-                {"value": [text], **{n: [v] for n, v in zip(S.LANDING_PARTITIONS, day)}}
-            )
+    def arrays_of(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        rows = rows.sort_by([(name, "ascending") for name in S.LANDING_PARTITIONS]).combine_chunks()
+        days = [rows.column(name).to_numpy() for name in S.LANDING_PARTITIONS]
+        new = np.ones(rows.num_rows, bool)
+        new[1:] = np.logical_or.reduce([day[1:] != day[:-1] for day in days])
+        place = np.arange(rows.num_rows)
+        in_day = place - np.maximum.accumulate(np.where(new, place, 0))
+        starts = np.nonzero(in_day % max_records == 0)[0]
+        records = rows.column("record").chunk(0)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(starts, rows.num_rows), pa.int32()), records
+        )
+        text = pc.binary_join_element_wise("[", pc.binary_join(lists, ","), "]", "")
+        found = [rows.column(name).chunk(0).take(pa.array(starts)) for name in S.LANDING_PARTITIONS]
+        return pa.RecordBatch.from_arrays([text, *found], ["value", *S.LANDING_PARTITIONS])
 
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        room = max_chars
         for batch in batches:
-            columns = batch.to_pydict()
-            days = zip(*(columns[name] for name in S.LANDING_PARTITIONS))
-            for day, record in zip(days, columns["record"]):
-                pending.setdefault(day, []).append(record)
-                chars[day] = chars.get(day, 0) + len(record)
-                total += len(record)
-                full = day if len(pending[day]) >= max_records else None
-                if full is None and total > max_chars:
-                    full = max(chars, key=chars.get)
-                if full is not None:
-                    total -= chars.pop(full)
-                    yield array_of(full)
-        for day in list(pending):
-            yield array_of(day)
+            chars = np.cumsum(pc.utf8_length(batch.column("record")).to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                before = chars[start - 1] if start else 0
+                end = max(start + (not held), int(np.searchsorted(chars, before + room, "right")))
+                held.append(batch.slice(start, end - start))
+                room -= int(chars[end - 1] - before) if end > start else 0
+                start = end
+                if start < batch.num_rows:
+                    yield arrays_of([b for b in held if b.num_rows])
+                    held, room = [], max_chars
+        if held:
+            yield arrays_of(held)
 
     return pack
 
@@ -138,16 +147,41 @@ def scan_days(
     return _scan(spark, root, f"{root}/{{{folders}}}", layout)
 
 
-def read_back(spark: SparkSession, root: str, file: str, layout: str = "lines") -> DataFrame:
-    """Events of one landed file; ``root`` is the landing zone that its path belongs to."""
-    return readable(parse_landing(_scan(spark, root, file, layout), layout))
+def read_back(
+    spark: SparkSession, root: str, files: str | Sequence[str], layout: str = "lines"
+) -> DataFrame:
+    """Events of single landed files; ``root`` is the landing zone that their paths belong to."""
+    return readable(parse_landing(scan_files(spark, root, files, layout)))
+
+
+def scan_files(
+    spark: SparkSession, root: str, files: str | Sequence[str], layout: str = "lines"
+) -> DataFrame:
+    """Text of single files of a landing zone; nothing else is listed."""
+    return _scan(spark, root, files, layout)
 
 
-def _scan(spark: SparkSession, root: str, path: str, layout: str) -> DataFrame:
+def _scan(spark: SparkSession, root: str, path: str | Sequence[str], layout: str) -> DataFrame:
     reader = spark.read.schema(S.LANDING_SCHEMA).option("basePath", root)
     return with_lineage(reader.text(path, wholetext=layout == "array"))
 
 
+def list_files(
+    spark: SparkSession, root: str, days: Sequence[dt.date] | None = None
+) -> DataFrame:
+    """(path, length, year, month, day) of landed files, of all days or of some: then only the
+    folders of these days are listed. Contents are not read."""
+    where = root
+    if days is not None:
+        where = f"{root}/{{{','.join(d.strftime('year=%Y/month=%m/day=%d') for d in days)}}}"
+    files = spark.read.format("binaryFile").option("basePath", root).load(where)
+    partitions = [
+        (F.col(c) if c in files.columns else F.lit(None)).cast("int").alias(c)
+        for c in S.LANDING_PARTITIONS
+    ]
+    return files.select("path", "length", *partitions)
+
+
 def with_lineage(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
@@ -157,17 +191,17 @@ def with_lineage(text: DataFrame) -> DataFrame:
     )
 
 
-def parse_landing(text: DataFrame, layout: str = "lines") -> DataFrame:
-    """One row per event: ``raw_data VARIANT``. Text that is not JSON gives one row with NULL
-    ``raw_data`` and the whole text in ``raw_text``; blank files and lines give none. Split the
-    result with ``readable`` and ``unreadable``."""
+def parse_landing(text: DataFrame) -> DataFrame:
+    """One row per event: ``raw_data VARIANT``. A line, or a file read whole, may hold one event or an
+    array of them. Text that is not JSON gives one row with NULL ``raw_data`` and the whole text in
+    ``raw_text``; blank files and lines give none. Split the result with ``readable`` and
+    ``unreadable``."""
     keep = ("file_name", "loaded_at", *S.LANDING_PARTITIONS)
-    records_of = file_records if layout == "array" else line_records
     found = F.col("records")
     # Only unreadable text travels on with its row; readable text is dropped here.
     opened = (
-        text.where(F.trim("value") != "")
-        .withColumn("records", records_of(F.col("value")))
+        text.where(F.regexp_like("value", F.lit(r"\S")))
+        .withColumn("records", text_records(F.col("value")))
         .select("records", F.when(found.isNull(), F.col("value")).alias("raw_text"), *keep)
     )
     # The outer form keeps a row for unreadable text. It also keeps one for an empty array, with
@@ -195,13 +229,16 @@ def read_landing(
     spark: SparkSession, paths: str | Sequence[str], layout: str = "lines"
 ) -> DataFrame:
     """Readable events of the landing zone, one row per event."""
-    return readable(parse_landing(scan_landing(spark, paths, layout), layout))
+    return readable(parse_landing(scan_landing(spark, paths, layout)))
 
 
 def landing_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files with byte size and time; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), "modificationTime")
+    """Landed files with landing day, byte size and time; contents are not read."""
+    files = spark.read.format("binaryFile").option("basePath", path).load(path)
+    return files.select(
+        "path", F.col("length").alias("bytes"), "modificationTime",
+        F.make_date(*[F.col(c).cast("int") for c in S.LANDING_PARTITIONS]).alias("landing_date"),
+    )
 
 
 def write_valid_dump(valid: DataFrame, path: str) -> None:

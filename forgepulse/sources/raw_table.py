@@ -1,14 +1,24 @@
-"""The raw table: one VARIANT per event in Parquet, partitioned by load and landing day."""
+"""The raw table: one VARIANT per event in Parquet, partitioned by load and landing day.
+
+A load writes the folder ``load_id=<id>`` and then commits by a row in the table of loads beside it.
+Only committed loads are read: what a broken attempt left behind is never seen, and its repetition
+is a load of its own. Load ids are unique, so two feeds, or one feed whose progress was reset, cannot
+overwrite each other.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
-from forgepulse.sources.landing import is_unreadable, readable, unreadable
+from forgepulse.sources.landing import is_unreadable
+
+_LOADS = "_loads"  # file sources pass over names that begin with an underscore
 
 
 @dataclass(frozen=True)
@@ -18,60 +28,105 @@ class LoadCounts:
     rows_quarantined: int
 
 
-def append_load(
-    parsed: DataFrame,
-    raw_path: str,
-    quarantine_path: str,
-    load_id: str,
-    compact: bool = False,
-) -> LoadCounts:
-    """Add one load: readable events to the raw table, unreadable text to the quarantine.
+def new_load_id(name: str = "load") -> str:
+    return f"{name}-{uuid.uuid4().hex}"
+
 
-    A load owns the folder ``load_id=<id>``. Other loads are never touched, and repeating a load
-    after a failure replaces its own half-written output, so events are neither lost nor doubled.
-    Counts are observed in the writing stage itself; the quarantine pass runs only when needed.
+def write_rows(
+    parsed: DataFrame, raw_path: str, load_id: str, compact: bool = False
+) -> LoadCounts:
+    """Write one load without committing it: readable events and unreadable text in one pass.
 
     A load of a few days is map-only. With many small files of many days every task would write a
     small file per day; ``compact`` then gathers days first, and adaptive execution splits hot ones.
     """
     counts = Observation(f"load {load_id}")
+    kept = parsed.where(F.col("raw_data").isNotNull() | is_unreadable()).withColumn(
+        "readable", F.col("raw_data").isNotNull()
+    )
     days = [F.col(c) for c in S.LANDING_PARTITIONS]
-    source = parsed.hint("rebalance", *days) if compact else parsed
+    source = kept.hint("rebalance", *days) if compact else kept
     observed = source.observe(
-        counts,
-        F.count_if(F.col("raw_data").isNotNull()).alias("good"),
-        F.count_if(is_unreadable()).alias("bad"),
+        counts, F.count_if("readable").alias("good"), F.count_if(~F.col("readable")).alias("bad")
     )
-    _write(readable(observed), raw_path, load_id)
-    good, bad = counts.get.get("good", 0), counts.get.get("bad", 0)
-    if bad:
-        _write(unreadable(parsed), quarantine_path, load_id)
-    return LoadCounts(load_id, good, bad)
+    writer = observed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("readable", *S.LANDING_PARTITIONS).parquet(f"{raw_path}/load_id={load_id}")
+    return LoadCounts(load_id, counts.get.get("good", 0), counts.get.get("bad", 0))
+
+
+def commit_load(
+    spark: SparkSession, raw_path: str, counts: LoadCounts, files: DataFrame | None = None
+) -> None:
+    """Make a written load visible, together with the files (path, length) that it holds."""
+    if has_load(spark, raw_path, counts.load_id):
+        raise ValueError(f"load {counts.load_id} is committed already")
+    if files is None:
+        files = spark.createDataFrame([(None, None)], "path STRING, length BIGINT")
+    files.select(
+        F.lit(counts.load_id).alias("load_id"), "path", "length",
+        F.lit(counts.rows_loaded).cast("bigint").alias("rows_loaded"),
+        F.lit(counts.rows_quarantined).cast("bigint").alias("rows_quarantined"),
+    ).write.mode("append").parquet(f"{raw_path}/{_LOADS}")
 
 
-def _write(rows: DataFrame, path: str, load_id: str) -> None:
-    folder = f"{path}/load_id={load_id}"
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*S.LANDING_PARTITIONS).parquet(folder)
+def append_load(
+    parsed: DataFrame, raw_path: str, load_id: str | None = None, compact: bool = False
+) -> LoadCounts:
+    """Add one load and commit it. An id that is committed already is refused."""
+    spark, load_id = parsed.sparkSession, load_id or new_load_id()
+    if has_load(spark, raw_path, load_id):
+        raise ValueError(f"load {load_id} is committed already")
+    counts = write_rows(parsed, raw_path, load_id, compact)
+    commit_load(spark, raw_path, counts)
+    return counts
 
 
-def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:
-    """Whether a load has written anything, complete or not."""
-    return exists(spark, f"{raw_path}/load_id={load_id}")
+def loads(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The table of committed loads, empty before the first."""
+    return read_if_there(spark, S.LOADS_SCHEMA, f"{raw_path}/{_LOADS}")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """One request to the file system; reading the path to find out would list all its files."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def read_if_there(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """A Parquet table; without rows, and created so, while nothing is written at its path."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
-def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    return spark.read.schema(S.RAW_SCHEMA).parquet(raw_path)
+def load_ids(spark: SparkSession, raw_path: str) -> list[str]:
+    """Committed loads, as many as there were runs."""
+    return [r["load_id"] for r in loads(spark, raw_path).select("load_id").distinct().collect()]
 
 
-def read_quarantine(spark: SparkSession, quarantine_path: str) -> DataFrame:
-    return spark.read.schema(S.QUARANTINE_SCHEMA).parquet(quarantine_path)
+def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:
+    return not loads(spark, raw_path).where(F.col("load_id") == load_id).isEmpty()
+
+
+def rows_of_loads(
+    spark: SparkSession, raw_path: str, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of all committed loads, or of some, readable or not, as they are stored."""
+    ids = load_ids(spark, raw_path) if only is None else list(only)
+    if not ids:
+        return spark.createDataFrame([], S.RAW_TABLE_SCHEMA)
+    reader = spark.read.schema(S.RAW_TABLE_SCHEMA).option("basePath", raw_path)
+    return reader.parquet(*[f"{raw_path}/load_id={i}" for i in ids])
+
+
+def read_raw(
+    spark: SparkSession, raw_path: str, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Readable events of all committed loads, or of some."""
+    return rows_of_loads(spark, raw_path, only).where("readable").drop("raw_text", "readable")
+
+
+def read_quarantine(
+    spark: SparkSession, raw_path: str, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Unreadable text of all committed loads, or of some, kept whole."""
+    return rows_of_loads(spark, raw_path, only).where("NOT readable").select(
+        "raw_text", F.lit("malformed json").alias("reason"), "file_name", "loaded_at", "load_id",
+        *S.LANDING_PARTITIONS,
+    )
 
 
 def counts_frame(spark: SparkSession, counts: list[LoadCounts]) -> DataFrame:

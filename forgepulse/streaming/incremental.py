@@ -2,74 +2,96 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Sequence
+from urllib.parse import unquote, urlsplit
 
-from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from forgepulse import schemas as S
-from forgepulse.sources.landing import parse_landing, with_lineage
-from forgepulse.sources.raw_table import LoadCounts, append_load, has_load
+from forgepulse.session import settle
+from forgepulse.sources import raw_table
+from forgepulse.sources.landing import list_files, parse_landing, scan_files
+from forgepulse.sources.raw_table import LoadCounts
+
+#: Files of one load; their paths are what the driver holds.
+FILES_PER_LOAD = 10_000
+#: Largest file that is read whole in search of an array over several lines.
+WHOLE_FILE_BYTES = 512 * 1024 * 1024
+LAYOUTS = ("auto", "lines", "array")
 
 
 def incremental_load(
     spark: SparkSession,
     landing: str,
     raw_path: str,
-    quarantine_path: str,
-    checkpoint: str,
-    layout: str = "lines",
-    name: str = "stream",
-    max_files_per_batch: int | None = None,
+    layout: str = "auto",
+    max_files_per_load: int = FILES_PER_LOAD,
+    days: Sequence[dt.date] | None = None,
     compact: bool = False,
-    then: Callable[[LoadCounts, bool], None] | None = None,
 ) -> list[LoadCounts]:
-    """Process all files that arrived since the last run, then stop.
+    """Load all files that no committed load holds, in loads of bounded size.
 
-    The checkpoint remembers the files; each micro-batch is one load of the raw table under a
-    fixed id, so a batch that is repeated after a failure replaces its own output. Stateless and
-    map-only: nothing is dropped as late, and copies of an event are resolved by ``latest_copy``
-    when the staging relation is built. Landed files must never be overwritten in place.
+    New files are those of the listing whose path and length the table of loads does not name; their
+    age does not matter. With ``days`` only the folders of these days are listed, so a run need not
+    list a zone that has grown for years. Nothing is dropped as late, and copies of an event are
+    resolved when the staging relation is built.
 
-    ``then(counts, repeated)`` runs after each load and before its batch is committed, so what it
-    derives from the load is repeated with it; ``repeated`` says that an earlier attempt of this
-    batch may have got that far. An error in it fails the run and leaves the batch uncommitted.
+    ``layout``: ``lines`` and ``array`` as the files were written. ``auto`` reads lines, each an event
+    or an array of events; a file that has unreadable lines and begins one with a bracket is then
+    read whole, and if it turns out to be one array over several lines, that is what counts.
     """
-    done: list[LoadCounts] = []
-    failed: list[Exception] = []
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    listed = list_files(spark, landing, days)
+    known = raw_table.loads(spark, raw_path).select("path", "length")
+    order = Window.orderBy("year", "month", "day", "path")
+    pending = listed.join(known, ["path", "length"], "left_anti").withColumn(
+        "load", F.floor((F.row_number().over(order) - 1) / max_files_per_load)
+    )
+    pending = settle(pending, "new-files")
+    done = []
+    for number in [r["load"] for r in pending.select("load").distinct().orderBy("load").collect()]:
+        files = pending.where(F.col("load") == number).select("path", "length")
+        done.append(_load(spark, landing, raw_path, files, layout, compact))
+    return done
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_landing(batch, layout)
-        load_id = f"{name}-{batch_id:010d}"
-        repeated = has_load(spark, raw_path, load_id)
-        done.append(append_load(parsed, raw_path, quarantine_path, load_id, compact))
-        if then is not None:
-            try:
-                then(done[-1], repeated)
-            except Exception as error:
-                failed.append(error)
-                raise
 
-    reader = (
-        spark.readStream.format("text")
-        .schema(S.LANDING_SCHEMA)
-        .option("wholetext", layout == "array")
-        # A file copied in with an old modification time is still new to us.
-        .option("maxFileAge", "3650d")
-    )
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (
-        with_lineage(reader.load(landing))
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+def _load(
+    spark: SparkSession, landing: str, raw_path: str, files: DataFrame, layout: str, compact: bool
+) -> LoadCounts:
+    size_of = {r["path"]: r["length"] for r in files.collect()}
+    by = "array" if layout == "array" else "lines"
+    parsed = parse_landing(scan_files(spark, landing, list(size_of), by))
+    counts = raw_table.write_rows(parsed, raw_path, raw_table.new_load_id(), compact)
+    if layout == "auto" and counts.rows_quarantined:
+        counts = _with_whole_files(spark, landing, raw_path, counts, size_of, compact)
+    raw_table.commit_load(spark, raw_path, counts, files)
+    return counts
+
+
+def _with_whole_files(
+    spark: SparkSession, landing: str, raw_path: str, counts: LoadCounts, size_of: dict, compact: bool
+) -> LoadCounts:
+    """The load once more, files that are one array over several lines read whole. The first writing
+    stays uncommitted."""
+    bad = raw_table.read_quarantine(spark, raw_path, [counts.load_id])
+    opens = F.regexp_like(F.col("raw_text"), F.lit(r"^\s*\["))
+    names = [r["file_name"] for r in bad.where(opens).select("file_name").distinct().collect()]
+    slim = {_bare(path): path for path in size_of}
+    whole = [slim[_bare(n)] for n in names if size_of[slim[_bare(n)]] <= WHOLE_FILE_BYTES]
+    if not whole:
+        return counts
+    read = settle(parse_landing(scan_files(spark, landing, whole, "array")), "whole-files")
+    arrays = read.where(F.col("raw_data").isNotNull())
+    found = arrays.select(F.col("file_name").alias("array_file")).distinct()
+    by_line = raw_table.rows_of_loads(spark, raw_path, [counts.load_id]).drop("load_id", "readable")
+    rest = by_line.join(found, F.col("file_name") == F.col("array_file"), "left_anti")
+    return raw_table.write_rows(
+        rest.unionByName(arrays), raw_path, raw_table.new_load_id(), compact
     )
-    try:
-        query.awaitTermination()
-    except StreamingQueryException:
-        if failed:
-            raise failed[0]
-        raise
-    return done
+
+
+def _bare(path: str) -> str:
+    """Path without its scheme, which listings and scans write differently, and percent signs."""
+    return unquote(urlsplit(path).path).lstrip("/")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -8,13 +9,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures.envelope import overlapping_records, source_events, staged_events
+from forgepulse import schemas as S
+from forgepulse.operators import quality
+from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.quality import QualityError
-from forgepulse.plans import build, models
-from forgepulse.session import new_folder, shared_folder, shuffle_conf
+from forgepulse.plans import build, models, partials
+from forgepulse.plans import versions as V
+from forgepulse.session import new_folder, settle, shared_folder, shuffle_conf
 from forgepulse.sources import landing
-from tests.helpers import feed_event, plan_of, records
+from tests.helpers import feed_event, plan_of, records, staged
 
 SF_DIR = "/root/testdata/sf0.001"
+SCHEMAS = {"stg_events": S.STAGED_SCHEMA, **partials.SCHEMAS}
 
 
 def same(left, right) -> bool:
@@ -22,37 +28,42 @@ def same(left, right) -> bool:
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
 
+def counts_of(result) -> dict[str, int]:
+    return {r["stage"]: r["records"] for r in result.collect()}
+
+
+def land(spark, folder, events, name="l"):
+    landing.write_landing(records(spark, events), folder(name))
+
+
+def staged_rows(spark, folder, name="out"):
+    return V.read_days(spark, folder(name), build.STAGING, S.STAGED_SCHEMA, V.read_state(spark, folder(name)))
+
+
 def test_whole_run_equals_the_models_on_typed_rows(spark, folder):
     events = source_events(spark, SF_DIR)
     landing.write_landing(overlapping_records(events), folder("l"))
-    counts = {r["stage"]: r["records"] for r in
-              build.run_build(spark, folder("l"), folder("out")).collect()}
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out")))
     assert counts["rows_loaded"] > counts["stg_events"] == 1000
-    assert counts["checks_passed"] == 9
+    assert counts["checks_passed"] == 12 and counts["rows_rejected"] == 0
     typed = staged_events(events)
     assert same(spark.table("daily_activity"), models.daily_activity(typed))
     assert same(spark.table("event_trends"), models.event_trends(typed))
     stats = models.contributor_stats(typed)
+    assert same(spark.table("contributor_stats"), stats)
     assert same(spark.table("top_contributors"), models.top_contributors(stats))
 
 
 def test_second_run_adds_new_files(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"))
-    landing.write_landing(
-        records(spark, [("2024-01-06", feed_event(1)), ("2024-01-06", feed_event(2))]), folder("l")
-    )
-    counts = {r["stage"]: r["records"] for r in
-              build.run_build(spark, folder("l"), folder("out")).collect()}
+    land(spark, folder, [("2024-01-06", feed_event(1)), ("2024-01-06", feed_event(2))])
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out")))
     assert counts["rows_loaded"] == 2 and counts["stg_events"] == 2
 
 
-def updated_staging(spark, folder):
-    return build.read_staging(spark, folder("out") + "/stg_events")
-
-
 def test_merging_day_by_day_equals_one_build(spark, folder):
-    """Overlapping pulls arrive in four runs; the table must equal a build from all files at once."""
+    """Overlapping pulls arrive in four runs; the tables must equal a build from all files at once."""
     everything = overlapping_records(source_events(spark, SF_DIR)).cache()
     for first, last in ((1, 5), (6, 6), (7, 20), (21, 31)):
         part = everything.where(
@@ -63,139 +74,184 @@ def test_merging_day_by_day_equals_one_build(spark, folder):
         build.run_build(spark, folder("l"), folder("out"))
     landing.write_landing(everything, folder("all"))
     build.run_build(spark, folder("all"), folder("once"))
-    columns = [c for c in updated_staging(spark, folder).columns if c not in ("payload", "loaded_at")]
-    merged = updated_staging(spark, folder).select(*columns)
-    once = build.read_staging(spark, folder("once") + "/stg_events").select(*columns)
-    assert merged.count() == 1000 and same(merged, once)
-    models_of = [folder(o) + "/daily_activity" for o in ("out", "once")]
-    assert same(*[spark.read.parquet(p) for p in models_of])
-
+    columns = [c for c in staged_rows(spark, folder).columns if c not in ("payload", "loaded_at")]
+    merged = staged_rows(spark, folder).select(*columns)
+    assert merged.count() == 1000 and same(merged, staged_rows(spark, folder, "once").select(*columns))
+    parts, whole = [
+        build.tables_of(spark, folder(o), V.read_state(spark, folder(o))) for o in ("out", "once")
+    ]
+    for name in ("daily_activity", "event_trends", "top_contributors"):
+        assert same(parts[name], whole[name])
 
-def test_merge_rewrites_only_days_with_new_events(spark, folder):
-    def files():
-        found = Path(folder("out"), "stg_events").rglob("part-*")
-        return {p.parent.name: p.name for p in found}
 
+def test_a_run_writes_and_reads_only_days_with_new_events(spark, folder):
     days = [(f"2024-01-{d:02d}", feed_event(d, created_at=f"2024-01-{d:02d}T01:00:00Z")) for d in (1, 2, 3)]
-    landing.write_landing(records(spark, days), folder("l"))
+    land(spark, folder, days)
     build.run_build(spark, folder("l"), folder("out"))
-    before = files()
-    late = feed_event(9, created_at="2024-01-02T05:00:00Z")
-    landing.write_landing(records(spark, [("2024-01-09", late)]), folder("l"))
+    before = V.read_state(spark, folder("out"))
+    land(spark, folder, [("2024-01-09", feed_event(9, created_at="2024-01-02T05:00:00Z"))])
     build.run_build(spark, folder("l"), folder("out"))
-    after = files()
-    assert {d for d in before if before[d] != after[d]} == {"event_date=2024-01-02"}
-    assert sorted(r["event_id"] for r in updated_staging(spark, folder).collect()) == ["1", "2", "3", "9"]
-
-
-def test_repeated_load_stages_everything_again(spark, folder, monkeypatch):
-    """A run dies in the middle of replacing a day of the staging table."""
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    after = V.read_state(spark, folder("out"))
+    for name in ("stg_events", "daily_counts", "hourly_counts", "contributor_counts"):
+        changed = {d for d, r in after.days[name].items() if before.days[name][d] != r}
+        assert changed == {dt.date(2024, 1, 2)}
+        (run,) = {r for r in after.days[name].values()} - set(before.days[name].values())
+        written = {p.name for p in Path(V.folder(folder("out"), name, run)).glob("event_date=*")}
+        assert written == {"event_date=2024-01-02"}
+        read = V.read_days(spark, folder("out"), name, SCHEMAS[name], after, [dt.date(2024, 1, 2)])
+        assert {Path(f).parent.name for f in read.inputFiles()} == {"event_date=2024-01-02"}
+    assert sorted(r["event_id"] for r in staged_rows(spark, folder).collect()) == ["1", "2", "3", "9"]
+
+
+def test_a_run_that_breaks_off_leaves_everything_as_it_was(spark, folder, monkeypatch):
+    land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"))
-    landing.write_landing(records(spark, [("2024-01-06", feed_event(2))]), folder("l"))
-    day = Path(folder("out"), "stg_events", "event_date=2024-01-05")
+    land(spark, folder, [("2024-01-06", feed_event(2))])
 
     def die(*arguments):
-        for file in day.iterdir():
-            file.unlink()
         raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as broken:
-        broken.setattr(build, "update_staging", die)
-        with pytest.raises(RuntimeError, match="driver lost"):
-            build.run_build(spark, folder("l"), folder("out"))
-    spark.catalog.clearCache()
-    counts = {r["stage"]: r["records"] for r in
-              build.run_build(spark, folder("l"), folder("out")).collect()}
+    for step in ("build_partials", "changed_results"):
+        with monkeypatch.context() as broken:
+            broken.setattr(build, step, die)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                build.run_build(spark, folder("l"), folder("out"))
+        assert spark.table("stg_events").count() == 1
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out")))
     assert (counts["rows_loaded"], counts["stg_events"]) == (1, 2)
 
 
-def test_files_without_valid_events_change_nothing(spark, folder):
-    for event in (feed_event(1, type=None), feed_event(2), feed_event(3, type=None)):
-        landing.write_landing(records(spark, [("2024-01-05", event)]), folder("l"))
-        build.run_build(spark, folder("l"), folder("out"))
-    assert [r["event_id"] for r in updated_staging(spark, folder).collect()] == ["2"]
+def test_a_failing_check_leaves_the_last_good_run_readable(spark, folder, monkeypatch):
+    land(spark, folder, [("2024-01-05", feed_event(1))])
+    build.run_build(spark, folder("l"), folder("out"))
+    before = {p: p.stat().st_mtime_ns for p in Path(folder("out")).rglob("part-*") if "raw_events" not in str(p)}
+    land(spark, folder, [("2024-01-05", feed_event(2)), ("2024-01-06", feed_event(3))])
 
+    def not_unique(spark, root, run, state):
+        staged = V.read_days(spark, root, build.STAGING, S.STAGED_SCHEMA, state)
+        return quality.unique_result(staged.unionAll(staged), "stg_events", "event_id")
 
-def test_copies_that_disagree_on_the_day_are_noticed_and_rebuilt(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    with monkeypatch.context() as broken:
+        broken.setattr(build, "changed_results", not_unique)
+        with pytest.raises(QualityError, match="unique"):
+            build.run_build(spark, folder("l"), folder("out"))
+    assert [r["event_id"] for r in spark.table("stg_events").collect()] == ["1"]
+    assert spark.table("daily_activity").count() == 1
+    assert all(p.stat().st_mtime_ns == time for p, time in before.items())
     build.run_build(spark, folder("l"), folder("out"))
-    moved = feed_event(1, created_at="2024-01-09T00:00:00Z", _extracted_at="2024-01-09T12:00:00Z")
-    landing.write_landing(records(spark, [("2024-01-09", moved)]), folder("l"))
-    with pytest.raises(QualityError, match="unique"):
+    assert spark.table("stg_events").count() == 3
+
+
+def test_files_without_valid_events_change_nothing(spark, folder):
+    with pytest.raises(QualityError, match="no record can be staged"):
+        land(spark, folder, [("2024-01-05", feed_event(1, type=None))])
+        build.run_build(spark, folder("l"), folder("out"))
+    for event in (feed_event(2), feed_event(3, type=None)):
+        land(spark, folder, [("2024-01-05", event)])
         build.run_build(spark, folder("l"), folder("out"))
-    build.run_build(spark, folder("l"), folder("out"), rebuild=True)
-    assert [str(r["event_date"]) for r in updated_staging(spark, folder).collect()] == ["2024-01-09"]
+    assert [r["event_id"] for r in staged_rows(spark, folder).collect()] == ["2"]
+    assert build.read_rejects(spark, folder("out")).count() == 2
 
 
-def test_merge_reads_only_the_days_it_rewrites(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+@pytest.mark.parametrize("rebuild", [False, True])
+def test_copies_that_disagree_on_the_day(spark, folder, rebuild):
+    """The latest pull wins, whether its copy came with a later run or all are staged at once."""
+    land(spark, folder, [("2024-01-05", feed_event(1)), ("2024-01-05", feed_event(2))])
     build.run_build(spark, folder("l"), folder("out"))
-    plan = plan_of(updated_staging(spark, folder).where(F.col("event_date").isin([dt.date(2024, 1, 5)])))
-    assert "PartitionFilters: [isnotnull(event_date" in plan.replace("\n", "")
+    moved = feed_event(1, created_at="2024-01-09T00:00:00Z", _extracted_at="2024-01-09T12:00:00Z")
+    land(spark, folder, [("2024-01-09", moved)])
+    build.run_build(spark, folder("l"), folder("out"), rebuild=rebuild)
+    found = {r["event_id"]: str(r["event_date"]) for r in staged_rows(spark, folder).collect()}
+    assert found == {"1": "2024-01-09", "2": "2024-01-05"}
+    old = feed_event(2, created_at="2024-01-01T00:00:00Z", _extracted_at="2023-01-01T12:00:00Z")
+    stamped = feed_event(2, _extracted_at="2024-01-10T12:00:00Z")
+    land(spark, folder, [("2024-01-10", old), ("2024-01-10", stamped)])
+    build.run_build(spark, folder("l"), folder("out"), rebuild=rebuild)
+    found = sorted((r["event_id"], str(r["event_date"])) for r in staged_rows(spark, folder).collect())
+    assert found == [("1", "2024-01-09"), ("2", "2024-01-05")]
+    assert spark.table("daily_activity").agg(F.sum("total_activity")).first()[0] == 2
 
 
 def test_rebuild_from_raw(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"))
-    counts = {r["stage"]: r["records"] for r in
-              build.run_build(spark, folder("l"), folder("out"), rebuild=True).collect()}
-    assert (counts["rows_loaded"], counts["stg_events"]) == (0, 1)
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out"), rebuild=True))
+    assert (counts["rows_loaded"], counts["stg_events"]) == (1, 1)
 
 
-def test_run_without_events_fails_but_a_broken_run_can_resume(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", "{")]), folder("l"))
+def test_run_without_events_fails(spark, folder):
+    land(spark, folder, [("2024-01-05", "{")])
     with pytest.raises(QualityError, match="no events extracted"):
         build.run_build(spark, folder("l"), folder("out"))
-    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"))
     with pytest.raises(QualityError, match="no events extracted"):
         build.run_build(spark, folder("l"), folder("out"))
-    again = build.run_build(spark, folder("l"), folder("out"), resume=True)
-    assert {r["stage"]: r["records"] for r in again.collect()}["stg_events"] == 1
 
 
-def test_invalid_records_stay_out(spark, folder):
+def test_rejected_records_are_counted_and_kept(spark, folder):
     actor = {"id": "not a number", "login": "x", "url": "u"}
-    events = [("2024-01-05", feed_event(1)), ("2024-01-05", feed_event(2, actor=None))]
-    events += [("2024-01-05", feed_event(3, actor=actor)), ("2024-01-05", feed_event(4, created_at="x"))]
-    landing.write_landing(records(spark, events), folder("l"))
-    counts = {r["stage"]: r["records"] for r in
-              build.run_build(spark, folder("l"), folder("out")).collect()}
-    assert (counts["rows_loaded"], counts["stg_events"]) == (4, 1)
-
-
-def test_wrong_payload_types_fail_a_strict_run_only(spark, folder):
-    bad = feed_event(2, payload={"size": "many"})
-    landing.write_landing(
-        records(spark, [("2024-01-05", feed_event(1)), ("2024-01-05", bad)]), folder("l")
-    )
-    with pytest.raises(QualityError, match="push_commit_count': 1"):
-        build.run_build(spark, folder("l"), folder("out"))
-    build.run_build(spark, folder("l"), folder("out"), resume=True, strict=False)
-    rows = spark.table("stg_events").orderBy("event_id").collect()
-    assert [r["push_commit_count"] for r in rows] == [2, None]
-
-
-def test_staging_is_partitioned_by_event_date(spark, folder):
-    frame = spark.range(1000).selectExpr("id", "date_add(DATE '2024-01-01', cast(id % 3 AS INT)) AS d")
-    table = build.write_table(frame, folder("t"), by="d")
-    assert same(table, frame)
-    build.write_table(frame.orderBy(F.col("id").desc()), folder("s"), by="d", sort=["id"])
-    for file in Path(folder("s")).rglob("part-*"):
-        values = [r["id"] for r in spark.read.parquet(str(file)).collect()]
-        assert values == sorted(values)
-    days = {p.name for p in Path(folder("t")).glob("d=*")}
-    assert days == {"d=2024-01-01", "d=2024-01-02", "d=2024-01-03"}
-
-
-def test_publish_as_view_and_as_table(spark):
+    events = [feed_event(1), feed_event(2, actor=None), feed_event(3, actor=actor), feed_event(4, created_at="x"),
+              feed_event(5, payload={"size": "many"}), 17]
+    land(spark, folder, [("2024-01-05", json.dumps(e)) for e in events])
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out")))
+    assert (counts["rows_loaded"], counts["stg_events"], counts["rows_rejected"]) == (6, 1, 5)
+    assert counts["rejected:actor.id"] == 3 and counts["rejected:created_at"] == 2
+    assert counts["rejected:type:push_commit_count"] == 1
+    kept = build.read_rejects(spark, folder("out"))
+    assert sorted(r[0] for r in kept.select(F.size("reasons")).collect())[:3] == [1, 1, 1]
+    ids = kept.select(F.expr("try_variant_get(raw_data, '$.id', 'string')")).collect()
+    assert {r[0] for r in ids} == {"2", "3", "4", "5", None}
+
+
+def test_a_strict_run_fails_on_any_rejected_record(spark, folder):
+    land(spark, folder, [("2024-01-05", feed_event(1)), ("2024-01-05", feed_event(2, payload={"size": "many"}))])
+    with pytest.raises(QualityError, match="push_commit_count"):
+        build.run_build(spark, folder("l"), folder("out"), strict=True)
+    assert V.read_state(spark, folder("out")).number == 0
+    build.run_build(spark, folder("l"), folder("out"))
+    assert [r["push_commit_count"] for r in spark.table("stg_events").collect()] == [2]
+
+
+def test_arrays_as_feeds_write_them_reach_the_models(spark, folder):
+    day = Path(folder("l"), "year=2024", "month=01", "day=05")
+    day.mkdir(parents=True)
+    (day / "one.json").write_text(json.dumps([feed_event(1), feed_event(2)]))
+    (day / "two.json").write_text(json.dumps([feed_event(3)], indent=4))
+    counts = counts_of(build.run_build(spark, folder("l"), folder("out")))
+    assert (counts["rows_loaded"], counts["stg_events"], counts["rows_quarantined"]) == (3, 3, 0)
+
+
+def test_tables_of_the_catalog_are_seen_by_other_sessions(spark, folder):
+    land(spark, folder, [("2024-01-05", feed_event(1))])
+    build.run_build(spark, folder("l"), folder("out"), materialize=True)
+    held = spark.newSession().table("stg_events")
+    assert held.count() == spark.newSession().table("daily_activity").count() == 1
+    land(spark, folder, [("2024-01-06", feed_event(2))])
+    build.run_build(spark, folder("l"), folder("out"), materialize=True)
+    # Another path: whoever reads the table as it was goes on reading it.
+    assert spark.newSession().table("stg_events").count() == 2 and held.count() == 1
+    for name in ("stg_events", "daily_activity", "contributor_stats", "top_contributors", "event_trends"):
+        spark.sql(f"DROP TABLE {name}")
+    tables = build.open_build(spark.newSession(), folder("out"))
+    assert tables["event_trends"].count() == 2
+
+
+def test_wide_rows_are_shuffled_once(spark, folder):
+    frame = staged(spark, [{"at": "2024-01-01 00:00:00"}]).withColumn("event_date", F.to_date("event_timestamp"))
+    share = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    dealt = settle(frame, "staged").withColumn("share", share).repartition("event_date", "share")
+    kept = latest_copy(dealt, null_keys=False, within=("event_date", "share"))
+    plan = plan_of(kept.sortWithinPartitions("event_date", "repo_name"))
+    assert plan.count("+- Exchange (") == 1
+
+
+def test_publish_as_view_and_as_table(spark, folder):
     frame = spark.range(3)
     build.publish(frame, "some_view")
     assert spark.table("some_view").count() == 3
-    stored = build.publish(frame, "some_table", materialize=True)
-    assert stored.count() == 3
-    assert [t.tableType for t in spark.catalog.listTables() if t.name == "some_table"] == ["MANAGED"]
+    stored = build.publish(frame, "some_table", folder("t"))
+    assert stored.count() == spark.newSession().table("some_table").count() == 3
     spark.sql("DROP TABLE some_table")
 
 
@@ -223,7 +279,16 @@ def test_only_a_local_session_may_do_without_a_shared_folder():
         shared_folder(fake_session("yarn"))
 
 
-def test_a_failing_model_fails_the_build(spark, folder):
+def test_a_failing_aggregate_fails_the_build(spark, folder):
     with pytest.raises(Exception, match="no_such_column|UNRESOLVED_COLUMN"):
-        build.build_models(spark.range(1).withColumnRenamed("id", "no_such_column"),
-                           build.Tables(folder("out")))
+        build.build_partials(spark.range(1).withColumnRenamed("id", "no_such_column"), folder("out"), "r")
+
+
+def test_intermediates_are_deleted_at_the_end(spark):
+    import forgepulse.session as session
+
+    settle(spark.range(3), "some")
+    (path,) = [p for p in session._written if "/some-" in p]
+    assert Path(path.removeprefix("file:").replace("//", "/")).is_dir()
+    session.remove(path)
+    assert not Path(path.removeprefix("file:").replace("//", "/")).exists()

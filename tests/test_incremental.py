@@ -1,5 +1,12 @@
 from __future__ import annotations
 
+import datetime as dt
+import json
+import os
+from pathlib import Path
+
+import pytest
+
 from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.staging import stg_events
 from forgepulse.sources import landing, raw_table
@@ -8,9 +15,7 @@ from tests.helpers import feed_event, records, staged
 
 
 def run(spark, folder, **options):
-    return incremental_load(
-        spark, folder("l"), folder("raw"), folder("quarantine"), folder("checkpoint"), **options
-    )
+    return incremental_load(spark, folder("l"), folder("raw"), **options)
 
 
 def land(spark, folder, numbers, day="2024-01-05", layout="lines"):
@@ -18,6 +23,18 @@ def land(spark, folder, numbers, day="2024-01-05", layout="lines"):
     landing.write_landing(records(spark, events), folder("l"), layout)
 
 
+def put(folder, name: str, text: str, day: str = "day=05"):
+    target = Path(folder("l"), "year=2024", "month=01", day)
+    target.mkdir(parents=True, exist_ok=True)
+    (target / name).write_text(text)
+    return target / name
+
+
+def loaded(spark, folder) -> list[str]:
+    raw = raw_table.read_raw(spark, folder("raw"))
+    return sorted(r[0] for r in stg_events(raw).select("event_id").collect())
+
+
 def test_only_new_files_are_loaded(spark, folder):
     land(spark, folder, range(5))
     assert [c.rows_loaded for c in run(spark, folder)] == [5]
@@ -25,10 +42,63 @@ def test_only_new_files_are_loaded(spark, folder):
     land(spark, folder, range(5, 7), day="2024-01-06")
     land(spark, folder, [7])  # another file for a day that is loaded already
     assert sum(c.rows_loaded for c in run(spark, folder)) == 3
-    raw = raw_table.read_raw(spark, folder("raw"))
-    assert sorted(r[0] for r in stg_events(raw).select("event_id").collect()) == [
-        str(n) for n in range(8)
-    ]
+    assert loaded(spark, folder) == [str(n) for n in range(8)]
+
+
+def test_a_file_with_an_old_time_is_new_all_the_same(spark, folder):
+    put(folder, "a.json", json.dumps(feed_event(1)))
+    run(spark, folder)
+    os.utime(put(folder, "b.json", json.dumps(feed_event(2))), (0, 0))
+    assert [c.rows_loaded for c in run(spark, folder)] == [1]
+    put(folder, "c.json", json.dumps(feed_event(3)))
+    run(spark, folder)
+    assert loaded(spark, folder) == ["1", "2", "3"]
+
+
+def test_two_feeds_into_one_raw_table(spark, folder):
+    for name, number in (("one", 1), ("two", 2)):
+        landing.write_landing(records(spark, [("2024-01-05", feed_event(number))]), folder(name))
+        incremental_load(spark, folder(name), folder("raw"))
+    assert loaded(spark, folder) == ["1", "2"]
+
+
+def test_progress_that_is_lost_overwrites_nothing(spark, folder):
+    """Without the table of loads everything is loaded again under other ids, as copies."""
+    land(spark, folder, [1])
+    run(spark, folder)
+    kept = raw_table.load_ids(spark, folder("raw"))
+    os.rename(folder("raw") + "/_loads", folder("raw") + "/_lost")
+    land(spark, folder, [2], day="2024-01-06")
+    run(spark, folder)
+    assert not set(kept) & set(raw_table.load_ids(spark, folder("raw")))
+    assert loaded(spark, folder) == ["1", "2"]
+    assert Path(folder("raw"), f"load_id={kept[0]}").is_dir()
+
+
+@pytest.mark.parametrize("layout", ["auto", "lines"])
+def test_an_array_file_under_the_default_layout(spark, folder, layout):
+    put(folder, "a.json", json.dumps([feed_event(1), feed_event(2)]))
+    assert [(c.rows_loaded, c.rows_quarantined) for c in run(spark, folder, layout=layout)] == [(2, 0)]
+    assert loaded(spark, folder) == ["1", "2"]
+
+
+def test_arrays_over_several_lines_are_told_from_broken_lines(spark, folder):
+    put(folder, "a.json", json.dumps([feed_event(1), feed_event(2)], indent=2))
+    put(folder, "b.json", json.dumps(feed_event(3)) + "\n[broken\n" + json.dumps(feed_event(4)))
+    put(folder, "c with space.json", json.dumps([feed_event(5)], indent=1))
+    assert [(c.rows_loaded, c.rows_quarantined) for c in run(spark, folder)] == [(5, 1)]
+    assert loaded(spark, folder) == ["1", "2", "3", "4", "5"]
+    assert [r["raw_text"] for r in raw_table.read_quarantine(spark, folder("raw")).collect()] == ["[broken"]
+    assert run(spark, folder) == []
+
+
+def test_only_some_days_are_listed(spark, folder):
+    for day in (5, 6, 7):
+        land(spark, folder, [day], day=f"2024-01-{day:02d}")
+    run(spark, folder, days=[dt.date(2024, 1, 6), dt.date(2024, 1, 9)])
+    assert loaded(spark, folder) == ["6"]
+    run(spark, folder)
+    assert loaded(spark, folder) == ["5", "6", "7"]
 
 
 def test_equals_batch_load_in_both_layouts(spark, folder):
@@ -36,18 +106,19 @@ def test_equals_batch_load_in_both_layouts(spark, folder):
         at = lambda name, layout=layout: folder(f"{layout}-{name}")
         land(spark, at, range(20), layout=layout)
         run(spark, at, layout=layout)
-        streamed = stg_events(raw_table.read_raw(spark, at("raw"))).select("event_id", "repo_id")
-        batch = stg_events(landing.read_landing(spark, at("l"), layout)).select(
-            "event_id", "repo_id"
-        )
-        assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+        read = stg_events(raw_table.read_raw(spark, at("raw"))).select("event_id", "repo_id")
+        batch = stg_events(landing.read_landing(spark, at("l"), layout)).select("event_id", "repo_id")
+        assert read.exceptAll(batch).isEmpty() and batch.exceptAll(read).isEmpty()
+    with pytest.raises(ValueError, match="layout"):
+        run(spark, folder, layout="other")
 
 
-def test_small_batches_cover_everything(spark, folder):
+def test_small_loads_cover_everything(spark, folder):
     for day in ("2024-01-05", "2024-01-06", "2024-01-07"):
         land(spark, folder, [int(day[-2:])], day)
-    counts = run(spark, folder, max_files_per_batch=1)
+    counts = run(spark, folder, max_files_per_load=1)
     assert len(counts) >= 3 and sum(c.rows_loaded for c in counts) == 3
+    assert len({c.load_id for c in counts}) == len(counts)
 
 
 def test_unreadable_text_goes_to_quarantine(spark, folder):
@@ -55,15 +126,20 @@ def test_unreadable_text_goes_to_quarantine(spark, folder):
         records(spark, [("2024-01-05", "{"), ("2024-01-05", feed_event(1))]), folder("l")
     )
     assert [(c.rows_loaded, c.rows_quarantined) for c in run(spark, folder)] == [(1, 1)]
-    assert raw_table.read_quarantine(spark, folder("quarantine")).first()["raw_text"] == "{"
+    assert raw_table.read_quarantine(spark, folder("raw")).first()["raw_text"] == "{"
 
 
-def test_repeated_batch_replaces_its_output(spark, folder):
-    """What a lost driver leaves behind: output written, batch not committed."""
+def test_a_load_that_broke_off_is_repeated_and_counts_once(spark, folder, monkeypatch):
     land(spark, folder, range(4))
-    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
-    raw_table.append_load(parsed, folder("raw"), folder("quarantine"), "stream-0000000000")
-    run(spark, folder)
+
+    def die(*arguments):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(raw_table, "commit_load", die)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run(spark, folder)
+    assert [c.rows_loaded for c in run(spark, folder)] == [4]
     assert raw_table.read_raw(spark, folder("raw")).count() == 4
 
 
@@ -84,6 +160,18 @@ def test_latest_copy_wins_and_missing_ids_stay(spark):
     assert latest_copy(frame, null_keys=False).count() == 2 + 1  # the missing ids as one group
 
 
+def test_copies_that_differ_in_one_column_only(spark):
+    """Whatever the order of the rows, the same copy stays."""
+    base = {"id": "1", "pulled": "2024-01-01 00:00:00", "at": "2024-01-01 00:00:00"}
+    for column in ("size", "actor_id", "repo_id"):
+        rows = [{**base, column: value} for value in (3, 1, 2)]
+        found = {str(latest_copy(staged(spark, some)).first()) for some in (rows, rows[::-1], rows[1:] + rows[:1])}
+        assert len(found) == 1
+    for column in ("issue", "pr"):
+        rows = [{**base, column: value} for value in ("closed", "opened")]
+        assert len({str(latest_copy(staged(spark, some)).first()) for some in (rows, rows[::-1])}) == 1
+
+
 def test_one_event_as_a_third_of_the_input(spark):
     hot = spark.range(60_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS STRING) END AS event_id",

@@ -56,10 +56,17 @@ def test_packer_bounds_what_a_task_holds():
     batch = pa.RecordBatch.from_pydict(
         {n: [r[i] for r in rows] for i, n in enumerate(("year", "month", "day", "record"))}
     )
-    out = list(landing._array_packer(max_records=1000, max_chars=200)([batch]))
-    texts = [b.column("value")[0].as_py() for b in out]
-    assert sum(t.count("x" * 10) for t in texts) == 400
-    assert max(len(t) for t in texts) < 300
+    for max_records in (1000, 2):
+        out = list(landing._array_packer(max_records, max_chars=200)([batch, batch.slice(0, 0), batch]))
+        texts = [t for b in out for t in b.column("value").to_pylist()]
+        assert sum(t.count("x" * 10) for t in texts) == 800
+        assert max(len(t) for t in texts) < 300
+        assert max(t.count("x" * 10) for t in texts) <= max_records
+    in_day: dict = {}
+    for b in out:
+        for text, day in zip(b.column("value").to_pylist(), b.column("day").to_pylist()):
+            in_day[day] = in_day.get(day, 0) + text.count("x" * 10)
+    assert in_day == {f"{d:02d}": 100 for d in range(1, 9)}
 
 
 @pytest.mark.parametrize(
@@ -69,12 +76,17 @@ def test_packer_bounds_what_a_task_holds():
         '[{"id":"1"},{"id":oops},{"id":"3"}]',
         '[{"id":"1"}][{"id":"2"}]',  # a parser would stop after the first array
         '[{"id":"1"}] and more',
+        '[{"id":"1"}],"x":[{"id":"2"}]',  # closes the array that it is parsed in
+        '[{"id":"1"}],"records":[{"id":"2"}]',
+        '[{"id":"1"}],["x"]',
+        '{"id":"1"},{"id":"2"}',
+        '{"id":"1"}] [',
     ],
 )
 def test_unreadable_file_is_kept_whole_and_others_load(spark, folder, text):
     put(folder("l"), text, name="bad.json")
     put(folder("l"), json.dumps([feed_event(1), feed_event(2)], indent=2), name="good.json")
-    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), "array"), "array")
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), "array"))
     assert ids(landing.readable(parsed)) == ["1", "2"]
     bad = landing.unreadable(parsed).collect()
     assert [r["raw_text"] for r in bad] == [text]
@@ -85,19 +97,24 @@ def test_single_object_empty_array_and_blank_files(spark, folder):
     put(folder("l"), json.dumps(feed_event(1)), name="object.json")
     put(folder("l"), "[]", name="empty.json")
     put(folder("l"), " \n", name="blank.json")
-    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), "array"), "array")
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), "array"))
     assert ids(landing.readable(parsed)) == ["1"]
     assert landing.unreadable(parsed).isEmpty()
 
 
 def test_bad_lines_do_not_hide_good_ones(spark, folder):
     good = [json.dumps(feed_event(i)) for i in (1, 2)]
-    put(folder("l"), "\n".join([good[0], '{"id":', "", good[1] + good[0]]) + "\n")
+    bad = ['{"id":', good[1] + good[0], good[1] + "," + good[0], good[0] + "] ["]
+    put(folder("l"), "\n".join([good[0], *bad[:2], "", *bad[2:]]) + "\n")
     parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
     assert ids(landing.readable(parsed)) == ["1"]
-    assert sorted(r["raw_text"] for r in landing.unreadable(parsed).collect()) == sorted(
-        ['{"id":', good[1] + good[0]]
-    )
+    assert sorted(r["raw_text"] for r in landing.unreadable(parsed).collect()) == sorted(bad)
+
+
+def test_a_line_may_hold_an_array(spark, folder):
+    put(folder("l"), json.dumps([feed_event(1), feed_event(2)]) + "\n[]\n" + json.dumps(feed_event(3)))
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
+    assert ids(landing.readable(parsed)) == ["1", "2", "3"] and landing.unreadable(parsed).isEmpty()
 
 
 def test_wide_ids_and_json_types(spark, folder):
@@ -140,6 +157,15 @@ def test_one_file_reads_back(spark, folder):
     assert (found.first()["month"], found.first()["day"]) == (1, 5)
 
 
+def test_files_are_listed_by_day(spark, folder):
+    events = [(f"2024-01-{d:02d}", feed_event(d)) for d in (1, 2, 4)]
+    landing.write_landing(records(spark, events), folder("l"))
+    assert landing.list_files(spark, folder("l")).count() == 3
+    two = landing.list_files(spark, folder("l"), [dt.date(2024, 1, 2), dt.date(2024, 1, 3)])
+    assert [(r["month"], r["day"]) for r in two.collect()] == [(1, 2)]
+    assert len(two.inputFiles()) == 1
+
+
 def test_two_landing_zones(spark, folder):
     for name in ("a", "b"):
         landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder(name))
@@ -165,23 +191,43 @@ def test_inventory_lists_files_with_sizes(spark, folder):
     ]
 
 
-def load(spark, folder, load_id):
+def load(spark, folder, load_id=None):
     parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
-    return raw_table.append_load(parsed, folder("raw"), folder("quarantine"), load_id)
+    return raw_table.append_load(parsed, folder("raw"), load_id)
 
 
-def test_loads_append_and_repeat_in_place(spark, folder):
+def test_loads_append_and_committed_ids_are_refused(spark, folder):
     events = [("2024-01-05", feed_event(1)), ("2024-01-06", feed_event(2)), ("2024-01-06", "{")]
     landing.write_landing(records(spark, events), folder("l"))
     assert load(spark, folder, "a") == raw_table.LoadCounts("a", 2, 1)
-    load(spark, folder, "a")  # a retry replaces its own rows
+    with pytest.raises(ValueError, match="committed already"):
+        load(spark, folder, "a")
     assert raw_table.read_raw(spark, folder("raw")).count() == 2
-    load(spark, folder, "b")  # another load adds
+    load(spark, folder)  # another load adds
     raw = raw_table.read_raw(spark, folder("raw"))
     assert raw.count() == 4
     assert raw.schema.simpleString().startswith("struct<raw_data:variant,file_name:string")
-    assert raw_table.read_quarantine(spark, folder("quarantine")).count() == 2
-    assert "PartitionFilters: [isnotnull(day" in plan_of(raw.where("day = 6")).replace("\n", "")
+    assert raw_table.read_quarantine(spark, folder("raw")).count() == 2
+    pruned = plan_of(raw.where("day = 6")).replace("\n", "").split("PartitionFilters: ")[1]
+    assert "isnotnull(day" in pruned.split("]")[0] and "readable" in pruned.split("]")[0]
+
+
+def test_what_is_not_committed_is_not_read(spark, folder):
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(1))]), folder("l"))
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
+    counts = raw_table.write_rows(parsed, folder("raw"), "broken-off")
+    assert raw_table.read_raw(spark, folder("raw")).isEmpty()
+    raw_table.commit_load(spark, folder("raw"), counts)
+    assert raw_table.read_raw(spark, folder("raw")).count() == 1
+
+
+def test_a_load_parses_its_text_once(spark, folder):
+    """Readable and unreadable rows leave in one pass: the plan of the writing has one parser a branch."""
+    landing.write_landing(records(spark, [("2024-01-05", "{"), ("2024-01-05", feed_event(1))]), folder("l"))
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l")))
+    kept = parsed.where(F.col("raw_data").isNotNull() | landing.is_unreadable())
+    lines = plan_of(kept).split("== Physical Plan ==")[1].splitlines()
+    assert sum(line.count("from_json(") for line in lines) == 2  # arrays, single values
 
 
 @pytest.mark.parametrize("layout", landing.LAYOUTS)
@@ -192,24 +238,14 @@ def test_compact_writes_few_files_and_the_same_rows(spark, folder, layout):
         frame = frame.where("record <> '{'")
     landing.write_landing(frame, folder("l"), layout, compact=True)
     assert len(list(Path(folder("l")).rglob("part-*"))) == 4
-    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), layout), layout)
-    counts = raw_table.append_load(
-        parsed.repartition(8), folder("raw"), folder("q"), "a", compact=True
-    )
+    parsed = landing.parse_landing(landing.scan_landing(spark, folder("l"), layout))
+    counts = raw_table.append_load(parsed.repartition(8), folder("raw"), "a", compact=True)
     assert (counts.rows_loaded, counts.rows_quarantined) == (200, int(layout == "lines"))
-    assert len(list(Path(folder("raw")).rglob("part-*"))) == 4
+    good = Path(folder("raw"), "load_id=a", "readable=true")
+    assert len(list(good.rglob("part-*"))) == 4
     assert ids(raw_table.read_raw(spark, folder("raw"))) == sorted(str(i) for i in range(200))
 
 
-def test_retry_without_bad_text_clears_its_old_quarantine(spark, folder):
-    landing.write_landing(records(spark, [("2024-01-05", "{")]), folder("l"))
-    load(spark, folder, "a")
-    good = landing.parse_landing(landing.scan_landing(spark, folder("l")).where("day = 99"))
-    counts = raw_table.append_load(good, folder("raw"), folder("quarantine"), "a")
-    assert counts == raw_table.LoadCounts("a", 0, 0)
-    assert raw_table.read_raw(spark, folder("raw")).isEmpty()
-
-
 def test_dump_keeps_records_as_they_are(spark, folder):
     from tests.helpers import raw
 

@@ -14,9 +14,9 @@ def results(spark, events):
     return Q.model_results(stg, models.daily_activity(stg), top, models.event_trends(stg))
 
 
-def test_clean_rows_pass_all_nine_checks(spark):
+def test_clean_rows_pass_all_checks(spark):
     found = Q.gate(results(spark, [{"at": "2024-01-01 00:00:00"}]))
-    assert found.count() == 9 and found.agg(F.sum("failures")).first()[0] == 0
+    assert found.count() == 12 and found.agg(F.sum("failures")).first()[0] == 0
 
 
 def test_gate_names_what_failed(spark):
@@ -32,6 +32,17 @@ def test_gate_names_what_failed(spark):
     assert "not_null(top_contributors.contributor)=1" in message
 
 
+def test_results_of_the_other_checks(spark):
+    frame = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), (None, 2)], "k STRING, d INT")
+    assert Q.accepted_result(frame, "m", "k", ["a"]).first()["failures"] == 2
+    assert Q.accepted_result(frame, "m", "k", ["a", "b", "c"]).first()["failures"] == 0
+    parents = spark.createDataFrame([("a",)], "p STRING")
+    assert Q.relationship_result(frame, "m", "k", parents, "p").first()["failures"] == 2
+    assert Q.row_count_result(frame, "m", "d", 2).first()["failures"] == 0
+    assert Q.row_count_result(frame, "m", "d", 3).first()["failures"] == 2
+    assert Q.row_count_result(frame.limit(0), "m", "d").first()["failures"] == 1
+
+
 def test_unique_ignores_nulls(spark):
     frame = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k STRING")
     assert [tuple(r) for r in Q.duplicate_keys(frame, "k").collect()] == [("a", 2)]
