@@ -402,19 +402,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_feed_daily_activity(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
+def _is_there(module: str) -> bool:
+    found = find_spec(module)
+    return found is not None and found.origin is not None  # an emptied folder has no origin
+
+
 def _pipeline_parts() -> list[tuple[dict[str, Query], dict[str, str]]]:
     """Queries and DuckDB counterparts of the training-data operators and of their pipeline, as far
     as these are there; errors inside them are not swallowed."""
     parts: list[tuple[dict[str, Query], dict[str, str]]] = []
-    if find_spec("forgepulse.llm"):
+    if _is_there("forgepulse.llm"):
         from forgepulse.llm import queries as llm
 
         parts.append((llm.QUERIES, llm.ORACLE))
-    if find_spec("corpus_pipeline"):
-        import corpus_pipeline
+        if _is_there("corpus_pipeline"):
+            import corpus_pipeline
 
-        oracle = corpus_pipeline.ORACLE_SQL
-        parts.append(({"pipeline": corpus_pipeline.run}, {"pipeline": oracle} if oracle else {}))
+            oracle = corpus_pipeline.ORACLE_SQL
+            parts.append(({"pipeline": corpus_pipeline.run}, {"pipeline": oracle} if oracle else {}))
     return parts
 
 
