@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgepulse.session import new_folder, settle
+from forgepulse.session import new_folder, remove, settle
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Edges whose components one task works out, and rounds after which something must be wrong.
+ONE_TASK_EDGES, MOST_ROUNDS = 500_000, 60
 #: Longest run of rows whose texts are Python objects at the same time.
 ROWS_AT_ONCE = 256
 
@@ -34,15 +38,6 @@ def pyarrow_path(uri: str) -> tuple[pa.fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def drop_folder(uri: str) -> None:
-    """Delete an intermediate of this run that nothing reads any more."""
-    from pyarrow import fs
-
-    files, path = pyarrow_path(uri)
-    if files.get_file_info(path).type == fs.FileType.Directory:
-        files.delete_dir(path)
-
-
 class Scratch:
     """Written intermediates of one operator run; ``drop`` deletes those no longer read."""
 
@@ -51,8 +46,14 @@ class Scratch:
 
     def write(self, df: DataFrame) -> tuple[DataFrame, str]:
         self.count += 1
-        path = f"{self.folder}/{self.count}"
-        df.write.parquet(path)
+        path, conf = f"{self.folder}/{self.count}", self.spark.conf
+        # What was shuffled for a table is not read again once the table is written.
+        before = conf.get(_FREE_SHUFFLES, "false")
+        conf.set(_FREE_SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(_FREE_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path), path
 
 
@@ -73,36 +74,65 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return (
         moved.where("a <> b")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .groupBy("a", "b").agg()
+        .distinct()
     )
 
 
-def components(edges: DataFrame, label: str, at_most: int = 60) -> DataFrame:
+def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of the links (a, b), and the least node that each is connected with."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = places[: len(a)], places[len(a):]
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[left], root[right])
+        if (root[left] == least).all() and (root[right] == least).all():
+            return nodes, nodes[root]
+        for ends in (left, right):
+            np.minimum.at(root, root[ends], least)
+            np.minimum.at(root, ends, least)
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _of_one_task(edges: DataFrame) -> DataFrame:
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            rows = pa.Table.from_batches(held)
+            found = least_reached(rows.column("a").to_numpy(), rows.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["node", "component"])
+
+    return edges.select("a", "b").coalesce(1).mapInArrow(reach, "node long, component long")
+
+
+def components(edges: DataFrame, label: str, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """(node, component) for every node of the BIGINT edges (a, b); component: its least node.
 
     Large-star and small-star steps in turn until nothing moves; each round is a written table, so
-    lineage stays short and no executor holds the only copy. Nodes without an edge do not appear.
+    lineage stays short and no executor holds the only copy. Up to ``one_task`` edges, a few
+    megabytes, one task does the same. Nodes without an edge to another do not appear.
     """
     scratch = Scratch(edges.sparkSession, label)
-    first = edges.where("a <> b").select(
+    current, path = scratch.write(edges.where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
-    current, path = scratch.write(first.distinct())
+    ))
+    if current.count() <= one_task:
+        return scratch.write(_of_one_task(current))[0]
     digest = None
-    for _ in range(at_most):
+    for _ in range(MOST_ROUNDS):
         state = current.agg(
             F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")
         ).first()
-        if (state["n"], state["x"]) == digest or state["n"] == 0:
+        if (state["n"], state["x"]) == digest:
             break
         digest = (state["n"], state["x"])
         half, half_path = scratch.write(_star(current, large=True))
         after, after_path = scratch.write(_star(half, large=False))
-        drop_folder(path)
-        drop_folder(half_path)
+        remove(path)
+        remove(half_path)
         current, path = after, after_path
     else:
-        raise RuntimeError(f"components did not settle in {at_most} rounds")
+        raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
     return current.select(F.col("b").alias("node"), F.col("a").alias("component")).unionAll(
         current.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     )
@@ -114,6 +144,6 @@ def crc_of_id(column: str | Column) -> Column:
 
 
 __all__ = [
-    "ROWS_AT_ONCE", "Scratch", "components", "crc_of_id", "drop_folder", "new_folder",
-    "pyarrow_path", "row_slices", "settle", "table",
+    "ROWS_AT_ONCE", "Scratch", "components", "crc_of_id", "least_reached", "new_folder",
+    "pyarrow_path", "remove", "row_slices", "settle", "table",
 ]

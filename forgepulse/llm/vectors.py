@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgepulse.llm.support import Scratch, components
+from forgepulse.llm.support import Scratch, components, least_reached
 
 THRESHOLD = 0.93
 #: Vectors on which the codebooks are trained, at most.
@@ -131,20 +131,6 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _forest(a: np.ndarray, b: np.ndarray, nodes: int) -> np.ndarray:
-    """Least node that each node is connected with by the links (a, b)."""
-    root = np.arange(nodes)
-    while True:
-        least = np.minimum(root[a], root[b])
-        if (root[a] == least).all() and (root[b] == least).all():
-            return root
-        for ends in (a, b):
-            np.minimum.at(root, root[ends], least)
-            np.minimum.at(root, ends, least)
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def _compare(index: ProductIndex, centre: int, members: dict, queries: dict, threshold: float):
     """Counts (class, links) and forest (class, class) of the links between queries and members."""
     q, m = index.candidates(queries["unit"], centre, members["codes"], members["error"])
@@ -165,9 +151,9 @@ def _compare(index: ProductIndex, centre: int, members: dict, queries: dict, thr
         np.bincount(q, members["weight"][m], minlength=len(queries["class"])),
         np.bincount(m, queries["weight"][q], minlength=len(members["class"])),
     ]).astype(np.int64)
-    root = _forest(q, m + len(queries["class"]), len(names))
     some = np.nonzero(links)[0]
-    return names[some], links[some], names[root[some]]
+    nodes, root = least_reached(queries["class"][q], members["class"][m])
+    return names[some], links[some], root[np.searchsorted(nodes, names[some])]
 
 
 def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFrame:

@@ -7,7 +7,8 @@ import numpy as np
 from xxhash import xxh64_intdigest
 
 from forgepulse.llm import simhash_bits
-from forgepulse.llm.support import Scratch
+from forgepulse.llm.support import Scratch, remove
+from forgepulse.llm.support import components as all_components
 from tests.llm.cases import components, documents, no_documents, odd_documents, odd_rows, prose
 
 
@@ -114,10 +115,21 @@ def test_one_row_of_each_component_stays_with_all_columns(spark):
 
 
 def test_scratch_tables_can_be_dropped(spark):
-    from forgepulse.llm.support import drop_folder
-
     scratch = Scratch(spark, "test")
     df, path = scratch.write(spark.range(5).toDF("n"))
     assert df.count() == 5
-    drop_folder(path)
-    drop_folder(path)
+    remove(path)
+    remove(path)
+
+
+def test_components_by_stars_and_in_one_task(spark):
+    rng = random.Random(8)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    links += [(i, i + 1) for i in range(1000, 1080)] + [(2000, i) for i in range(2001, 2300)] + [(5, 5)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    roots = dict(enumerate(components(2300, links)))
+    want = {n: roots[n] for a, b in links for n in (a, b) if a != b}
+    for one_task in (0, 10**6):
+        found = {r["node"]: r["component"] for r in all_components(frame, "test", one_task).collect()}
+        assert found == want
+    assert all_components(frame.limit(0), "test", 0).count() == 0
