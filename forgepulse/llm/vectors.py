@@ -220,6 +220,8 @@ def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFra
                         held = {k: np.concatenate([members[k], v]) for k, v in held.items()}
                     block, members = key, held
                     continue
+                if block != key:  # the hash has dealt this block no members
+                    continue
                 for first in range(0, rows.num_rows, QUERY_ROWS):
                     found = _compare(
                         index, int(key[1]), members, side(rows.slice(first, QUERY_ROWS)), threshold

@@ -47,9 +47,9 @@ def test_clusters_copies_and_odd_vectors_against_brute_force(spark, monkeypatch)
              (2005, [float("inf")] + [1.0] * 19, 1), (2006, rows[5][1], None), (2007, rows[5][1][:13], rows[5][2]),
              (None, rows[5][1], rows[5][2]), (None, None, None), (2007, rows[7][1], rows[7][2]), (2008, [-0.0] * 19 + [1.0], 0)]
     want = sorted(map(str, brute(rows)))
-    for size in (vectors.LIST_ROWS, 16):
+    for size, block in ((512, 1024), (16, 64), (16, 2)):  # the last leaves blocks without members
         monkeypatch.setattr(vectors, "LIST_ROWS", size)
-        monkeypatch.setattr(vectors, "BLOCK_ROWS", 4 * size)
+        monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
         found = vectors.near_duplicates(frame(spark, rows)).collect()
         assert sorted(str(tuple(r)) for r in found) == want
 
