@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgepulse.session import file_system
 from forgepulse.sources.raw_table import read_if_there
 
 DAY = "event_date"
@@ -81,6 +82,25 @@ def folder(root: str, name: str, run: str) -> str:
     return f"{root}/{name}/run={run}"
 
 
+def prune(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
+    """Delete the folders of runs that hold no day of the last state: replaced days' and broken runs'.
+
+    Not while a run is under way, and not while someone reads an earlier state.
+    """
+    from pyarrow import fs
+
+    state, gone = read_state(spark, root), []
+    for name in names:
+        held = set(state.days.get(name, {}).values())
+        files, path = file_system(f"{root}/{name}")
+        for entry in files.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            run = entry.base_name.removeprefix("run=")
+            if entry.base_name != run and run not in held:
+                files.delete_dir(entry.path)
+                gone.append(f"{name}/{entry.base_name}")
+    return gone
+
+
 def write_days(df: DataFrame, root: str, name: str, run: str, sort: Sequence[str] = ()) -> None:
     """Write the rows of ``df`` as days of ``run``. Rows must be clustered by day already, or few."""
     rows = df.sortWithinPartitions(DAY, *sort) if sort else df

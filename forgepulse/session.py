@@ -86,12 +86,19 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(path: str):
+    """File system and path there of a folder that Spark names, for work that is not Spark's."""
+    from pyarrow import fs
+
+    local = path.startswith(("file:", "/"))
+    return fs.FileSystem.from_uri("file:///" + path.removeprefix("file:").lstrip("/") if local else path)
+
+
 def remove(path: str) -> None:
     """Delete a folder of intermediates, if it is there."""
     from pyarrow import fs
 
-    uri = "file:///" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
-    files, name = fs.FileSystem.from_uri(uri)
+    files, name = file_system(path)
     if files.get_file_info(name).type == fs.FileType.Directory:
         files.delete_dir(name)
 

@@ -103,6 +103,16 @@ def test_a_run_writes_and_reads_only_days_with_new_events(spark, folder):
     assert sorted(r["event_id"] for r in staged_rows(spark, folder).collect()) == ["1", "2", "3", "9"]
 
 
+def test_runs_that_hold_no_day_are_pruned(spark, folder):
+    for number in (1, 2):  # the second replaces the only day of the first
+        land(spark, folder, [("2024-01-05", feed_event(number))])
+        build.run_build(spark, folder("l"), folder("out"))
+    names = [build.STAGING, *partials.SCHEMAS]
+    assert len(V.prune(spark, folder("out"), names)) == len(names)
+    assert V.prune(spark, folder("out"), names) == []
+    assert build.open_build(spark, folder("out"))["stg_events"].count() == 2
+
+
 def test_a_run_that_breaks_off_leaves_everything_as_it_was(spark, folder, monkeypatch):
     land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"))
