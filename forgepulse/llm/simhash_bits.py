@@ -206,7 +206,7 @@ def near_links(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
     keys = ["band", "key", "i", "j"]
     return (
         dealt.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "mark")
-        .mapInArrow(links, "a long, b long").distinct()
+        .mapInArrow(links, "a long, b long")
     )
 
 
@@ -279,4 +279,5 @@ def without_near_duplicates(
     first = narrow.groupBy("fingerprint").agg(F.min(rank).alias("first"))
     kept = classes.join(first, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
     kept, _ = scratch.write(kept.select(F.col("first.number").alias("number")))
-    return marked.join(kept, "number", "left_semi").select("row.*")
+    # Nearly as many numbers as documents: merged at every size, never broadcast.
+    return marked.join(kept.hint("merge"), "number", "left_semi").select("row.*")
