@@ -64,45 +64,55 @@ def _any(words: list[str]) -> str:
 _TITLE = _any([t for titles in TITLES.values() for t in titles])
 _FIRST = _any([n for (script, _), names in GIVEN.items() for n in names])
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
+#: Where a title or given name may begin, as few ranges as can be: looked at before the long lists.
+_NAME_START = "(?=[A-ZΆ-я])"
+_VALUE = r"[^\s\"']{6,200}"
+_LABEL = r"\b(?:password|passwd|pwd|secret|token|api_?key) {0,2}[=:] {0,2}[\"']?"
 
 # In the order in which they are tried at a place; a mention's type is the first that matches it whole.
 PATTERNS = {
-    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
+    "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "secret": r"(?<=\b(?:password|passwd|pwd|secret|token|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)[^\s\"']{6,200}",
-    "hex": r"\b(?=[0-9a-f]{0,39}[0-9])[0-9a-f]{32,128}\b",
+    "secret": _LABEL + _VALUE,
+    "hex": r"\b(?=[a-f]{0,20}[0-9])[0-9a-f]{32,128}+\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
-    "card": r"(?<![\w-])[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![\w-])",
-    "phone": r"(?<![\w+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w)"
-             r"|(?<![\w+.-])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?!\w)",
-    "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\w)",
-    "name": rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST}) {_NAME})(?!\p{{L}})",
+    "ssn": r"(?=[0-9])(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "card": r"(?=[0-9])(?<![\w-])(?:" + "|".join(
+        f"[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{1,7}}" for gap in ("", " ", "-")
+    ) + r")(?![\w-])",
+    "phone": r"(?=[0-9+(])(?<![\w+.-])(?:"
+             r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+             r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4})(?!\w)",
+    "ip": r"(?=[0-9])(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}"
+          r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\w)",
+    "name": rf"{_NAME_START}(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST}) {_NAME})(?!\p{{L}})",
 }
-#: Back references count across all patterns joined, so the joined form spells the card pattern out.
-_CARD = "|".join(
-    rf"(?<![\w-])[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{1,7}}(?![\w-])" for gap in ("", " ", "-")
-)
-ANY = "|".join(f"(?:{_CARD if kind == 'card' else p})" for kind, p in PATTERNS.items())
-#: What every text with an entity has; most texts are passed over with this alone.
-HINT = rf"[0-9@]|password|passwd|pwd|secret|token|api_?key|(?:{_TITLE}|{_FIRST})"
+ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_LABEL_WORDS = ("password", "passwd", "pwd", "secret", "token", "api")
+
+
+def may_mention(text: Column) -> Column:
+    """What every text with an entity has; most texts are passed over with this alone."""
+    found = F.regexp_like(text, F.lit("[0-9@]"))
+    for word in _LABEL_WORDS:
+        found = found | F.contains(text, F.lit(word))
+    return found | F.regexp_like(text, F.lit(f"{_NAME_START}(?:{_TITLE}|{_FIRST})[. ]"))
 
 
 def mentions(text: str | Column) -> Column:
     """All mentions of a text in order; NULL where there is none."""
     text = F.col(text) if isinstance(text, str) else text
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    found = F.when(F.regexp_like(text, F.lit(HINT)), found)
-    return F.when(F.size(found) > 0, found)
+    found = F.when(may_mention(text), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    # As a lambda's value the array is made once.
+    return F.get(F.filter(F.array(found), lambda m: F.size(m) > 0), F.lit(0))
 
 
 def kind_of(mention: Column) -> Column:
-    """Type of a mention from its own characters; what needs its surroundings is a secret."""
+    """Type of a mention: the first whose pattern matches it whole."""
     kind = F.lit("secret")
     for name in reversed(PATTERNS):
-        if name != "secret":
-            pattern = _CARD if name == "card" else PATTERNS[name]
-            kind = F.when(F.regexp_like(mention, F.lit(f"^(?:{pattern})$")), name).otherwise(kind)
+        pattern = F.lit(f"^(?:{PATTERNS[name]})$")
+        kind = F.when(F.regexp_like(mention, pattern), name).otherwise(kind)
     return kind
 
 
@@ -118,6 +128,7 @@ def referent(kind: Column, mention: Column) -> Column:
         .when(kind == "mail", F.lower(mention))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
         .when(kind == "name", F.element_at(F.split(_bare_name(mention), " "), -1))
+        .when(kind == "secret", F.regexp_replace(mention, F.lit(f"^{_LABEL}"), F.lit("")))
         .otherwise(mention)
     )
 
@@ -279,9 +290,10 @@ def written_like(mention: Column, kind: Column, surrogate: Column, key: str) ->
     filled = F.aggregate(F.split(mention, ""), start, fill, lambda done: done["text"])
     title = F.regexp_extract(mention, rf"^((?:{_TITLE})\.? )", 1)
     named = F.concat(title, F.concat_ws(" ", _given_name(mention, key), surrogate))
+    labelled = F.concat(F.regexp_extract(mention, f"^({_LABEL})", 1), surrogate)
     return (
         F.when(kind.isin("card", "phone", "ssn", "iban"), filled).when(kind == "name", named)
-        .otherwise(surrogate)
+        .when(kind == "secret", labelled).otherwise(surrogate)
     )
 
 
