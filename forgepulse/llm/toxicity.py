@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from forgepulse.llm.support import row_slices
+from forgepulse.llm.support import row_slices, settle
 
 #: Most examples of each label.
 TOXIC, CLEAN = 2048, 4096
@@ -122,16 +122,12 @@ class ToxicityIndex:
 
 
 def build_index(
-    examples: list[tuple[int, int, Counter]], toxic_rows: int, clean_rows: int
+    examples: list[tuple[int, int, Counter]], seen: dict[str, int], toxic_rows: int, clean_rows: int
 ) -> ToxicityIndex:
-    """Index of (doc_id, toxic, stem counts); the row counts are those of all labelled rows."""
+    """Index of (doc_id, toxic, stem counts) over the stems ``seen`` in so many examples; the row counts
+    are those of all labelled rows."""
     examples = sorted(examples, key=lambda e: e[0])
-    seen = Counter(t for _, _, counts in examples for t in counts)
-    clean = [counts for _, label, counts in examples if not label]
-    in_clean = Counter(t for counts in clean for t in counts)
-    least, most = max(2, RAREST * len(examples)), max(2, COMMONEST * len(clean))
-    chosen = sorted(t for t, n in seen.items() if n >= least and in_clean[t] <= most)
-    terms = {t: i for i, t in enumerate(chosen)}
+    terms = {t: i for i, t in enumerate(sorted(seen))}
     idf = np.array([np.log((len(examples) + 1) / (seen[t] + 1)) for t in terms], np.float64)
     # Examples with the same strongest stem stand together, which keeps the bounds of blocks low.
     plain = ToxicityIndex(terms, idf, *[np.empty(0)] * 5, np.empty((0, 0)))
@@ -206,11 +202,41 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
 
     # The chosen ids are at most ``toxic`` + ``clean`` rows.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.select("doc_id", "toxic", "text").mapInArrow(
+    counted = settle(texts.select("doc_id", "toxic", "text").mapInArrow(
         count, "doc_id long, toxic int, stems map<string, long>"
-    ).collect()
-    examples = [(r["doc_id"], r["toxic"], Counter(r["stems"])) for r in rows]
-    return build_index(examples, counts.get(1, 0), counts.get(0, 0))
+    ), "toxicity-examples")
+    seen = telling_stems(counted)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[(t, n) for t, n in row if t in seen] for row in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(kept, batch.schema.field(2).type)], batch.schema.names
+            )
+
+    # Some dozen stems an example.
+    rows = counted.mapInArrow(keep, counted.schema).toArrow()
+    examples = [
+        (doc_id, label, Counter(dict(found)))
+        for doc_id, label, found in zip(*[rows.column(i).to_pylist() for i in range(3)])
+    ]
+    return build_index(examples, seen, counts.get(1, 0), counts.get(0, 0))
+
+
+def telling_stems(examples: DataFrame) -> dict[str, int]:
+    """The stems that enough examples and not too many clean ones have, and how many examples have
+    them, from (toxic, stems)."""
+    sizes = examples.agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("toxic") == 0).alias("clean")
+    ).first()
+    found = examples.select("toxic", F.explode(F.map_keys("stems")).alias("stem")).groupBy("stem").agg(
+        F.count(F.lit(1)).alias("seen"), F.count_if(F.col("toxic") == 0).alias("clean")
+    )
+    chosen = found.where(
+        (F.col("seen") >= max(2, RAREST * sizes["all"]))
+        & (F.col("clean") <= max(2, COMMONEST * sizes["clean"]))
+    )
+    return {r["stem"]: r["seen"] for r in chosen.collect()}
 
 
 def score(docs: DataFrame, index: ToxicityIndex) -> DataFrame:

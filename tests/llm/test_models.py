@@ -15,6 +15,11 @@ from tests.llm.cases import documents, no_documents, odd_documents, odd_rows, pr
 SF = "/root/testdata/sf0.01"
 
 
+def index_of(rows, toxic_rows, clean_rows):
+    seen = Counter(stem for _, _, counts in rows for stem in counts)
+    return toxicity.build_index(rows, seen, toxic_rows, clean_rows)
+
+
 def examples(count: int):
     rng, out = random.Random(1), []
     for i in range(count):
@@ -26,7 +31,7 @@ def examples(count: int):
 
 def test_the_index_finds_the_nearest_exactly():
     rows = examples(400)
-    index = toxicity.build_index(rows, 100, 300)
+    index = index_of(rows, 100, 300)
     counts_of = {i: counts for i, _, counts in rows}
     dense = np.zeros((len(rows), len(index.terms)))
     for n, doc_id in enumerate(index.doc_ids.tolist()):
@@ -41,7 +46,7 @@ def test_the_index_finds_the_nearest_exactly():
 
 
 def test_blocks_that_cannot_reach_the_nearest_are_not_scored(monkeypatch):
-    index = toxicity.build_index(examples(1600), 400, 1200)
+    index = index_of(examples(1600), 400, 1200)
     scored = []
     own = toxicity.ToxicityIndex._scored
     monkeypatch.setattr(
@@ -53,7 +58,7 @@ def test_blocks_that_cannot_reach_the_nearest_are_not_scored(monkeypatch):
 
 
 def test_toxicity_of_odd_documents(spark):
-    index = toxicity.build_index(examples(400), 100, 300)
+    index = index_of(examples(400), 100, 300)
     docs = odd_documents(spark, clashing=True)
     scored = toxicity.score(docs, index)
     assert scored.select("row.*").columns == docs.columns

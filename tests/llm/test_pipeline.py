@@ -10,6 +10,7 @@ import corpus_pipeline
 from forgepulse.llm import queries, toxicity
 from forgepulse.llm.tokens import public_tokenizer
 from tests.llm.cases import no_documents, odd_documents
+from tests.llm.test_models import index_of
 from tests.llm.test_simhash_bits import linked, slow_fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -83,7 +84,7 @@ def test_stages_keep_odd_rows_and_extra_columns(spark, name, stage):
 
 
 def test_toxic_documents_go_and_clean_ones_stay(spark):
-    index = toxicity.build_index(
+    index = index_of(
         [(i, int(i % 4 == 0), toxicity.stems("plain words of a text " + ("vile scum " * 4 if i % 4 == 0 else f"nice{i}")))
          for i in range(200)], 50, 150,
     )
