@@ -29,15 +29,6 @@ def row_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_AT_ONCE)
 
 
-def pyarrow_path(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    """File system and path of a folder that Spark names, for tasks that write files of their own."""
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        uri = "file:///" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 class Scratch:
     """Written intermediates of one operator run; ``drop`` deletes those no longer read."""
 
@@ -145,5 +136,5 @@ def crc_of_id(column: str | Column) -> Column:
 
 __all__ = [
     "ROWS_AT_ONCE", "Scratch", "components", "crc_of_id", "least_reached", "new_folder",
-    "pyarrow_path", "remove", "row_slices", "settle", "table",
+    "remove", "row_slices", "settle", "table",
 ]

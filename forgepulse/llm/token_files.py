@@ -27,8 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.support import new_folder, pyarrow_path, row_slices, settle
+from forgepulse.llm.support import new_folder, row_slices, settle
 from forgepulse.llm.tokens import encoder
+from forgepulse.session import file_system
 
 END_ID = 1
 BLOCK = 128
@@ -184,7 +185,7 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, number = encoder(tokenizer).ids, TaskContext.get().partitionId(), 0
-        files, base = pyarrow_path(folder)
+        files, base = file_system(folder)
         doc_ids: list[int | None] = []
         lengths: list[int] = []
         parts: list[bytes] = []
@@ -232,7 +233,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                files, name = pyarrow_path(path)
+                files, name = file_system(path)
                 with files.open_input_stream(name) as stream:
                     content = TokenFile(stream.read())
                 rows = [
