@@ -244,7 +244,7 @@ def test_tables_of_the_catalog_are_seen_by_other_sessions(spark, folder):
     for name in ("stg_events", "daily_activity", "contributor_stats", "top_contributors", "event_trends"):
         spark.sql(f"DROP TABLE {name}")
     tables = build.open_build(spark.newSession(), folder("out"))
-    assert tables["event_trends"].count() == 2
+    assert tables["event_trends"].first()["event_count"] == 2
 
 
 def test_wide_rows_are_shuffled_once(spark, folder):
