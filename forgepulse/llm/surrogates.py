@@ -4,11 +4,14 @@ Each detected entity receives a replacement of its own type, computed from a key
 refers to: the same person, number or address gets the same surrogate in every document and every
 run with that key, written in the format of each mention (coreference). Different entities get
 different surrogates, none of which is itself an entity of the corpus (distinctness); where hashes
-collide, all but one of the entities draw again until no collision is left.
+collide, all but one of the entities draw again until no collision is left. Surnames get longer with
+every draw; other formats that have no room after ``IN_FORMAT`` draws are left by a character more a
+draw (addresses of hosts for IPv6), so there is a surrogate for every entity of any corpus.
 
 Numbers keep separators, length, country code and a valid card check digit; addresses of hosts stay
 valid; mail addresses keep their shape, and addresses of one domain share a surrogate domain; secrets
-keep length, case and alphabet; names keep title, script, number of words and, where the title or
+keep length, case and alphabet, but letters of other scripts become Latin ones, and a value without any
+letter or digit becomes letters; names keep title, script, number of words and, where the title or
 the given name tells it, gender.
 
 Documents without an entity pass through without a shuffle. Mentions, not texts, are joined with
@@ -21,13 +24,15 @@ Other columns are kept; ``n_chars``, where there is one, follows the new text.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgepulse.llm.support import Scratch
 
-#: Draws after which an alphabet is taken to be too small for its entities.
-MOST_DRAWS = 24
+#: Draws after which a format is taken to be too small for its entities.
+IN_FORMAT = 8
 
 # Titles and given names that tell a gender, and parts from which names are made.
 TITLES = {
@@ -54,6 +59,7 @@ SYLLABLES = {
     "greek": ["βαρ", "δεν", "φελ", "γορ", "καλ", "κιν", "λορ", "μαρ", "νελ", "πολ", "ρασ", "στεν",
               "ταμ", "βερ", "βεν", "ζορ"],
 }
+#: Syllables of a surname's first draw; each further draw has one more.
 SURNAME_SYLLABLES = 4
 
 
@@ -151,19 +157,33 @@ _DIGITS, _LOWER, _UPPER, _HEX = (
 
 
 def _scrambled(text: Column, digest: Column, hexadecimal: Column | None = None) -> Column:
-    """Letters and digits replaced by others of their kind, or by hexadecimal ones; all else stays."""
+    """Letters and digits replaced by others of their kind, or by hexadecimal ones; all else stays but
+    in a text without either."""
+    blank = ~F.regexp_like(text, F.lit(r"[\p{L}\p{N}]"))
+    text = F.when(blank, F.repeat(F.lit("x"), F.char_length(text))).otherwise(text)
+
     def other(char: Column, place: Column) -> Column:
         pick = lambda letters: F.substring(F.lit(letters), _drawn(digest, place, len(letters)) + 1, F.lit(1))
         plain = (
             F.when(F.regexp_like(char, F.lit("[0-9]")), pick(_DIGITS))
             .when(F.regexp_like(char, F.lit("[a-z]")), pick(_LOWER))
-            .when(F.regexp_like(char, F.lit("[A-Z]")), pick(_UPPER)).otherwise(char)
+            .when(F.regexp_like(char, F.lit(r"\p{Lu}")), pick(_UPPER))
+            .when(F.regexp_like(char, F.lit(r"[\p{L}\p{N}]")), pick(_LOWER)).otherwise(char)
         )
         return plain if hexadecimal is None else F.when(hexadecimal, pick(_HEX)).otherwise(plain)
 
     return F.array_join(F.transform(F.split(text, ""), other), "")
 
 
+def _beyond_format(digest: Column, letters: str) -> Column:
+    """What a draw has on top of the format: nothing at first, then a character more each time."""
+    more = F.greatest(F.lit(0), F.col("turn") - IN_FORMAT + 1)
+    places = F.slice(F.sequence(F.lit(0), more), F.lit(1), more)
+    return F.array_join(F.transform(
+        places, lambda i: F.substring(F.lit(letters), _drawn(digest, i, len(letters)) + 1, F.lit(1))
+    ), "")
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Sum of a number's digits, every second from the right doubled and folded."""
     chars = F.reverse(F.split(digits, ""))
@@ -191,14 +211,20 @@ def _surname(entity: Column, digest: Column) -> Column:
 
 def _syllables(script: str, digest: Column) -> Column:
     table = F.array(*map(F.lit, SYLLABLES[script]))
-    return F.concat(*[
-        F.get(table, _drawn(digest, F.lit(i), len(SYLLABLES[script]))) for i in range(SURNAME_SYLLABLES)
-    ])
+    places = F.sequence(F.lit(0), F.col("turn") + SURNAME_SYLLABLES - 1)
+    return F.array_join(F.transform(
+        places, lambda i: F.get(table, _drawn(digest, i, len(SYLLABLES[script])))
+    ), "")
 
 
 def _address(digest: Column) -> Column:
     first = 1 + _drawn(digest, F.lit(0), 223)
-    return F.concat_ws(".", first.cast("string"), *[_drawn(digest, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
+    short = F.concat_ws(".", first.cast("string"), *[_drawn(digest, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
+    # A unique local address: 2^120 of them.
+    long = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(digest, 1, 2)), *[
+        F.substring(digest, 4 * i - 1, 4) for i in range(1, 8)
+    ])
+    return F.when(F.col("turn") < IN_FORMAT, short).otherwise(long)
 
 
 def draw(entities: DataFrame, key: str) -> DataFrame:
@@ -210,7 +236,7 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
         "scrambled", _scrambled(entity, F.col("digest"), F.regexp_like(entity, F.lit("^[0-9a-f]*[a-f][0-9a-f]*$")))
     ).withColumn("domain_digest", _digest(key, F.lit("domain"), domain))
     digest = F.col("digest")
-    user = _scrambled(F.substring_index(entity, "@", 1), digest)
+    user = F.concat(_scrambled(F.substring_index(entity, "@", 1), digest), _beyond_format(digest, _LOWER))
     # A domain keeps its last part; the rest is the same for all addresses there.
     host = _scrambled(F.regexp_replace(domain, r"\.[^.]*$", ""), F.col("domain_digest"))
     surrogate = (
@@ -229,6 +255,12 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
         ))
         .otherwise(F.col("scrambled"))
     )
+    surrogate = (
+        F.when(kind.isin("mail", "ip", "name"), surrogate)
+        .when(kind.isin("card", "ssn", "phone"), F.concat(surrogate, _beyond_format(digest, _DIGITS)))
+        .when(kind.isin("key", "iban"), F.concat(surrogate, _beyond_format(digest, _UPPER)))
+        .otherwise(F.concat(surrogate, _beyond_format(digest, _HEX)))
+    )
     return rows.select("kind", "entity", "turn", surrogate.alias("surrogate"))
 
 
@@ -236,11 +268,11 @@ def distinct_surrogates(entities: DataFrame, key: str, scratch: Scratch) -> Data
     """(kind, entity, surrogate) for distinct (kind, entity), one to one and off the entities.
 
     Of entities that draw the same surrogate the least keeps it; the others, and those that drew an
-    entity of the corpus or a surrogate given before, draw again.
+    entity of the corpus or a surrogate given before, draw again, from ever more surrogates.
     """
     known = entities.select(F.col("kind"), F.col("entity").alias("surrogate"))
     left, given = entities.withColumn("turn", F.lit(0)), None
-    for turn in range(MOST_DRAWS):
+    for turn in count():
         drawn, _ = scratch.write(draw(left.withColumn("turn", F.lit(turn)), key))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
         first = first.join(known, ["kind", "surrogate"], "left_anti")
@@ -252,7 +284,6 @@ def distinct_surrogates(entities: DataFrame, key: str, scratch: Scratch) -> Data
         left, _ = scratch.write(left)
         if left.isEmpty():
             return given
-    raise ValueError(f"no distinct surrogates after {MOST_DRAWS} draws")
 
 
 def _given_name(mention: Column, key: str) -> Column:
@@ -287,7 +318,10 @@ def written_like(mention: Column, kind: Column, surrogate: Column, key: str) ->
             F.concat(done["text"], F.when(takes, F.substring(surrogate, done["next"], F.lit(1))).otherwise(char)).alias("text"),
             (done["next"] + F.when(takes, 1).otherwise(0)).alias("next"),
         )
-    filled = F.aggregate(F.split(mention, ""), start, fill, lambda done: done["text"])
+    # A surrogate beyond the format has its last characters behind it.
+    filled = F.aggregate(F.split(mention, ""), start, fill, lambda done: F.concat(
+        done["text"], F.substring(surrogate, done["next"], F.length(surrogate))
+    ))
     title = F.regexp_extract(mention, rf"^((?:{_TITLE})\.? )", 1)
     named = F.concat(title, F.concat_ws(" ", _given_name(mention, key), surrogate))
     labelled = F.concat(F.regexp_extract(mention, f"^({_LABEL})", 1), surrogate)

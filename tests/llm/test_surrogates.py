@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import ipaddress
 import re
 
 from pyspark.sql import functions as F
@@ -81,6 +82,40 @@ def test_collisions_draw_again_until_all_differ(spark):
     assert not set(given.values()) & set(numbers)
 
 
+def test_values_without_latin_letters_or_digits(spark):
+    values = ["********", "------", "пароль", "密码密码密码", "!!##$$%%"]
+    rows = [(i, f"password: {v} ok") for i, v in enumerate(values)] + [(9, "write to ___@--.com or +_@--.com")]
+    out = replaced(spark, rows)
+    found = [re.fullmatch(r"password: (\S+) ok", out[i][0]).group(1) for i in range(len(values))]
+    assert len(set(found)) == len(values) and not set(found) & set(values)
+    assert [len(f) for f in found] == [len(v) for v in values]
+    assert all(re.fullmatch("[a-z]+", f) for f in found)
+    mails = re.findall(r"\S+@\S+\.com", out[9][0])
+    assert len(set(mails)) == 2 and not {"___@--.com", "+_@--.com"} & set(mails)
+
+
+def test_more_entities_than_a_format_has_room_for(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", {k: v[:2] for k, v in surrogates.SYLLABLES.items()})
+    names = [f"{a}{b}" for a in ("Smi", "Jon", "Tay", "Ива", "Παπ") for b in "abcdefghijklmnopqrst"]
+    digits = [f"{n:02d}" for n in range(100)]
+    rows = [("name", n) for n in names] + [(k, d) for k in ("secret", "phone") for d in digits]
+    rows += [("mail", f"{c}@example.com") for c in "abcdefghijklmnopqrstuvwxyz"]
+    entities = spark.createDataFrame(rows, "kind string, entity string")
+    found = surrogates.distinct_surrogates(entities, "k", Scratch(spark, "room")).collect()
+    given = {(r["kind"], r["surrogate"]) for r in found}
+    assert {(r["kind"], r["entity"]) for r in found} == set(rows) and len(found) == len(given) == len(rows)
+    assert not given & set(rows)
+    assert all(s.isdigit() for k, s in given if k == "phone") and all(s.endswith(".com") for k, s in given if k == "mail")
+    last = surrogates.draw(
+        spark.createDataFrame([("ip", "1.2.3.4")], "kind string, entity string").withColumn("turn", F.lit(40)), "k"
+    ).first()["surrogate"]
+    assert ipaddress.ip_address(last).version == 6
+    row = spark.createDataFrame([("+1 (74) 35",)], "m string").select(
+        surrogates.written_like(F.col("m"), F.lit("phone"), F.lit("1234567"), "k")
+    )
+    assert row.first()[0] == "+1 (23) 4567"
+
+
 def test_odd_documents_keep_their_columns(spark):
     docs = odd_documents(spark, clashing=True)
     out = surrogates.with_surrogates(docs).select("row.*")
