@@ -72,15 +72,17 @@ _FIRST = _any([n for (script, _), names in GIVEN.items() for n in names])
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 #: Where a title or given name may begin, as few ranges as can be: looked at before the long lists.
 _NAME_START = "(?=[A-ZΆ-я])"
-_VALUE = r"[^\s\"']{6,200}"
-_LABEL = r"\b(?:password|passwd|pwd|secret|token|api_?key) {0,2}[=:] {0,2}[\"']?"
+_VALUE = r"[^\s\"']{6,}"
+_LABEL_WORD = "(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)"
+#: Whatever stands before the word, as in DB_PASSWORD, stays in the text.
+_LABEL = rf"(?=[PSTApsta]){_LABEL_WORD} {{0,2}}[=:] {{0,2}}[\"']?"
 
 # In the order in which they are tried at a place; a mention's type is the first that matches it whole.
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "secret": _LABEL + _VALUE,
-    "hex": r"\b(?=[a-f]{0,20}[0-9])[0-9a-f]{32,128}+\b",
+    "hex": r"\b(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?=[0-9])(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?=[0-9])(?<![\w-])(?:" + "|".join(
@@ -94,14 +96,13 @@ PATTERNS = {
     "name": rf"{_NAME_START}(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST}) {_NAME})(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_LABEL_WORDS = ("password", "passwd", "pwd", "secret", "token", "api")
 
 
 def may_mention(text: Column) -> Column:
     """What every text with an entity has; most texts are passed over with this alone."""
     found = F.regexp_like(text, F.lit("[0-9@]"))
-    for word in _LABEL_WORDS:
-        found = found | F.contains(text, F.lit(word))
+    assigns = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
+    found = found | (assigns & F.regexp_like(text, F.lit(f"{_LABEL_WORD} {{0,2}}[=:]")))
     return found | F.regexp_like(text, F.lit(f"{_NAME_START}(?:{_TITLE}|{_FIRST})[. ]"))
 
 
@@ -154,11 +155,23 @@ def _drawn(digest: Column, place: Column, size: int | Column) -> Column:
 _DIGITS, _LOWER, _UPPER, _HEX = (
     "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 )
+#: Hexadecimal texts, with a letter, by the case of their letters.
+_HEXADECIMAL = {
+    "lower": "^[0-9a-f]*[a-f][0-9a-f]*$", "upper": "^[0-9A-F]*[A-F][0-9A-F]*$",
+    "mixed": "^(?=.*[a-f])(?=.*[A-F])[0-9A-Fa-f]*$",
+}
+
 
+def _hex_case(text: Column) -> Column:
+    case = F.lit(None).cast("string")
+    for name, pattern in _HEXADECIMAL.items():
+        case = F.when(F.regexp_like(text, F.lit(pattern)), name).otherwise(case)
+    return case
 
-def _scrambled(text: Column, digest: Column, hexadecimal: Column | None = None) -> Column:
-    """Letters and digits replaced by others of their kind, or by hexadecimal ones; all else stays but
-    in a text without either."""
+
+def _scrambled(text: Column, digest: Column, hex_case: Column | None = None) -> Column:
+    """Letters and digits replaced by others of their kind, or by hexadecimal ones of the same case; all
+    else stays but in a text without either."""
     blank = ~F.regexp_like(text, F.lit(r"[\p{L}\p{N}]"))
     text = F.when(blank, F.repeat(F.lit("x"), F.char_length(text))).otherwise(text)
 
@@ -170,7 +183,14 @@ def _scrambled(text: Column, digest: Column, hexadecimal: Column | None = None)
             .when(F.regexp_like(char, F.lit(r"\p{Lu}")), pick(_UPPER))
             .when(F.regexp_like(char, F.lit(r"[\p{L}\p{N}]")), pick(_LOWER)).otherwise(char)
         )
-        return plain if hexadecimal is None else F.when(hexadecimal, pick(_HEX)).otherwise(plain)
+        if hex_case is None:
+            return plain
+        return (
+            F.when(hex_case == "lower", pick(_HEX)).when(hex_case == "upper", pick(_HEX.upper()))
+            .when((hex_case == "mixed") & F.regexp_like(char, F.lit("[a-f]")), pick(_HEX[10:]))
+            .when((hex_case == "mixed") & F.regexp_like(char, F.lit("[A-F]")), pick(_HEX[10:].upper()))
+            .otherwise(plain)
+        )
 
     return F.array_join(F.transform(F.split(text, ""), other), "")
 
@@ -232,9 +252,11 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
     kind, entity = F.col("kind"), F.col("entity")
     digest = _digest(key, kind, entity, F.col("turn").cast("string"))
     domain = F.substring_index(entity, "@", -1)
-    rows = entities.withColumn("digest", digest).withColumn(
-        "scrambled", _scrambled(entity, F.col("digest"), F.regexp_like(entity, F.lit("^[0-9a-f]*[a-f][0-9a-f]*$")))
-    ).withColumn("domain_digest", _digest(key, F.lit("domain"), domain))
+    # As a lambda's value the case is found once, not for every character.
+    scrambled = F.get(F.transform(
+        F.array(_hex_case(entity)), lambda case: _scrambled(entity, F.col("digest"), case)
+    ), F.lit(0))
+    rows = entities.withColumn("digest", digest).withColumn("scrambled", scrambled).withColumn("domain_digest", _digest(key, F.lit("domain"), domain))
     digest = F.col("digest")
     user = F.concat(_scrambled(F.substring_index(entity, "@", 1), digest), _beyond_format(digest, _LOWER))
     # A domain keeps its last part; the rest is the same for all addresses there.

@@ -82,6 +82,23 @@ def test_collisions_draw_again_until_all_differ(spark):
     assert not set(given.values()) & set(numbers)
 
 
+def test_secrets_of_any_case_prefix_and_length_go_whole(spark):
+    long, run = "aB3" * 400, "0123456789abcdef" * 20
+    secrets = ["9233A8ECF7C59233A8ECF7C5", "hunter2hunter", "s3cr3tvalue", "qwertz", "DbPass99", "aAbB0011cCdD", long]
+    labels = ['TOKEN = "', "Password: ", "API_KEY=", "api-key: ", "DB_PASSWORD=", "accessToken=", "token="]
+    rows = [(i, f"x {label}{secret} end") for i, (label, secret) in enumerate(zip(labels, secrets))]
+    rows += [(20, f"so {run} end"), (21, f"so {run.upper()} end"), (22, "Secret: wordsonly"), (23, "no Tokens here")]
+    out = replaced(spark, rows)
+    found = [re.fullmatch(rf"x {re.escape(label)}(\S+) end", out[i][0]).group(1) for i, label in enumerate(labels)]
+    for secret, surrogate in zip(secrets, found):
+        assert len(secret) == len(surrogate) and not any(secret[i: i + 6] in surrogate for i in range(len(secret) - 5))
+    assert re.fullmatch("[0-9A-F]{24}", found[0])
+    assert all(a.isupper() == b.isupper() and a.isdigit() == b.isdigit() for a, b in zip(secrets[5] + long, found[5] + found[6]))
+    assert re.fullmatch("so [0-9a-f]{320} end", out[20][0]) and re.fullmatch("so [0-9A-F]{320} end", out[21][0])
+    assert run[:16] not in out[20][0] and run[:16].upper() not in out[21][0]
+    assert out[22][0] != "Secret: wordsonly" and out[23] == ("no Tokens here", 0)
+
+
 def test_values_without_latin_letters_or_digits(spark):
     values = ["********", "------", "пароль", "密码密码密码", "!!##$$%%"]
     rows = [(i, f"password: {v} ok") for i, v in enumerate(values)] + [(9, "write to ___@--.com or +_@--.com")]
