@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples.
 
 Examples and texts are TF-IDF vectors over stems (the first letters of each word, so that inflected
-and compounded forms are one term); stems that hardly any examples have, or many clean ones, are left
-out. Examples stand in an inverted index whose postings are cut into blocks of examples. The largest
+and compounded forms are one term). Every stem of the examples counts, by its rarity times how far its
+shares of toxic and of clean examples differ (log odds, shrunken to none where few examples have it, and
+``UNTELLING`` for all). Examples stand in an inverted index whose postings are cut into blocks of examples. The largest
 weight of a stem in a block bounds what the block's examples can score; blocks are scored from the
 highest bound down until no bound can reach the k-th cosine found, so the nearest are exact.
 Neighbours vote with their cosine over their distance; leaving each example out in turn fits a logistic
@@ -34,10 +35,12 @@ from forgepulse.llm.support import row_slices, settle
 #: Most examples of each label.
 TOXIC, CLEAN = 2048, 4096
 STEM_LETTERS = 4
-#: Least share of all examples, and largest share of the clean ones, that may have a stem.
-RAREST, COMMONEST = 0.015, 0.1
+#: Weight of a stem as common in toxic as in clean examples, and examples' worth of belief that one is.
+UNTELLING, BELIEF = 0.1, 20
 NEIGHBOURS = 11
 BLOCK = 16
+#: Share of the examples from which on a stem's weights stand in a row of all examples, not in postings.
+COMMON = 0.1
 #: Blocks that are scored before the bounds are looked at again, each time three times as many.
 BLOCKS_AT_ONCE = 24
 
@@ -48,6 +51,26 @@ def stems(text: str | None) -> Counter:
     return Counter(_STEM.findall((text or "").lower()))
 
 
+@dataclass
+class BlockMaxima:
+    """The largest weight of each stem in each block of examples, for blocks that have the stem."""
+
+    shape: tuple[int, int]  # terms, blocks
+    starts: np.ndarray  # of the cells of a term, one more at the end
+    blocks: np.ndarray
+    most: np.ndarray
+
+    def cells(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cells of some terms, and for each cell the place of its term among them."""
+        low, sizes = self.starts[term], self.starts[term + 1] - self.starts[term]
+        return _ranges(low, sizes), np.repeat(np.arange(len(term)), sizes)
+
+
+def _ranges(low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges that begin at ``low``, one range after the other."""
+    return np.arange(sizes.sum()) + np.repeat(low - np.cumsum(sizes) + sizes, sizes)
+
+
 @dataclass
 class ToxicityIndex:
     """Labelled examples as an inverted index with block maxima."""
@@ -56,10 +79,12 @@ class ToxicityIndex:
     idf: np.ndarray
     doc_ids: np.ndarray
     toxic: np.ndarray
-    starts: np.ndarray  # of the postings of (term, block), one more at the end
+    starts: np.ndarray  # of the postings of a cell of ``block_max``, one more at the end
     examples: np.ndarray
     weights: np.ndarray
-    block_max: np.ndarray  # term x block
+    block_max: BlockMaxima
+    common: np.ndarray  # row of ``common_weights`` of a term, or -1
+    common_weights: np.ndarray  # block x row x lane
     slope: float = 0.0
     shift: float = 0.0
 
@@ -77,7 +102,12 @@ class ToxicityIndex:
     ) -> tuple[np.ndarray, np.ndarray]:
         """The examples of the highest positive cosines, highest first, and the cosines."""
         blocks = self.block_max.shape[1]
-        bound = weight @ self.block_max[term] if len(term) else np.zeros(blocks)
+        cells, of = self.block_max.cells(term)
+        block = self.block_max.blocks[cells]
+        bound = np.bincount(block, weight[of] * self.block_max.most[cells], minlength=blocks)
+        factor, row = weight[of], self.common[term]
+        often, rare = row >= 0, (row < 0)[of]
+        row, row_weight = row[often], weight[often]
         order = np.argsort(-bound, kind="stable")
         best, cosine = np.empty(0, np.int64), np.empty(0)
         first, count = 0, BLOCKS_AT_ONCE
@@ -88,7 +118,10 @@ class ToxicityIndex:
             some = some[bound[some] > max(least - 1e-9, 0.0)]
             if not len(some):
                 break
-            scored = self._scored(term, weight, some)
+            place = np.full(blocks, -1)
+            place[some] = np.arange(len(some))
+            here = np.nonzero(rare & (place[block] >= 0))[0]
+            scored = self._scored(cells[here], (place[block[here]], factor[here], row, row_weight), some)
             reached = np.nonzero(scored > max(least, 0.0))[0]
             found = some[reached // BLOCK] * BLOCK + reached % BLOCK
             best, cosine = np.append(best, found), np.append(cosine, scored[reached])
@@ -99,18 +132,19 @@ class ToxicityIndex:
             first, count = first + count, 3 * count
         return best, cosine
 
-    def _scored(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Exact cosines of the examples of some blocks, block by block, from their postings."""
-        lists = (term[:, None] * self.block_max.shape[1] + blocks).ravel()
-        low, sizes = self.starts[lists], self.starts[lists + 1] - self.starts[lists]
-        filled = np.nonzero(sizes)[0]
-        low, sizes = low[filled], sizes[filled]
-        of = np.repeat(np.arange(len(filled)), sizes)
-        posting = np.arange(len(of)) + (low - np.cumsum(sizes) + sizes)[of]
-        list_of = filled[of]
-        lane = list_of % len(blocks) * BLOCK + self.examples[posting] % BLOCK
-        factor = weight[list_of // len(blocks)]
-        return np.bincount(lane, factor * self.weights[posting], minlength=len(blocks) * BLOCK)
+    def _scored(self, cells: np.ndarray, of: tuple[np.ndarray, ...], blocks: np.ndarray) -> np.ndarray:
+        """Exact cosines of the examples of some blocks, block by block, from the postings of their
+        cells and the rows of common stems; ``of`` has the place of each cell's block and the text's
+        weight of its term, then the rows and the text's weights of their terms."""
+        low, sizes = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+        posting = _ranges(low, sizes)
+        lane = np.repeat(of[0] * BLOCK, sizes) + self.examples[posting] % BLOCK
+        scored = np.bincount(
+            lane, np.repeat(of[1], sizes) * self.weights[posting], minlength=len(blocks) * BLOCK
+        )
+        rows = (blocks[:, None] * self.common_weights.shape[1] + of[2]).ravel()
+        found = self.common_weights.reshape(-1, BLOCK).take(rows, axis=0)
+        return scored + (of[3] @ found.reshape(len(blocks), len(of[2]), BLOCK)).ravel()
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         closeness = cosine / (1.05 - np.minimum(cosine, 1.0))
@@ -121,37 +155,76 @@ class ToxicityIndex:
         return float(1 / (1 + np.exp(-(self.slope * vote + self.shift)))) if self.slope else 0.0
 
 
+def telling(seen: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples: int) -> np.ndarray:
+    """Weights of stems that so many examples, and so many toxic ones, have."""
+    clean, clean_examples = seen - toxic, examples - toxic_examples
+    share = seen / max(1, examples)
+    odds = np.log((toxic + BELIEF * share) / (toxic_examples + BELIEF)) - np.log(
+        (clean + BELIEF * share) / (clean_examples + BELIEF)
+    )
+    # Above none, also for a stem of all examples.
+    return np.log((examples + 2) / (seen + 1)) * (UNTELLING + np.abs(odds))
+
+
 def build_index(
     examples: list[tuple[int, int, Counter]], seen: dict[str, int], toxic_rows: int, clean_rows: int
 ) -> ToxicityIndex:
-    """Index of (doc_id, toxic, stem counts) over the stems ``seen`` in so many examples; the row counts
-    are those of all labelled rows."""
-    examples = sorted(examples, key=lambda e: e[0])
+    """Index of (doc_id, toxic, stem counts) over the stems ``seen``; the row counts are those of all
+    labelled rows."""
     terms = {t: i for i, t in enumerate(sorted(seen))}
-    idf = np.array([np.log((len(examples) + 1) / (seen[t] + 1)) for t in terms], np.float64)
+    counts = [{t: n for t, n in found.items() if t in terms} for _, _, found in examples]
+    return index_rows(
+        np.array([d for d, _, _ in examples], np.int64), np.array([t for _, t, _ in examples], np.int64),
+        np.array([len(c) for c in counts], np.int64), terms,
+        np.array([terms[t] for c in counts for t in c], np.int64),
+        np.array([n for c in counts for n in c.values()], np.float64), toxic_rows, clean_rows,
+    )
+
+
+def index_rows(
+    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, terms: dict[str, int],
+    term: np.ndarray, counts: np.ndarray, toxic_rows: int, clean_rows: int,
+) -> ToxicityIndex:
+    """Index of examples that have ``sizes`` of the (term, count) each, one example after the other."""
+    row = np.repeat(np.arange(len(doc_ids)), sizes)
+    seen, in_toxic = (np.bincount(t, minlength=len(terms)) for t in (term, term[toxic[row] == 1]))
+    idf = telling(seen, in_toxic, len(doc_ids), int((toxic == 1).sum()))
+    weight = counts * idf[term]
+    weight /= np.sqrt(np.bincount(row, weight * weight, minlength=len(doc_ids)))[row]
     # Examples with the same strongest stem stand together, which keeps the bounds of blocks low.
-    plain = ToxicityIndex(terms, idf, *[np.empty(0)] * 5, np.empty((0, 0)))
-    def strongest(example: tuple[int, int, Counter]) -> tuple[int, float, int]:
-        term, weight = plain.vector(example[2])
-        return (int(term[weight.argmax()]), -weight.max(), example[0]) if len(term) else (-1, 0.0, example[0])
-    examples = sorted(examples, key=strongest)
-    blocks = max(1, -(-len(examples) // BLOCK))
-    toxic = np.zeros(blocks * BLOCK)
-    toxic[: len(examples)] = [label for _, label, _ in examples]
+    by_weight = np.lexsort((term, -weight, row))
+    first = by_weight[np.searchsorted(row[by_weight], np.arange(len(doc_ids)))[sizes > 0]]
+    strongest, most = np.full(len(doc_ids), -1), np.zeros(len(doc_ids))
+    strongest[row[first]], most[row[first]] = term[first], -weight[first]
+    order = np.lexsort((doc_ids, most, strongest))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    blocks = max(1, -(-len(order) // BLOCK))
+    toxic_at = np.zeros(blocks * BLOCK)
+    toxic_at[: len(order)] = toxic[order]
+
+    example = place[row]
+    by_cell = np.lexsort((example, term))
+    term, example, weight = term[by_cell], example[by_cell], weight[by_cell]
+    cell, starts = np.unique(term * blocks + example // BLOCK, return_index=True)
+    block_max = BlockMaxima(
+        (len(terms), blocks), np.searchsorted(cell, np.arange(len(terms) + 1) * blocks), cell % blocks,
+        np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0),
+    )
+    often = np.nonzero(seen > COMMON * len(order))[0]
+    common = np.full(len(terms), -1)
+    common[often] = np.arange(len(often))
+    common_weights = np.zeros((blocks, len(often), BLOCK))
+    in_row = common[term] >= 0
+    at = example[in_row]
+    common_weights[at // BLOCK, common[term[in_row]], at % BLOCK] = weight[in_row]
     index = ToxicityIndex(
-        terms, idf, np.array([d for d, _, _ in examples], np.int64), toxic,
-        np.zeros(len(terms) * blocks + 1, np.int64), np.empty(0, np.int64), np.empty(0),
-        np.zeros((len(terms), blocks)),
+        terms, idf, doc_ids[order], toxic_at, np.append(starts, len(term)), example, weight, block_max,
+        common, common_weights,
     )
-    vectors = [index.vector(counts) for _, _, counts in examples]
-    term = np.concatenate([np.empty(0, np.int64), *[v[0] for v in vectors]])
-    weight = np.concatenate([np.empty(0), *[v[1] for v in vectors]])
-    example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
-    cell = term * blocks + example // BLOCK
-    order = np.argsort(cell, kind="stable")
-    index.examples, index.weights = example[order], weight[order]
-    index.starts[1:] = np.cumsum(np.bincount(cell, minlength=len(terms) * blocks))
-    np.maximum.at(index.block_max, (term, example // BLOCK), weight)
+    by_example = np.lexsort((term, example))
+    ends = np.cumsum(np.bincount(example, minlength=len(order)))[:-1]
+    vectors = list(zip(np.split(term[by_example], ends), np.split(weight[by_example], ends))) if len(order) else []
     _calibrate(index, vectors, toxic_rows, clean_rows)
     return index
 
@@ -205,38 +278,17 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     counted = settle(texts.select("doc_id", "toxic", "text").mapInArrow(
         count, "doc_id long, toxic int, stems map<string, long>"
     ), "toxicity-examples")
-    seen = telling_stems(counted)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [[(t, n) for t, n in row if t in seen] for row in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(kept, batch.schema.field(2).type)], batch.schema.names
-            )
-
-    # Some dozen stems an example.
-    rows = counted.mapInArrow(keep, counted.schema).toArrow()
-    examples = [
-        (doc_id, label, Counter(dict(found)))
-        for doc_id, label, found in zip(*[rows.column(i).to_pylist() for i in range(3)])
-    ]
-    return build_index(examples, seen, counts.get(1, 0), counts.get(0, 0))
-
-
-def telling_stems(examples: DataFrame) -> dict[str, int]:
-    """The stems that enough examples and not too many clean ones have, and how many examples have
-    them, from (toxic, stems)."""
-    sizes = examples.agg(
-        F.count(F.lit(1)).alias("all"), F.count_if(F.col("toxic") == 0).alias("clean")
-    ).first()
-    found = examples.select("toxic", F.explode(F.map_keys("stems")).alias("stem")).groupBy("stem").agg(
-        F.count(F.lit(1)).alias("seen"), F.count_if(F.col("toxic") == 0).alias("clean")
-    )
-    chosen = found.where(
-        (F.col("seen") >= max(2, RAREST * sizes["all"]))
-        & (F.col("clean") <= max(2, COMMONEST * sizes["clean"]))
+    # Some hundred stems an example, which stay in Arrow's arrays.
+    rows = counted.toArrow().combine_chunks()
+    found = rows.column("stems").combine_chunks()
+    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+    words = found.keys.dictionary_encode()
+    return index_rows(
+        rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy(),
+        np.diff(found.offsets.to_numpy()), {t: i for i, t in enumerate(words.dictionary.to_pylist())},
+        words.indices.to_numpy().astype(np.int64), found.items.to_numpy().astype(np.float64),
+        counts.get(1, 0), counts.get(0, 0),
     )
-    return {r["stem"]: r["seen"] for r in chosen.collect()}
 
 
 def score(docs: DataFrame, index: ToxicityIndex) -> DataFrame:

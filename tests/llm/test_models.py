@@ -57,6 +57,33 @@ def test_blocks_that_cannot_reach_the_nearest_are_not_scored(monkeypatch):
     assert sum(scored) < 40 * index.block_max.shape[1]
 
 
+def test_rare_and_common_stems_are_evidence_too():
+    rng = random.Random(4)
+    rows = [(i, int(i % 4 == 0), toxicity.stems(" ".join(f"w{chr(97 + rng.randint(0, 25))}" for _ in range(30))))
+            for i in range(400)]
+    # Stems that one example has, or every clean one.
+    rows.append((1000, 1, toxicity.stems("zqxj zqxk zqxw zqxv")))
+    rows = [(i, t, c if t else c + Counter({"ever": 1})) for i, t, c in rows]
+    rows.append((1001, 0, Counter({"ever": 2})))
+    index = index_of(rows, 101, 301)
+    assert {"zqxj", "ever"} <= index.terms.keys() and (index.idf > 0).all()
+    for doc_id in (1000, 1001):
+        counts = next(c for i, _, c in rows if i == doc_id)
+        best, cosine = index.nearest(*index.vector(counts))
+        assert index.doc_ids[best[0]] == doc_id and abs(cosine[0] - 1) < 1e-9
+
+
+def test_a_copy_of_a_toxic_example_of_rare_words_has_it_as_evidence(spark):
+    # Four-letter stems that a single example of 400 has.
+    own = {i: " ".join(f"{a}{b}{'bcdfghjklm'[i // 4 % 10]}{'aeiouyrstw'[i // 40]}" for a in "xqz" for b in "aeiou")
+           for i in range(0, 400, 4)}
+    docs = documents(spark, [(i, own.get(i) or prose(i, 40)) for i in range(400)] + [(900, own[8])])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    index = toxicity.learn(docs, labels)
+    found = toxicity.score(docs.where("doc_id = 900"), index).first()
+    assert found["evidence"][0]["doc_id"] == 8 and abs(found["evidence"][0]["cosine"] - 1) < 1e-9
+
+
 def test_toxicity_of_odd_documents(spark):
     index = index_of(examples(400), 100, 300)
     docs = odd_documents(spark, clashing=True)
