@@ -153,18 +153,13 @@ def first_words(text: Column, words: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, order_key: Column) -> DataFrame:
-    """The columns of ``docs``, a row for each copy that the mix takes, in training order; a copy that
-    the target cuts short ends after its last word, and ``n_chars``, where there is one, follows."""
+    """The columns of ``docs``, a row for each copy that the mix takes, in training order; copies are
+    whole documents, so a source's words meet its target to within one document."""
     sized = docs.select(
         F.struct("*").alias("doc"), "source", word_count("text").alias("size"), order_key.alias("key")
     )
     copies = copies_in_training_order(mix(sized, "size", "source", F.col("key")))
-    text = F.col("row.doc.text")
-    cut = F.when(F.col("words") < F.col("row.size"), first_words(text, F.col("words"))).otherwise(text)
-    doc = F.col("row.doc").withField("text", cut)
-    if "n_chars" in docs.columns:
-        doc = doc.withField("n_chars", F.char_length(cut).cast(docs.schema["n_chars"].dataType))
-    return copies.select(doc.alias("doc")).select("doc.*")
+    return copies.select("row.doc.*")
 
 
 def id_key(doc_id: str | Column = "doc_id") -> Column:

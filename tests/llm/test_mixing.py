@@ -92,3 +92,15 @@ def test_copies_of_documents_are_whole_but_for_one_of_a_source(spark):
     spaced = spark.createDataFrame([("  a bb\tc \n d",), ("a bb c d",)], "t string")
     found = spaced.select(mixing.first_words(F.col("t"), F.lit(2)).alias("t")).collect()
     assert [r["t"] for r in found] == ["  a bb\t", "a bb "]
+
+
+def test_copies_of_documents_are_whole_at_the_limit_of_a_source_too(spark):
+    docs = spark.createDataFrame(
+        [(i, prose(i, 37), "abc"[i % 3]) for i in range(90)], "doc_id long, text string, source string"
+    )
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = mixed(docs).select("row.doc_id", "row.size", "copies").collect()
+    assert any(c["words"] < r["size"] for r in rows for c in r["copies"])
+    out = mixing.mixed_documents(docs, mixing.id_key()).collect()
+    assert len(out) == sum(len(r["copies"]) for r in rows)
+    assert all(r["text"] == texts[r["doc_id"]] for r in out)
