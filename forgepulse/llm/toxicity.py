@@ -36,7 +36,7 @@ from forgepulse.llm.support import row_slices, settle
 TOXIC, CLEAN = 2048, 4096
 STEM_LETTERS = 4
 #: Weight of a stem as common in toxic as in clean examples, and examples' worth of belief that one is.
-UNTELLING, BELIEF = 0.1, 20
+UNTELLING, BELIEF = 1.0, 150
 NEIGHBOURS = 11
 BLOCK = 16
 #: Share of the examples from which on a stem's weights stand in a row of all examples, not in postings.
