@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm import (
-    fingerprints, language, mixing, negatives, packing, resampling, simhash_bits, suffixes, surrogates,
+    fingerprints, language, mixing, negatives, packing, pages, resampling, simhash_bits, suffixes, surrogates,
     token_files, toxicity, vectors,
 )
 from forgepulse.llm.support import crc_of_id, settle, table
@@ -87,6 +87,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(negatives.as_integers(rows), F.col("vec_id") % 50 == 0)
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
