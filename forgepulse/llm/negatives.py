@@ -9,10 +9,11 @@ Rows are dealt into blocks of bounded size. A task packs the rows of a block int
 sort-tile-recursive: sorted by the coordinate that spreads most, cut into slabs, each slab by the next
 coordinate, and so on; runs of leaves become nodes. A node's minimum bounding box gives the interval
 of each coordinate, and with the anchor the least and the greatest inner product that a row in it can
-have. A search takes nodes from a queue, greatest bound first, leaves out boxes outside the window, and
-ends at a bound strictly below the score of the k-th row found: at equal scores a smaller id may still
-come. The best rows of all blocks are then ranked together. All anchors meet all blocks; rows that are
-compared are never emitted, only the best of a block.
+have. A search takes nodes from a queue, greatest bound first, and leaves out boxes outside the window
+and those with a bound strictly below the score of the k-th row found: at equal scores a smaller id may
+still come. Some anchors search together, so that a box is taken from the queue once and compared with
+those that it still concerns. The best rows of all blocks are then ranked together. All anchors meet all
+blocks; rows that are compared are never emitted, only the best of a block.
 
 Rows with a NULL label or vector or a NULL component take no part, and neither anchors nor rows
 compare with vectors of another length. Repeated rows are rows of their own; ties go to the smaller
@@ -37,8 +38,8 @@ POSITIVES, NEGATIVES = 5, 3
 #: The window in hundredths of the positive's score.
 LOW, HIGH = 50, 95
 #: Rows of a block, of a leaf, and nodes below a node.
-BLOCK_ROWS, LEAF_ROWS, FAN_OUT = 2048, 32, 8
-#: Anchors whose bounds are worked out at once.
+BLOCK_ROWS, LEAF_ROWS, FAN_OUT = 8192, 64, 8
+#: Anchors that search together.
 ANCHORS_AT_ONCE = 256
 _LONG = 2**63
 
@@ -47,12 +48,13 @@ _LONG = 2**63
 class Tree:
     """An R-tree over the rows of a block; leaves come first, the root last."""
 
-    rows: dict  # number, id, label and vector of each row, in the order of the leaves
+    rows: dict  # number, id, label (as a number) and vector of each row, in the order of the leaves
     low: np.ndarray  # nodes x coordinates
     high: np.ndarray
     first: np.ndarray  # first row of a leaf, first child of another node
     after: np.ndarray
     leaves: int
+    scored: int = 0  # (anchor, row) that were compared
 
     @classmethod
     def pack(cls, rows: dict) -> Tree:
@@ -80,39 +82,68 @@ class Tree:
         plus, minus = np.maximum(anchors, 0), np.minimum(anchors, 0)
         return plus @ self.low.T + minus @ self.high.T, plus @ self.high.T + minus @ self.low.T
 
-    def best(
-        self, anchor: dict, at: int, least: np.ndarray, most: np.ndarray, window: tuple, k: int, same: bool, known: dict
-    ) -> list[tuple]:
-        """The ``k`` best (-score, id, number) of the window among rows of the anchor's label, itself
-        left out, or of other labels. ``known`` keeps the scores of leaves for the next window."""
-        floor, ceiling = window
-        found: list[tuple] = []
+    def best(self, anchors: dict, low: np.ndarray, high: np.ndarray, k: int, same: bool) -> Best:
+        """The ``k`` best rows of each window (anchors x windows, from ``low`` to ``high``) among rows of
+        the anchor's label, itself left out, or of other labels."""
+        least, most = self.bounds(anchors["vector"])
+        found = Best.none((*low.shape, k), least.dtype)
         root = len(self.first) - 1
-        queue = [(-min(most[root], ceiling), root)]
+        queue = [(0, root)]
         while queue:
-            bound, node = heapq.heappop(queue)
-            if len(found) == k and -bound < -found[-1][0]:
-                break
-            if node >= self.leaves:
-                for child in range(self.first[node], self.after[node]):
-                    if most[child] >= floor and least[child] <= ceiling:
-                        heapq.heappush(queue, (-min(most[child], ceiling), child))
+            node = heapq.heappop(queue)[1]
+            reach = np.minimum(most[:, node, None], high)
+            asks = (reach >= low) & (least[:, node, None] <= high) & (reach >= found.score[:, :, -1])
+            some = np.nonzero(asks.any(axis=1))[0]
+            if not len(some):
                 continue
             place = slice(self.first[node], self.after[node])
-            if node not in known:
-                fits = (self.rows["label"][place] == anchor["label"][at]) == same
-                fits &= self.rows["number"][place] != anchor["number"][at]
-                known[node] = self.rows["vector"][place] @ anchor["vector"][at], fits
-            score, fits = known[node]
-            some = np.nonzero(fits & (score >= floor) & (score <= ceiling))[0]
-            if len(found) == k:
-                some = some[score[some] >= -found[-1][0]]
-            if len(some):
-                ids, numbers = self.rows["id"][place][some], self.rows["number"][place][some]
-                found = sorted([*found, *zip((-score[some]).tolist(), ids.tolist(), numbers.tolist())])[:k]
+            if node >= self.leaves:
+                bound = np.minimum(most[some, place].max(axis=0), high[some][asks[some]].max())
+                for child, at in zip(range(place.start, place.stop), bound):
+                    heapq.heappush(queue, (-at, child))
+                continue
+            self.scored += len(some) * (place.stop - place.start)
+            rows = {name: values[place] for name, values in self.rows.items()}
+            score = anchors["vector"][some] @ rows["vector"].T
+            fits = (anchors["label"][some, None] == rows["label"]) == same
+            fits &= anchors["number"][some, None] != rows["number"]
+            wide = score[:, None, :]
+            good = fits[:, None, :] & (wide >= np.maximum(low[some], found.score[some, :, -1])[:, :, None])
+            good &= wide <= high[some][:, :, None]
+            a, w = np.nonzero(good.any(axis=2))
+            if len(a):
+                found.merge(some[a], w, np.where(good[a, w], score[a], -np.inf), rows["id"], rows["number"])
         return found
 
 
+@dataclass
+class Best:
+    """The best rows so far, (anchors x windows x k), best first; a score of minus infinity: none."""
+
+    score: np.ndarray
+    id: np.ndarray
+    number: np.ndarray
+
+    @classmethod
+    def none(cls, shape: tuple, kind: np.dtype) -> Best:
+        return cls(np.full(shape, -np.inf, kind), np.full(shape, _LONG - 1), np.full(shape, -1))
+
+    def merge(self, a: np.ndarray, w: np.ndarray, score: np.ndarray, ids: np.ndarray, numbers: np.ndarray) -> None:
+        """Add the rows of a leaf (windows x rows) to the windows (``a``, ``w``)."""
+        score = np.concatenate([self.score[a, w], score], axis=1)
+        ids, numbers = (
+            np.concatenate([own[a, w], np.broadcast_to(new, (len(a), len(new)))], axis=1)
+            for own, new in ((self.id, ids), (self.number, numbers))
+        )
+        order = np.argsort(numbers, axis=1, kind="stable")
+        for key in (ids, -score):
+            by = np.argsort(np.take_along_axis(key, order, axis=1), axis=1, kind="stable")
+            order = np.take_along_axis(order, by, axis=1)
+        order = order[:, : self.score.shape[2]]
+        for own, new in ((self.score, score), (self.id, ids), (self.number, numbers)):
+            own[a, w] = np.take_along_axis(new, order, axis=1)
+
+
 def _tiles(vector: np.ndarray) -> list[np.ndarray]:
     """Rows in the order of sort-tile-recursive, as the slabs of its last round."""
     leaves = -(-len(vector) // LEAF_ROWS)
@@ -143,7 +174,7 @@ def _side(rows: pa.Table, size: int) -> dict:
     ids = rows.column("id").combine_chunks()
     flat = rows.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return {
-        "number": rows.column("number").to_numpy(), "label": rows.column("label").to_numpy(zero_copy_only=False),
+        "number": rows.column("number").to_numpy(), "label": rows.column("label").to_numpy(),
         "id": ids.fill_null(_LONG - 1).to_numpy(zero_copy_only=False),
         "vector": flat.astype(np.int64).reshape(rows.num_rows, size),
     }
@@ -159,39 +190,44 @@ def _search(same: bool, k: int, low: int, high: int):
     An anchor has one window for each of its ``scores``, or takes all scores if it has none yet.
     """
 
-    def answers(tree: Tree, block: dict, rows: pa.Table, size: int) -> pa.RecordBatch:
-        anchors, out = _side(rows, size), []
-        kind = _exact([block["vector"], anchors["vector"]])
-        if tree.rows["vector"].dtype != kind:
-            tree = Tree.pack({**block, "vector": block["vector"].astype(kind)})
-        scores, ids = (rows.column(c).to_pylist() for c in ("scores", "ids"))
-        own_ids = rows.column("id").to_pylist()
-        for begin in range(0, rows.num_rows, ANCHORS_AT_ONCE):
-            some = {n: v[begin: begin + ANCHORS_AT_ONCE] for n, v in anchors.items()}
-            some["vector"] = some["vector"].astype(kind)
-            least, most = tree.bounds(some["vector"])
-            for at in range(len(some["number"])):
-                row, known = begin + at, {}
-                windows = [(-np.inf, np.inf)] if scores[row] is None else [
-                    (-(-low * p // 100), high * p // 100) for p in scores[row]
-                ]
-                for slot, window in enumerate(windows):
-                    if window[0] > window[1]:
-                        continue
-                    for score, found, number in tree.best(some, at, least[at], most[at], window, k, same, known):
-                        score = max(-_LONG, min(_LONG - 1, -int(score)))
-                        out.append((
-                            int(some["number"][at]), own_ids[row], slot,
-                            None if scores[row] is None else ids[row][slot],
-                            None if scores[row] is None else scores[row][slot],
-                            None if found == _LONG - 1 else int(found), int(number), score,
-                        ))
-        columns = list(zip(*out)) if out else [()] * 8
+    def windows(scores: list, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+        """From and to which score; an anchor with fewer positives than others has empty windows."""
+        count = max((len(s) for s in scores if s is not None), default=1)
+        every = [[(-np.inf, np.inf)] if s is None else [(-(-low * p // 100), high * p // 100) for p in s] for s in scores]
+        ends = [[*own, *[(np.inf, -np.inf)] * (count - len(own))] for own in every]
+        return tuple(np.array([[w[side] for w in own] for own in ends], kind) for side in (0, 1))
+
+    def answers(tree: Tree, anchors: dict, rows: pa.Table) -> pa.RecordBatch:
+        scores, ids, own = (rows.column(c).to_pylist() for c in ("scores", "ids", "id"))
+        begin, end = windows(scores, anchors["vector"].dtype)
+        found = tree.best(anchors, begin, end, k, same)
+        some = np.nonzero(found.score > -np.inf)
+        row, slot = some[0].tolist(), some[1].tolist()
+        known = [scores[r] is not None for r in row]
+        columns = [
+            anchors["number"][some[0]], [own[r] for r in row], slot,
+            [ids[r][w] if there else None for r, w, there in zip(row, slot, known)],
+            [scores[r][w] if there else None for r, w, there in zip(row, slot, known)],
+            [None if i == _LONG - 1 else i for i in found.id[some].tolist()], found.number[some],
+            [max(-_LONG, min(_LONG - 1, int(x))) for x in found.score[some].tolist()],
+        ]
         kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 5]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _ANSWER)
 
+    def searched(tree: Tree, block: dict, names: dict, rows: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
+        for begin in range(0, rows.num_rows, ANCHORS_AT_ONCE):
+            some = rows.slice(begin, ANCHORS_AT_ONCE)
+            anchors = _side(some, size)
+            anchors["label"] = np.array([names.get(label, -1) for label in anchors["label"]])
+            if _exact([block["vector"], anchors["vector"]]) is object:
+                anchors["vector"] = anchors["vector"].astype(object)
+                yield answers(Tree.pack({**block, "vector": block["vector"].astype(object)}), anchors, some)
+            else:
+                anchors["vector"] = anchors["vector"].astype(np.float64)
+                yield answers(tree, anchors, some)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, block, tree = None, [], None, None
+        key, held, block, tree, names = None, [], None, None, {}
         for batch in batches:
             table = pa.Table.from_batches([batch])
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(4))))
@@ -205,8 +241,10 @@ def _search(same: bool, k: int, low: int, high: int):
                 elif held or tree:  # else the hash has dealt this block no rows
                     if tree is None:
                         block = {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+                        found, block["label"] = np.unique(block["label"], return_inverse=True)
+                        names = {label: code for code, label in enumerate(found.tolist())}
                         tree, held = Tree.pack({**block, "vector": block["vector"].astype(np.float64)}), []
-                    yield answers(tree, block, rows, here[0])
+                    yield from searched(tree, block, names, rows, here[0])
 
     return run
 

@@ -43,7 +43,7 @@ def clusters(count, width, seed=4):
     ]
 
 
-@pytest.mark.parametrize("block, leaf, fan", [(2048, 32, 8), (64, 4, 2), (7, 3, 3)])
+@pytest.mark.parametrize("block, leaf, fan", [(8192, 64, 8), (64, 4, 2), (7, 3, 3)])
 def test_against_brute_force_over_blocks_of_several_sizes(spark, monkeypatch, block, leaf, fan):
     monkeypatch.setattr(negatives, "BLOCK_ROWS", block)
     monkeypatch.setattr(negatives, "LEAF_ROWS", leaf)
@@ -83,19 +83,19 @@ def test_search_leaves_out_most_of_a_clustered_block(monkeypatch):
     vector = np.round(np.repeat(centres, 64, axis=0) + rng.normal(size=(2048, 6)))
     numbers = np.arange(2048)
     tree = negatives.Tree.pack({
-        "number": numbers, "id": numbers, "label": np.array(["a"] * 2048, object), "vector": vector,
+        "number": numbers, "id": numbers, "label": np.zeros(2048, int), "vector": vector,
     })
-    anchor = {"number": np.array([-1]), "label": np.array(["a"], object), "vector": vector[:1]}
-    least, most = tree.bounds(anchor["vector"])
-    scores = tree.rows["vector"] @ anchor["vector"][0]
+    anchors = {"number": np.array([-1, -2]), "label": np.zeros(2, int), "vector": vector[[0, 700]]}
+    least, most = tree.bounds(anchors["vector"])
+    scores = anchors["vector"] @ tree.rows["vector"].T
     for leaf in range(tree.leaves):
-        own = scores[tree.first[leaf]: tree.after[leaf]]
-        assert least[0, leaf] <= own.min() and own.max() <= most[0, leaf]
-    known: dict = {}
-    found = tree.best(anchor, 0, least[0], most[0], (-np.inf, np.inf), 5, True, known)
-    want = sorted(zip((-scores).tolist(), tree.rows["id"].tolist()))[:5]
-    assert [f[:2] for f in found] == want
-    assert len(known) < tree.leaves / 4
+        own = scores[:, tree.first[leaf]: tree.after[leaf]]
+        assert (least[:, leaf] <= own.min(axis=1)).all() and (own.max(axis=1) <= most[:, leaf]).all()
+    found = tree.best(anchors, np.full((2, 1), -np.inf), np.full((2, 1), np.inf), 5, True)
+    for at in range(2):
+        want = sorted(zip((-scores[at]).tolist(), tree.rows["id"].tolist()))[:5]
+        assert list(zip((-found.score[at, 0]).tolist(), found.id[at, 0].tolist())) == want
+    assert tree.scored < 2 * 2048 / 4
 
 
 def test_integers_of_floats(spark):
