@@ -34,10 +34,9 @@ RAW_TABLE_SCHEMA = (
     "raw_data VARIANT, raw_text STRING, file_name STRING, loaded_at TIMESTAMP, "
     "load_id STRING, readable BOOLEAN, year INT, month INT, day INT"
 )
-# Loads: one row per file of a committed load; a load without files has one row without a path.
-LOADS_SCHEMA = (
-    "load_id STRING, path STRING, length BIGINT, rows_loaded BIGINT, rows_quarantined BIGINT"
-)
+# Loads: a row per committed load, and one per file of a load, committed or not.
+LOADS_SCHEMA = "load_id STRING, rows_loaded BIGINT, rows_quarantined BIGINT"
+LOADED_FILES_SCHEMA = "load_id STRING, path STRING, length BIGINT"
 
 # Staging relation: column, path in the record, type. Ids are BIGINT because feeds issue ids
 # beyond 2^31; timestamps are the wall clock of the feed (UTC).

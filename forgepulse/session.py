@@ -86,12 +86,19 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_path(path: str) -> str | None:
+    """A path of this machine's file system without its scheme; None for any other store."""
+    if path.startswith("file:"):
+        return "/" + path.removeprefix("file:").lstrip("/")
+    return path if path.startswith("/") else None
+
+
 def file_system(path: str):
     """File system and path there of a folder that Spark names, for work that is not Spark's."""
     from pyarrow import fs
 
-    local = path.startswith(("file:", "/"))
-    return fs.FileSystem.from_uri("file:///" + path.removeprefix("file:").lstrip("/") if local else path)
+    local = local_path(path)
+    return (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(path)
 
 
 def remove(path: str) -> None:

@@ -8,18 +8,25 @@ line, splittable, the form for bulk loads. Files get unique names and are only e
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
 from forgepulse.functions.records import iso_utc, text_records
+from forgepulse.session import file_system, local_path
 
 LAYOUTS = ("array", "lines")
+#: Files of a listing in one batch.
+LISTED_AT_ONCE = 10_000
+#: Names that file sources pass over.
+_HIDDEN = re.compile(r"/[_.]")
 
 
 def stamp(events: DataFrame, extracted_at: Column, source_repo: Column) -> DataFrame:
@@ -170,7 +177,57 @@ def list_files(
     spark: SparkSession, root: str, days: Sequence[dt.date] | None = None
 ) -> DataFrame:
     """(path, length, year, month, day) of landed files, of all days or of some: then only the
-    folders of these days are listed. Contents are not read."""
+    folders of these days are listed. Contents are not read.
+
+    Tasks list the folders of single days; the driver only walks down to these, so it holds days and
+    never files. Stores that Arrow cannot list are listed by Spark's own reader, through the driver.
+    """
+    try:
+        files, base = file_system(root)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return _listed_by_spark(spark, root, days)
+    folders = _folders(files, base, days)
+    tasks = min(len(folders), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = spark.createDataFrame(folders, "folder STRING, whole BOOLEAN").repartition(max(1, tasks), "folder")
+    # Paths as Spark writes them in file sources.
+    scheme = re.match(r"[^/:]+://[^/]*", root)
+    prefix = scheme.group(0) + ("" if base.startswith("/") else "/") if scheme and not local_path(root) else "file:"
+
+    def files_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = file_system(root)
+        for batch in batches:
+            for folder, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True, recursive=whole))
+                found = [f for f in found if f.is_file and not _HIDDEN.search("/" + f.path[len(base):])]
+                for start in range(0, len(found), LISTED_AT_ONCE):
+                    some = found[start: start + LISTED_AT_ONCE]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([prefix + f.path for f in some]), pa.array([f.size for f in some], pa.int64())],
+                        ["path", "length"],
+                    )
+
+    part = [
+        F.regexp_extract("path", f"/{name}=([0-9]+)/", 1).try_cast("int").alias(name) for name in S.LANDING_PARTITIONS
+    ]
+    return listed.mapInArrow(files_of, "path STRING, length BIGINT").select("path", "length", *part)
+
+
+def _folders(files: fs.FileSystem, base: str, days: Sequence[dt.date] | None) -> list[tuple[str, bool]]:
+    """Folders to list: those of days with all that is below them, those above without."""
+    if days is not None:
+        return [(f"{base}/{d.strftime('year=%Y/month=%m/day=%d')}", True) for d in days]
+    level, found = [base], []
+    for _ in S.LANDING_PARTITIONS:
+        found += [(folder, False) for folder in level]
+        level = [
+            f.path for folder in level
+            for f in files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+            if f.type == fs.FileType.Directory and not _HIDDEN.search("/" + f.base_name)
+        ]
+    return found + [(folder, True) for folder in level]
+
+
+def _listed_by_spark(spark: SparkSession, root: str, days: Sequence[dt.date] | None) -> DataFrame:
     where = root
     if days is not None:
         where = f"{root}/{{{','.join(d.strftime('year=%Y/month=%m/day=%d') for d in days)}}}"

@@ -1,9 +1,10 @@
 """The raw table: one VARIANT per event in Parquet, partitioned by load and landing day.
 
-A load writes the folder ``load_id=<id>`` and then commits by a row in the table of loads beside it.
-Only committed loads are read: what a broken attempt left behind is never seen, and its repetition
-is a load of its own. Load ids are unique, so two feeds, or one feed whose progress was reset, cannot
-overwrite each other.
+A load writes the folder ``load_id=<id>``, the list of its files, and then commits by a row in the log of
+loads beside it. Only committed loads are read: what a broken attempt left behind is never seen, and its
+repetition is a load of its own. Load ids are unique, so two feeds, or one feed whose progress was reset,
+cannot overwrite each other. Commits are numbered: of two runs that load the same new files at the same
+time, the second to commit is refused and loads only what is still missing.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
+from forgepulse.sources.commits import commit, read_commits
 from forgepulse.sources.landing import is_unreadable
 
-_LOADS = "_loads"  # file sources pass over names that begin with an underscore
+# File sources pass over names that begin with an underscore.
+_LOADS, _FILES = "_loads", "_files"
 
 
 @dataclass(frozen=True)
@@ -55,18 +58,30 @@ def write_rows(
 
 
 def commit_load(
-    spark: SparkSession, raw_path: str, counts: LoadCounts, files: DataFrame | None = None
-) -> None:
-    """Make a written load visible, together with the files (path, length) that it holds."""
+    spark: SparkSession, raw_path: str, counts: LoadCounts, files: DataFrame | None = None, seen: int | None = None
+) -> bool:
+    """Make a written load visible, together with the files (path, length) that it holds.
+
+    ``seen``: the last commit when these files were found to be new. False, and nothing is visible, if a
+    later commit holds any of them.
+    """
     if has_load(spark, raw_path, counts.load_id):
         raise ValueError(f"load {counts.load_id} is committed already")
-    if files is None:
-        files = spark.createDataFrame([(None, None)], "path STRING, length BIGINT")
-    files.select(
-        F.lit(counts.load_id).alias("load_id"), "path", "length",
-        F.lit(counts.rows_loaded).cast("bigint").alias("rows_loaded"),
-        F.lit(counts.rows_quarantined).cast("bigint").alias("rows_quarantined"),
-    ).write.mode("append").parquet(f"{raw_path}/{_LOADS}")
+    if files is not None:
+        own = f"{raw_path}/{_FILES}/load_id={counts.load_id}"
+        files.select("path", "length").write.mode("overwrite").parquet(own)
+        files = spark.read.schema("path STRING, length BIGINT").parquet(own)
+    number = last_commit(spark, raw_path) if seen is None else seen
+    row = {
+        "load_id": counts.load_id, "rows_loaded": counts.rows_loaded, "rows_quarantined": counts.rows_quarantined,
+    }
+    while not commit(spark, f"{raw_path}/{_LOADS}", number + 1, [row]):
+        number = last_commit(spark, raw_path)
+        if files is not None and seen is not None:
+            later = loaded_files(spark, raw_path, after=seen)
+            if not files.join(later, ["path", "length"], "left_semi").isEmpty():
+                return False
+    return True
 
 
 def append_load(
@@ -82,8 +97,19 @@ def append_load(
 
 
 def loads(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The table of committed loads, empty before the first."""
-    return read_if_there(spark, S.LOADS_SCHEMA, f"{raw_path}/{_LOADS}")
+    """Committed loads with their counts and commit ``number``, none before the first."""
+    return read_commits(spark, f"{raw_path}/{_LOADS}", S.LOADS_SCHEMA)
+
+
+def last_commit(spark: SparkSession, raw_path: str) -> int:
+    return loads(spark, raw_path).agg(F.max("number")).first()[0] or 0
+
+
+def loaded_files(spark: SparkSession, raw_path: str, after: int = 0) -> DataFrame:
+    """(load_id, path, length) of the files that committed loads hold, or those after a commit."""
+    files = read_if_there(spark, S.LOADED_FILES_SCHEMA, f"{raw_path}/{_FILES}")
+    committed = loads(spark, raw_path).where(F.col("number") > after).select("load_id")
+    return files.join(committed, "load_id", "left_semi")
 
 
 def read_if_there(spark: SparkSession, schema: str, path: str) -> DataFrame:
@@ -94,7 +120,7 @@ def read_if_there(spark: SparkSession, schema: str, path: str) -> DataFrame:
 
 def load_ids(spark: SparkSession, raw_path: str) -> list[str]:
     """Committed loads, as many as there were runs."""
-    return [r["load_id"] for r in loads(spark, raw_path).select("load_id").distinct().collect()]
+    return [r["load_id"] for r in loads(spark, raw_path).select("load_id").collect()]
 
 
 def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:

@@ -6,12 +6,14 @@ import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from forgepulse.operators.copies import latest_copy
+from forgepulse.operators.numbering import numbered
 from forgepulse.operators.staging import stg_events
-from forgepulse.sources import landing, raw_table
-from forgepulse.streaming.incremental import incremental_load
-from tests.helpers import feed_event, records, staged
+from forgepulse.sources import arrays, landing, raw_table
+from forgepulse.streaming.incremental import in_loads, incremental_load
+from tests.helpers import feed_event, plan_of, records, staged
 
 
 def run(spark, folder, **options):
@@ -92,6 +94,80 @@ def test_arrays_over_several_lines_are_told_from_broken_lines(spark, folder):
     assert run(spark, folder) == []
 
 
+def test_arrays_of_any_size_load_wholly_and_broken_ones_are_kept_whole(spark, folder, monkeypatch):
+    """The limit that once kept large files from being read as arrays is far below these sizes here."""
+    monkeypatch.setattr(arrays, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(arrays, "PIECE_BYTES", 2000)
+    whole = json.dumps([feed_event(n, text='a "quoted" ] \\ é') for n in range(300)], indent=2)
+    torn = json.dumps([feed_event(n) for n in range(300, 340)], indent=2)[:-200]
+    # A line of it is a whole event: that must not count.
+    lines = "[\n" + json.dumps(feed_event(400)) + ",\n" + json.dumps(feed_event(401)) + "\n,"
+    odd = "[\n" + json.dumps(feed_event(500)) + ",\n{broken: }\n]"
+    for name, text in (("w.json", whole), ("t%41#.json", torn), ("l.json", lines), ("o.json", odd)):
+        put(folder, name, text)
+    (counts,) = run(spark, folder)
+    assert loaded(spark, folder) == sorted(str(n) for n in range(300))
+    kept = raw_table.read_quarantine(spark, folder("raw")).collect()
+    assert counts.rows_loaded == 300 and counts.rows_quarantined == len(kept) > 5
+    texts = {}
+    for row in kept:
+        texts.setdefault(row["file_name"].rsplit("/", 1)[1], []).append(row["raw_text"])
+    assert sorted(map(len, texts.values()))[:2] == [1, 1]
+    assert texts["l.json"] == [lines] and texts["o.json"] == [odd]
+    assert sorted("".join(texts["t%2541%23.json"])) == sorted(torn)
+    assert run(spark, folder) == []
+
+
+def test_the_array_layout_reads_in_chunks_too(spark, folder, monkeypatch):
+    monkeypatch.setattr(arrays, "CHUNK_BYTES", 100)
+    put(folder, "a b.json", json.dumps([feed_event(n) for n in range(20)], indent=1))
+    put(folder, "b.json", json.dumps(feed_event(30)))
+    put(folder, "c.json", "")
+    (counts,) = run(spark, folder, layout="array")
+    assert (counts.rows_loaded, counts.rows_quarantined) == (20, 1)
+    assert raw_table.read_raw(spark, folder("raw")).select("file_name").distinct().first()[0].endswith("/a%20b.json")
+
+
+def test_200_000_new_files_are_numbered_in_several_tasks(spark, tmp_path):
+    listed = spark.range(200_000).selectExpr(
+        "concat('file:/landing/year=2024/month=01/day=', lpad(id % 28 + 1, 2, '0'), '/', xxhash64(id), '.json') AS path",
+        "id AS length", "2024 AS year", "1 AS month", "cast(id % 28 + 1 AS INT) AS day",
+    )
+    known = listed.where("length % 10 = 0").select("path", "length")
+    pending, count = in_loads(listed, known, 7_000)
+    assert count == -(-180_000 // 7_000)
+    sizes = {r["load"]: r["count"] for r in pending.groupBy("load").count().collect()}
+    assert sizes == {n: 7_000 if n < count - 1 else 180_000 % 7_000 for n in range(count)}
+    days = pending.groupBy("load").agg(F.min("day").alias("low"), F.max("day").alias("high")).orderBy("load").collect()
+    assert all(a["high"] <= b["low"] for a, b in zip(days, days[1:]))
+    placed = numbered(listed, [F.col("day"), F.col("path")], "place")
+    plan = plan_of(placed)
+    assert "SinglePartition" not in plan and "Window" not in plan
+    assert len({f for f in placed.inputFiles() if f.endswith(".parquet")}) > 1
+    assert "PartitionFilters: [isnotnull(load" in plan_of(pending.where("load = 3"))
+
+
+def test_runs_that_overlap_load_each_file_once(spark, folder, monkeypatch):
+    """While the first run writes its load, a second one loads a part of the same files and commits."""
+    land(spark, folder, [1, 2], day="2024-01-05")
+    land(spark, folder, [3], day="2024-01-06")
+    write, others = raw_table.write_rows, []
+
+    def overlapped(*arguments):
+        if not others:
+            others.append(True)
+            others.extend(run(spark, folder, days=[dt.date(2024, 1, 6)]))
+        return write(*arguments)
+
+    monkeypatch.setattr(raw_table, "write_rows", overlapped)
+    own = run(spark, folder)
+    assert [c.rows_loaded for c in own] == [2] and [c.rows_loaded for c in others[1:]] == [1]
+    assert raw_table.read_raw(spark, folder("raw")).count() == 3
+    assert loaded(spark, folder) == ["1", "2", "3"]
+    assert raw_table.loaded_files(spark, folder("raw")).groupBy("path").count().where("count > 1").isEmpty()
+    assert run(spark, folder) == []
+
+
 def test_only_some_days_are_listed(spark, folder):
     for day in (5, 6, 7):
         land(spark, folder, [day], day=f"2024-01-{day:02d}")

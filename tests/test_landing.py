@@ -163,7 +163,30 @@ def test_files_are_listed_by_day(spark, folder):
     assert landing.list_files(spark, folder("l")).count() == 3
     two = landing.list_files(spark, folder("l"), [dt.date(2024, 1, 2), dt.date(2024, 1, 3)])
     assert [(r["month"], r["day"]) for r in two.collect()] == [(1, 2)]
-    assert len(two.inputFiles()) == 1
+
+
+def test_listing_in_tasks_equals_that_of_the_file_source(spark, folder):
+    events = [(f"2024-{m:02d}-{d:02d}", feed_event(d)) for m in (1, 2) for d in range(1, 13)]
+    landing.write_landing(records(spark, events), folder("l"))
+    day = Path(folder("l"), "year=2024", "month=01", "day=03")
+    for name in ("a b%41#é?.json", "_hidden.json", ".hidden.json", "below/c.json", "_below/d.json"):
+        (day / name).parent.mkdir(exist_ok=True)
+        (day / name).write_text("{}")
+    for root in (folder("l"), "file:" + folder("l")):
+        found = landing.list_files(spark, root)
+        want = landing._listed_by_spark(spark, folder("l"), None)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+        assert found.rdd.getNumPartitions() > 1
+    some = [dt.date(2024, 1, 3), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    assert landing.list_files(spark, folder("l"), some).count() == landing._listed_by_spark(spark, folder("l"), some[:2]).count() == 4
+    assert landing.list_files(spark, folder("none")).count() == 0
+
+
+def test_a_flat_landing_zone_is_listed(spark, folder):
+    Path(folder("l")).mkdir()
+    Path(folder("l"), "x.json").write_text("{}")
+    (row,) = landing.list_files(spark, folder("l")).collect()
+    assert (row["length"], row["year"], row["day"]) == (2, None, None)
 
 
 def test_two_landing_zones(spark, folder):
