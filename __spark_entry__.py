@@ -72,13 +72,8 @@ def q_daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.daily_activity(_staged(spark, sf_dir)).orderBy(*models.daily_order())
 
 
-def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = settle(models.contributor_stats(_staged(spark, sf_dir)), "contributor_stats")
-    return models.top_contributors(stats)
-
-
 def q_top_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _top(spark, sf_dir).orderBy(*models.contributor_order())
+    return models.leading_contributors(_staged(spark, sf_dir)).orderBy(*models.contributor_order())
 
 
 def q_event_trends(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,24 @@ def events_of(event_type: str) -> Column:
     return F.count_if(F.col("event_type") == event_type)
 
 
+#: Registers of a sketch as a power of two; the standard error is 1.04 / sqrt(2^12), about 1.6 %.
+SKETCH_BITS = 12
+
+
+def people(approximate: bool = False, login: str = "actor_login") -> Column:
+    """Distinct people, NULL not counted: exact, or as a sketch estimates them."""
+    return sketched(sketch(login)) if approximate else F.count_distinct(login)
+
+
+def sketch(login: str = "actor_login") -> Column:
+    """Sketch of distinct people, to be stored and united; NULL if there are none."""
+    return F.hll_sketch_agg(login, SKETCH_BITS)
+
+
+def sketched(held: Column) -> Column:
+    return F.coalesce(F.hll_sketch_estimate(held), F.lit(0)).cast("bigint")
+
+
 def commits() -> Column:
     """Commits pushed. Pushes without a size count as unknown, so a group that holds nothing
     but such pushes has NULL commits, not 0."""

@@ -2,7 +2,8 @@
 
 A run stages the loads that the published state does not hold yet, writes the days that they change,
 checks what it wrote, and only then publishes. A run that fails leaves the state, its files and the
-views on them as they were; the next run takes up its loads again.
+views on them as they were; the next run takes up its loads again. Runs may overlap: the one that
+publishes second starts again from the state that the first has left.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from forgepulse import schemas as S
 from forgepulse.functions import measures as M
 from forgepulse.operators import quality
 from forgepulse.operators.copies import latest_copy
+from forgepulse.operators.id_bitmaps import may_be_held
 from forgepulse.operators.staging import stg_events
 from forgepulse.operators.validation import REASONS, untypable, valid_records, with_all_reasons
-from forgepulse.plans import models, partials
+from forgepulse.plans import materialized, partials
 from forgepulse.plans import versions as V
 from forgepulse.session import settle
 from forgepulse.sources import raw_table
@@ -52,38 +54,43 @@ def all_reasons() -> list[str]:
     return [*REASONS, *[f"type:{name}" for name in untypable()]]
 
 
-def typed_records(raw: DataFrame, counts: Observation) -> DataFrame:
-    """Staging rows of the records that can be staged, with their day; how many of the others broke
-    each rule, and how many broke any, is counted while the rows pass."""
+def checked_records(raw: DataFrame, counts: Observation) -> DataFrame:
+    """Records in one pass: staging columns and the day of those that can be staged; the others, with
+    ``rejected`` set, whole and with the reasons. How many broke each rule, and how many broke any, is
+    counted while the rows pass."""
+    bad = F.size("reasons") > 0
     checked = with_all_reasons(raw).observe(
         counts,
-        F.count_if(F.size("reasons") > 0).alias("any"),
+        F.count_if(bad).alias("any"),
         *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in all_reasons()],
     )
-    valid = checked.where(F.size("reasons") == 0)
-    return stg_events(valid, strict=False).withColumn(V.DAY, M.day_of())
+    whole = [F.when(bad, F.col(c)).alias(c) for c in (*_REJECTED, "reasons")]
+    return stg_events(checked, strict=False, keep=[*whole, bad.alias("rejected")]).withColumn(V.DAY, M.day_of())
 
 
-def rejected_records(raw: DataFrame) -> DataFrame:
-    """Records that cannot be staged, whole, with the reasons."""
-    return with_all_reasons(raw).where(F.size("reasons") > 0)
+#: What a rejected record keeps beside its load time.
+_REJECTED = ("raw_data", "file_name", "load_id", *S.LANDING_PARTITIONS)
 
 
-def _moved(new: DataFrame, held: DataFrame) -> DataFrame:
+def _moved(spark: SparkSession, new: DataFrame, root: str, state: V.State) -> DataFrame:
     """(event_id, event_date) of copies that lose to a copy of another day: in the new rows or in the
-    days held so far. Reads keys only, and of held rows only those of new events."""
+    days held so far. Of these, only days that may hold a new event by their bitmaps are read, and of
+    them only the keys of new events."""
     keys = [c for c in new.columns if c != "payload"]
-    fresh, old = new.select(*keys), held.select(*keys)
-    ids = fresh.select("event_id").distinct()
+    fresh = new.select(*keys)
+    ids = fresh.select("event_id", V.DAY).distinct()
+    bits = V.read_days(spark, root, "event_ids", partials.SCHEMAS["event_ids"], state)
+    held = settle(may_be_held(ids, bits, V.DAY), "ids-held")
     apart = (
-        fresh.select("event_id", V.DAY)
-        .unionAll(old.select("event_id", V.DAY).join(ids, "event_id", "left_semi"))
-        .groupBy("event_id").agg(F.min(V.DAY).alias("low"), F.max(V.DAY).alias("high"))
+        ids.unionAll(held).groupBy("event_id")
+        .agg(F.min(V.DAY).alias("low"), F.max(V.DAY).alias("high"))
         .where(F.col("low") != F.col("high")).select("event_id")
     )
-    several = settle(apart, "copies-on-several-days")
+    several = settle(apart, "ids-on-several-days")
     if several.isEmpty():
         return several.withColumn(V.DAY, F.lit(None).cast("date"))
+    days = [r[V.DAY] for r in held.select(V.DAY).distinct().collect()]
+    old = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state, days).select(*keys)
     both = fresh.unionAll(old).join(several, "event_id", "left_semi")
     best = latest_copy(both, null_keys=False).select("event_id", F.col(V.DAY).alias("best"))
     return settle(
@@ -98,28 +105,29 @@ def update_staging(
 ) -> Staged:
     """Write the days of staging that ``raw`` changes, one copy per event, as days of ``run``.
 
-    The records are parsed and checked once, while their typed rows are written. Wide rows are then
-    shuffled once, by day and a share of the event ids, deduplicated there and written from there.
-    Copies of an event that disagree on its day are found by their keys alone; then the days of the
+    The records are parsed and checked once, while their typed rows, and rejected ones whole, are written. Wide rows
+    are then shuffled once, by day and a share of the event ids, deduplicated there and written from there.
+    Copies of an event that disagree on its day are found by bitmaps and keys alone; then the days of the
     copies that lose are written again as well.
     """
     counts, done = Observation("records"), Staged()
-    new = settle(typed_records(raw, counts), "typed-records")
+    checked = settle(checked_records(raw, counts), "checked-records", ["rejected"])
     found = counts.get
     done.rejected = {r: found[r] for r in all_reasons() if found.get(r)}
-    if found.get("any"):
-        rejects = rejected_records(raw).withColumn("run", F.lit(run))
-        rejects.write.mode("append").parquet(f"{root}/rejects")
     done.rejected["any"] = found.get("any", 0)
-    held = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state)
-    moved = _moved(new, held)
-    touched = new.select(V.DAY).unionAll(moved.select(V.DAY)).distinct()
-    done.touched = sorted(r[V.DAY] for r in touched.collect())
+    if done.rejected["any"]:
+        rejects = checked.where("rejected").select(*_REJECTED, "loaded_at", "reasons", F.lit(run).alias("run"))
+        rejects.write.mode("append").parquet(f"{root}/rejects")
+    new = checked.where("NOT rejected").drop(*_REJECTED, "reasons", "rejected")
+    arrived = {r[V.DAY]: r["n"] for r in new.groupBy(V.DAY).agg(M.rows().alias("n")).collect()}
+    moved = _moved(spark, new, root, state)
+    left = [r[V.DAY] for r in moved.select(V.DAY).distinct().collect()]
+    done.touched = sorted({*arrived, *left})
     old = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state, done.touched)
     rows = old.unionByName(new)
-    if not moved.isEmpty():
+    if left:
         rows = rows.join(moved, ["event_id", V.DAY], "left_anti")
-    total = old.count() + new.count()
+    total = old.count() + sum(arrived.values())
     shares = max(1, -(-total // (FILE_ROWS * max(1, len(done.touched)))))
     share = F.pmod(F.xxhash64("event_id"), F.lit(shares)).alias("share")
     dealt = rows.select("*", share).repartition(V.DAY, "share")
@@ -136,34 +144,37 @@ def build_partials(staged: DataFrame, root: str, run: str) -> None:
     They do not depend on each other and are submitted together: executors that the last tasks of
     one leave idle work on the next.
     """
-    jobs = {
-        "daily_counts": partials.daily_counts, "hourly_counts": partials.hourly_counts,
-        "contributor_counts": partials.contributor_counts,
-    }
+    jobs = partials.all_of(staged)
     with ThreadPoolExecutor(len(jobs)) as pool:
         running = [
-            pool.submit(V.write_days, make(staged).hint("rebalance", V.DAY), root, name, run)
-            for name, make in jobs.items()
+            pool.submit(V.write_days, made.hint("rebalance", V.DAY), root, name, run)
+            for name, made in jobs.items()
         ]
     for job in running:
         job.result()
 
 
+def aggregates_of(spark: SparkSession, root: str, state: V.State) -> dict[str, DataFrame]:
+    return {
+        name: V.read_days(spark, root, name, schema, state) for name, schema in partials.SCHEMAS.items()
+    }
+
+
 def tables_of(
     spark: SparkSession, root: str, state: V.State, k: int = S.TOP_K
 ) -> dict[str, DataFrame]:
     """Staging and the models as of a state. Models are added up from the daily aggregates when they
     are read: a filter on the repository reaches their scans."""
-    read = {
-        name: V.read_days(spark, root, name, schema, state) for name, schema in partials.SCHEMAS.items()
-    }
+    read = aggregates_of(spark, root, state)
     stats = partials.contributor_stats(read["contributor_counts"])
     return {
         STAGING: V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, state).drop(V.DAY),
         "daily_activity": partials.daily_activity(read["daily_counts"]),
         "contributor_stats": stats,
-        "top_contributors": models.top_contributors(stats, k),
+        "top_contributors": partials.leading_contributors(read["contributor_counts"], k),
         "event_trends": partials.event_trends(read["hourly_counts"]),
+        "retention": partials.retention(read["contributor_counts"]),
+        "contributor_growth": partials.contributor_growth(read["contributor_counts"], read["daily_people"]),
     }
 
 
@@ -196,13 +207,16 @@ def open_build(
     spark: SparkSession, root: str, k: int = S.TOP_K, materialize: bool = False
 ) -> dict[str, DataFrame]:
     """Publish the last state of a build, of this session or any other: as views, or with
-    ``materialize`` as tables of the catalog, which other sessions see."""
+    ``materialize`` staging and the three models as tables of the catalog, which other sessions see."""
+    if materialize:
+        materialized.update(spark, root, k)
     tables = tables_of(spark, root, V.read_state(spark, root), k)
-    folder = f"{root}/published/{V.new_run()}"
-    return {
-        name: publish(table, name, f"{folder}/{name}" if materialize else None)
-        for name, table in tables.items()
-    }
+    for name, table in tables.items():
+        if materialize and name in materialized.TABLES:
+            tables[name] = materialized.table(spark, name)
+        else:
+            publish(table, name)
+    return tables
 
 
 def run_build(
@@ -225,32 +239,52 @@ def run_build(
     kept whole in ``rejects``. With ``strict`` any rejected record fails the run before it publishes.
     A run without new events fails. ``rebuild`` stages all loads again. ``days`` limits the listing of
     the landing zone (see ``incremental_load``); ``compact`` is for a first load of many days;
-    ``materialize`` publishes tables of the catalog instead of views.
+    ``materialize`` keeps tables of the catalog instead of views (see ``forgepulse.plans.materialized``).
     """
-    raw_path, run = f"{root}/raw_events", V.new_run()
+    raw_path = f"{root}/raw_events"
     incremental_load(spark, landing, raw_path, layout, max_files_per_load, days, compact)
-    before = V.State(V.read_state(spark, root).number) if rebuild else V.read_state(spark, root)
-    pending = [i for i in raw_table.load_ids(spark, raw_path) if i not in before.loads]
+    attempts = 0
+    while (result := _stage_pending(spark, root, rebuild, strict, attempts > 0)) is None:
+        attempts += 1  # another run has published: start again from its state
+    loads, staged, checks = result
+    return stage_counts(spark, loads, staged, open_build(spark, root, k, materialize), checks)
+
+
+def _stage_pending(
+    spark: SparkSession, root: str, rebuild: bool, strict: bool, again: bool
+) -> tuple[list, Staged, int] | None:
+    """Stage the loads that the published state does not hold, and publish; None if another run has
+    published first. Nothing of what this run wrote is seen then."""
+    raw_path, run, tables = f"{root}/raw_events", V.new_run(), [STAGING, *partials.SCHEMAS]
+    published = V.read_state(spark, root)
+    before = V.State(published.number) if rebuild else published
+    committed = raw_table.loads(spark, raw_path)
+    if not rebuild:
+        committed = committed.join(V.staged_loads(spark, root), "load_id", "left_anti")
     loads = [
         raw_table.LoadCounts(r["load_id"], r["rows_loaded"], r["rows_quarantined"])
-        for r in raw_table.loads(spark, raw_path).where(F.col("load_id").isin(pending))
-        .select("load_id", "rows_loaded", "rows_quarantined").distinct().collect()
+        for r in committed.select("load_id", "rows_loaded", "rows_quarantined").collect()
     ]
     if not sum(c.rows_loaded for c in loads):
+        if again:  # the other run has staged all that this one had
+            return [], Staged(rejected={"any": 0}), 0
         raise quality.QualityError("no events extracted")
+    pending = [c.load_id for c in loads]
     staged = update_staging(spark, read_raw(spark, raw_path, pending), root, run, before)
     if strict and staged.rejected["any"]:
         raise quality.QualityError(f"rejected records: {staged.rejected}")
-    after = before.with_run(run, [STAGING, *partials.SCHEMAS], staged.touched, staged.filled, pending)
     checks = 0
     if staged.filled:
+        after = before.with_run(run, tables, staged.touched, staged.filled)
         written = V.read_days(spark, root, STAGING, S.STAGED_SCHEMA, after, staged.filled)
         build_partials(written, root, run)
         checks = quality.gate(changed_results(spark, root, run, after)).count()
-    elif not before.runs:
+    elif not before.number:
         raise quality.QualityError(f"no record can be staged: {staged.rejected}")
-    V.publish_state(spark, root, after)
-    return stage_counts(spark, loads, staged, open_build(spark, root, k, materialize), checks)
+    held = published.days.get(STAGING, {}) if rebuild else ()  # days that a rebuild no longer has
+    touched = sorted({*staged.touched, *held})
+    done = V.publish_run(spark, root, published, run, tables, touched, staged.filled, pending)
+    return (loads, staged, checks) if done else None
 
 
 def stage_counts(
@@ -274,5 +308,5 @@ def stage_counts(
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """Records that published runs have rejected, whole, with their reasons."""
     schema = f"{S.RAW_SCHEMA}, reasons ARRAY<STRING>, run STRING"
-    runs = sorted(V.read_state(spark, root).runs)
-    return raw_table.read_if_there(spark, schema, f"{root}/rejects").where(F.col("run").isin(runs))
+    rejects = raw_table.read_if_there(spark, schema, f"{root}/rejects")
+    return rejects.join(V.published_runs(spark, root), "run", "left_semi")

@@ -99,12 +99,15 @@ def retention(stg: DataFrame) -> DataFrame:
     )
 
 
-def contributor_growth(stg: DataFrame, period: str = "month") -> DataFrame:
+def contributor_growth(stg: DataFrame, period: str = "month", approximate: bool = False) -> DataFrame:
     """Distinct contributors per repository and period, and the change in percent since the
-    previous active period."""
-    periods = stg.groupBy(
+    previous active period. With ``approximate`` they are counted by sketches."""
+    return with_growth(stg.groupBy(
         "repo_name", M.period_of(period).alias("period_start")
-    ).agg(F.count_distinct("actor_login").alias("contributors"))
+    ).agg(M.people(approximate).alias("contributors")))
+
+
+def with_growth(periods: DataFrame) -> DataFrame:
     by_period = Window.partitionBy("repo_name").orderBy(F.col("period_start").asc_nulls_last())
     return periods.withColumn(
         "prev_contributors", F.lag("contributors").over(by_period)

@@ -7,23 +7,29 @@ leave the map side keyed by (repository, day or hour, contributor).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
 from forgepulse.functions import measures as M
 from forgepulse.operators.ranking import rank_within
+from forgepulse.session import settle
 
 
-def daily_activity(stg: DataFrame, rolling_rows: int = S.ROLLING_ROWS) -> DataFrame:
-    """Repository x day. ``week_avg`` is the mean over the last seven days *with activity*."""
-    return with_week_avg(daily_counts(stg), rolling_rows)
+def daily_activity(
+    stg: DataFrame, rolling_rows: int = S.ROLLING_ROWS, approximate: bool = False
+) -> DataFrame:
+    """Repository x day. ``week_avg`` is the mean over the last seven days *with activity*. With
+    ``approximate`` contributors are counted by sketches (see ``measures.people``)."""
+    return with_week_avg(daily_counts(stg, approximate), rolling_rows)
 
 
-def daily_counts(stg: DataFrame) -> DataFrame:
+def daily_counts(stg: DataFrame, approximate: bool = False) -> DataFrame:
     return stg.groupBy("repo_name", M.day_of().alias("activity_date")).agg(
         M.rows().alias("total_activity"),
-        F.count_distinct("actor_login").alias("unique_contributors"),
+        M.people(approximate).alias("unique_contributors"),
         M.events_of(S.PUSH).alias("push_events"),
         M.commits().alias("total_commits"),
         M.events_of(S.ISSUES).alias("issue_events"),
@@ -43,9 +49,12 @@ def with_week_avg(daily: DataFrame, rolling_rows: int = S.ROLLING_ROWS) -> DataF
     return daily.withColumn("week_avg", F.avg("total_activity").over(recent))
 
 
-def contributor_stats(stg: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
-    """Contributor x repository, all pairs, with the weighted score."""
-    pairs = stg.groupBy(F.col("actor_login").alias("contributor"), "repo_name").agg(
+def contributor_stats(
+    stg: DataFrame, weights: dict[str, int] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Contributor x repository, all pairs, with the weighted score. ``keep``: columns that all rows of a
+    pair share."""
+    pairs = stg.groupBy(F.col("actor_login").alias("contributor"), "repo_name", *keep).agg(
         M.rows().alias("total_events"),
         F.count_distinct("event_type").alias("event_types_used"),
         M.events_of(S.PUSH).alias("push_count"),
@@ -73,15 +82,43 @@ def top_contributors(stats: DataFrame, k: int = S.TOP_K) -> DataFrame:
     return rank_within(stats, ["repo_name"], "total_events", "contributor_rank", k)
 
 
-def event_trends(stg: DataFrame) -> DataFrame:
+def leading_contributors(stg: DataFrame, k: int = S.TOP_K, weights: dict[str, int] | None = None) -> DataFrame:
+    """The same rows as ``top_contributors``, straight from staging.
+
+    Ranks need only the number of events of each pair. These are counted first, in one narrow shuffle
+    that the histogram and the ranked pairs share; everything else is then added up for the leading
+    pairs alone. They are written, so that their measured size decides how they are joined.
+    """
+    totals = stg.groupBy(F.col("actor_login").alias("contributor"), "repo_name").agg(
+        M.rows().alias("total_events")
+    )
+    pairs = settle(leading_pairs(totals, k), "leading-pairs")
+    stats = contributor_stats(of_pairs(stg, pairs, "actor_login"), weights, ["contributor_rank"])
+    return stats.select(*[c for c in stats.columns if c != "contributor_rank"], "contributor_rank")
+
+
+def leading_pairs(totals: DataFrame, k: int) -> DataFrame:
+    """(contributor, repo_name, contributor_rank) of pairs with rank at most ``k``."""
+    ranked = rank_within(totals, ["repo_name"], "total_events", "contributor_rank", k)
+    return ranked.select("contributor", "repo_name", "contributor_rank")
+
+
+def of_pairs(rows: DataFrame, pairs: DataFrame, person: str) -> DataFrame:
+    """Rows of some (contributor, repo_name), with what else is known of these."""
+    own = pairs.withColumnRenamed("repo_name", "__repo").withColumnRenamed("contributor", "__person")
+    same = rows[person].eqNullSafe(own["__person"]) & rows["repo_name"].eqNullSafe(own["__repo"])
+    return rows.join(own, same).drop("__person", "__repo")
+
+
+def event_trends(stg: DataFrame, approximate: bool = False) -> DataFrame:
     """Repository x type x hour, compared with the previous hour *that has events*."""
-    return with_hour_change(hourly_counts(stg))
+    return with_hour_change(hourly_counts(stg, approximate))
 
 
-def hourly_counts(stg: DataFrame) -> DataFrame:
+def hourly_counts(stg: DataFrame, approximate: bool = False) -> DataFrame:
     return stg.groupBy("repo_name", "event_type", M.hour_of().alias("event_hour")).agg(
         M.rows().alias("event_count"),
-        F.count_distinct("actor_login").alias("unique_users"),
+        M.people(approximate).alias("unique_users"),
     )
 
 

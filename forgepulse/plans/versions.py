@@ -1,9 +1,12 @@
-"""Day-partitioned tables that change by whole runs.
+"""Tables of days that runs replace, and the log that says which run holds each day.
 
-A run writes the days that it changes to folders of its own, ``<table>/run=<id>/event_date=<day>``, and
-is published by one row for each table and day in the table of states: a state names the run that
-holds each day. Until then, and if the run fails, readers see the state before; days that a run does
-not change are neither read nor written by it.
+A run writes the days that it changes to folders of its own, ``<table>/run=<id>/event_date=<day>``, and is
+published by one numbered commit that names these days and nothing else. The run of a day is that of the
+last commit that names it. Until its commit, and if the run fails, readers see what was before; days that
+a run does not change are neither read nor written by it.
+
+Runs may overlap. A run commits under the number after the state that it started from; if another run has
+that number, it is told so and nothing of it is seen (see ``forgepulse.sources.commits``).
 """
 
 from __future__ import annotations
@@ -17,26 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.session import file_system
-from forgepulse.sources.raw_table import read_if_there
+from forgepulse.sources.commits import commit, read_commits
 
 DAY = "event_date"
-_STATES = "_states"
-_SCHEMA = "state BIGINT, table STRING, event_date DATE, run STRING, load_id STRING"
+_LOG = "_states"
+_SCHEMA = "table STRING, event_date DATE, run STRING, load_id STRING"
 
 
 @dataclass(frozen=True)
 class State:
-    """What readers see: for each table the run that holds each day, and the loads staged and the runs
-    published so far."""
+    """What readers see: the last commit, and for each table the run that holds each day."""
 
     number: int = 0
     days: Mapping[str, Mapping[dt.date | None, str]] = field(default_factory=dict)
-    loads: frozenset[str] = frozenset()
-    runs: frozenset[str] = frozenset()
 
-    def with_run(
-        self, run: str, tables: Sequence[str], touched: Sequence, filled: Sequence, loads: Sequence[str]
-    ) -> State:
+    def with_run(self, run: str, tables: Sequence[str], touched: Sequence, filled: Sequence) -> State:
         """The state after ``run`` has written the ``touched`` days of some tables; those that are not
         ``filled`` have lost their last row."""
         days = {name: dict(held) for name, held in self.days.items()}
@@ -45,37 +43,63 @@ class State:
             for day in touched:
                 own.pop(day, None)
             own.update({day: run for day in filled})
-        return State(self.number + 1, days, self.loads | set(loads), self.runs | {run})
+        return State(self.number + 1, days)
 
 
 def new_run() -> str:
     return uuid.uuid4().hex
 
 
+def _log(spark: SparkSession, root: str) -> DataFrame:
+    return read_commits(spark, f"{root}/{_LOG}", _SCHEMA)
+
+
 def read_state(spark: SparkSession, root: str) -> State:
-    """The last published state. Its rows are as many as days, loads and runs."""
-    rows = read_if_there(spark, _SCHEMA, f"{root}/{_STATES}")
-    last = rows.agg(F.max("state")).first()[0]
-    if last is None:
-        return State()
+    """The last published state: as many rows as its tables have days."""
+    # Rows without a table, of loads and runs, are one group that only tells the last number.
+    last = _log(spark, root).groupBy("table", DAY).agg(
+        F.max_by("run", "number").alias("run"), F.max("number").alias("number")
+    )
     days: dict[str, dict] = {}
-    loads, runs = set(), set()
-    for row in rows.where(F.col("state") == last).collect():
-        if row["load_id"] is not None:
-            loads.add(row["load_id"])
-        elif row["table"] is None:
-            runs.add(row["run"])
-        else:
-            days.setdefault(row["table"], {})[row["event_date"]] = row["run"]
-    return State(last, days, frozenset(loads), frozenset(runs))
+    number = 0
+    for row in last.collect():
+        number = max(number, row["number"] or 0)
+        if row["table"] is not None and row["run"] is not None:
+            days.setdefault(row["table"], {})[row[DAY]] = row["run"]
+    return State(number, days)
+
+
+def publish_run(
+    spark: SparkSession, root: str, before: State, run: str, tables: Sequence[str],
+    touched: Sequence, filled: Sequence, loads: Sequence[str],
+) -> bool:
+    """Commit what a run has changed since the state ``before``: the run that holds each touched day now,
+    none for those that lost their last row, and the loads that it staged. False if another run has
+    published meanwhile."""
+    filled = set(filled)
+    rows = [
+        {"table": name, DAY: day and day.isoformat(), "run": run if day in filled else None}
+        for name in tables for day in touched
+    ]
+    rows += [{"load_id": load} for load in loads] + [{"run": run}]
+    return commit(spark, f"{root}/{_LOG}", before.number + 1, rows)
+
+
+def staged_loads(spark: SparkSession, root: str) -> DataFrame:
+    """(load_id) of the loads that published runs have staged."""
+    return _log(spark, root).where(F.col("load_id").isNotNull()).select("load_id").distinct()
+
+
+def published_runs(spark: SparkSession, root: str) -> DataFrame:
+    """(run) of the runs that were published."""
+    own = F.col("table").isNull() & F.col("load_id").isNull() & F.col("run").isNotNull()
+    return _log(spark, root).where(own).select("run").distinct()
 
 
-def publish_state(spark: SparkSession, root: str, state: State) -> None:
-    """Make a state the one that readers see: one small file, named when it is complete."""
-    rows = [(state.number, t, d, r, None) for t, held in state.days.items() for d, r in held.items()]
-    rows += [(state.number, None, None, None, load) for load in state.loads]
-    rows += [(state.number, None, None, run, None) for run in state.runs]
-    spark.createDataFrame(rows, _SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{_STATES}")
+def days_changed_since(spark: SparkSession, root: str, name: str, number: int) -> list:
+    """Days of a table that commits after ``number`` have named."""
+    rows = _log(spark, root).where((F.col("number") > number) & (F.col("table") == name))
+    return [r[DAY] for r in rows.select(DAY).distinct().collect()]
 
 
 def folder(root: str, name: str, run: str) -> str:
@@ -113,16 +137,11 @@ def read_days(
 ) -> DataFrame:
     """Rows of a table, of all its days or of some; the folders of other days are not listed."""
     held = state.days.get(name, {})
-    by_run: dict[str, list] = {}
-    for day, run in held.items():
-        if only is None or day in only:
-            by_run.setdefault(run, []).append(day)
-    parts = []
-    for run, days in sorted(by_run.items()):
-        base = folder(root, name, run)
-        paths = [f"{base}/{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}" for day in days]
-        parts += paths
-    if not parts:
+    wanted = held if only is None else {day: held[day] for day in set(only) if day in held}
+    paths = [
+        f"{folder(root, name, run)}/{DAY}={day or '__HIVE_DEFAULT_PARTITION__'}" for day, run in wanted.items()
+    ]
+    if not paths:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(f"{schema}, run STRING").option("basePath", f"{root}/{name}")
-    return reader.parquet(*sorted(parts)).drop("run")
+    return reader.parquet(*sorted(paths)).drop("run")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,14 +76,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it.
+def settle(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders of the values of ``by``, and return a scan of it.
 
     For relations read by two branches of one plan: the work above is done once, each branch
     reads only its columns, and a lost executor costs a re-read instead of a recomputation.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ from forgepulse import schemas as S
 from forgepulse.operators import quality
 from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.quality import QualityError
-from forgepulse.plans import build, models, partials
+from forgepulse.plans import build, insights, materialized, models, partials
 from forgepulse.plans import versions as V
 from forgepulse.session import new_folder, settle, shared_folder, shuffle_conf
 from forgepulse.sources import landing
@@ -235,18 +235,198 @@ def test_arrays_as_feeds_write_them_reach_the_models(spark, folder):
 def test_tables_of_the_catalog_are_seen_by_other_sessions(spark, folder):
     land(spark, folder, [("2024-01-05", feed_event(1))])
     build.run_build(spark, folder("l"), folder("out"), materialize=True)
-    held = spark.newSession().table("stg_events")
-    assert held.count() == spark.newSession().table("daily_activity").count() == 1
+    assert spark.newSession().table("stg_events").count() == spark.newSession().table("daily_activity").count() == 1
     land(spark, folder, [("2024-01-06", feed_event(2))])
     build.run_build(spark, folder("l"), folder("out"), materialize=True)
-    # Another path: whoever reads the table as it was goes on reading it.
-    assert spark.newSession().table("stg_events").count() == 2 and held.count() == 1
+    assert spark.newSession().table("stg_events").count() == 2
+    assert same(spark.newSession().table("contributor_stats"), build.tables_of(spark, folder("out"), V.read_state(spark, folder("out")))["contributor_stats"])
     for name in ("stg_events", "daily_activity", "contributor_stats", "top_contributors", "event_trends"):
         spark.sql(f"DROP TABLE {name}")
     tables = build.open_build(spark.newSession(), folder("out"))
     assert tables["event_trends"].first()["event_count"] == 2
 
 
+def drop_tables(spark):
+    for name in materialized.TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {spark.catalog.currentDatabase()}.{name}")
+
+
+def files_of_days(folder):
+    published = Path(folder("out"), "published")
+    return {p: p.stat().st_mtime_ns for p in published.rglob("part-*") if "=" in p.parent.name}
+
+
+def test_tables_of_days_are_replaced_day_by_day(spark, folder):
+    drop_tables(spark)
+
+    def at(number, day, hour=1, **changes):
+        return day, feed_event(number, created_at=f"{day}T{hour:02d}:00:00Z", **changes)
+
+    def build_with(*events):
+        land(spark, folder, events)
+        before = files_of_days(folder)
+        build.run_build(spark, folder("l"), folder("out"), materialize=True)
+        after = files_of_days(folder)
+        written = {(p.parts[-3], p.parent.name.split("=")[1]) for p, time in after.items() if before.get(p) != time}
+        want = build.tables_of(spark, folder("out"), V.read_state(spark, folder("out")))
+        for name in materialized.TABLES:
+            held = materialized.table(spark.newSession(), name)
+            drop = [c for c in ("payload",) if c in held.columns]
+            assert same(held.drop(*drop), want[name].drop(*drop)), name
+        return written
+
+    days = [f"2024-01-{d:02d}" for d in range(1, 15)]
+    build_with(*[at(n, day) for n, day in enumerate(days)])
+    # A day at the end: nothing else is written.
+    assert build_with(at(100, "2024-01-20")) == {(t, "2024-01-20") for t in ("stg_events", "daily_activity", "event_trends")}
+    # A day in the middle: the frames of the six rows behind it, and the next hour.
+    assert build_with(at(101, "2024-01-03", hour=5)) == {
+        ("stg_events", "2024-01-03"), ("event_trends", "2024-01-03"), ("event_trends", "2024-01-04"),
+        *[("daily_activity", f"2024-01-{d:02d}") for d in range(3, 10)],
+    }
+    # An event that was alone on its day moves to another: that day goes from all tables.
+    moved = build_with(at(9, "2024-01-20", hour=7, _extracted_at="2024-02-01T00:00:00Z"))
+    assert ("daily_activity", "2024-01-11") in moved and ("stg_events", "2024-01-11") not in moved
+    assert not any("=2024-01-10" in str(p) for p in files_of_days(folder))
+    drop_tables(spark)
+
+
+def test_totals_keep_two_folders_at_most(spark, folder):
+    drop_tables(spark)
+    for number in range(3):
+        land(spark, folder, [("2024-01-05", feed_event(number))])
+        build.run_build(spark, folder("l"), folder("out"), materialize=True)
+    for name in ("contributor_stats", "top_contributors"):
+        assert len(list(Path(folder("out"), "published", name).iterdir())) == 2
+    assert spark.newSession().table("top_contributors").first()["total_events"] == 3
+    drop_tables(spark)
+
+
+def overlapping(spark, folder, monkeypatch, meanwhile):
+    """Run a build; when its first attempt has staged its rows, ``meanwhile`` happens."""
+    step, done = build.build_partials, []
+
+    def then(*arguments):
+        if not done:
+            done.append(True)
+            meanwhile()
+        return step(*arguments)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(build, "build_partials", then)
+        return counts_of(build.run_build(spark, folder("l"), folder("out")))
+
+
+def test_two_runs_from_one_state_lose_no_load(spark, folder, monkeypatch):
+    land(spark, folder, [("2024-01-05", feed_event(1))])
+    build.run_build(spark, folder("l"), folder("out"))
+    land(spark, folder, [("2024-01-05", feed_event(2))])
+
+    def other_feed():
+        late = feed_event(2, created_at="2024-01-07T00:00:00Z", _extracted_at="2024-01-08T00:00:00Z")
+        land(spark, folder, [("2024-01-05", feed_event(3)), ("2024-01-07", late)], "m")
+        # Only its own load: the other run's is committed, but must not be staged here.
+        pending = build.raw_table.loads
+        with monkeypatch.context() as patched:
+            known = [r["load_id"] for r in pending(spark, folder("out") + "/raw_events").collect()]
+            patched.setattr(build.raw_table, "loads", lambda *a: pending(*a).where(~F.col("load_id").isin(known)))
+            patched.setattr(build.incremental_load.__globals__["raw_table"], "last_commit", lambda *a: len(known))
+            build.run_build(spark, folder("m"), folder("out"))
+
+    counts = overlapping(spark, folder, monkeypatch, other_feed)
+    assert counts["rows_loaded"] == 1 and counts["stg_events"] == 3
+    found = {r["event_id"]: str(r["event_date"]) for r in staged_rows(spark, folder).collect()}
+    assert found == {"1": "2024-01-05", "2": "2024-01-07", "3": "2024-01-05"}
+    staged_now = {r["load_id"] for r in V.staged_loads(spark, folder("out")).collect()}
+    assert staged_now == set(build.raw_table.load_ids(spark, folder("out") + "/raw_events")) and len(staged_now) == 3
+    assert V.read_state(spark, folder("out")).number == 3
+
+
+def test_a_run_whose_loads_another_has_staged_ends_well(spark, folder, monkeypatch):
+    land(spark, folder, [("2024-01-05", feed_event(1)), ("2024-01-06", feed_event(2, type=None))])
+
+    def whole_run():  # finds no new file, but the loads that this run has committed
+        build.run_build(spark, folder("l"), folder("out"))
+
+    counts = overlapping(spark, folder, monkeypatch, whole_run)
+    assert (counts["rows_loaded"], counts["stg_events"]) == (0, 1)
+    assert build.read_rejects(spark, folder("out")).count() == 1
+    assert V.read_state(spark, folder("out")).number == 1
+
+
+def test_what_a_run_publishes_does_not_grow_with_the_runs(spark, folder):
+    for number in range(3):
+        land(spark, folder, [(f"2024-01-{number + 1:02d}", feed_event(number, created_at=f"2024-01-{number + 1:02d}T00:00:00Z"))])
+        build.run_build(spark, folder("l"), folder("out"))
+    sizes = [p.stat().st_size for p in sorted(Path(folder("out"), "_states").glob("0*.json"))]
+    assert len(sizes) == 3 and len(set(sizes)) == 1
+    runs = [len(list(Path(folder("out"), t).glob("run=*/event_date=*"))) for t in SCHEMAS]
+    assert set(runs) == {3}
+
+
+def test_an_increment_without_old_copies_opens_no_old_day(spark, folder):
+    days = [(f"2024-01-{d:02d}", feed_event(d, created_at=f"2024-01-{d:02d}T01:00:00Z")) for d in (1, 2, 3)]
+    land(spark, folder, days)
+    build.run_build(spark, folder("l"), folder("out"))
+    hidden = Path(folder("out"), "stg_events").rename(Path(folder("out"), "hidden"))
+    land(spark, folder, [("2024-01-09", feed_event(9, created_at="2024-01-09T05:00:00Z"))])
+    raw = f"{folder('out')}/raw_events"
+    build.incremental_load(spark, folder("l"), raw)
+    loads, staged_now, _ = build._stage_pending(spark, folder("out"), False, False, False)
+    assert staged_now.touched == staged_now.filled == [dt.date(2024, 1, 9)]
+    for run in hidden.iterdir():
+        run.rename(Path(folder("out"), "stg_events", run.name))
+    assert build.open_build(spark, folder("out"))["stg_events"].count() == 4
+
+
+def test_retention_and_growth_from_aggregates(spark, folder):
+    events = source_events(spark, SF_DIR)
+    landing.write_landing(overlapping_records(events), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    typed = staged_events(events)
+    assert same(spark.table("retention"), insights.retention(typed))
+    assert same(spark.table("contributor_growth"), insights.contributor_growth(typed))
+    read = build.aggregates_of(spark, folder("out"), V.read_state(spark, folder("out")))
+    for table in ("retention", "contributor_growth"):
+        files = build.tables_of(spark, folder("out"), V.read_state(spark, folder("out")))[table].inputFiles()
+        assert files and all("/contributor_counts/" in f for f in files)
+    weeks = partials.contributor_growth(read["contributor_counts"], read["daily_people"], "week", approximate=True)
+    exact = {(r[0], r[1]): r[2] for r in insights.contributor_growth(typed, "week").select("repo_name", "period_start", "contributors").collect()}
+    near = {(r[0], r[1]): r[2] for r in weeks.select("repo_name", "period_start", "contributors").collect()}
+    assert set(near) == set(exact) and all(abs(near[k] - n) <= max(1, 0.05 * n) for k, n in exact.items())
+
+
+def test_sketched_people_are_within_their_error(spark):
+    people = spark.range(60_000).selectExpr(
+        "concat('u', id % 30000) AS actor_login", "'r' AS repo_name", "'PushEvent' AS event_type", "1L AS push_commit_count", "0 AS is_star_event",
+        "cast(timestampadd(MINUTE, cast(id AS INT), TIMESTAMP '2024-01-01 00:00:00') AS TIMESTAMP_NTZ) AS event_timestamp",
+    )
+    error = 4 * 1.04 / 2**6  # four standard errors of 2^12 registers
+    sketches = partials.daily_people(people)
+    (whole,) = partials.contributor_growth(people, sketches, "year", approximate=True).collect()
+    assert abs(whole["contributors"] / 30_000 - 1) < error
+    exact = {r["activity_date"]: r["unique_contributors"] for r in models.daily_activity(people).collect()}
+    near = {r["activity_date"]: r["unique_contributors"] for r in models.daily_activity(people, approximate=True).collect()}
+    assert set(near) == set(exact) and all(abs(near[d] / n - 1) < error for d, n in exact.items())
+    hours = models.event_trends(people, approximate=True)
+    assert hours.schema == models.event_trends(people).schema
+    nobody = people.limit(3).withColumn("actor_login", F.lit(None).cast("string"))
+    assert models.daily_activity(nobody, approximate=True).first()["unique_contributors"] == 0
+
+
+def test_records_are_parsed_once_rejected_or_not(spark, folder):
+    """One write checks and types all records; what it rejected is read from there."""
+    from pyspark.sql import Observation
+
+    events = [feed_event(1), feed_event(2, actor=None)]
+    land(spark, folder, [("2024-01-05", e) for e in events])
+    raw = landing.read_landing(spark, folder("l")).withColumn("load_id", F.lit("x"))
+    plan = plan_of(build.checked_records(raw, Observation("plan")))
+    assert plan.count("Scan text") == 1 + plan.count("(1) Scan text")
+    done = build.update_staging(spark, raw, folder("out"), "run", V.State())
+    assert done.rejected["any"] == 1 and len(done.filled) == 1
+
+
 def test_wide_rows_are_shuffled_once(spark, folder):
     frame = staged(spark, [{"at": "2024-01-01 00:00:00"}]).withColumn("event_date", F.to_date("event_timestamp"))
     share = F.pmod(F.xxhash64("event_id"), F.lit(4))
