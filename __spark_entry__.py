@@ -19,7 +19,7 @@ from forgepulse.functions.measures import day_of
 from forgepulse.operators import quality
 from forgepulse.operators.staging import stg_events
 from forgepulse.operators.validation import valid_records, validation_summary
-from forgepulse.plans import build, insights, models, reports
+from forgepulse.plans import build, insights, models, partials, reports
 from forgepulse.plans import versions as V
 from forgepulse.session import new_folder, settle
 from forgepulse.sources import landing, raw_table
@@ -276,6 +276,46 @@ def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_ingest_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are one array over several lines each, loaded without being told so."""
+    records = envelope.feed_records(_feed(spark, sf_dir))
+    path, raw_path = new_folder(spark, "landing"), new_folder(spark, "raw")
+    landing.write_landing(records.withColumn("record", F.concat(F.lit("\n  "), "record")), path, "array")
+    incremental_load(spark, path, raw_path)
+    staged = stg_events(raw_table.read_raw(spark, raw_path), keep=["file_name"])
+    kept = raw_table.read_quarantine(spark, raw_path).select(
+        F.make_date(*S.LANDING_PARTITIONS).alias("landing_date"), F.lit(None).cast("bigint").alias("actor_id"),
+        F.lit(1).alias("unread"),
+    )
+    day = F.make_date(*[
+        F.regexp_extract("file_name", f"/{part}=([0-9]+)/", 1).cast("int") for part in S.LANDING_PARTITIONS
+    ])
+    both = staged.select(day.alias("landing_date"), "actor_id", F.lit(0).alias("unread")).unionAll(kept)
+    return both.groupBy("landing_date").agg(
+        F.count_if(F.col("unread") == 0).alias("events"), F.sum("actor_id").alias("actor_id_sum"),
+        F.sum("unread").alias("quarantined"),
+    )
+
+
+def q_ingest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small loads, put together by landing day: the same rows in one file a day, or full ones."""
+    path, raw_path = _land(spark, envelope.feed_records(_feed(spark, sf_dir))), new_folder(spark, "raw")
+    incremental_load(spark, path, raw_path, "lines", max_files_per_load=25)
+    folder = raw_table.compact_loads(spark, raw_path)
+    raw_table.remove_moved(spark, raw_path)
+    files = spark.read.format("binaryFile").load(f"{raw_path}/load_id={folder}").select("path", "length")
+    day = F.make_date(*[
+        F.regexp_extract("path", f"/{part}=([0-9]+)/", 1).cast("int") for part in S.LANDING_PARTITIONS
+    ])
+    sizes = files.groupBy(day.alias("landing_date")).agg(
+        (M.rows() <= 1 + F.sum("length") / (64 * 2**20)).alias("packed")
+    )
+    events = stg_events(raw_table.read_raw(spark, raw_path), keep=list(S.LANDING_PARTITIONS))
+    return events.groupBy(F.make_date(*S.LANDING_PARTITIONS).alias("landing_date")).agg(
+        M.rows().alias("events"), F.count_distinct("event_id").alias("event_ids")
+    ).join(sizes, "landing_date")
+
+
 def q_ingest_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of every landed record of dirty, damaged, overlapping pulls, by landing day."""
     records = envelope.overlapping_records(_feed(spark, sf_dir), dirty=True)
@@ -359,19 +399,19 @@ def q_build_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.newSession().table("daily_activity")
 
 
-def _in_three_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    records = envelope.overlapping_records(_feed(spark, sf_dir))
+def _built_in_three_runs(spark: SparkSession, records: DataFrame) -> str:
     path, root = new_folder(spark, "landing"), new_folder(spark, "build")
     day = F.dayofmonth("landing_date")
     for arrivals in (day <= 10, (day > 10) & (day <= 12), day > 12):
         landing.write_landing(records.where(arrivals), path)
         build.run_build(spark, path, root)
-    return build.open_build(spark, root)
+    return root
 
 
 def q_build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three models after three arrivals, one row per row of a model."""
-    tables = _in_three_runs(spark, sf_dir)
+    records = envelope.overlapping_records(_feed(spark, sf_dir))
+    tables = build.open_build(spark, _built_in_three_runs(spark, records))
     daily = tables["daily_activity"].select(
         F.lit("daily_activity").alias("model"), "repo_name", F.col("activity_date").cast("string").alias("key"),
         F.col("total_activity").alias("events"), F.col("unique_contributors").alias("people"),
@@ -389,6 +429,27 @@ def q_build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.unionAll(trends).unionAll(top)
 
 
+def q_build_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retention and growth after three arrivals, from daily aggregates; growth also as sketches see it."""
+    records = envelope.overlapping_records(_feed(spark, sf_dir))
+    root = _built_in_three_runs(spark, records)
+    read = build.aggregates_of(spark, root, V.read_state(spark, root))
+    counts, sketches = read["contributor_counts"], read["daily_people"]
+    kept = partials.retention(counts).select(
+        F.lit("retention").alias("metric"), "repo_name", "week_start", "contributors", F.col("retained").alias("other"),
+        F.lit(True).alias("estimate_is_near"),
+    )
+    near = partials.contributor_growth(counts, sketches, "week", approximate=True).select(
+        "repo_name", "period_start", F.col("contributors").alias("estimate")
+    )
+    grown = partials.contributor_growth(counts, sketches, "week").join(near, ["repo_name", "period_start"], "left")
+    error = F.abs(F.col("estimate") - F.col("contributors"))
+    return kept.unionAll(grown.select(
+        F.lit("growth"), "repo_name", "period_start", "contributors", "prev_contributors",
+        F.coalesce(error <= F.greatest(F.lit(1), F.col("contributors") * 0.065), F.lit(False)),
+    ))
+
+
 # Contract ----------------------------------------------------------------------------------
 
 

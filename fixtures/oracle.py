@@ -360,4 +360,28 @@ UNION ALL SELECT 'event_trends', repo_name, event_type || ' ' || strftime(event_
   event_count, unique_users, CAST(over_hour_change AS DOUBLE) FROM trends
 UNION ALL SELECT 'top_contributors', repo_name, contributor, total_events, event_types_used,
   CAST(contribution_score AS DOUBLE) FROM top""",
+    "ingest_arrays": FEED + """
+SELECT landing_date, count(*) AS events, sum(actor_id)::BIGINT AS actor_id_sum, CAST(0 AS BIGINT) AS quarantined
+FROM stg GROUP BY landing_date""",
+    "ingest_compacted": FEED + """
+SELECT landing_date, count(*) AS events, count(DISTINCT event_id) AS event_ids, true AS packed
+FROM stg GROUP BY landing_date""",
+    "build_insights": FEED + """,
+weeks AS (
+  SELECT DISTINCT repo_name, actor_login,
+    CAST(date_trunc('week', event_timestamp) AS DATE) AS week_start FROM stg
+),
+periods AS (
+  SELECT repo_name, week_start, count(actor_login) AS contributors FROM weeks GROUP BY ALL
+)
+SELECT 'retention' AS metric, a.repo_name, a.week_start, count(*) AS contributors,
+  count(b.actor_login) AS other, true AS estimate_is_near
+FROM weeks a LEFT JOIN weeks b ON b.repo_name = a.repo_name AND b.actor_login = a.actor_login
+  AND b.week_start = a.week_start + 7
+WHERE a.actor_login IS NOT NULL
+GROUP BY a.repo_name, a.week_start
+UNION ALL
+SELECT 'growth', repo_name, week_start, contributors,
+  lag(contributors) OVER (PARTITION BY repo_name ORDER BY week_start), true
+FROM periods""",
 }

@@ -32,10 +32,11 @@ RAW_SCHEMA = (
 )
 RAW_TABLE_SCHEMA = (
     "raw_data VARIANT, raw_text STRING, file_name STRING, loaded_at TIMESTAMP, "
-    "load_id STRING, readable BOOLEAN, year INT, month INT, day INT"
+    "of_load STRING, load_id STRING, readable BOOLEAN, year INT, month INT, day INT"
 )
-# Loads: a row per committed load, and one per file of a load, committed or not.
-LOADS_SCHEMA = "load_id STRING, rows_loaded BIGINT, rows_quarantined BIGINT"
+# Loads: a row per committed load, or per load that has moved to another folder; and a row per file of a
+# load, committed or not.
+LOADS_SCHEMA = "load_id STRING, rows_loaded BIGINT, rows_quarantined BIGINT, folder STRING"
 LOADED_FILES_SCHEMA = "load_id STRING, path STRING, length BIGINT"
 
 # Staging relation: column, path in the record, type. Ids are BIGINT because feeds issue ids

@@ -5,6 +5,10 @@ loads beside it. Only committed loads are read: what a broken attempt left behin
 repetition is a load of its own. Load ids are unique, so two feeds, or one feed whose progress was reset,
 cannot overwrite each other. Commits are numbered: of two runs that load the same new files at the same
 time, the second to commit is refused and loads only what is still missing.
+
+Many small loads leave many small files. Compaction writes the rows of loads that were committed together
+again, by landing day, to one folder, and commits that these loads are there now; a load stays what it was
+to its readers, and the folders that it was in can be deleted when no one reads them any more.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse import schemas as S
+from forgepulse.session import remove
 from forgepulse.sources.commits import commit, read_commits
 from forgepulse.sources.landing import is_unreadable
 
@@ -97,12 +102,18 @@ def append_load(
 
 
 def loads(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Committed loads with their counts and commit ``number``, none before the first."""
-    return read_commits(spark, f"{raw_path}/{_LOADS}", S.LOADS_SCHEMA)
+    """Committed loads with their counts, the ``number`` of their commit and the folder that holds their
+    rows; none before the first."""
+    moved = F.when(F.col("folder").isNotNull(), F.col("number"))
+    return read_commits(spark, f"{raw_path}/{_LOADS}", S.LOADS_SCHEMA).groupBy("load_id").agg(
+        F.max("rows_loaded").alias("rows_loaded"), F.max("rows_quarantined").alias("rows_quarantined"),
+        F.min("number").alias("number"), F.coalesce(F.max_by("folder", moved), "load_id").alias("folder"),
+    )
 
 
 def last_commit(spark: SparkSession, raw_path: str) -> int:
-    return loads(spark, raw_path).agg(F.max("number")).first()[0] or 0
+    rows = read_commits(spark, f"{raw_path}/{_LOADS}", S.LOADS_SCHEMA)
+    return rows.agg(F.max("number")).first()[0] or 0
 
 
 def loaded_files(spark: SparkSession, raw_path: str, after: int = 0) -> DataFrame:
@@ -130,12 +141,57 @@ def has_load(spark: SparkSession, raw_path: str, load_id: str) -> bool:
 def rows_of_loads(
     spark: SparkSession, raw_path: str, only: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows of all committed loads, or of some, readable or not, as they are stored."""
-    ids = load_ids(spark, raw_path) if only is None else list(only)
+    """Rows of all committed loads, or of some, committed or not, readable or not, as they are stored."""
+    place = {r["load_id"]: r["folder"] for r in loads(spark, raw_path).select("load_id", "folder").collect()}
+    ids = list(place) if only is None else list(only)
+    schema = S.RAW_TABLE_SCHEMA
     if not ids:
-        return spark.createDataFrame([], S.RAW_TABLE_SCHEMA)
-    reader = spark.read.schema(S.RAW_TABLE_SCHEMA).option("basePath", raw_path)
-    return reader.parquet(*[f"{raw_path}/load_id={i}" for i in ids])
+        return spark.createDataFrame([], schema).drop("of_load")
+    reader = spark.read.schema(schema).option("basePath", raw_path)
+    folders = sorted({place.get(i, i) for i in ids})
+    rows = reader.parquet(*[f"{raw_path}/load_id={f}" for f in folders])
+    rows = rows.withColumn("load_id", F.coalesce("of_load", "load_id")).drop("of_load")
+    shared = any(place.get(i, i) != i for i in ids) and only is not None
+    return rows.where(F.col("load_id").isin(ids)) if shared else rows
+
+
+def compact_loads(spark: SparkSession, raw_path: str, only: Sequence[str] | None = None) -> str | None:
+    """Write the rows of all committed loads, or of some, together to one folder, and return its name;
+    None if there are no two folders to put together, or if another compaction has moved one of them.
+
+    Rows of a landing day come together, and adaptive execution packs days into files by size: small
+    ones into one, large ones into several of the advisory partition size. Loads that are committed
+    meanwhile do not disturb it, and are not part of it.
+    """
+    seen = last_commit(spark, raw_path)
+    held = loads(spark, raw_path)
+    held = held if only is None else held.where(F.col("load_id").isin(list(only)))
+    place = {r["load_id"]: r["folder"] for r in held.select("load_id", "folder").collect()}
+    if len(set(place.values())) < 2:
+        return None
+    folder, days = new_load_id("compacted"), [F.col(c) for c in S.LANDING_PARTITIONS]
+    rows = rows_of_loads(spark, raw_path, list(place)).withColumnRenamed("load_id", "of_load")
+    writer = rows.hint("rebalance", F.col("readable"), *days).write.partitionBy("readable", *S.LANDING_PARTITIONS)
+    writer.parquet(f"{raw_path}/load_id={folder}")
+    number, moves = seen, [{"load_id": i, "folder": folder} for i in place]
+    while not commit(spark, f"{raw_path}/{_LOADS}", number + 1, moves):
+        number = last_commit(spark, raw_path)
+        now = {r["load_id"]: r["folder"] for r in loads(spark, raw_path).select("load_id", "folder").collect()}
+        if any(now[i] != f for i, f in place.items()):
+            return None
+    return folder
+
+
+def remove_moved(spark: SparkSession, raw_path: str) -> list[str]:
+    """Delete the folders of loads that a compaction has moved. Not while someone still reads them."""
+    held = loads(spark, raw_path).where(F.col("folder") != F.col("load_id")).select("load_id", "folder").collect()
+    current = {r["folder"] for r in held}
+    once = read_commits(spark, f"{raw_path}/{_LOADS}", S.LOADS_SCHEMA).where(F.col("folder").isNotNull())
+    earlier = {r["folder"] for r in once.select("folder").distinct().collect()} - current
+    gone = sorted({r["load_id"] for r in held} | earlier)
+    for folder in gone:
+        remove(f"{raw_path}/load_id={folder}")
+    return gone
 
 
 def read_raw(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from forgepulse.operators.staging import stg_events
 from forgepulse.sources import landing, raw_table
+from forgepulse.streaming.incremental import incremental_load
 from tests.helpers import feed_event, plan_of, records
 
 
@@ -275,3 +276,53 @@ def test_dump_keeps_records_as_they_are(spark, folder):
     event = feed_event(1, unknown={"nested": [1, 2]})
     landing.write_valid_dump(raw(spark, [event]), folder("dump"))
     assert [json.loads(r["value"]) for r in spark.read.text(folder("dump")).collect()] == [event]
+
+
+def test_small_loads_are_put_together(spark, folder):
+    for number in range(6):
+        days = [("2024-01-05", feed_event(number)), (f"2024-01-{6 + number % 2:02d}", feed_event(10 + number)), ("2024-01-05", "{")]
+        landing.write_landing(records(spark, days), folder("l"))
+        incremental_load(spark, folder("l"), folder("raw"))
+    raw = folder("raw")
+
+    def state():
+        rows = raw_table.read_raw(spark, raw).selectExpr("load_id", "file_name", "day", "variant_get(raw_data, '$.id', 'string')")
+        bad = raw_table.read_quarantine(spark, raw).select("load_id", "file_name", "raw_text")
+        counted = raw_table.loads(spark, raw).select("load_id", "rows_loaded", "rows_quarantined", "number")
+        return [sorted(map(tuple, t.collect())) for t in (rows, bad, counted)]
+
+    before, some = state(), raw_table.load_ids(spark, raw)[:2]
+    first = raw_table.compact_loads(spark, raw, some)
+    assert state() == before
+    one = raw_table.read_raw(spark, raw, some[:1])
+    assert {r["load_id"] for r in one.collect()} == {some[0]} and one.count() == 2
+    landing.write_landing(records(spark, [("2024-01-05", feed_event(50))]), folder("l"))
+    incremental_load(spark, folder("l"), folder("raw"))
+    before = state()
+    second = raw_table.compact_loads(spark, raw)
+    assert state() == before and raw_table.compact_loads(spark, raw) is None
+    files = [p.parts[-5:-1] for p in Path(raw, f"load_id={second}").rglob("part-*")]
+    assert len(files) == len(set(files)) == 3 + 1  # days with events, and one with unreadable text
+    gone = raw_table.remove_moved(spark, raw)
+    assert first in gone and len(gone) == 8 and state() == before
+    assert [p.name for p in Path(raw).glob("load_id=*")] == [f"load_id={second}"]
+    assert incremental_load(spark, folder("l"), raw) == []
+
+
+def test_compactions_that_overlap_move_loads_once(spark, folder, monkeypatch):
+    for number in range(3):
+        landing.write_landing(records(spark, [("2024-01-05", feed_event(number))]), folder("l"))
+        incremental_load(spark, folder("l"), folder("raw"))
+    step, other = raw_table.commit, []
+
+    def overlapped(*arguments):
+        if not other:
+            other.append(None)
+            other.append(raw_table.compact_loads(spark, folder("raw")))
+        return step(*arguments)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(raw_table, "commit", overlapped)
+        assert raw_table.compact_loads(spark, folder("raw")) is None
+    assert {r["folder"] for r in raw_table.loads(spark, folder("raw")).collect()} == {other[1]}
+    assert raw_table.read_raw(spark, folder("raw")).count() == 3
