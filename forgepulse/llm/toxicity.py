@@ -1,20 +1,29 @@
 """Toxicity by the nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over stems (the first letters of each word, so that inflected
-and compounded forms are one term). Every stem of the examples counts, by its rarity times how far its
-shares of toxic and of clean examples differ (log odds, shrunken to none where few examples have it, and
-``UNTELLING`` for all). Examples stand in an inverted index whose postings are cut into blocks of examples. The largest
-weight of a stem in a block bounds what the block's examples can score; blocks are scored from the
-highest bound down until no bound can reach the k-th cosine found, so the nearest are exact.
-Neighbours vote with their cosine over their distance; leaving each example out in turn fits a logistic
-curve that makes the vote a probability at the share of toxic texts among all labelled rows.
+Examples and texts are TF-IDF vectors: their terms are whole words and, beside each longer word, its
+beginning as a term of its own, so that inflected and compounded forms have something in common. A term
+counts by the logarithm of its frequency and by its rarity times how far its shares of toxic and of clean
+examples differ (log odds, shrunken by ``BELIEF`` examples' worth of doubt). Rarity alone finds about half
+of the toxic texts, as the words that tell are few among many.
+
+The exact cosine is found with an inverted index of blocks of examples. Rare terms have postings, which are added
+up for all examples. Common terms, which most of the work would go into, have a row of weights a block
+and the largest weight in it: what the postings give an example, and what the largest weights can add,
+bounds its block. Blocks are scored from the highest bounds down, and not at all where the bound does not reach the
+k-th cosine found; the nearest are exact. Blocks are made of alike examples, which keeps bounds low, and
+texts are scored some hundred at a time.
+
+Neighbours vote with their cosine over their distance. A logistic curve makes the vote a probability at
+the share of toxic texts among all labelled rows; it is fitted to the votes that examples get from an
+index of the other four fifths, which has not seen their labels.
 
 The examples are a bounded sample (``TOXIC``, ``CLEAN``), chosen by a hash of their ids; the index is
 therefore of bounded size, travels with the task, and every whole text is scored in one pass without
 a shuffle. Shares of labels are counted over all labelled rows.
 
-A NULL or empty text, or one without known stems, gets the score of no evidence. Equal rows score
-alike. Without toxic examples every score is 0. Labels other than 0 and 1 are not learnt from.
+A NULL or empty text, or one without known terms, gets the score of no evidence. Equal rows score
+alike. Without toxic examples every score is 0. Labels other than 0 and 1 are not learnt from. Of rows
+with one labelled id one text is an example, the same at every run. Very long texts are whole, and held by one task.
 """
 
 from __future__ import annotations
@@ -23,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,36 +44,53 @@ from forgepulse.llm.support import row_slices, settle
 
 #: Most examples of each label.
 TOXIC, CLEAN = 2048, 4096
-STEM_LETTERS = 4
-#: Weight of a stem as common in toxic as in clean examples, and examples' worth of belief that one is.
-UNTELLING, BELIEF = 1.0, 150
-NEIGHBOURS = 11
+#: Letters of a word's beginning as a term beside the word.
+BEGINNING = 4
+#: Weight of a term as common in toxic as in clean examples, examples' worth of doubt that one is not, and
+#: neighbours; chosen by five-fold cross-validation of the learning rows of ``sf0.1``.
+UNTELLING, BELIEF, NEIGHBOURS = 1.0, 150, 21
 BLOCK = 16
-#: Share of the examples from which on a stem's weights stand in a row of all examples, not in postings.
-COMMON = 0.1
-#: Blocks that are scored before the bounds are looked at again, each time three times as many.
-BLOCKS_AT_ONCE = 24
+#: Share of the examples from which on a term is common.
+COMMON = 0.05
+#: Blocks a text that are scored before the bounds are looked at again.
+BLOCKS_FIRST = 24
 
-_STEM = re.compile(rf"([^\W\d_]{{1,{STEM_LETTERS}}})[^\W\d_]*")
+#: Parts of the examples; the votes of each come from an index of the others.
+FOLDS = 5
+#: Words whose terms a task remembers.
+REMEMBERED = 1_000_000
 
+_WORD = re.compile(r"[^\W\d_]+")
 
-def stems(text: str | None) -> Counter:
-    return Counter(_STEM.findall((text or "").lower()))
 
+def words(text: str | None) -> list[str]:
+    """Words in lower case."""
+    return _WORD.findall((text or "").lower())
 
-@dataclass
-class BlockMaxima:
-    """The largest weight of each stem in each block of examples, for blocks that have the stem."""
 
-    shape: tuple[int, int]  # terms, blocks
-    starts: np.ndarray  # of the cells of a term, one more at the end
-    blocks: np.ndarray
-    most: np.ndarray
+def terms(text: str | None) -> Counter:
+    """Words and beginnings of longer words."""
+    found = Counter(words(text))
+    for word, count in list(found.items()):
+        if len(word) > BEGINNING:
+            found[word[:BEGINNING] + "-"] += count
+    return found
+
+
+class _Terms(dict):
+    """Word -> its terms, in the upper and in the lower half of a number; 0 for none, else one more."""
+
+    def __init__(self, known: dict[str, int]):
+        super().__init__()
+        self.known = known
 
-    def cells(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The cells of some terms, and for each cell the place of its term among them."""
-        low, sizes = self.starts[term], self.starts[term + 1] - self.starts[term]
-        return _ranges(low, sizes), np.repeat(np.arange(len(term)), sizes)
+    def __missing__(self, word: str) -> int:
+        begun = self.known.get(word[:BEGINNING] + "-", -1) if len(word) > BEGINNING else -1
+        found = (self.known.get(word, -1) + 1 << 32) + begun + 1
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found
+        return found
 
 
 def _ranges(low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -71,172 +98,227 @@ def _ranges(low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(low - np.cumsum(sizes) + sizes, sizes)
 
 
+@dataclass
+class Vectors:
+    """Sparse vectors of length one, or of length zero: (row, term, weight), by row."""
+
+    rows: int
+    row: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+
+    @classmethod
+    def of(cls, rows: int, row: np.ndarray, term: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Vectors:
+        weight = (1 + np.log(counts)) * idf[term]
+        length = np.sqrt(np.bincount(row, weight * weight, minlength=rows))
+        return cls(rows, row, term, weight / np.maximum(length, 1e-300)[row])
+
+    def parts(self, size: int) -> Iterator[Vectors]:
+        for low in range(0, self.rows, size):
+            high = min(low + size, self.rows)
+            part = slice(*np.searchsorted(self.row, [low, high]))
+            yield Vectors(high - low, self.row[part] - low, self.term[part], self.weight[part])
+
+
 @dataclass
 class ToxicityIndex:
-    """Labelled examples as an inverted index with block maxima."""
+    """Labelled examples as an inverted index with block maxima of the common terms."""
 
     terms: dict[str, int]
     idf: np.ndarray
     doc_ids: np.ndarray
-    toxic: np.ndarray
-    starts: np.ndarray  # of the postings of a cell of ``block_max``, one more at the end
+    toxic: np.ndarray  # of each lane; lanes behind the last example are empty
+    starts: np.ndarray  # of the postings of a rare term, one more at the end
     examples: np.ndarray
     weights: np.ndarray
-    block_max: BlockMaxima
-    common: np.ndarray  # row of ``common_weights`` of a term, or -1
-    common_weights: np.ndarray  # block x row x lane
+    common: np.ndarray  # row of a common term, or -1
+    block_weights: np.ndarray  # block x row x lane
+    block_max: np.ndarray  # row x block
     slope: float = 0.0
     shift: float = 0.0
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a text of length one, or of length zero without known terms."""
-        known = self.terms.keys() & counts.keys()
-        term = np.array(sorted(self.terms[t] for t in known), np.int64)
-        by_number = {self.terms[t]: counts[t] for t in known}
-        weight = np.array([by_number[t] for t in term.tolist()], np.float64) * self.idf[term]
-        length = np.sqrt((weight * weight).sum())
-        return term, weight / length if length else weight
-
-    def nearest(
-        self, term: np.ndarray, weight: np.ndarray, skip: int = -1
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of the highest positive cosines, highest first, and the cosines."""
-        blocks = self.block_max.shape[1]
-        cells, of = self.block_max.cells(term)
-        block = self.block_max.blocks[cells]
-        bound = np.bincount(block, weight[of] * self.block_max.most[cells], minlength=blocks)
-        factor, row = weight[of], self.common[term]
-        often, rare = row >= 0, (row < 0)[of]
-        row, row_weight = row[often], weight[often]
-        order = np.argsort(-bound, kind="stable")
-        best, cosine = np.empty(0, np.int64), np.empty(0)
-        first, count = 0, BLOCKS_AT_ONCE
-        while first < blocks:
-            some = order[first: first + count]
-            least = cosine[NEIGHBOURS - 1] if len(cosine) >= NEIGHBOURS else 0.0
-            # A little slack: sums in another order may differ in the last digits.
-            some = some[bound[some] > max(least - 1e-9, 0.0)]
-            if not len(some):
-                break
-            place = np.full(blocks, -1)
-            place[some] = np.arange(len(some))
-            here = np.nonzero(rare & (place[block] >= 0))[0]
-            scored = self._scored(cells[here], (place[block[here]], factor[here], row, row_weight), some)
-            reached = np.nonzero(scored > max(least, 0.0))[0]
-            found = some[reached // BLOCK] * BLOCK + reached % BLOCK
-            best, cosine = np.append(best, found), np.append(cosine, scored[reached])
-            if skip >= 0:
-                best, cosine = best[best != skip], cosine[best != skip]
-            top = np.lexsort((best, -cosine))[:NEIGHBOURS]
-            best, cosine = best[top], cosine[top]
-            first, count = first + count, 3 * count
-        return best, cosine
-
-    def _scored(self, cells: np.ndarray, of: tuple[np.ndarray, ...], blocks: np.ndarray) -> np.ndarray:
-        """Exact cosines of the examples of some blocks, block by block, from the postings of their
-        cells and the rows of common stems; ``of`` has the place of each cell's block and the text's
-        weight of its term, then the rows and the text's weights of their terms."""
-        low, sizes = self.starts[cells], self.starts[cells + 1] - self.starts[cells]
+    of_word: _Terms | None = None
+
+    def vectors(self, texts: list[list[str]]) -> Vectors:
+        """Vectors of texts, given by their words, of the terms that some example has."""
+        if self.of_word is None:
+            self.of_word = _Terms(self.terms)
+        sizes = [len(found) for found in texts]
+        both = np.fromiter(map(self.of_word.__getitem__, chain.from_iterable(texts)), np.int64, sum(sizes))
+        term = np.concatenate([both >> 32, both & 0xFFFFFFFF]) - 1
+        row = np.tile(np.repeat(np.arange(len(texts)), sizes), 2)
+        size = max(1, len(self.terms))
+        cell, total = np.unique((row * size + term)[term >= 0], return_counts=True)
+        return Vectors.of(len(texts), cell // size, cell % size, total.astype(np.float64), self.idf)
+
+    def nearest(self, texts: Vectors) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the highest positive cosines, highest first, and the cosines, (texts x
+        neighbours); a cosine of 0 means none."""
+        blocks = len(self.block_weights)
+        lanes = blocks * BLOCK
+        row = self.common[texts.term]
+        rare = row < 0
+        low, sizes = self.starts[texts.term[rare]], np.diff(self.starts)[texts.term[rare]]
         posting = _ranges(low, sizes)
-        lane = np.repeat(of[0] * BLOCK, sizes) + self.examples[posting] % BLOCK
-        scored = np.bincount(
-            lane, np.repeat(of[1], sizes) * self.weights[posting], minlength=len(blocks) * BLOCK
-        )
-        rows = (blocks[:, None] * self.common_weights.shape[1] + of[2]).ravel()
-        found = self.common_weights.reshape(-1, BLOCK).take(rows, axis=0)
-        return scored + (of[3] @ found.reshape(len(blocks), len(of[2]), BLOCK)).ravel()
-
-    def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
+        cell = np.repeat(texts.row[rare] * lanes, sizes) + self.examples[posting]
+        by_rare = np.bincount(
+            cell, np.repeat(texts.weight[rare], sizes) * self.weights[posting], minlength=texts.rows * lanes
+        ).astype(np.float64).reshape(texts.rows, lanes)
+        by_common = np.zeros((texts.rows, self.block_max.shape[0]))
+        by_common[texts.row[~rare], row[~rare]] = texts.weight[~rare]
+        most_rare = by_rare.reshape(texts.rows, blocks, BLOCK).max(axis=2)
+        bound = most_rare + by_common @ self.block_max
+        score = np.full((texts.rows, lanes), -np.inf)
+        # The best examples of as many blocks as there are neighbours bound the last neighbour from below, by
+        # what their postings give alone. A little slack: sums in another order may differ in the last digits.
+        least = np.maximum(_at_rank(most_rare, NEIGHBOURS), 0.0)
+        open_ = bound > np.maximum(least - 1e-9, 0.0)[:, None]
+        first = open_ & (bound >= _at_rank(bound, BLOCKS_FIRST)[:, None])
+        self._score(first, by_rare, by_common, score)
+        least = np.maximum(_at_rank(score.reshape(texts.rows, blocks, BLOCK).max(axis=2), NEIGHBOURS), least)
+        self._score(open_ & ~first & (bound > (least - 1e-9)[:, None]), by_rare, by_common, score)
+        return _highest(score, _at_rank(score, NEIGHBOURS))
+
+    def _score(self, wanted: np.ndarray, by_rare: np.ndarray, by_common: np.ndarray, score: np.ndarray) -> None:
+        """Exact cosines of the wanted (text, block)."""
+        for block in np.nonzero(wanted.any(axis=0))[0]:
+            texts, lane = np.nonzero(wanted[:, block])[0], slice(block * BLOCK, (block + 1) * BLOCK)
+            score[texts, lane] = by_rare[texts, lane] + by_common[texts] @ self.block_weights[block]
+
+    def votes(self, best: np.ndarray, cosine: np.ndarray) -> np.ndarray:
         closeness = cosine / (1.05 - np.minimum(cosine, 1.0))
         # Distant neighbours alone say little: a small share of the vote is for neither.
-        return float((closeness * self.toxic[best]).sum() / (closeness.sum() + 0.05))
+        return (closeness * self.toxic[best]).sum(axis=1) / (closeness.sum(axis=1) + 0.05)
+
+    def scores(self, votes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.slope * votes + self.shift))) if self.slope else np.zeros(len(votes))
+
 
-    def score(self, vote: float) -> float:
-        return float(1 / (1 + np.exp(-(self.slope * vote + self.shift)))) if self.slope else 0.0
+def _at_rank(values: np.ndarray, rank: int) -> np.ndarray:
+    """The ``rank``-th highest value of each row; minus infinity with fewer columns."""
+    if values.shape[1] < rank:
+        return np.full(len(values), -np.inf)
+    return np.partition(values, values.shape[1] - rank, axis=1)[:, values.shape[1] - rank]
+
+
+def _highest(score: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the highest positive scores of each row, ties by place."""
+    best, value = np.zeros((len(score), NEIGHBOURS), np.int64), np.zeros((len(score), NEIGHBOURS))
+    for text in range(len(score)):
+        some = np.flatnonzero((score[text] >= least[text]) & (score[text] > 0))
+        some = some[np.lexsort((some, -score[text, some]))][:NEIGHBOURS]
+        best[text, : len(some)], value[text, : len(some)] = some, score[text, some]
+    return best, value
 
 
 def telling(seen: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples: int) -> np.ndarray:
-    """Weights of stems that so many examples, and so many toxic ones, have."""
+    """Weights of terms that so many examples, and so many toxic ones, have."""
     clean, clean_examples = seen - toxic, examples - toxic_examples
     share = seen / max(1, examples)
+    share = np.where(seen > 0, share, 1.0)
     odds = np.log((toxic + BELIEF * share) / (toxic_examples + BELIEF)) - np.log(
         (clean + BELIEF * share) / (clean_examples + BELIEF)
     )
-    # Above none, also for a stem of all examples.
-    return np.log((examples + 2) / (seen + 1)) * (UNTELLING + np.abs(odds))
+    # Above none, also for a term of all examples; none for one of no example.
+    return np.where(seen > 0, np.log((examples + 2) / (seen + 1)) * (UNTELLING + np.abs(odds)), 0.0)
 
 
 def build_index(
-    examples: list[tuple[int, int, Counter]], seen: dict[str, int], toxic_rows: int, clean_rows: int
+    examples: list[tuple[int, int, Counter]], toxic_rows: int, clean_rows: int
 ) -> ToxicityIndex:
-    """Index of (doc_id, toxic, stem counts) over the stems ``seen``; the row counts are those of all
-    labelled rows."""
-    terms = {t: i for i, t in enumerate(sorted(seen))}
-    counts = [{t: n for t, n in found.items() if t in terms} for _, _, found in examples]
+    """Index of (doc_id, toxic, term counts); the row counts are those of all labelled rows."""
+    names = {t: i for i, t in enumerate(sorted({t for _, _, found in examples for t in found}))}
     return index_rows(
         np.array([d for d, _, _ in examples], np.int64), np.array([t for _, t, _ in examples], np.int64),
-        np.array([len(c) for c in counts], np.int64), terms,
-        np.array([terms[t] for c in counts for t in c], np.int64),
-        np.array([n for c in counts for n in c.values()], np.float64), toxic_rows, clean_rows,
+        np.array([len(c) for _, _, c in examples], np.int64), names,
+        np.array([names[t] for _, _, c in examples for t in c], np.int64),
+        np.array([n for _, _, c in examples for n in c.values()], np.float64), toxic_rows, clean_rows,
     )
 
 
 def index_rows(
-    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, terms: dict[str, int],
+    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, names: dict[str, int],
     term: np.ndarray, counts: np.ndarray, toxic_rows: int, clean_rows: int,
 ) -> ToxicityIndex:
     """Index of examples that have ``sizes`` of the (term, count) each, one example after the other."""
-    row = np.repeat(np.arange(len(doc_ids)), sizes)
-    seen, in_toxic = (np.bincount(t, minlength=len(terms)) for t in (term, term[toxic[row] == 1]))
-    idf = telling(seen, in_toxic, len(doc_ids), int((toxic == 1).sum()))
-    weight = counts * idf[term]
-    weight /= np.sqrt(np.bincount(row, weight * weight, minlength=len(doc_ids)))[row]
-    # Examples with the same strongest stem stand together, which keeps the bounds of blocks low.
-    by_weight = np.lexsort((term, -weight, row))
-    first = by_weight[np.searchsorted(row[by_weight], np.arange(len(doc_ids)))[sizes > 0]]
-    strongest, most = np.full(len(doc_ids), -1), np.zeros(len(doc_ids))
-    strongest[row[first]], most[row[first]] = term[first], -weight[first]
-    order = np.lexsort((doc_ids, most, strongest))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    blocks = max(1, -(-len(order) // BLOCK))
-    toxic_at = np.zeros(blocks * BLOCK)
-    toxic_at[: len(order)] = toxic[order]
-
-    example = place[row]
-    by_cell = np.lexsort((example, term))
-    term, example, weight = term[by_cell], example[by_cell], weight[by_cell]
-    cell, starts = np.unique(term * blocks + example // BLOCK, return_index=True)
-    block_max = BlockMaxima(
-        (len(terms), blocks), np.searchsorted(cell, np.arange(len(terms) + 1) * blocks), cell % blocks,
-        np.maximum.reduceat(weight, starts) if len(starts) else np.empty(0),
-    )
-    often = np.nonzero(seen > COMMON * len(order))[0]
-    common = np.full(len(terms), -1)
+    index = _index(doc_ids, toxic, sizes, names, term, counts)
+    if (toxic == 1).any():
+        row = np.repeat(np.arange(len(doc_ids)), sizes)
+        fold, votes = np.argsort(np.argsort(doc_ids, kind="stable")) % FOLDS, np.zeros(len(doc_ids))
+        for number in range(FOLDS):
+            asks, there = fold == number, fold[row] != number
+            others = _index(doc_ids[~asks], toxic[~asks], sizes[~asks], names, term[there], counts[there])
+            own = Vectors.of(
+                int(asks.sum()), (np.cumsum(asks) - 1)[row[~there]], term[~there], counts[~there], others.idf
+            )
+            found = [others.votes(*others.nearest(part)) for part in own.parts(TEXTS_AT_ONCE)]
+            votes[asks] = np.concatenate(found) if found else 0.0
+        index.slope, index.shift = _calibrated(votes, toxic, toxic_rows, clean_rows)
+    return index
+
+
+def _index(
+    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, names: dict[str, int], term: np.ndarray, counts: np.ndarray
+) -> ToxicityIndex:
+    count, row = len(doc_ids), np.repeat(np.arange(len(doc_ids)), sizes)
+    seen, in_toxic = (np.bincount(t, minlength=len(names)) for t in (term, term[toxic[row] == 1]))
+    idf = telling(seen, in_toxic, count, int((toxic == 1).sum()))
+    vectors = Vectors.of(count, row, term, counts, idf)
+    often = np.nonzero(seen > COMMON * count)[0]
+    common = np.full(len(names), -1)
     common[often] = np.arange(len(often))
-    common_weights = np.zeros((blocks, len(often), BLOCK))
+    dense = np.zeros((count, len(often)))
     in_row = common[term] >= 0
-    at = example[in_row]
-    common_weights[at // BLOCK, common[term[in_row]], at % BLOCK] = weight[in_row]
-    index = ToxicityIndex(
-        terms, idf, doc_ids[order], toxic_at, np.append(starts, len(term)), example, weight, block_max,
-        common, common_weights,
+    dense[row[in_row], common[term[in_row]]] = vectors.weight[in_row]
+
+    order = _alike(dense, np.lexsort((doc_ids, toxic)))
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    blocks = max(1, -(-count // BLOCK))
+    toxic_at = np.zeros(blocks * BLOCK)
+    toxic_at[:count] = toxic[order]
+    block_weights = np.zeros((blocks * BLOCK, len(often)))
+    block_weights[:count] = dense[order]
+    block_weights = np.ascontiguousarray(block_weights.reshape(blocks, BLOCK, -1).transpose(0, 2, 1))
+
+    at, what, weight = place[row[~in_row]], term[~in_row], vectors.weight[~in_row]
+    by_term = np.lexsort((at, what))
+    return ToxicityIndex(
+        names, idf, doc_ids[order], toxic_at, np.searchsorted(what[by_term], np.arange(len(names) + 1)),
+        at[by_term].astype(np.int32), weight[by_term], common, block_weights,
+        np.ascontiguousarray(block_weights.max(axis=2).T),
     )
-    by_example = np.lexsort((term, example))
-    ends = np.cumsum(np.bincount(example, minlength=len(order)))[:-1]
-    vectors = list(zip(np.split(term[by_example], ends), np.split(weight[by_example], ends))) if len(order) else []
-    _calibrate(index, vectors, toxic_rows, clean_rows)
-    return index
 
 
-def _calibrate(index: ToxicityIndex, vectors, toxic_rows: int, clean_rows: int) -> None:
-    """Logistic curve of the votes of examples left out, weighted to the shares of all rows."""
-    labels = index.toxic[: len(vectors)]
-    if not labels.any():
-        return
-    votes = np.array([
-        index.vote(*index.nearest(*vector, skip=i)) for i, vector in enumerate(vectors)
-    ])
+def _alike(dense: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """An order in which neighbours have alike rows: cut in halves along the direction in which the rows
+    differ most, and each half again, down to blocks. Halves are whole blocks."""
+    if not dense.shape[1]:
+        return order
+    waiting, done = [order], []
+    while waiting:
+        part = waiting.pop()
+        if len(part) <= BLOCK:
+            done.append(part)
+            continue
+        rows = dense[part] - dense[part].mean(axis=0)
+        direction = rows[np.abs(rows).sum(axis=1).argmax()]
+        for _ in range(4):
+            direction = (rows @ direction) @ rows
+            direction /= max(np.sqrt(direction @ direction), 1e-300)
+        part = part[np.argsort(rows @ direction, kind="stable")]
+        half = -(-len(part) // (2 * BLOCK)) * BLOCK
+        waiting += [part[half:], part[:half]]
+    return np.concatenate(done) if done else order
+
+
+#: Texts that are compared with the examples at once.
+TEXTS_AT_ONCE = 256
+
+
+def _calibrated(
+    votes: np.ndarray, labels: np.ndarray, toxic_rows: int, clean_rows: int
+) -> tuple[float, float]:
+    """Slope and shift of a logistic curve of votes, weighted to the shares of all rows."""
     share = np.where(
         labels == 1, toxic_rows / labels.sum(), clean_rows / max(1.0, (1 - labels).sum())
     )
@@ -251,7 +333,7 @@ def _calibrate(index: ToxicityIndex, vectors, toxic_rows: int, clean_rows: int)
         beta += np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-8:
             break
-    index.slope, index.shift = max(float(beta[0]), 1e-6), float(beta[1])
+    return max(float(beta[0]), 1e-6), float(beta[1])
 
 
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> ToxicityIndex:
@@ -261,26 +343,29 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     )
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.where("toxic = 1").orderBy(*order).limit(toxic).unionAll(
-        known.where("toxic = 0").orderBy(*order).limit(clean)
+    ids = known.distinct()
+    chosen = ids.where("toxic = 1").orderBy(*order).limit(toxic).unionAll(
+        ids.where("toxic = 0").orderBy(*order).limit(clean)
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            found = [stems(text) for text in batch.column(2).to_pylist()]
+            found = [terms(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1).cast(pa.int32()),
                 pa.array([list(c.items()) for c in found], pa.map_(pa.string(), pa.int64())),
-            ], ["doc_id", "toxic", "stems"])
+            ], ["doc_id", "toxic", "terms"])
 
-    # The chosen ids are at most ``toxic`` + ``clean`` rows.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    counted = settle(texts.select("doc_id", "toxic", "text").mapInArrow(
-        count, "doc_id long, toxic int, stems map<string, long>"
+    # The chosen ids are at most ``toxic`` + ``clean`` rows; copies of an id become one before they are shuffled.
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    )
+    counted = settle(texts.select("doc_id", "toxic", "one.text").mapInArrow(
+        count, "doc_id long, toxic int, terms map<string, long>"
     ), "toxicity-examples")
-    # Some hundred stems an example, which stay in Arrow's arrays.
+    # Some hundred terms an example, which stay in Arrow's arrays.
     rows = counted.toArrow().combine_chunks()
-    found = rows.column("stems").combine_chunks()
+    found = rows.column("terms").combine_chunks()
     found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
     words = found.keys.dictionary_encode()
     return index_rows(
@@ -298,21 +383,20 @@ def score(docs: DataFrame, index: ToxicityIndex) -> DataFrame:
     evidence = "array<struct<doc_id: bigint, toxic: int, cosine: double>>"
     schema = StructType.fromDDL(f"score double, evidence {evidence}")
     schema = StructType([*rows.schema.fields, *schema.fields])
-    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            scores, reasons = [], []
-            for text in batch.column(0).field(text_at).to_pylist():
-                best, cosine = index.nearest(*index.vector(stems(text)))
-                scores.append(index.score(index.vote(best, cosine)))
-                reasons.append([
-                    {"doc_id": d, "toxic": int(t), "cosine": c} for d, t, c in zip(
-                        index.doc_ids[best].tolist(), index.toxic[best].tolist(), cosine.tolist()
-                    )
-                ])
+            found = [words(text) for text in batch.column(0).field(text_at).to_pylist()]
+            best, cosine = index.nearest(index.vectors(found))
+            scores = index.scores(index.votes(best, cosine))
+            some = cosine > 0
+            reasons = pa.StructArray.from_arrays(
+                [index.doc_ids[best[some]], index.toxic[best[some]].astype(np.int32), cosine[some]],
+                ["doc_id", "toxic", "cosine"],
+            )
+            ends = np.append(0, np.cumsum(some.sum(axis=1))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), pa.array(reasons, kind)],
+                [batch.column(0), pa.array(scores), pa.ListArray.from_arrays(ends, reasons)],
                 ["row", "score", "evidence"],
             )
 

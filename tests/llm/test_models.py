@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from forgepulse.llm import language, queries, toxicity
@@ -16,8 +17,9 @@ SF = "/root/testdata/sf0.01"
 
 
 def index_of(rows, toxic_rows, clean_rows):
-    seen = Counter(stem for _, _, counts in rows for stem in counts)
-    return toxicity.build_index(rows, seen, toxic_rows, clean_rows)
+    """Index of (doc_id, toxic, words)."""
+    named = [(i, t, toxicity.terms(" ".join(found))) for i, t, found in rows]
+    return toxicity.build_index(named, toxic_rows, clean_rows)
 
 
 def examples(count: int):
@@ -25,56 +27,77 @@ def examples(count: int):
     for i in range(count):
         toxic = int(i % 4 == 0)
         words = [f"w{rng.randint(0, 60):02d}x" for _ in range(40)] + ["scumbag"] * (3 * toxic)
-        out.append((i, toxic, toxicity.stems(" ".join(words).replace("0", "o").replace("1", "l").replace("2", "z"))))
+        out.append((i, toxic, toxicity.words(" ".join(words).replace("0", "o").replace("1", "l").replace("2", "z"))))
     return out
 
 
-def test_the_index_finds_the_nearest_exactly():
-    rows = examples(400)
-    index = index_of(rows, 100, 300)
+def dense_rows(index, vectors):
+    out = np.zeros((vectors.rows, len(index.terms)))
+    out[vectors.row, vectors.term] = vectors.weight
+    return out
+
+
+@pytest.mark.parametrize("common", [0.0, 0.08, 2.0])
+def test_the_index_finds_the_nearest_exactly(monkeypatch, common):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "BLOCKS_FIRST", 3)
+    rows = examples(403)
+    index = index_of(rows, 100, 303)
     counts_of = {i: counts for i, _, counts in rows}
-    dense = np.zeros((len(rows), len(index.terms)))
-    for n, doc_id in enumerate(index.doc_ids.tolist()):
-        term, weight = index.vector(counts_of[doc_id])
-        dense[n, term] = weight
-    for _, _, counts in examples(600)[400:]:
-        term, weight = index.vector(counts)
-        cosine = dense[:, term] @ weight
-        best, found = index.nearest(term, weight)
-        want = np.sort(cosine[cosine > 0])[::-1][: toxicity.NEIGHBOURS]
-        assert np.allclose(found, want) and np.allclose(cosine[best], found)
+    held = dense_rows(index, index.vectors([counts_of[d] for d in index.doc_ids.tolist()]))
+    texts = index.vectors([c for _, _, c in examples(600)[403:]] + [[], ["unknown"] * 3])
+    best, found = index.nearest(texts)
+    for text, cosine in enumerate(dense_rows(index, texts) @ held.T):
+        want = np.sort(cosine[cosine > 1e-12])[::-1][: toxicity.NEIGHBOURS]
+        some = found[text] > 0
+        assert np.allclose(found[text, some], want) and np.allclose(cosine[best[text, some]], want)
 
 
 def test_blocks_that_cannot_reach_the_nearest_are_not_scored(monkeypatch):
     index = index_of(examples(1600), 400, 1200)
     scored = []
-    own = toxicity.ToxicityIndex._scored
+    own = toxicity.ToxicityIndex._score
     monkeypatch.setattr(
-        toxicity.ToxicityIndex, "_scored", lambda self, t, w, b: scored.append(len(b)) or own(self, t, w, b)
+        toxicity.ToxicityIndex, "_score", lambda self, wanted, *rest: scored.append(wanted.sum()) or own(self, wanted, *rest)
     )
-    for _, _, counts in examples(40):
-        index.nearest(*index.vector(counts))
-    assert sum(scored) < 40 * index.block_max.shape[1]
+    index.nearest(index.vectors([counts for _, _, counts in examples(40)]))
+    assert 0 < sum(scored) < 40 * len(index.block_weights)
 
 
-def test_rare_and_common_stems_are_evidence_too():
+def test_blocks_are_made_of_alike_examples():
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 8, 400)
+    dense = np.eye(8)[kinds] + rng.random((400, 8)) * 0.01
+    order = toxicity._alike(dense, np.arange(400))
+    assert sorted(order) == list(range(400))
+    assert sum(len(set(kinds[order[i: i + 16]])) for i in range(0, 400, 16)) <= 25 + 14
+
+
+def test_terms_are_whole_words_and_beginnings():
+    assert toxicity.terms("Idiots idiot, ab_cd 7x Ünder") == Counter(
+        {"idiots": 1, "idiot": 1, "idio-": 2, "ab": 1, "cd": 1, "x": 1, "ünder": 1, "ünde-": 1}
+    )
+    assert toxicity.terms(None) == toxicity.terms("12 _ !") == Counter()
+
+
+def test_rare_and_common_terms_are_evidence_too():
     rng = random.Random(4)
-    rows = [(i, int(i % 4 == 0), toxicity.stems(" ".join(f"w{chr(97 + rng.randint(0, 25))}" for _ in range(30))))
+    rows = [(i, int(i % 4 == 0), toxicity.words(" ".join(f"w{chr(97 + rng.randint(0, 25))}" for _ in range(30))))
             for i in range(400)]
-    # Stems that one example has, or every clean one.
-    rows.append((1000, 1, toxicity.stems("zqxj zqxk zqxw zqxv")))
-    rows = [(i, t, c if t else c + Counter({"ever": 1})) for i, t, c in rows]
-    rows.append((1001, 0, Counter({"ever": 2})))
+    # Terms that one example has, or every clean one.
+    rows.append((1000, 1, toxicity.words("zqxj zqxk zqxw zqxv")))
+    rows = [(i, t, c if t else [*c, "ever"]) for i, t, c in rows]
+    rows.append((1001, 0, ["ever", "ever"]))
     index = index_of(rows, 101, 301)
     assert {"zqxj", "ever"} <= index.terms.keys() and (index.idf > 0).all()
     for doc_id in (1000, 1001):
         counts = next(c for i, _, c in rows if i == doc_id)
-        best, cosine = index.nearest(*index.vector(counts))
-        assert index.doc_ids[best[0]] == doc_id and abs(cosine[0] - 1) < 1e-9
+        best, cosine = index.nearest(index.vectors([counts]))
+        assert index.doc_ids[best[0, 0]] == doc_id and abs(cosine[0, 0] - 1) < 1e-9
 
 
 def test_a_copy_of_a_toxic_example_of_rare_words_has_it_as_evidence(spark):
-    # Four-letter stems that a single example of 400 has.
+    # Words that a single example of 400 has.
     own = {i: " ".join(f"{a}{b}{'bcdfghjklm'[i // 4 % 10]}{'aeiouyrstw'[i // 40]}" for a in "xqz" for b in "aeiou")
            for i in range(0, 400, 4)}
     docs = documents(spark, [(i, own.get(i) or prose(i, 40)) for i in range(400)] + [(900, own[8])])
@@ -84,6 +107,13 @@ def test_a_copy_of_a_toxic_example_of_rare_words_has_it_as_evidence(spark):
     assert found["evidence"][0]["doc_id"] == 8 and abs(found["evidence"][0]["cosine"] - 1) < 1e-9
 
 
+def test_repeated_ids_are_one_example(spark):
+    docs = documents(spark, [(7, prose(i % 3, 30)) for i in range(3000)] + [(i, prose(i, 30)) for i in range(100, 140)])
+    labels = spark.createDataFrame([(7, 1)] * 3000 + [(i, i % 2) for i in range(100, 140)], "doc_id long, toxic int")
+    index = toxicity.learn(docs, labels)
+    assert len(index.doc_ids) == 41 and (index.doc_ids == 7).sum() == 1
+
+
 def test_toxicity_of_odd_documents(spark):
     index = index_of(examples(400), 100, 300)
     docs = odd_documents(spark, clashing=True)
@@ -91,7 +121,7 @@ def test_toxicity_of_odd_documents(spark):
     assert scored.select("row.*").columns == docs.columns
     rows = scored.select("row.doc_id", "row.text", "score", "evidence").collect()
     assert len(rows) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in rows)
-    none = index.score(index.vote(np.empty(0, int), np.empty(0)))
+    none = index.scores(index.votes(*index.nearest(index.vectors([[]]))))[0]
     assert all(r["score"] == none and r["evidence"] == [] for r in rows if not (r["text"] or "").strip())
     assert toxicity.score(no_documents(spark), index).count() == 0
 
