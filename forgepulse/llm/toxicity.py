@@ -51,7 +51,7 @@ BEGINNING = 4
 UNTELLING, BELIEF, NEIGHBOURS = 1.0, 150, 21
 BLOCK = 16
 #: Share of the examples from which on a term is common.
-COMMON = 0.05
+COMMON = 0.1
 #: Blocks a text that are scored before the bounds are looked at again.
 BLOCKS_FIRST = 24
 
@@ -68,13 +68,23 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def terms(text: str | None) -> Counter:
-    """Words and beginnings of longer words."""
-    found = Counter(words(text))
-    for word, count in list(found.items()):
-        if len(word) > BEGINNING:
-            found[word[:BEGINNING] + "-"] += count
-    return found
+def terms_of(
+    known: list[str], row: np.ndarray, word: np.ndarray, counts: np.ndarray
+) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+    """From (row, word, count) the numbers of all terms, and (row, term, count) by row: the words, and the
+    beginnings of longer ones."""
+    begun = [w[:BEGINNING] + "-" if len(w) > BEGINNING else None for w in known]
+    names = {w: i for i, w in enumerate(known)}
+    for beginning in begun:
+        if beginning is not None:
+            names.setdefault(beginning, len(names))
+    of_word = np.array([-1 if b is None else names[b] for b in begun], np.int64)[word]
+    there = of_word >= 0
+    cell = np.concatenate([row * len(names) + word, (row * len(names) + of_word)[there]])
+    cell, place = np.unique(cell, return_inverse=True)
+    total = np.bincount(place, np.concatenate([counts, counts[there]]), minlength=len(cell))
+    size = max(1, len(names))
+    return names, cell // size, cell % size, total
 
 
 class _Terms(dict):
@@ -111,7 +121,8 @@ class Vectors:
     def of(cls, rows: int, row: np.ndarray, term: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Vectors:
         weight = (1 + np.log(counts)) * idf[term]
         length = np.sqrt(np.bincount(row, weight * weight, minlength=rows))
-        return cls(rows, row, term, weight / np.maximum(length, 1e-300)[row])
+        # Rounded as the index stores them; sums are in double precision.
+        return cls(rows, row, term, (weight / np.maximum(length, 1e-300)[row]).astype(np.float32).astype(np.float64))
 
     def parts(self, size: int) -> Iterator[Vectors]:
         for low in range(0, self.rows, size):
@@ -223,50 +234,52 @@ def telling(seen: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples:
 
 
 def build_index(
-    examples: list[tuple[int, int, Counter]], toxic_rows: int, clean_rows: int
+    examples: list[tuple[int, int, list[str]]], toxic_rows: int, clean_rows: int
 ) -> ToxicityIndex:
-    """Index of (doc_id, toxic, term counts); the row counts are those of all labelled rows."""
-    names = {t: i for i, t in enumerate(sorted({t for _, _, found in examples for t in found}))}
-    return index_rows(
-        np.array([d for d, _, _ in examples], np.int64), np.array([t for _, t, _ in examples], np.int64),
-        np.array([len(c) for _, _, c in examples], np.int64), names,
-        np.array([names[t] for _, _, c in examples for t in c], np.int64),
-        np.array([n for _, _, c in examples for n in c.values()], np.float64), toxic_rows, clean_rows,
-    )
+    """Index of (doc_id, toxic, words); the row counts are those of all labelled rows."""
+    known = sorted({w for _, _, found in examples for w in found})
+    number = {w: i for i, w in enumerate(known)}
+    flat = [(n, number[w], c) for n, (_, _, found) in enumerate(examples) for w, c in Counter(found).items()]
+    row, word, counts = (np.array(c, np.int64) for c in (zip(*flat) if flat else ((), (), ())))
+    ids, toxic = (np.array([e[i] for e in examples], np.int64) for i in (0, 1))
+    return index_rows(ids, toxic, *terms_of(known, row, word, counts.astype(np.float64)), toxic_rows, clean_rows)
 
 
 def index_rows(
-    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, names: dict[str, int],
+    doc_ids: np.ndarray, toxic: np.ndarray, names: dict[str, int], row: np.ndarray,
     term: np.ndarray, counts: np.ndarray, toxic_rows: int, clean_rows: int,
 ) -> ToxicityIndex:
-    """Index of examples that have ``sizes`` of the (term, count) each, one example after the other."""
-    index = _index(doc_ids, toxic, sizes, names, term, counts)
+    """Index of examples by their (row, term, count)."""
+    slope = shift = 0.0
     if (toxic == 1).any():
-        row = np.repeat(np.arange(len(doc_ids)), sizes)
         fold, votes = np.argsort(np.argsort(doc_ids, kind="stable")) % FOLDS, np.zeros(len(doc_ids))
         for number in range(FOLDS):
             asks, there = fold == number, fold[row] != number
-            others = _index(doc_ids[~asks], toxic[~asks], sizes[~asks], names, term[there], counts[there])
+            place = np.cumsum(~asks) - 1
+            others = _index(doc_ids[~asks], toxic[~asks], names, place[row[there]], term[there], counts[there])
             own = Vectors.of(
                 int(asks.sum()), (np.cumsum(asks) - 1)[row[~there]], term[~there], counts[~there], others.idf
             )
             found = [others.votes(*others.nearest(part)) for part in own.parts(TEXTS_AT_ONCE)]
             votes[asks] = np.concatenate(found) if found else 0.0
-        index.slope, index.shift = _calibrated(votes, toxic, toxic_rows, clean_rows)
+            del others, own
+        slope, shift = _calibrated(votes, toxic, toxic_rows, clean_rows)
+    index = _index(doc_ids, toxic, names, row, term, counts)
+    index.slope, index.shift = slope, shift
     return index
 
 
 def _index(
-    doc_ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, names: dict[str, int], term: np.ndarray, counts: np.ndarray
+    doc_ids: np.ndarray, toxic: np.ndarray, names: dict[str, int], row: np.ndarray, term: np.ndarray, counts: np.ndarray
 ) -> ToxicityIndex:
-    count, row = len(doc_ids), np.repeat(np.arange(len(doc_ids)), sizes)
+    count = len(doc_ids)
     seen, in_toxic = (np.bincount(t, minlength=len(names)) for t in (term, term[toxic[row] == 1]))
     idf = telling(seen, in_toxic, count, int((toxic == 1).sum()))
     vectors = Vectors.of(count, row, term, counts, idf)
     often = np.nonzero(seen > COMMON * count)[0]
     common = np.full(len(names), -1)
     common[often] = np.arange(len(often))
-    dense = np.zeros((count, len(often)))
+    dense = np.zeros((count, len(often)), np.float32)
     in_row = common[term] >= 0
     dense[row[in_row], common[term[in_row]]] = vectors.weight[in_row]
 
@@ -276,16 +289,17 @@ def _index(
     blocks = max(1, -(-count // BLOCK))
     toxic_at = np.zeros(blocks * BLOCK)
     toxic_at[:count] = toxic[order]
-    block_weights = np.zeros((blocks * BLOCK, len(often)))
-    block_weights[:count] = dense[order]
-    block_weights = np.ascontiguousarray(block_weights.reshape(blocks, BLOCK, -1).transpose(0, 2, 1))
+    block_weights = np.zeros((blocks, len(often), BLOCK), np.float32)
+    for block in range(blocks):
+        some = order[block * BLOCK: (block + 1) * BLOCK]
+        block_weights[block, :, : len(some)] = dense[some].T
 
     at, what, weight = place[row[~in_row]], term[~in_row], vectors.weight[~in_row]
     by_term = np.lexsort((at, what))
     return ToxicityIndex(
         names, idf, doc_ids[order], toxic_at, np.searchsorted(what[by_term], np.arange(len(names) + 1)),
-        at[by_term].astype(np.int32), weight[by_term], common, block_weights,
-        np.ascontiguousarray(block_weights.max(axis=2).T),
+        at[by_term].astype(np.int32), weight[by_term].astype(np.float32), common, block_weights,
+        np.ascontiguousarray(block_weights.max(axis=2).T).astype(np.float64),
     )
 
 
@@ -300,7 +314,8 @@ def _alike(dense: np.ndarray, order: np.ndarray) -> np.ndarray:
         if len(part) <= BLOCK:
             done.append(part)
             continue
-        rows = dense[part] - dense[part].mean(axis=0)
+        rows = dense[part].astype(np.float64)
+        rows -= rows.mean(axis=0)
         direction = rows[np.abs(rows).sum(axis=1).argmax()]
         for _ in range(4):
             direction = (rows @ direction) @ rows
@@ -350,29 +365,37 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            found = [terms(text) for text in batch.column(2).to_pylist()]
+            found = [Counter(words(text)) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1).cast(pa.int32()),
                 pa.array([list(c.items()) for c in found], pa.map_(pa.string(), pa.int64())),
-            ], ["doc_id", "toxic", "terms"])
+            ], ["doc_id", "toxic", "words"])
 
     # The chosen ids are at most ``toxic`` + ``clean`` rows; copies of an id become one before they are shuffled.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(
         F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
     )
     counted = settle(texts.select("doc_id", "toxic", "one.text").mapInArrow(
-        count, "doc_id long, toxic int, terms map<string, long>"
+        count, "doc_id long, toxic int, words map<string, long>"
     ), "toxicity-examples")
-    # Some hundred terms an example, which stay in Arrow's arrays.
+    ids, toxic_of, known_words, row, word, counts_of = _collected(counted)
+    return index_rows(
+        ids, toxic_of, *terms_of(known_words, row, word, counts_of), counts.get(1, 0), counts.get(0, 0)
+    )
+
+
+def _collected(counted: DataFrame) -> tuple:
+    """Examples at the driver: ids, labels, the distinct words, and (row, word, count). Some hundred words an
+    example, which stay in Arrow's arrays until they are numbers."""
     rows = counted.toArrow().combine_chunks()
-    found = rows.column("terms").combine_chunks()
+    found = rows.column("words").combine_chunks()
     found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
-    words = found.keys.dictionary_encode()
-    return index_rows(
-        rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy(),
-        np.diff(found.offsets.to_numpy()), {t: i for i, t in enumerate(words.dictionary.to_pylist())},
-        words.indices.to_numpy().astype(np.int64), found.items.to_numpy().astype(np.float64),
-        counts.get(1, 0), counts.get(0, 0),
+    named = found.keys.dictionary_encode()
+    sizes = np.diff(found.offsets.to_numpy())
+    return (
+        rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy(), named.dictionary.to_pylist(),
+        np.repeat(np.arange(len(sizes)), sizes), named.indices.to_numpy().astype(np.int64),
+        found.items.to_numpy().astype(np.float64),
     )
 
 
