@@ -28,6 +28,7 @@ with one labelled id one text is an example, the same at every run. Very long te
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -51,7 +52,7 @@ BEGINNING = 4
 UNTELLING, BELIEF, NEIGHBOURS = 1.0, 150, 21
 BLOCK = 16
 #: Share of the examples from which on a term is common.
-COMMON = 0.1
+COMMON = 0.06
 #: Blocks a text that are scored before the bounds are looked at again.
 BLOCKS_FIRST = 24
 
@@ -327,7 +328,7 @@ def _alike(dense: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 #: Texts that are compared with the examples at once.
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 128
 
 
 def _calibrated(
@@ -351,8 +352,8 @@ def _calibrated(
     return max(float(beta[0]), 1e-6), float(beta[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> ToxicityIndex:
-    """Index from (doc_id, text) and (doc_id, toxic); at most ``toxic`` and ``clean`` examples."""
+def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> bytes:
+    """Index, pickled, from (doc_id, text) and (doc_id, toxic); at most ``toxic`` and ``clean`` examples."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", "toxic"
     )
@@ -378,28 +379,41 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     counted = settle(texts.select("doc_id", "toxic", "one.text").mapInArrow(
         count, "doc_id long, toxic int, words map<string, long>"
     ), "toxicity-examples")
-    ids, toxic_of, known_words, row, word, counts_of = _collected(counted)
-    return index_rows(
-        ids, toxic_of, *terms_of(known_words, row, word, counts_of), counts.get(1, 0), counts.get(0, 0)
-    )
+    rows = (counts.get(1, 0), counts.get(0, 0))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(list(batches), schema=_EXAMPLES)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_fitted(held, *rows))], pa.binary())], ["index"])
+
+    # The examples are few, so one task makes the index of them; the driver only hands it on.
+    (row,) = settle(counted.coalesce(1).mapInArrow(fit, "index binary"), "toxicity-index").collect()
+    return bytes(row["index"])
+
 
+#: Examples as a table: a few hundred words each, which stay in Arrow's arrays until they are numbers.
+_EXAMPLES = pa.schema([
+    ("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.map_(pa.string(), pa.int64())),
+])
 
-def _collected(counted: DataFrame) -> tuple:
-    """Examples at the driver: ids, labels, the distinct words, and (row, word, count). Some hundred words an
-    example, which stay in Arrow's arrays until they are numbers."""
-    rows = counted.toArrow().combine_chunks()
-    found = rows.column("words").combine_chunks()
+
+def _fitted(examples: pa.Table, toxic_rows: int, clean_rows: int) -> ToxicityIndex:
+    examples = examples.combine_chunks()
+    found = examples.column("words").combine_chunks()
     found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
     named = found.keys.dictionary_encode()
-    sizes = np.diff(found.offsets.to_numpy())
-    return (
-        rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy(), named.dictionary.to_pylist(),
-        np.repeat(np.arange(len(sizes)), sizes), named.indices.to_numpy().astype(np.int64),
-        found.items.to_numpy().astype(np.float64),
-    )
+    offsets = found.offsets.to_numpy()
+    row = np.repeat(np.arange(examples.num_rows), np.diff(offsets))
+    ids, toxic = (examples.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "toxic"))
+    return index_rows(ids, toxic, *terms_of(
+        named.dictionary.to_pylist(), row, named.indices.to_numpy().astype(np.int64), found.items.to_numpy().astype(np.float64)
+    ), toxic_rows, clean_rows)
+
+
+def opened(index: ToxicityIndex | bytes) -> ToxicityIndex:
+    return pickle.loads(index) if isinstance(index, bytes) else index
 
 
-def score(docs: DataFrame, index: ToxicityIndex) -> DataFrame:
+def score(docs: DataFrame, index: ToxicityIndex | bytes) -> DataFrame:
     """(row, score, evidence): all columns of ``docs``, of which one is text, in ``row``."""
     rows = docs.select(F.struct("*").alias("row"))
     text_at = docs.columns.index("text")
@@ -408,13 +422,14 @@ def score(docs: DataFrame, index: ToxicityIndex) -> DataFrame:
     schema = StructType([*rows.schema.fields, *schema.fields])
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = opened(index)
         for batch in row_slices(batches):
-            found = [words(text) for text in batch.column(0).field(text_at).to_pylist()]
-            best, cosine = index.nearest(index.vectors(found))
-            scores = index.scores(index.votes(best, cosine))
+            found = held.vectors([words(text) for text in batch.column(0).field(text_at).to_pylist()])
+            best, cosine = (np.concatenate(x) for x in zip(*map(held.nearest, found.parts(TEXTS_AT_ONCE))))
+            scores = held.scores(held.votes(best, cosine))
             some = cosine > 0
             reasons = pa.StructArray.from_arrays(
-                [index.doc_ids[best[some]], index.toxic[best[some]].astype(np.int32), cosine[some]],
+                [held.doc_ids[best[some]], held.toxic[best[some]].astype(np.int32), cosine[some]],
                 ["doc_id", "toxic", "cosine"],
             )
             ends = np.append(0, np.cumsum(some.sum(axis=1))).astype(np.int32)

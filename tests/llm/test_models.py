@@ -113,7 +113,7 @@ def test_a_copy_of_a_toxic_example_of_rare_words_has_it_as_evidence(spark):
 def test_repeated_ids_are_one_example(spark):
     docs = documents(spark, [(7, prose(i % 3, 30)) for i in range(3000)] + [(i, prose(i, 30)) for i in range(100, 140)])
     labels = spark.createDataFrame([(7, 1)] * 3000 + [(i, i % 2) for i in range(100, 140)], "doc_id long, toxic int")
-    index = toxicity.learn(docs, labels)
+    index = toxicity.opened(toxicity.learn(docs, labels))
     assert len(index.doc_ids) == 41 and (index.doc_ids == 7).sum() == 1
 
 
