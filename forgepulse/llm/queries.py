@@ -64,7 +64,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return surrogates.with_surrogates(docs).select("row.doc_id", "row.text", "n_entities")
+    return surrogates.with_surrogates(docs, surrogates.session_key(spark)).select("row.doc_id", "row.text", "n_entities")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

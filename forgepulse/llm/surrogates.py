@@ -11,8 +11,13 @@ draw (addresses of hosts for IPv6), so there is a surrogate for every entity of
 Numbers keep separators, length, country code and a valid card check digit; addresses of hosts stay
 valid; mail addresses keep their shape, and addresses of one domain share a surrogate domain; secrets
 keep length, case and alphabet, but letters of other scripts become Latin ones, and a value without any
-letter or digit becomes letters; names keep title, script, number of words and, where the title or
-the given name tells it, gender.
+letter or digit becomes letters; tokens keep the letters that tell what they are; names keep title, script,
+number of words and, where the title or the given name tells it, gender. Surnames, given names and domains are
+entities too: listed given names change places by the key, others get made-up ones, so two people never
+become one.
+
+The key is the caller's: whoever knows it can compute surrogates. What the patterns cannot tell stays: a name
+without a title or a listed given name before it, and secrets without a label or a known form.
 
 Documents without an entity pass through without a shuffle. Mentions, not texts, are joined with
 surrogates, after copies of a mention have been counted as one; an entity that a third of all
@@ -24,9 +29,11 @@ Other columns are kept; ``n_chars``, where there is one, follows the new text.
 
 from __future__ import annotations
 
+from hashlib import sha256
 from itertools import count
+from secrets import token_hex
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgepulse.llm.support import Scratch
@@ -72,27 +79,41 @@ _FIRST = _any([n for (script, _), names in GIVEN.items() for n in names])
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 #: Where a title or given name may begin, as few ranges as can be: looked at before the long lists.
 _NAME_START = "(?=[A-ZΆ-я])"
-_VALUE = r"[^\s\"']{6,}"
+#: Between quotes anything on a line; else without blanks, short ones with a digit.
+_VALUE = (
+    r"(?:(?<=\")[^\"\n]{1,200}(?=\")|(?<=')[^'\n]{1,200}(?=')"
+    r"|[^\s\"']{6,}|(?=[^\s\"']{0,4}[0-9])[^\s\"']{3,5})"
+)
 _LABEL_WORD = "(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)"
+_ASSIGNED = r"[\"']? {0,2}[=:]"
 #: Whatever stands before the word, as in DB_PASSWORD, stays in the text.
-_LABEL = rf"(?=[PSTApsta]){_LABEL_WORD} {{0,2}}[=:] {{0,2}}[\"']?"
+_LABEL = (
+    rf"(?=[PSTABpstab])(?:{_LABEL_WORD}{_ASSIGNED} {{0,2}}[\"']?|(?i:bearer) (?=[A-Za-z0-9._~+/=-]{{12}}))"
+)
+#: What tokens of well-known makers begin with, and stay with.
+_TOKEN_START = r"(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-|eyJ)"
+_HEXTET = "[0-9A-Fa-f]{1,4}"
 
 # In the order in which they are tried at a place; a mention's type is the first that matches it whole.
 PATTERNS = {
     "mail": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "secret": _LABEL + _VALUE,
+    "token": rf"\b(?=[egsx]){_TOKEN_START}[A-Za-z0-9_.-]{{16,}}+",
     "hex": r"\b(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?=[0-9])(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?=[0-9])(?<![\w-])(?:" + "|".join(
-        f"[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{1,7}}" for gap in ("", " ", "-")
+        [f"[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{4}}{gap}[0-9]{{1,7}}" for gap in ("", " ", "-")]
+        + [f"[0-9]{{4}}{gap}[0-9]{{6}}{gap}[0-9]{{5}}" for gap in (" ", "-")]
     ) + r")(?![\w-])",
     "phone": r"(?=[0-9+(])(?<![\w+.-])(?:"
              r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-             r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4})(?!\w)",
+             r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|0[0-9]{2,4}[ /-][0-9]{5,8})(?!\w)",
     "ip": r"(?=[0-9])(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}"
           r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\w)",
+    "ip6": rf"(?=[0-9A-Fa-f])(?<![\w:.])(?:(?:{_HEXTET}:){{7}}{_HEXTET}"
+           rf"|{_HEXTET}(?::{_HEXTET}){{1,5}}::(?:{_HEXTET}(?::{_HEXTET}){{0,4}})?)(?![\w:])",
     "name": rf"{_NAME_START}(?<!\p{{L}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_FIRST}) {_NAME})(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -102,7 +123,7 @@ def may_mention(text: Column) -> Column:
     """What every text with an entity has; most texts are passed over with this alone."""
     found = F.regexp_like(text, F.lit("[0-9@]"))
     assigns = F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))
-    found = found | (assigns & F.regexp_like(text, F.lit(f"{_LABEL_WORD} {{0,2}}[=:]")))
+    found = found | (assigns & F.regexp_like(text, F.lit(f"{_LABEL_WORD}{_ASSIGNED}")))
     return found | F.regexp_like(text, F.lit(f"{_NAME_START}(?:{_TITLE}|{_FIRST})[. ]"))
 
 
@@ -131,8 +152,9 @@ def referent(kind: Column, mention: Column) -> Column:
     """What mentions in different formats have in common."""
     digits = F.regexp_replace(mention, "[^0-9]", "")
     return (
-        F.when(kind.isin("card", "phone", "ssn"), digits)
-        .when(kind == "mail", F.lower(mention))
+        F.when((kind == "phone") & _with_country(mention), F.substring(digits, 2, 10))
+        .when(kind.isin("card", "phone", "ssn"), digits)
+        .when(kind.isin("mail", "ip6"), F.lower(mention))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
         .when(kind == "name", F.element_at(F.split(_bare_name(mention), " "), -1))
         .when(kind == "secret", F.regexp_replace(mention, F.lit(f"^{_LABEL}"), F.lit("")))
@@ -140,6 +162,11 @@ def referent(kind: Column, mention: Column) -> Column:
     )
 
 
+def _with_country(mention: Column) -> Column:
+    """A number of ten digits with the country code 1, which is often left out."""
+    return F.regexp_like(mention, F.lit(r"^\+1(?:[^0-9]*[0-9]){10}[^0-9]*$"))
+
+
 def _digest(key: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", F.lit(key), *parts).cast("binary"), 512)
 
@@ -240,31 +267,41 @@ def _syllables(script: str, digest: Column) -> Column:
 def _address(digest: Column) -> Column:
     first = 1 + _drawn(digest, F.lit(0), 223)
     short = F.concat_ws(".", first.cast("string"), *[_drawn(digest, F.lit(i), 256).cast("string") for i in (1, 2, 3)])
-    # A unique local address: 2^120 of them.
-    long = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(digest, 1, 2)), *[
+    return F.when(F.col("turn") < IN_FORMAT, short).otherwise(_long_address(digest))
+
+
+def _long_address(digest: Column) -> Column:
+    """A unique local address: 2^120 of them."""
+    return F.concat_ws(":", F.concat(F.lit("fd"), F.substring(digest, 1, 2)), *[
         F.substring(digest, 4 * i - 1, 4) for i in range(1, 8)
     ])
-    return F.when(F.col("turn") < IN_FORMAT, short).otherwise(long)
 
 
 def draw(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, turn, surrogate): what each entity receives at its ``turn``-th draw."""
     kind, entity = F.col("kind"), F.col("entity")
     digest = _digest(key, kind, entity, F.col("turn").cast("string"))
-    domain = F.substring_index(entity, "@", -1)
     # As a lambda's value the case is found once, not for every character.
     scrambled = F.get(F.transform(
         F.array(_hex_case(entity)), lambda case: _scrambled(entity, F.col("digest"), case)
     ), F.lit(0))
-    rows = entities.withColumn("digest", digest).withColumn("scrambled", scrambled).withColumn("domain_digest", _digest(key, F.lit("domain"), domain))
+    rows = entities.withColumn("digest", digest).withColumn("scrambled", scrambled)
     digest = F.col("digest")
-    user = F.concat(_scrambled(F.substring_index(entity, "@", 1), digest), _beyond_format(digest, _LOWER))
-    # A domain keeps its last part; the rest is the same for all addresses there.
-    host = _scrambled(F.regexp_replace(domain, r"\.[^.]*$", ""), F.col("domain_digest"))
+    # A domain keeps its last part.
+    host = _scrambled(F.regexp_replace(entity, r"\.[^.]*$", ""), digest)
+    kept = F.length(F.regexp_extract(entity, f"^{_TOKEN_START}", 0))
     surrogate = (
-        F.when(kind == "mail", F.concat(user, F.lit("@"), host, F.lit("."), F.substring_index(domain, ".", -1)))
-        .when(kind == "ip", _address(digest))
-        .when(kind == "name", _surname(entity, digest))
+        F.when(kind == "mail", F.concat(
+            _scrambled(F.substring_index(entity, "@", 1), digest), _beyond_format(digest, _LOWER)
+        ))
+        .when(kind == "domain", F.concat(
+            host, _beyond_format(digest, _LOWER), F.lit("."), F.substring_index(entity, ".", -1)
+        ))
+        .when(kind == "ip", _address(digest)).when(kind == "ip6", _long_address(digest))
+        .when(kind.isin("name", "given"), _surname(entity, digest))
+        .when(kind == "token", F.concat(
+            F.substring(entity, F.lit(1), kept), F.substring("scrambled", kept + 1, F.length("scrambled"))
+        ))
         .when(kind == "card", _card(entity, digest))
         .when(kind == "ssn", F.concat(F.lit("9"), F.expr("substring(scrambled, 2)")))
         .when(kind.isin("key", "iban"), F.concat(
@@ -278,7 +315,7 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
         .otherwise(F.col("scrambled"))
     )
     surrogate = (
-        F.when(kind.isin("mail", "ip", "name"), surrogate)
+        F.when(kind.isin("mail", "domain", "ip", "ip6", "name", "given"), surrogate)
         .when(kind.isin("card", "ssn", "phone"), F.concat(surrogate, _beyond_format(digest, _DIGITS)))
         .when(kind.isin("key", "iban"), F.concat(surrogate, _beyond_format(digest, _UPPER)))
         .otherwise(F.concat(surrogate, _beyond_format(digest, _HEX)))
@@ -292,7 +329,9 @@ def distinct_surrogates(entities: DataFrame, key: str, scratch: Scratch) -> Data
     Of entities that draw the same surrogate the least keeps it; the others, and those that drew an
     entity of the corpus or a surrogate given before, draw again, from ever more surrogates.
     """
-    known = entities.select(F.col("kind"), F.col("entity").alias("surrogate"))
+    # Of a mail address the part before its domain is drawn, one to one over all domains.
+    user = F.when(F.col("kind") == "mail", F.substring_index("entity", "@", 1)).otherwise(F.col("entity"))
+    known = entities.select("kind", user.alias("surrogate")).distinct()
     left, given = entities.withColumn("turn", F.lit(0)), None
     for turn in count():
         drawn, _ = scratch.write(draw(left.withColumn("turn", F.lit(turn)), key))
@@ -308,31 +347,47 @@ def distinct_surrogates(entities: DataFrame, key: str, scratch: Scratch) -> Data
             return given
 
 
-def _given_name(mention: Column, key: str) -> Column:
-    """A given name of the mention's script and gender, the same wherever that given name occurs."""
-    title = F.regexp_extract(mention, rf"^({_TITLE})\.? ", 1)
+def _given_parts(mention: Column) -> tuple[Column, Column]:
+    """The given name of a name of two words, else NULL, and whether it is a listed one."""
     names = F.split(_bare_name(mention), " ")
     first = F.when(F.size(names) > 1, F.get(names, F.lit(0)))
-    script = (
-        F.when(F.regexp_like(first, F.lit(r"\p{IsCyrillic}")), "cyrillic")
-        .when(F.regexp_like(first, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
-    )
-    female = title.isin(TITLES["f"]) | first.isin([n for (_, g), v in GIVEN.items() if g == "f" for n in v])
-    male = title.isin(TITLES["m"]) | first.isin([n for (_, g), v in GIVEN.items() if g == "m" for n in v])
-    digest = _digest(key, F.lit("given"), first)
-    gender = F.when(female, "f").when(male, "m").when(_drawn(digest, F.lit(9), 2) == 0, "f").otherwise("m")
-    made = None
-    for (own_script, own_gender), names_of in GIVEN.items():
-        # The name itself is left out of the table, so that it is never its own surrogate.
-        table = F.filter(F.array(*map(F.lit, names_of)), lambda n: n != first)
-        when = (script == own_script) & (gender == own_gender)
-        pick = F.get(table, _drawn(digest, F.lit(1), F.size(table)))
-        made = F.when(when, pick) if made is None else made.when(when, pick)
-    return F.when(first.isNotNull(), made)
+    return first, first.isin([n for names_of in GIVEN.values() for n in names_of])
+
 
+def _given_name(mention: Column, made: Column, key: str) -> Column:
+    """The given name in a surrogate, the same wherever that given name occurs, others for others.
 
-def written_like(mention: Column, kind: Column, surrogate: Column, key: str) -> Column:
-    """The surrogate in the format of the mention."""
+    Listed names stand in an order that the key decides, for each script and gender, and each becomes the next
+    one. Others become ``made`` with an ending for the gender that the title tells."""
+    title = F.regexp_extract(mention, rf"^({_TITLE})\.? ", 1)
+    first, _ = _given_parts(mention)
+    next_of = [
+        F.lit(x) for names_of in GIVEN.values() for pair in _in_keyed_ring(names_of, key) for x in pair
+    ]
+    female, male = title.isin(TITLES["f"]), title.isin(TITLES["m"])
+    endings = (("cyrillic", "а", "ий", "о"), ("greek", "α", "ος", "ι"), ("latin", "a", "us", "e"))
+    ended = None
+    for script, f, m, n in endings:
+        end = F.when(female, f).when(male, m).otherwise(n)
+        name = f"Is{script.capitalize()}"
+        when = F.regexp_like(made, F.lit(rf"\p{{{name}}}"))
+        ended = F.when(when, end) if ended is None else ended.when(when, end)
+    return F.coalesce(F.element_at(F.create_map(*next_of), first), F.concat(made, ended))
+
+
+def _in_keyed_ring(names: list[str], key: str) -> list[tuple[str, str]]:
+    order = sorted(names, key=lambda n: sha256(f"{key}\x1fgiven\x1f{n}".encode()).digest())
+    return list(zip(order, order[1:] + order[:1]))
+
+
+def written_like(
+    mention: Column, kind: Column, surrogate: Column, key: str, domain: Column | None = None, made: Column | None = None
+) -> Column:
+    """The surrogate in the format of the mention; ``domain``: that of a mail address, ``made``: for a given
+    name that is not listed."""
+    none = F.lit(None).cast("string")
+    domain, made = (none if c is None else c for c in (domain, made))
+    surrogate = F.when((kind == "phone") & _with_country(mention), F.concat(F.lit("1"), surrogate)).otherwise(surrogate)
     start = F.struct(F.lit("").alias("text"), F.lit(1).alias("next"))
     def fill(done: Column, char: Column) -> Column:
         takes = char.rlike("[0-9]") | ((kind == "iban") & char.rlike("[A-Z0-9]"))
@@ -345,15 +400,25 @@ def written_like(mention: Column, kind: Column, surrogate: Column, key: str) ->
         done["text"], F.substring(surrogate, done["next"], F.length(surrogate))
     ))
     title = F.regexp_extract(mention, rf"^((?:{_TITLE})\.? )", 1)
-    named = F.concat(title, F.concat_ws(" ", _given_name(mention, key), surrogate))
+    named = F.concat(title, F.concat_ws(" ", _given_name(mention, made, key), surrogate))
     labelled = F.concat(F.regexp_extract(mention, f"^({_LABEL})", 1), surrogate)
     return (
         F.when(kind.isin("card", "phone", "ssn", "iban"), filled).when(kind == "name", named)
-        .when(kind == "secret", labelled).otherwise(surrogate)
+        .when(kind == "secret", labelled).when(kind == "mail", F.concat_ws("@", surrogate, domain))
+        .otherwise(surrogate)
     )
 
 
-def with_surrogates(docs: DataFrame, key: str = "surrogates") -> DataFrame:
+#: Session setting that holds the key of queries and pipelines; without it each driver process has its own.
+KEY_SETTING = "spark.forgepulse.surrogates.key"
+_PROCESS_KEY = token_hex(32)
+
+
+def session_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, None) or _PROCESS_KEY
+
+
+def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
     """(row, n_entities): all columns of ``docs``, with entities in ``text`` replaced, in ``row``."""
     scratch = Scratch(docs.sparkSession, "surrogates")
     found, _ = scratch.write(docs.select(
@@ -367,11 +432,24 @@ def with_surrogates(docs: DataFrame, key: str = "surrogates") -> DataFrame:
     kinds = said.select("mention").distinct().withColumn("kind", kind_of(F.col("mention"))).withColumn(
         "entity", referent(F.col("kind"), F.col("mention"))
     )
-    kinds, _ = scratch.write(kinds)
-    entities = kinds.select("kind", "entity").distinct()
-    given = distinct_surrogates(entities, key, scratch)
-    written = kinds.join(given, ["kind", "entity"]).select(
-        "mention", written_like(F.col("mention"), F.col("kind"), F.col("surrogate"), key).alias("instead")
+    first, listed = _given_parts(F.col("mention"))
+    # What else a mention holds that is an entity of its own: a domain, or a given name that is not listed.
+    second = F.when(F.col("kind") == "mail", F.substring_index("entity", "@", -1)).when(
+        (F.col("kind") == "name") & ~listed, first
+    )
+    of_second = F.when(F.col("kind") == "mail", "domain").otherwise("given")
+    kinds, _ = scratch.write(kinds.withColumn("second", second).withColumn("second_kind", F.when(second.isNotNull(), of_second)))
+    entities = kinds.select("kind", "entity").unionAll(
+        kinds.where(F.col("second").isNotNull()).select("second_kind", "second")
+    ).distinct()
+    given, _ = scratch.write(distinct_surrogates(entities, key, scratch))
+    seconds = given.select(
+        F.col("kind").alias("second_kind"), F.col("entity").alias("second"), F.col("surrogate").alias("second_surrogate")
+    )
+    mention, kind = F.col("mention"), F.col("kind")
+    written = kinds.join(given, ["kind", "entity"]).join(seconds, ["second_kind", "second"], "left").select(
+        "mention",
+        written_like(mention, kind, F.col("surrogate"), key, F.col("second_surrogate"), F.col("second_surrogate")).alias("instead"),
     )
     written, _ = scratch.write(written)
     of_document = said.join(written, "mention").groupBy("number").agg(

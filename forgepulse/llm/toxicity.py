@@ -59,7 +59,7 @@ BLOCKS_FIRST = 24
 #: Parts of the examples; the votes of each come from an index of the others.
 FOLDS = 5
 #: Words whose terms a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 

@@ -21,8 +21,8 @@ TEXTS = [
 ]
 
 
-def replaced(spark, rows=TEXTS, **options):
-    out = surrogates.with_surrogates(documents(spark, rows), **options).select("row.doc_id", "row.text", "n_entities")
+def replaced(spark, rows=TEXTS, key="a key"):
+    out = surrogates.with_surrogates(documents(spark, rows), key).select("row.doc_id", "row.text", "n_entities")
     return {r["doc_id"]: (r["text"], r["n_entities"]) for r in out.collect()}
 
 
@@ -60,7 +60,7 @@ def test_names_keep_title_gender_and_script(spark):
     text = replaced(spark)[6][0]
     found = re.match(r"Mrs\. (\w+) (\w+) met Herr (\w+) and Dr\. (\w+); г-жа (\w+) (\w+) и господин (\w+)\.", text)
     given, surname, _, doctor, russian, family, other = found.groups()
-    assert given in surrogates.GIVEN["latin", "f"] and surname == doctor
+    assert given.endswith("a") and given != "Jane" and surname == doctor  # no listed name
     assert russian in surrogates.GIVEN["cyrillic", "f"] and russian != "Анна"
     assert all("Ѐ" <= c <= "ӿ" for c in family + other) and family != other
 
@@ -122,7 +122,7 @@ def test_more_entities_than_a_format_has_room_for(spark, monkeypatch):
     given = {(r["kind"], r["surrogate"]) for r in found}
     assert {(r["kind"], r["entity"]) for r in found} == set(rows) and len(found) == len(given) == len(rows)
     assert not given & set(rows)
-    assert all(s.isdigit() for k, s in given if k == "phone") and all(s.endswith(".com") for k, s in given if k == "mail")
+    assert all(s.isdigit() for k, s in given if k == "phone") and not any("@" in s for k, s in given if k == "mail")
     last = surrogates.draw(
         spark.createDataFrame([("ip", "1.2.3.4")], "kind string, entity string").withColumn("turn", F.lit(40)), "k"
     ).first()["surrogate"]
@@ -135,12 +135,12 @@ def test_more_entities_than_a_format_has_room_for(spark, monkeypatch):
 
 def test_odd_documents_keep_their_columns(spark):
     docs = odd_documents(spark, clashing=True)
-    out = surrogates.with_surrogates(docs).select("row.*")
+    out = surrogates.with_surrogates(docs, "k").select("row.*")
     assert out.schema.names == docs.columns
     found = sorted(str((r["doc_id"], r["text"])) for r in out.collect() if r["doc_id"] != -7)
     assert found == sorted(str(r[:2]) for r in odd_rows() if r[0] != -7)
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if r["text"] is not None)
-    assert surrogates.with_surrogates(no_documents(spark)).count() == 0
+    assert surrogates.with_surrogates(no_documents(spark), "k").count() == 0
 
 
 def test_a_third_of_all_documents_with_one_entity(spark):
@@ -150,6 +150,60 @@ def test_a_third_of_all_documents_with_one_entity(spark):
     assert len(set(texts)) == 201 and len({out[i][0] for i in range(0, 300, 3)}) == 1
 
 
+def test_secrets_and_addresses_in_other_forms(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.c2lnbmF0dXJl"
+    hub = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    forms = [
+        '{"password": "hunter2secret"}', "\"api_key\":\"k3yk3yk3y\"", 'password: "my pass word 99" then', "pwd=abc12 end",
+        f"Authorization: Bearer {jwt}", f"so {hub} it was", "host 2001:db8::ff00:42:8329 and 2001:0DB8:0:0:0:0:0:1.",
+        "card 3782 822463 10005 or 3782-822463-10005", "ring 0171 5551234 now", "std::vector at 12:30:45, a::b, pwd = x",
+    ]
+    out = replaced(spark, list(enumerate(forms)))
+    secrets = ["hunter2secret", "k3yk3yk3y", "my pass word 99", "abc12", jwt[:30], hub[4:], "2001:", "822463", "5551234"]
+    for at, secret in enumerate(secrets):
+        assert out[at][1] >= 1 and secret not in out[at][0], out[at]
+    assert re.fullmatch(r'\{"password": "[a-z]{6}\d[a-z]{6}"\}', out[0][0])
+    assert re.fullmatch(r'password: "\w\w \w{4} \w{4} \d\d" then', out[2][0]) and re.fullmatch("pwd=[0-9a-f]{5} end", out[3][0])
+    assert re.fullmatch(r"so ghp_\w{36} it was", out[5][0])
+    first, second = re.match(r"host (\S+) and (\S+)\.", out[6][0]).groups()
+    assert ipaddress.ip_address(first).version == ipaddress.ip_address(second).version == 6 and first != second
+    spaced, dashed = re.fullmatch(r"card (\d{4} \d{6} \d{5}) or (\d{4}-\d{6}-\d{5})", out[7][0]).groups()
+    assert spaced.replace(" ", "") == dashed.replace("-", "") and luhn(dashed.replace("-", ""))
+    assert re.fullmatch(r"ring \d{4} \d{7} now", out[8][0]) and out[9] == (forms[9], 0)
+
+
+def test_a_number_is_one_with_and_without_its_country(spark):
+    text = replaced(spark, [(1, "+1 212 555 0143, 212 555 0143, +1 (212) 555-0143; 212 555 0144")])[1][0]
+    one, two, three, other = (re.sub(r"\D", "", x) for x in re.split("[,;]", text))
+    assert one == three == "1" + two and len(two) == 10 and other != two and two != "2125550143"
+
+
+def test_people_and_domains_stay_as_many_as_they_were(spark):
+    """(given, surname) and domains are one to one: all listed given names, others, and 1,000 surnames."""
+    listed = [(n, g) for (_, g), names in surrogates.GIVEN.items() for n in names]
+    people = [f"{n} Smith{chr(97 + i % 26)}" for n, _ in listed for i in range(12)]
+    people += [f"Mr {n} Jones" for n in ("Priya", "Amit", "Wei", "Olu", "Иннокентий")] + [f"Ms {n} Jones" for n in ("Priya", "Zoe")]
+    people += [f"James Fam{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}" for i in range(1000)]
+    domains = [f"a@{c}{d}.com" for c in "abcdef" for d in "abcdefghij"]
+    rows = [(i, p) for i, p in enumerate(people)] + [(5000 + i, d) for i, d in enumerate(domains)]
+    out = replaced(spark, rows)
+    instead = [out[i][0] for i in range(len(people))]
+    assert all(out[i][1] == 1 for i in range(len(people)))
+    assert len(set(instead)) == len(people) and not set(instead) & set(people)
+    given = {p.split()[0]: x.split()[0] for p, x in zip(people, instead) if p.split()[0] not in ("Mr", "Ms")}
+    for script_gender, names in surrogates.GIVEN.items():
+        assert {given[n] for n in names} == set(names) and all(given[n] != n for n in names), script_gender
+    hosts = [out[5000 + i][0].split("@")[1] for i in range(len(domains))]
+    assert len(set(hosts)) == len(domains) and not {d.split("@")[1] for d in domains} & set(hosts)
+
+
+def test_the_key_is_the_sessions_or_the_process_own(spark):
+    assert len(surrogates.session_key(spark)) == 64
+    spark.conf.set(surrogates.KEY_SETTING, "mine")
+    assert surrogates.session_key(spark) == "mine"
+    spark.conf.unset(surrogates.KEY_SETTING)
+
+
 def test_the_plan_runs_no_python(spark):
-    plan = surrogates.with_surrogates(documents(spark, TEXTS))._jdf.queryExecution().toString()
+    plan = surrogates.with_surrogates(documents(spark, TEXTS), "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan
