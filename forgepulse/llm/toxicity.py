@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -353,7 +354,7 @@ def _calibrated(
 
 
 def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> bytes:
-    """Index, pickled, from (doc_id, text) and (doc_id, toxic); at most ``toxic`` and ``clean`` examples."""
+    """Index, pickled and packed, from (doc_id, text) and (doc_id, toxic); at most ``toxic`` and ``clean`` examples."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", "toxic"
     )
@@ -383,11 +384,12 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.Table.from_batches(list(batches), schema=_EXAMPLES)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_fitted(held, *rows))], pa.binary())], ["index"])
+        packed = zlib.compress(pickle.dumps(_fitted(held, *rows)), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["index"])
 
-    # The examples are few, so one task makes the index of them; the driver only hands it on.
-    (row,) = settle(counted.coalesce(1).mapInArrow(fit, "index binary"), "toxicity-index").collect()
-    return bytes(row["index"])
+    # The examples are few, so one task makes the index of them; the driver only hands it on, packed.
+    fitted = settle(counted.coalesce(1).mapInArrow(fit, "index binary"), "toxicity-index")
+    return bytes(fitted.first()["index"])
 
 
 #: Examples as a table: a few hundred words each, which stay in Arrow's arrays until they are numbers.
@@ -410,7 +412,7 @@ def _fitted(examples: pa.Table, toxic_rows: int, clean_rows: int) -> ToxicityInd
 
 
 def opened(index: ToxicityIndex | bytes) -> ToxicityIndex:
-    return pickle.loads(index) if isinstance(index, bytes) else index
+    return pickle.loads(zlib.decompress(index)) if isinstance(index, bytes) else index
 
 
 def score(docs: DataFrame, index: ToxicityIndex | bytes) -> DataFrame:
