@@ -5,9 +5,14 @@ of a label are one class from the start, with a weight. For the rest, an index:
 
 * A coarse quantiser deals unit vectors into inverted lists; each is kept as its list and the codes of
   its residual in every subspace, together with the exact length of the coding error.
-* A query visits every list that can hold a neighbour: a neighbour lies within the radius that the
-  threshold means, so its list's cell is at most that far beyond the boundary to the query's own cell.
-  Pairs are found from the query whose list comes first, so only later lists are visited.
+* A pair in two lists lies on both sides of the plane between their centres. The distances of the two to
+  it add up to the part of their difference along its normal, so one of them is within half of that:
+  whoever is near the plane visits the other's list. That part is at most the radius that the threshold
+  means, but in many dimensions a difference has little of its length in any one direction. The plane's
+  reach is therefore ``SPREADS`` times the standard deviation to expect there, from the spread of the
+  vectors around their centres, and never above half the radius. ``spreads=None`` takes half the radius
+  for every plane, which loses nothing and in many dimensions visits most lists.
+* Members carry the lists that they visit, so a pair that both sides would find counts from one of them.
 * In a list, distances are summed from a table of the query's distances to the codewords. A member
   stays a candidate while that distance, less its coding error, is within the radius; the triangle
   inequality makes this lossless. Candidates are compared by exact cosine.
@@ -42,6 +47,10 @@ SUBSPACES, CODEWORDS = 8, 256
 #: Members of a block and queries that are compared with it at once.
 BLOCK_ROWS, QUERY_ROWS = 1024, 512
 ROUNDS = 8
+#: A vector visits a list when the plane between is this many standard deviations away, at most. A pair
+#: gets lost only if its difference has twice as many along the normal: three pairs in 100,000 of those
+#: at the threshold itself whose ends are in two lists, fewer of closer ones.
+SPREADS = 2.0
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -68,9 +77,13 @@ class ProductIndex:
     radius: float
     centres: np.ndarray  # lists x width
     codewords: np.ndarray  # subspaces x codewords x width / subspaces
+    spread: np.ndarray | None  # width x width, trace 1: where differences go; None: visit all that can hold one
+    spreads: float
 
     @classmethod
-    def fit(cls, units: np.ndarray, lists: int, threshold: float) -> ProductIndex:
+    def fit(
+        cls, units: np.ndarray, lists: int, threshold: float, spreads: float | None = SPREADS
+    ) -> ProductIndex:
         width = units.shape[1]
         centres = _k_means(units, lists, 1)
         residual = units - centres[_nearest(units, centres)]
@@ -78,7 +91,11 @@ class ProductIndex:
         count = min(CODEWORDS, max(1, len(units) // 4))
         words = np.stack([_k_means(np.ascontiguousarray(parts[:, s]), count, 2 + s) for s in range(SUBSPACES)])
         # A little slack for rounding; the exact comparison decides.
-        return cls(width, float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6, centres, words)
+        radius, spread = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6, None
+        if spreads is not None:
+            spread = residual.T @ residual
+            spread /= max(np.trace(spread), 1e-12)
+        return cls(width, radius, centres, words, spread, spreads or 0.0)
 
     def encode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """List, codes and coding error of each vector."""
@@ -91,17 +108,22 @@ class ProductIndex:
         return lists, codes.astype(np.uint8), np.sqrt((rest * rest).sum(axis=(1, 2)))
 
     def probes(self, units: np.ndarray, lists: np.ndarray) -> list[np.ndarray]:
-        """For each vector the lists, its own and later ones, that can hold a neighbour."""
-        own = self.centres[lists]
-        apart = np.sqrt(np.maximum(0, (
-            (own * own).sum(axis=1)[:, None] + (self.centres * self.centres).sum(axis=1)
-            - 2 * own @ self.centres.T
-        )))
-        square = (self.centres * self.centres).sum(axis=1) - 2 * units @ self.centres.T
+        """For each vector the lists that it visits: its own and those whose plane it is near to."""
+        lengths = (self.centres * self.centres).sum(axis=1)
+        apart = np.sqrt(np.maximum(0, lengths[:, None] + lengths - 2 * self.centres @ self.centres.T))
+        reach = np.full_like(apart, self.radius / 2)
+        if self.spread is not None:
+            along = self.centres @ self.spread @ self.centres.T
+            own = np.diagonal(along)
+            share = (own[:, None] + own - 2 * along) / np.maximum(apart * apart, 1e-12)
+            # Differences that are alike in all directions have this much in each.
+            share = np.maximum(share, 1 / self.width)
+            reach = np.minimum(reach, self.spreads * self.radius * np.sqrt(share))
+        square = lengths - 2 * units @ self.centres.T
         beyond = square - square[np.arange(len(units)), lists][:, None]
-        reach = (beyond <= 2 * self.radius * apart + 1e-6) & (np.arange(len(self.centres)) >= lists[:, None])
-        reach[np.arange(len(units)), lists] = True
-        return [np.nonzero(r)[0] for r in reach]
+        near = beyond <= (2 * reach * apart + 1e-6)[lists]
+        near[np.arange(len(units)), lists] = True
+        return [np.nonzero(n)[0] for n in near]
 
     def candidates(
         self, queries: np.ndarray, centre: int, codes: np.ndarray, error: np.ndarray
@@ -134,8 +156,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 def _compare(index: ProductIndex, centre: int, members: dict, queries: dict, threshold: float):
     """Counts (class, links) and forest (class, class) of the links between queries and members."""
     q, m = index.candidates(queries["unit"], centre, members["codes"], members["error"])
-    # In the own list a pair is found from its smaller class.
-    once = (queries["list"][q] != centre) | (queries["class"][q] < members["class"][m])
+    # In the own list a pair counts from its smaller class; else, where the member visits the query's
+    # list as well, from the smaller list.
+    asks, lists = queries["list"][q], len(index.centres)
+    mutual = np.isin(m * lists + asks, members["visits"])
+    once = np.where(asks == centre, queries["class"][q] < members["class"][m], ~mutual | (asks < centre))
     q, m = q[once], m[once]
     keep = []
     for first in range(0, len(q), 1 << 16):
@@ -182,7 +207,7 @@ def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFra
     members = coded.join(sizes, ["part", "list"]).select(
         "part", F.col("list").alias("visited"),
         F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block"),
-        F.lit(0).alias("query"), "list", "class", "weight", "vector", "codes", "error",
+        F.lit(0).alias("query"), "list", "class", "weight", "vector", "codes", "error", "probes",
     )
     visits = coded.select(
         "part", F.explode("probes").alias("visited"), "list", "class", "weight", "vector"
@@ -192,8 +217,11 @@ def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFra
         "part", "visited", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.lit(1).alias("query"), "list", "class", "weight", "vector",
         F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("error"),
+        F.lit(None).cast("array<int>").alias("probes"),
     )
-    names = ["part", "visited", "block", "query", "list", "class", "weight", "vector", "codes", "error"]
+    names = [
+        "part", "visited", "block", "query", "list", "class", "weight", "vector", "codes", "error", "probes",
+    ]
 
     def side(rows: pa.Table) -> dict:
         vector = _matrix(rows.column("vector").combine_chunks(), index.width)
@@ -216,6 +244,10 @@ def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFra
                         b"".join(rows.column("codes").to_pylist()), np.uint8
                     ).reshape(-1, SUBSPACES)
                     held["error"] = rows.column("error").to_numpy()
+                    before = len(members["class"]) if block == key else 0
+                    probes = rows.column("probes").combine_chunks()
+                    place = np.repeat(np.arange(rows.num_rows) + before, probes.value_lengths().to_numpy())
+                    held["visits"] = place * len(index.centres) + probes.flatten().to_numpy()
                     if block == key:
                         held = {k: np.concatenate([members[k], v]) for k, v in held.items()}
                     block, members = key, held
@@ -238,7 +270,7 @@ def _links(classes: DataFrame, index: ProductIndex, threshold: float) -> DataFra
 
 
 def near_duplicates(
-    rows: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE
+    rows: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, spreads: float | None = SPREADS
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding, label)."""
     scratch = Scratch(rows.sparkSession, "vectors")
@@ -270,7 +302,7 @@ def near_duplicates(
     drawn = classes.select("vector", "class").orderBy(*order).limit(sample).select("vector").toArrow()
     units = _units(_matrix(drawn.column("vector").combine_chunks(), width))
     lists = min(max(1, size["n"] // LIST_ROWS), MOST_LISTS, max(1, len(units) // 16))
-    index = ProductIndex.fit(units, lists, threshold)
+    index = ProductIndex.fit(units, lists, threshold, spreads)
 
     links, _ = scratch.write(_links(classes, index, threshold))
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
