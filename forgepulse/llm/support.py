@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from forgepulse.session import new_folder, remove, settle
 
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Edges whose components one task works out, and rounds after which something must be wrong.
-ONE_TASK_EDGES, MOST_ROUNDS = 500_000, 60
+#: Edges that one task contracts to a forest, and rounds after which something must be wrong.
+EDGES_A_TASK, MOST_ROUNDS = 500_000, 60
 #: Longest run of rows whose texts are Python objects at the same time.
 ROWS_AT_ONCE = 256
 
@@ -85,30 +85,33 @@ def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             root = root[root]
 
 
-def _of_one_task(edges: DataFrame) -> DataFrame:
+def _contracted(edges: DataFrame, tasks: int) -> DataFrame:
+    """A forest of stars in place of the edges of each task: what is connected stays so."""
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if held:
             rows = pa.Table.from_batches(held)
-            found = least_reached(rows.column("a").to_numpy(), rows.column("b").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], ["node", "component"])
+            node, least = least_reached(rows.column("a").to_numpy(), rows.column("b").to_numpy())
+            other = node != least
+            yield pa.RecordBatch.from_arrays([pa.array(least[other]), pa.array(node[other])], ["a", "b"])
 
-    return edges.select("a", "b").coalesce(1).mapInArrow(reach, "node long, component long")
+    return edges.select("a", "b").coalesce(tasks).mapInArrow(reach, "a long, b long")
 
 
-def components(edges: DataFrame, label: str, one_task: int = ONE_TASK_EDGES) -> DataFrame:
+def components(edges: DataFrame, label: str, edges_a_task: int = EDGES_A_TASK) -> DataFrame:
     """(node, component) for every node of the BIGINT edges (a, b); component: its least node.
 
-    Large-star and small-star steps in turn until nothing moves; each round is a written table, so
-    lineage stays short and no executor holds the only copy. Up to ``one_task`` edges, a few
-    megabytes, one task does the same. Nodes without an edge to another do not appear.
+    Tasks contract about ``edges_a_task`` edges each to forests. Large-star and small-star steps over
+    these follow in turn until nothing moves; each round is a written table, so lineage stays short and
+    no executor holds the only copy. Nodes without an edge to another do not appear.
     """
     scratch = Scratch(edges.sparkSession, label)
-    current, path = scratch.write(edges.where("a <> b").select(
+    given, given_path = scratch.write(edges.where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     ))
-    if current.count() <= one_task:
-        return scratch.write(_of_one_task(current))[0]
+    tasks = max(1, -(-given.count() // edges_a_task))
+    current, path = scratch.write(_contracted(given, tasks))
+    remove(given_path)
     digest = None
     for _ in range(MOST_ROUNDS):
         state = current.agg(

@@ -122,14 +122,14 @@ def test_scratch_tables_can_be_dropped(spark):
     remove(path)
 
 
-def test_components_by_stars_and_in_one_task(spark):
+def test_components_by_forests_of_tasks_and_stars(spark):
     rng = random.Random(8)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     links += [(i, i + 1) for i in range(1000, 1080)] + [(2000, i) for i in range(2001, 2300)] + [(5, 5)]
     frame = spark.createDataFrame(links, "a long, b long")
     roots = dict(enumerate(components(2300, links)))
     want = {n: roots[n] for a, b in links for n in (a, b) if a != b}
-    for one_task in (0, 10**6):
-        found = {r["node"]: r["component"] for r in all_components(frame, "test", one_task).collect()}
+    for edges_a_task in (1, 100, 10**6):
+        found = {r["node"]: r["component"] for r in all_components(frame.repartition(8), "test", edges_a_task).collect()}
         assert found == want
-    assert all_components(frame.limit(0), "test", 0).count() == 0
+    assert all_components(frame.limit(0), "test", 1).count() == 0
