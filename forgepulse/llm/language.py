@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgepulse.llm.support import row_slices
+from forgepulse.llm.support import row_slices, settle
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -30,6 +30,8 @@ HIDDEN = 8
 READ_BYTES, LEARN_BYTES = 128, 48
 #: Labelled rows a language, and windows of each.
 DOCUMENTS, WINDOWS = 400, 8
+#: Times as many distinct rows of a language as are needed are expected below the bound of their hashes.
+SPARE = 4
 STEPS, BATCH, RATE = 240, 128, 0.02
 #: Windows that are read side by side; their state fits the caches of a core.
 LANES = 4096
@@ -184,16 +186,32 @@ class ByteNetwork:
 def learn(
     labelled: DataFrame, documents: int = DOCUMENTS, windows: int = WINDOWS, steps: int = STEPS
 ) -> ByteNetwork:
-    """Network from the rows of (doc_id, text, lang) with a language."""
-    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # A rank limit is applied before the shuffle as well: no task gathers a language.
+    """Network from the rows of (doc_id, text, lang) with a language.
+
+    Learns from ``documents`` rows of each language, those of the least hashes of id and text. Equal rows
+    count as one, rows that share an id or have none but differ in text as several. Long texts are read
+    in ``windows`` pieces here and whole by ``identify``.
+    """
+    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("mark")
+    )
+    marks = settle(known.select("lang", "mark"), "language-marks")
+    # Of the distinct rows so many have a mark below the bound that the counting's error does not matter:
+    # what meets in a language's task is some times ``documents`` at any size.
+    counted = marks.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n"))
+    bounds = counted.select("lang", (F.lit(2.0 ** 63 * SPARE * documents) / F.col("n")).alias("bound"))
+    low = marks.join(F.broadcast(bounds), "lang").where(
+        F.shiftrightunsigned("mark", 1).cast("double") <= F.col("bound")
+    )
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("mark", 1), "mark")
     chosen = (
-        known.select("doc_id", "lang").withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= documents).select("doc_id", "lang")
+        low.select("lang", "mark").distinct().withColumn("n", F.row_number().over(order))
+        .where(F.col("n") <= documents).select("lang", "mark")
     )
-    # At most ``documents`` rows a language.
-    texts = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"])
+    # At most ``documents`` rows a language; rows that are repeated are one.
+    texts = known.join(F.broadcast(chosen), ["lang", "mark"]).groupBy("lang", "mark").agg(
+        F.min(F.struct("doc_id", "text")).alias("one")
+    ).select("one.doc_id", "one.text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):

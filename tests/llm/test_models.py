@@ -183,6 +183,46 @@ def test_whole_texts_are_pooled_over_all_their_bytes():
         assert np.allclose(found, total / max(1, len(text)), atol=1e-4)
 
 
+def plain_probabilities(network, text):
+    """Of each byte, by the gates as written down for such a network, a byte at a time."""
+    h, sigmoid = language.HIDDEN, lambda x: 1 / (1 + np.exp(-x))
+    states = np.zeros((2, len(text), h))
+    for way, places in ((0, range(len(text))), (1, reversed(range(len(text))))):
+        state = np.zeros(h)
+        for t in places:
+            given, held = network.embed[way][:, text[t]].astype(float), network.recur[way].astype(float) @ state
+            reset, update = sigmoid(given[:h] + held[:h]), sigmoid(given[h: 2 * h] + held[h: 2 * h])
+            candidate = np.tanh(given[2 * h:] + reset * held[2 * h:])
+            state = (1 - update) * candidate + update * state
+            states[way, t] = state
+    values = np.exp(np.hstack([states[0], states[1]]) @ network.out.T.astype(float) + network.bias)
+    return values / values.sum(axis=1, keepdims=True)
+
+
+def test_the_network_against_a_plain_forward_pass():
+    rng = np.random.default_rng(6)
+    network = language.ByteNetwork.fresh(["a", "b", "c"], seed=7)
+    network.bias = rng.normal(size=3).astype(np.float32)
+    data = rng.integers(0, 256, (language.READ_BYTES, 5)).astype(np.uint8)
+    found = network.label(data)
+    for lane in range(5):
+        assert np.allclose(found[:, :, lane].T, plain_probabilities(network, data[:, lane]), atol=1e-4)
+
+
+def test_repeated_and_missing_ids_are_learnt_from_within_the_bound(spark, monkeypatch):
+    """A row that is repeated counts once; one id with many texts, or none, stays within the bound."""
+    kept = []
+    monkeypatch.setattr(language.ByteNetwork, "train", lambda self, data, label, steps: kept.append((data, label)))
+    rows = [(7, "the same text again", "en")] * 3000 + [(8, prose(i, 20), "de") for i in range(300)]
+    rows += [(None, prose(i, 20), "fr") for i in range(500, 800)] + [(9, prose(900, 20), "fr")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language.learn(docs, documents=40, windows=2)
+    data, label = kept[0]
+    assert [int((label == k).sum()) for k in range(3)] == [80, 2, 80]  # de, en, fr
+    language.learn(docs.repartition(5), documents=40, windows=2)
+    assert (kept[1][0] == data).all() and (kept[1][1] == label).all()
+
+
 def test_language_of_odd_documents(spark):
     docs = odd_documents(spark, clashing=True)
     network = language.learn(docs, steps=5)
