@@ -144,14 +144,6 @@ def copies_in_training_order(mixed: DataFrame) -> DataFrame:
     )
 
 
-def first_words(text: Column, words: Column) -> Column:
-    """The text up to its ``words``-th word with the white space behind it."""
-    space = r"[\x20\x09-\x0D]"
-    parts = F.split(text, rf"(?<={space})(?=[^\x20\x09-\x0D])")
-    leading = F.regexp_like(text, F.lit(rf"^{space}+[^\x20\x09-\x0D]")).cast("int")
-    return F.array_join(F.slice(parts, F.lit(1), words.cast("int") + leading), "")
-
-
 def mixed_documents(docs: DataFrame, order_key: Column) -> DataFrame:
     """The columns of ``docs``, a row for each copy that the mix takes, in training order; copies are
     whole documents, so a source's words meet its target to within one document."""

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
+import xxhash
 from pyspark.sql import functions as F
 
 from forgepulse.llm import fingerprints
@@ -76,3 +78,24 @@ def test_odd_documents(spark):
     assert fingerprints.compare_with_edits(no_documents(spark)).count() == 0
     only = fingerprints.compare_with_edits(documents(spark, [(7, "one two three")])).collect()
     assert [r["near_next"] for r in only] == [1.0]
+
+
+def test_bits_against_votes_counted_one_by_one(spark):
+    """Each pair of neighbouring words votes once for every time it occurs, on all 128 bits."""
+    texts = ["", " ", "one", "a b", "a b a b a c", "é 😀 x", prose(3, 300), prose(4, 40) + "\n\n\t" + prose(5, 3), " lead trail "]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, t string")
+    found = {r["n"]: r["mark"] for r in fingerprints.fingerprints(frame, ["n"], "t").collect()}
+    for n, text in enumerate(texts):
+        split = re.split(r"[ \t\n\x0B\f\r]+", text)
+        votes, terms = [0] * 128, 0
+        for first, second in zip(split, [*split[1:], None]):
+            seed = 42
+            for word in (first, second):
+                if word is not None:
+                    seed = xxhash.xxh64_intdigest(word.encode(), seed)
+            high, low = seed, xxhash.xxh64_intdigest((1).to_bytes(4, "little"), seed)
+            for bit in range(128):
+                votes[bit] += (high << 64 | low) >> bit & 1
+            terms += 1
+        want = sum(1 << bit for bit in range(128) if 2 * votes[bit] > terms)
+        assert (found[n]["high"] % 2**64) << 64 | found[n]["low"] % 2**64 == want
