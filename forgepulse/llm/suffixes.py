@@ -21,7 +21,9 @@ string that a third of all documents share is spread over buckets; buckets sort
 quicksort. In step 2 the last suffix of a bucket is compared with the first of the next. In step 1
 runs whose leading token a neighbouring bucket may hold too are simply left open for step 2.
 
-A NULL text is empty. Documents with equal ids, NULL ids last, are taken one after the other in the
+A NULL text is empty. A very long one is hashed in stretches that overlap by a string; a run that a
+stretch breaks off is two runs, which share their leading token and are left open for step 2. A task
+holds such a text and its removed spans, but nothing else that grows with it. Documents with equal ids, NULL ids last, are taken one after the other in the
 order in which they are written down first. Short documents keep all bytes. Empty tables are fine.
 """
 
@@ -41,7 +43,8 @@ from forgepulse.llm.support import Scratch, row_slices
 LENGTH = 100
 #: Bytes of the strings whose least hash is the leading token.
 GRAM = 50
-#: Bytes of text that are hashed at once, at least one document.
+#: Bytes of text that are hashed at once; a longer text is taken in stretches whose strings begin in
+#: so many of its bytes.
 BYTES_AT_ONCE = 1 << 18
 #: Segments that multikey quicksort hands to a plain sort.
 SMALL = 4096
@@ -104,6 +107,12 @@ def _least_within(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - width + reach], values[width - reach:])
 
 
+def stretches(text: bytes, length: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """(begin, bytes) of parts of a text in which each of its strings begins and ends once."""
+    for begin in range(0, len(text) - length + 1, size):
+        yield begin, text[begin: begin + size + length - 1]
+
+
 def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
     """(document, start, strings, leading token, following token, open) of all runs of some texts.
 
@@ -243,31 +252,37 @@ def _compressed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _runs_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
+def _runs_of(texts: DataFrame, length: int, gram: int, at_once: int) -> DataFrame:
     names = ["lead", "follow", "place", "number", "start", "strings", "open"]
 
+    def found(held: list[bytes], place: list[int], number: list[int], begin: list[int]) -> pa.RecordBatch:
+        part, start, strings, lead, follow, open_ = runs(held, length, gram)
+        columns = [lead.view(np.int64), follow.view(np.int64), np.array(place)[part], np.array(number)[part],
+                   np.array(begin)[part] + start, strings, open_.astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in row_slices(batches):
-            place, number = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            held, size, first = [], 0, 0
-            for i, packed in enumerate(batch.column(2)):
-                held.append(unpack(packed.as_buffer()))
-                size += len(held[-1])
-                if size >= BYTES_AT_ONCE or i == batch.num_rows - 1:
-                    doc, start, strings, lead, follow, open_ = runs(held, length, gram)
-                    columns = [lead.view(np.int64), follow.view(np.int64), place[first + doc],
-                               number[first + doc], start, strings, open_.astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-                    held, size, first = [], 0, i + 1
+            held, of, size = [], [], 0
+            for place, number, packed in zip(*[batch.column(i) for i in range(3)]):
+                for begin, part in stretches(unpack(packed.as_buffer()), length, at_once):
+                    held.append(part)
+                    of.append((place.as_py(), number.as_py(), begin))
+                    size += len(part)
+                    if size >= at_once:
+                        yield found(held, *map(list, zip(*of)))
+                        held, of, size = [], [], 0
+            if held:
+                yield found(held, *map(list, zip(*of)))
 
     schema = ", ".join(f"{n} long" for n in names)
     return texts.select("place", "number", "packed").mapInArrow(cut, schema)
 
 
-def _strings_of(texts: DataFrame, undecided: DataFrame, length: int) -> DataFrame:
+def _strings_of(texts: DataFrame, undecided: DataFrame, length: int, at_once: int) -> DataFrame:
     names = ["left", "right", "place", "number", "start"]
     of_document = undecided.groupBy("number").agg(F.collect_list(F.struct("start", "strings")).alias("runs"))
 
@@ -278,19 +293,24 @@ def _strings_of(texts: DataFrame, undecided: DataFrame, length: int) -> DataFram
         for batch in row_slices(batches):
             place, number = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i, packed in enumerate(batch.column(2)):
-                hashed = HashedBytes(unpack(packed.as_buffer()))
                 open_runs = batch.column(3).slice(i, 1).flatten()
                 first, count = open_runs.field(0).to_numpy(), open_runs.field(1).to_numpy()
-                start = np.repeat(first, count) + (
-                    np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                )
-                middle = start + length // 2
-                columns = [
-                    hashed.stretch(start, middle).view(np.int64),
-                    (hashed.stretch(middle, start + length) >> np.uint64(32)).astype(np.int32),
-                    np.full(len(start), place[i]), np.full(len(start), number[i]), start,
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                # The strings of a run begin in one stretch, where the run was found.
+                for begin, part in stretches(unpack(packed.as_buffer()), length, at_once):
+                    here = (first >= begin) & (first < begin + at_once)
+                    if not here.any():
+                        continue
+                    hashed, some = HashedBytes(part), count[here]
+                    start = np.repeat(first[here] - begin, some) + (
+                        np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+                    )
+                    middle = start + length // 2
+                    columns = [
+                        hashed.stretch(start, middle).view(np.int64),
+                        (hashed.stretch(middle, start + length) >> np.uint64(32)).astype(np.int32),
+                        np.full(len(start), place[i]), np.full(len(start), number[i]), start + begin,
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     schema = "left long, right int, place long, number long, start long"
     return (
@@ -309,13 +329,15 @@ def _repeated_at_edges(judged: DataFrame) -> DataFrame:
     )
 
 
-def repeated_spans(texts: DataFrame, scratch: Scratch, length: int, gram: int) -> DataFrame:
+def repeated_spans(
+    texts: DataFrame, scratch: Scratch, length: int, gram: int, at_once: int = BYTES_AT_ONCE
+) -> DataFrame:
     """(number, start, end): strings of the numbered texts that start earlier too, joined in runs."""
     keys = ["lead", "follow", "place", "number", "start", "strings", "open"]
     judge = _buckets(
         _judge_runs, keys, "number long, place long, start long, strings long, repeated boolean"
     )
-    sparse = _runs_of(texts, length, gram).repartitionByRange(*keys[:5])
+    sparse = _runs_of(texts, length, gram, at_once).repartitionByRange(*keys[:5])
     judged, _ = scratch.write(judge(sparse))
     whole = judged.where("repeated").select(
         "number", "start", (F.col("start") + F.col("strings") - 1 + length).alias("end")
@@ -325,7 +347,7 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int, gram: int) -
         _judge_strings, keys,
         "number long, start long, repeated boolean, edge byte, bucket long, left long, right int",
     )
-    dense = _strings_of(texts, judged.where("not repeated"), length).repartitionByRange(*keys)
+    dense = _strings_of(texts, judged.where("not repeated"), length, at_once).repartitionByRange(*keys)
     strings, _ = scratch.write(judge(dense))
     single = strings.where("repeated").select("number", "start").unionAll(
         _repeated_at_edges(strings).select("number", "start")
@@ -333,12 +355,22 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int, gram: int) -
     return whole.unionAll(single.select("number", "start", (F.col("start") + length).alias("end")))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def joined_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same stretches with those that overlap or touch as one, in order."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    first = np.nonzero(np.append(True, start[1:] > end[:-1])[: len(start)])[0]
+    return start[first], end[np.append(first[1:], len(start))[: len(first)] - 1]
+
+
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, at_once: int = BYTES_AT_ONCE
+) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row of (doc_id, text): the removed stretches of its
     bytes, and the bytes that are left."""
     scratch = Scratch(docs.sparkSession, "suffixes")
     texts, _ = scratch.write(_compressed(docs))
-    spans = repeated_spans(texts, scratch, length, gram)
+    spans = repeated_spans(texts, scratch, length, gram, at_once)
     of_document = spans.groupBy("number").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -351,13 +383,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
             for i, packed in enumerate(batch.column(1)):
                 text = unpack(packed.as_buffer())
                 found = batch.column(2).slice(i, 1).flatten()
-                change = np.zeros(len(text) + 1, np.int64)
+                starts, ends = np.empty(0, np.int64), np.empty(0, np.int64)
                 if len(found):
-                    np.add.at(change, found.field(0).to_numpy(), 1)
-                    np.add.at(change, found.field(1).to_numpy(), -1)
-                gone = np.concatenate([[0], np.cumsum(change) > 0]).astype(np.int8)
-                turn = np.diff(gone)
-                starts, ends = np.nonzero(turn > 0)[0].tolist(), np.nonzero(turn < 0)[0].tolist()
+                    starts, ends = joined_spans(found.field(0).to_numpy(), found.field(1).to_numpy())
+                starts, ends = starts.tolist(), ends.tolist()
                 sizes.append(len(text))
                 removed.append([{"start": a, "end": b} for a, b in zip(starts, ends)])
                 kept.append(b"".join(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ def spans_of(gone: bytes) -> list[tuple]:
     return [tuple(x) for x in edges.reshape(-1, 2).tolist()]
 
 
-def check(spark, rows: list[tuple], length: int, gram: int) -> None:
-    found = suffixes.without_repeats(documents(spark, rows), length, gram).collect()
+def check(spark, rows: list[tuple], length: int, gram: int, at_once: int = suffixes.BYTES_AT_ONCE) -> None:
+    found = suffixes.without_repeats(documents(spark, rows), length, gram, at_once).collect()
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, [tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in found)
     want = sorted((i is None, i or 0, spans_of(gone), kept) for i, gone, kept in brute(rows, length))
     assert got == want
@@ -64,6 +65,42 @@ def test_copies_passages_and_shared_lines_against_brute_force(spark):
     check(spark, rows, 100, 50)
 
 
+def test_long_texts_in_stretches_against_brute_force(spark):
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(90))
+    for letters in ("ab", "abcdefgh"):
+        rows = []
+        for i in range(12):
+            parts = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 30, 300]))) for _ in range(4)]
+            rows.append((i, passage.join(parts) * rng.choice([1, 2])))
+        check(spark, rows, 12, 5, at_once=37)
+        check(spark, rows, 12, 5, at_once=256)
+
+
+def test_a_text_of_any_length_needs_little_memory_beside_it():
+    text, peaks = np.random.default_rng(2).integers(97, 123, 24 << 20).astype(np.uint8).tobytes(), []
+    for part in (text[: 1 << 20], text):
+        tracemalloc.start()
+        strings = 0
+        for _, stretch in suffixes.stretches(part, 100, suffixes.BYTES_AT_ONCE):
+            strings += suffixes.runs([stretch])[2].sum()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert strings == len(part) - 99
+    assert peaks[1] < 1.2 * peaks[0] < 80 << 20
+
+
+def test_joined_spans():
+    rng = random.Random(1)
+    for _ in range(200):
+        spans = [(s, s + rng.randint(1, 9)) for s in rng.choices(range(60), k=rng.randint(1, 12))]
+        gone = bytearray(80)
+        for s, e in spans:
+            gone[s:e] = b"\1" * (e - s)
+        found = suffixes.joined_spans(*[np.array(c) for c in zip(*spans)])
+        assert [tuple(x) for x in zip(*[f.tolist() for f in found])] == spans_of(bytes(gone))
+
+
 def test_buckets_that_split_a_frequent_string_agree(spark):
     text = "the same long text in a third of all documents, over and over again, without any end to it; " * 3
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
