@@ -460,7 +460,9 @@ def with_surrogates(docs: DataFrame, key: str) -> DataFrame:
         F.slice(gaps, F.lit(1), F.lit(1)),
         F.transform("mentions", lambda m, i: F.concat(F.element_at("instead", m), F.get(gaps, i + 1))),
     ), "")
-    changed = named.join(of_document, "number").withColumn("text", texts)
+    # The time goes by characters, so tasks get rows in equal numbers; they would be put together by bytes.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    changed = named.repartition(tasks, "number").join(of_document, "number").withColumn("text", texts)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         row = row.withField("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
