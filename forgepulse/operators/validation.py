@@ -51,11 +51,20 @@ def with_reasons(raw: DataFrame) -> DataFrame:
     return raw.withColumn("reasons", F.array_compact(F.array(*broken)))
 
 
+def all_reasons_of() -> Column:
+    """The rules that a record breaks and its values that staging could not type, as ``type:<column>``; an
+    empty array for a record that can be staged, which is told by the conditions alone."""
+    broken = {reason: ~_holds(reason) for reason in REASONS}
+    broken |= {f"type:{name}": wrong for name, wrong in untypable().items()}
+    named = F.array_compact(F.array(*[F.when(rule, F.lit(reason)) for reason, rule in broken.items()]))
+    return F.when(reduce(lambda left, right: left | right, broken.values()), named).otherwise(
+        F.array().cast("array<string>")
+    )
+
+
 def with_all_reasons(raw: DataFrame) -> DataFrame:
     """Add ``reasons`` for the rules and for values that staging could not type: ``type:<column>``."""
-    broken = [F.when(~_holds(reason), F.lit(reason)) for reason in REASONS]
-    broken += [F.when(wrong, F.lit(f"type:{name}")) for name, wrong in untypable().items()]
-    return raw.withColumn("reasons", F.array_compact(F.array(*broken)))
+    return raw.withColumn("reasons", all_reasons_of())
 
 
 def untypable() -> dict[str, Column]:

@@ -22,7 +22,7 @@ from forgepulse.operators import quality
 from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.id_bitmaps import may_be_held
 from forgepulse.operators.staging import stg_events
-from forgepulse.operators.validation import REASONS, untypable, valid_records, with_all_reasons
+from forgepulse.operators.validation import REASONS, all_reasons_of, untypable, valid_records
 from forgepulse.plans import materialized, partials
 from forgepulse.plans import versions as V
 from forgepulse.session import settle
@@ -59,13 +59,19 @@ def checked_records(raw: DataFrame, counts: Observation) -> DataFrame:
     ``rejected`` set, whole and with the reasons. How many broke each rule, and how many broke any, is
     counted while the rows pass."""
     bad = F.size("reasons") > 0
-    checked = with_all_reasons(raw).observe(
+    # Values and reasons come from one projection over the scan, which then reads their paths typed: behind the
+    # counters, or behind another projection, each value would be looked up in the whole record.
+    typed = stg_events(raw, strict=False, keep=[*_REJECTED, all_reasons_of().alias("reasons")])
+    checked = typed.observe(
         counts,
         F.count_if(bad).alias("any"),
         *[F.count_if(F.array_contains("reasons", r)).alias(r) for r in all_reasons()],
     )
-    whole = [F.when(bad, F.col(c)).alias(c) for c in (*_REJECTED, "reasons")]
-    return stg_events(checked, strict=False, keep=[*whole, bad.alias("rejected")]).withColumn(V.DAY, M.day_of())
+    whole = (*_REJECTED, "reasons")
+    return checked.select(
+        *[c for c in checked.columns if c not in whole], *[F.when(bad, F.col(c)).alias(c) for c in whole],
+        bad.alias("rejected"), M.day_of().alias(V.DAY),
+    )
 
 
 #: What a rejected record keeps beside its load time.
