@@ -40,6 +40,11 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.raw_events(_feed(spark, sf_dir))
 
 
+def _pulls(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    """Records of overlapping pulls, as the builds take them up."""
+    return envelope.overlapping_records(envelope.dealt_events(spark, sf_dir), dirty)
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed staging relation, the input of the models; ``feed_*`` queries, ingest and the full build
     go through the JSON text instead."""
@@ -318,7 +323,7 @@ def q_ingest_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ingest_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of every landed record of dirty, damaged, overlapping pulls, by landing day."""
-    records = envelope.overlapping_records(_feed(spark, sf_dir), dirty=True)
+    records = _pulls(spark, sf_dir, dirty=True)
     path, root = _land(spark, _damaged(records, at=17)), new_folder(spark, "build")
     build.run_build(spark, path, root)
     raw_path, day = f"{root}/raw_events", F.make_date(*S.LANDING_PARTITIONS)
@@ -388,13 +393,13 @@ def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_full_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _land(spark, envelope.overlapping_records(_feed(spark, sf_dir)))
+    path = _land(spark, _pulls(spark, sf_dir))
     return build.run_build(spark, path, new_folder(spark, "build"))
 
 
 def q_build_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The models as tables, as another session reads them."""
-    path = _land(spark, envelope.overlapping_records(_feed(spark, sf_dir)))
+    path = _land(spark, _pulls(spark, sf_dir))
     build.run_build(spark, path, new_folder(spark, "build"), materialize=True)
     return spark.newSession().table("daily_activity")
 
@@ -410,7 +415,7 @@ def _built_in_three_runs(spark: SparkSession, records: DataFrame) -> str:
 
 def q_build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three models after three arrivals, one row per row of a model."""
-    records = envelope.overlapping_records(_feed(spark, sf_dir))
+    records = _pulls(spark, sf_dir)
     tables = build.open_build(spark, _built_in_three_runs(spark, records))
     daily = tables["daily_activity"].select(
         F.lit("daily_activity").alias("model"), "repo_name", F.col("activity_date").cast("string").alias("key"),
@@ -431,7 +436,7 @@ def q_build_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_build_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention and growth after three arrivals, from daily aggregates; growth also as sketches see it."""
-    records = envelope.overlapping_records(_feed(spark, sf_dir))
+    records = _pulls(spark, sf_dir)
     root = _built_in_three_runs(spark, records)
     read = build.aggregates_of(spark, root, V.read_state(spark, root))
     counts, sketches = read["contributor_counts"], read["daily_people"]

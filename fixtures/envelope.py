@@ -33,10 +33,25 @@ TEXT_REPO_ID, NUMERIC_DISPLAY_LOGIN = 27, 37
 BASE_URL = "https://feed.example"
 
 
+#: Rows of ``events`` whose records a task makes, roughly: 50 MB of text.
+ROWS_PER_TASK = 100_000
+
+
 def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
-        "k", F.variant_get(F.parse_json("props"), "$.k", "bigint")
-    )
+    return _with_k(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _with_k(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.variant_get(F.parse_json("props"), "$.k", "bigint"))
+
+
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table, without ``k`` yet, in tasks of about equal numbers of rows, by time. However many
+    row groups the table has, and in whatever order, tasks then share the making of text, and each meets few
+    days, hence few files."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    tasks = -(-events.count() // ROWS_PER_TASK)
+    return events.repartitionByRange(tasks, "ts", "event_id") if tasks > 1 else events
 
 
 def _leaves() -> SimpleNamespace:
@@ -177,4 +192,6 @@ def overlapping_records(events: DataFrame, dirty: bool = False) -> DataFrame:
     """Two pulls per day: every event from 18:00 on comes again with the next day's pull, one
     day later, as copies with a later ``_extracted_at``."""
     pulls = F.when(F.hour("ts") >= 18, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return feed_records(events.withColumn("delay", F.explode(pulls)), dirty)
+    pulled = events.withColumn("delay", F.explode(pulls))
+    # Found last, ``k`` is only parsed for the days that a filter leaves.
+    return feed_records(pulled if "k" in events.columns else _with_k(pulled), dirty)
