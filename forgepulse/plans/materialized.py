@@ -13,6 +13,7 @@ at the end, so of two at the same time the last to finish leaves the last state.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,16 @@ def update(spark: SparkSession, root: str, k: int = S.TOP_K) -> None:
     """Bring all tables up to the last published state."""
     state = V.read_state(spark, root)
     while True:
+        # Tables that are written for the first time are submitted together, so that executors that one leaves
+        # idle work on the next; replacing days changes a setting of the session, so that is one at a time.
+        first = [name for name in TABLES if _properties(spark, name).get(_ROOT) != root]
+        with ThreadPoolExecutor(len(TABLES)) as pool:
+            running = [pool.submit(_update, spark, root, name, state, k) for name in first]
+        for job in running:
+            job.result()
         for name in TABLES:
-            _update(spark, root, name, state, k)
+            if name not in first:
+                _update(spark, root, name, state, k)
         last = V.read_state(spark, root)
         if last.number == state.number:
             return

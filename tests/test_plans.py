@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+
+from pyspark.sql import Observation
+
 import __spark_entry__ as suite
+from fixtures import envelope
 from forgepulse.operators.copies import latest_copy
 from forgepulse.operators.staging import stg_events
-from forgepulse.plans import insights, models, reports
+from forgepulse.plans import build, insights, materialized, models, reports
 from forgepulse.session import settle
 from forgepulse.sources import landing
 from tests.helpers import feed_event, plan_of, raw, records, staged
@@ -91,3 +96,34 @@ def test_landing_is_parsed_once(spark, folder):
 def test_flagship_scan_reads_only_needed_columns(spark):
     plan = plan_of(suite.queries()["event_trends"](spark, SF_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
+
+
+def test_checked_records_are_read_by_typed_paths(spark, folder):
+    parsed = raw(spark, [feed_event(1), feed_event(2, type=None), feed_event(3, payload={"size": "x"})])
+    settled = settle(parsed.selectExpr(
+        "raw_data", "'f' AS file_name", "loaded_at", "'l' AS load_id", "2024 AS year", "1 AS month", "5 AS day"
+    ), "raw")
+    checked = build.checked_records(settled, Observation("paths"))
+    assert "variant_get" not in plan_of(checked)  # no value is looked up in the record behind the scan
+    rows = {r["event_id"]: r for r in checked.selectExpr("*", "to_json(raw_data) AS text").collect()}
+    assert [rows[i]["reasons"] for i in "123"] == [None, ["type"], ["type:push_commit_count"]]
+    assert [rows[i]["rejected"] for i in "123"] == [False, True, True]
+    assert rows["1"]["text"] is None and '"id":"2"' in rows["2"]["text"]
+
+
+def test_pulls_are_made_in_several_tasks_of_few_days(spark, folder, monkeypatch):
+    monkeypatch.setattr(envelope, "ROWS_PER_TASK", 100)
+    whole = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    dealt = envelope.dealt_events(spark, SF_DIR)
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+    landing.write_landing(suite._pulls(spark, SF_DIR), folder("l"))
+    files = landing.list_files(spark, folder("l")).count()
+    assert 31 < files <= 31 + 3 * 10  # one table of one row group, before one file a day
+
+
+def test_first_tables_are_written_side_by_side(spark, folder, monkeypatch):
+    landing.write_landing(records(spark, [("2024-01-05", feed_event())]), folder("l"))
+    build.run_build(spark, folder("l"), folder("out"))
+    all_there = threading.Barrier(len(materialized.TABLES))
+    monkeypatch.setattr(materialized, "_update", lambda *_: all_there.wait(timeout=20))
+    materialized.update(spark, folder("out"))
