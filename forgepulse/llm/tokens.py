@@ -10,9 +10,10 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
+from itertools import islice
 
-#: Most chunks and words that a task remembers.
-REMEMBERED = 700_000
+#: Most chunks and words that a worker process remembers, and how many of them stay when there are more.
+REMEMBERED, KEPT = 300_000, 100_000
 #: Longer chunks are encoded each time.
 LONGEST = 64
 
@@ -30,7 +31,17 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-class _Words(dict):
+class _Table(dict):
+    """What was seen, with its ids."""
+
+    def forget(self) -> None:
+        """Only what was seen first stays, which is most of what is common."""
+        first = list(islice(self.items(), KEPT))
+        self.clear()
+        self.update(first)
+
+
+class _Words(_Table):
     """Run of letters or of signs, in lower case -> its ids, by the model alone."""
 
     def __init__(self, model):
@@ -43,12 +54,12 @@ class _Words(dict):
         ids = array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
         if len(part) <= LONGEST:
             if len(self) >= REMEMBERED:
-                self.clear()
+                self.forget()
             self[part] = ids
         return ids
 
 
-class _Chunks(dict):
+class _Chunks(_Table):
     """Anything between spaces -> its ids, by the whole tokenizer."""
 
     def __init__(self, tokenizer):
@@ -59,7 +70,7 @@ class _Chunks(dict):
         ids = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
         if len(chunk) <= LONGEST:
             if len(self) >= REMEMBERED:
-                self.clear()
+                self.forget()
             self[chunk] = ids
         return ids
 

@@ -28,9 +28,10 @@ with one labelled id one text is an example, the same at every run. Very long te
 
 from __future__ import annotations
 
+import gzip
+import io
 import pickle
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from forgepulse.llm.support import row_slices, settle
+from forgepulse.llm.support import ROWS_AT_ONCE, row_slices, settle
 
 #: Most examples of each label.
 TOXIC, CLEAN = 2048, 4096
@@ -73,20 +74,25 @@ def words(text: str | None) -> list[str]:
 def terms_of(
     known: list[str], row: np.ndarray, word: np.ndarray, counts: np.ndarray
 ) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
-    """From (row, word, count) the numbers of all terms, and (row, term, count) by row: the words, and the
-    beginnings of longer ones."""
+    """From (row, word, count) by row the numbers of all terms, and (row, term, count) by row: the words, and
+    the beginnings of longer ones."""
     begun = [w[:BEGINNING] + "-" if len(w) > BEGINNING else None for w in known]
     names = {w: i for i, w in enumerate(known)}
     for beginning in begun:
         if beginning is not None:
             names.setdefault(beginning, len(names))
-    of_word = np.array([-1 if b is None else names[b] for b in begun], np.int64)[word]
-    there = of_word >= 0
-    cell = np.concatenate([row * len(names) + word, (row * len(names) + of_word)[there]])
-    cell, place = np.unique(cell, return_inverse=True)
-    total = np.bincount(place, np.concatenate([counts, counts[there]]), minlength=len(cell))
-    size = max(1, len(names))
-    return names, cell // size, cell % size, total
+    begins = np.array([-1 if b is None else names[b] for b in begun], np.int32)
+    size, found = max(1, len(names)), [(np.zeros(0, np.int32),) * 3]
+    rows = int(row[-1]) + 1 if len(row) else 0
+    for low in range(0, rows, ROWS_AT_ONCE):
+        part = slice(*np.searchsorted(row, [low, low + ROWS_AT_ONCE]))
+        of_word, at = begins[word[part]], row[part].astype(np.int64) * size
+        there = of_word >= 0
+        cell = np.concatenate([at + word[part], (at + of_word)[there]])
+        cell, place = np.unique(cell, return_inverse=True)
+        total = np.bincount(place, np.concatenate([counts[part], counts[part][there]]), minlength=len(cell))
+        found.append(tuple(a.astype(np.int32) for a in (cell // size, cell % size, total)))
+    return names, *map(np.concatenate, zip(*found))
 
 
 class _Terms(dict):
@@ -121,10 +127,13 @@ class Vectors:
 
     @classmethod
     def of(cls, rows: int, row: np.ndarray, term: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Vectors:
-        weight = (1 + np.log(counts)) * idf[term]
+        weight = np.log(counts, dtype=np.float64)
+        weight += 1
+        weight *= idf[term]
         length = np.sqrt(np.bincount(row, weight * weight, minlength=rows))
+        weight /= np.maximum(length, 1e-300)[row]
         # Rounded as the index stores them; sums are in double precision.
-        return cls(rows, row, term, (weight / np.maximum(length, 1e-300)[row]).astype(np.float32).astype(np.float64))
+        return cls(rows, row, term, weight.astype(np.float32))
 
     def parts(self, size: int) -> Iterator[Vectors]:
         for low in range(0, self.rows, size):
@@ -170,12 +179,7 @@ class ToxicityIndex:
         lanes = blocks * BLOCK
         row = self.common[texts.term]
         rare = row < 0
-        low, sizes = self.starts[texts.term[rare]], np.diff(self.starts)[texts.term[rare]]
-        posting = _ranges(low, sizes)
-        cell = np.repeat(texts.row[rare] * lanes, sizes) + self.examples[posting]
-        by_rare = np.bincount(
-            cell, np.repeat(texts.weight[rare], sizes) * self.weights[posting], minlength=texts.rows * lanes
-        ).astype(np.float64).reshape(texts.rows, lanes)
+        by_rare = self._by_rare(texts.rows, texts.row[rare], texts.term[rare], texts.weight[rare])
         by_common = np.zeros((texts.rows, self.block_max.shape[0]))
         by_common[texts.row[~rare], row[~rare]] = texts.weight[~rare]
         most_rare = by_rare.reshape(texts.rows, blocks, BLOCK).max(axis=2)
@@ -191,6 +195,25 @@ class ToxicityIndex:
         self._score(open_ & ~first & (bound > (least - 1e-9)[:, None]), by_rare, by_common, score)
         return _highest(score, _at_rank(score, NEIGHBOURS))
 
+    def _by_rare(self, rows: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the postings give each (text, lane). Texts are taken together while their postings are few:
+        long texts have most terms of the index each."""
+        lanes = len(self.block_weights) * BLOCK
+        found = np.zeros((rows, lanes))
+        sizes = self.starts[term + 1] - self.starts[term]
+        ends = np.searchsorted(row, np.arange(rows + 1))
+        before = np.append(0, np.cumsum(sizes))[ends]
+        low = 0
+        while low < rows:
+            high = max(low + 1, int(np.searchsorted(before, before[low] + POSTINGS_AT_ONCE, "right")) - 1)
+            some = slice(ends[low], ends[high])
+            posting = _ranges(self.starts[term[some]], sizes[some])
+            cell = np.repeat((row[some] - low).astype(np.int64) * lanes, sizes[some]) + self.examples[posting]
+            given = np.repeat(weight[some].astype(np.float64), sizes[some]) * self.weights[posting]
+            found[low:high] = np.bincount(cell, given, minlength=(high - low) * lanes).reshape(-1, lanes)
+            low = high
+        return found
+
     def _score(self, wanted: np.ndarray, by_rare: np.ndarray, by_common: np.ndarray, score: np.ndarray) -> None:
         """Exact cosines of the wanted (text, block)."""
         for block in np.nonzero(wanted.any(axis=0))[0]:
@@ -257,7 +280,7 @@ def index_rows(
         fold, votes = np.argsort(np.argsort(doc_ids, kind="stable")) % FOLDS, np.zeros(len(doc_ids))
         for number in range(FOLDS):
             asks, there = fold == number, fold[row] != number
-            place = np.cumsum(~asks) - 1
+            place = (np.cumsum(~asks) - 1).astype(np.int32)
             others = _index(doc_ids[~asks], toxic[~asks], names, place[row[there]], term[there], counts[there])
             own = Vectors.of(
                 int(asks.sum()), (np.cumsum(asks) - 1)[row[~there]], term[~there], counts[~there], others.idf
@@ -277,13 +300,13 @@ def _index(
     count = len(doc_ids)
     seen, in_toxic = (np.bincount(t, minlength=len(names)) for t in (term, term[toxic[row] == 1]))
     idf = telling(seen, in_toxic, count, int((toxic == 1).sum()))
-    vectors = Vectors.of(count, row, term, counts, idf)
+    weights = Vectors.of(count, row, term, counts, idf).weight
     often = np.nonzero(seen > COMMON * count)[0]
     common = np.full(len(names), -1)
     common[often] = np.arange(len(often))
     dense = np.zeros((count, len(often)), np.float32)
     in_row = common[term] >= 0
-    dense[row[in_row], common[term[in_row]]] = vectors.weight[in_row]
+    dense[row[in_row], common[term[in_row]]] = weights[in_row]
 
     order = _alike(dense, np.lexsort((doc_ids, toxic)))
     place = np.empty(count, np.int64)
@@ -295,12 +318,13 @@ def _index(
     for block in range(blocks):
         some = order[block * BLOCK: (block + 1) * BLOCK]
         block_weights[block, :, : len(some)] = dense[some].T
+    del dense
 
-    at, what, weight = place[row[~in_row]], term[~in_row], vectors.weight[~in_row]
+    at, what = place[row[~in_row]].astype(np.int32), term[~in_row]
     by_term = np.lexsort((at, what))
     return ToxicityIndex(
         names, idf, doc_ids[order], toxic_at, np.searchsorted(what[by_term], np.arange(len(names) + 1)),
-        at[by_term].astype(np.int32), weight[by_term].astype(np.float32), common, block_weights,
+        at[by_term], weights[~in_row][by_term], common, block_weights,
         np.ascontiguousarray(block_weights.max(axis=2).T).astype(np.float64),
     )
 
@@ -316,20 +340,24 @@ def _alike(dense: np.ndarray, order: np.ndarray) -> np.ndarray:
         if len(part) <= BLOCK:
             done.append(part)
             continue
-        rows = dense[part].astype(np.float64)
+        rows = np.empty((len(part), dense.shape[1]))
+        for low in range(0, len(part), ROWS_AT_ONCE):
+            rows[low: low + ROWS_AT_ONCE] = dense[part[low: low + ROWS_AT_ONCE]]
         rows -= rows.mean(axis=0)
-        direction = rows[np.abs(rows).sum(axis=1).argmax()]
+        far = [np.abs(rows[low: low + ROWS_AT_ONCE]).sum(axis=1) for low in range(0, len(part), ROWS_AT_ONCE)]
+        direction = rows[np.concatenate(far).argmax()]
         for _ in range(4):
             direction = (rows @ direction) @ rows
             direction /= max(np.sqrt(direction @ direction), 1e-300)
         part = part[np.argsort(rows @ direction, kind="stable")]
+        del rows
         half = -(-len(part) // (2 * BLOCK)) * BLOCK
         waiting += [part[half:], part[:half]]
     return np.concatenate(done) if done else order
 
 
-#: Texts that are compared with the examples at once.
-TEXTS_AT_ONCE = 128
+#: Texts that are compared with the examples at once, and postings that are added up at once where texts are long.
+TEXTS_AT_ONCE, POSTINGS_AT_ONCE = 128, 500_000
 
 
 def _calibrated(
@@ -383,8 +411,9 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     rows = (counts.get(1, 0), counts.get(0, 0))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), schema=_EXAMPLES)
-        packed = zlib.compress(pickle.dumps(_fitted(held, *rows)), 1)
+        packed = closed(_fitted(batches, *rows))
+        # The process scores texts next; what the examples took is given back before.
+        pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["index"])
 
     # The examples are few, so one task makes the index of them; the driver only hands it on, packed.
@@ -392,27 +421,42 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     return bytes(fitted.first()["index"])
 
 
-#: Examples as a table: a few hundred words each, which stay in Arrow's arrays until they are numbers.
-_EXAMPLES = pa.schema([
-    ("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.map_(pa.string(), pa.int64())),
-])
-
-
-def _fitted(examples: pa.Table, toxic_rows: int, clean_rows: int) -> ToxicityIndex:
-    examples = examples.combine_chunks()
-    found = examples.column("words").combine_chunks()
-    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
-    named = found.keys.dictionary_encode()
-    offsets = found.offsets.to_numpy()
-    row = np.repeat(np.arange(examples.num_rows), np.diff(offsets))
-    ids, toxic = (examples.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "toxic"))
-    return index_rows(ids, toxic, *terms_of(
-        named.dictionary.to_pylist(), row, named.indices.to_numpy().astype(np.int64), found.items.to_numpy().astype(np.float64)
-    ), toxic_rows, clean_rows)
+def _fitted(batches: Iterator[pa.RecordBatch], toxic_rows: int, clean_rows: int) -> ToxicityIndex:
+    """Index of batches of (doc_id, toxic, words); a batch is numbers before the next one is read."""
+    number: dict[str, int] = {}
+    ids, toxic, held, word, counts = ([np.zeros(0, kind)] for kind in (np.int64, np.int64, *[np.int32] * 3))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = batch.column(2)
+        offsets = found.offsets.to_numpy()
+        named = found.keys.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        known = [number.setdefault(w, len(number)) for w in named.dictionary.to_pylist()]
+        word.append(np.array(known, np.int32)[named.indices.to_numpy()])
+        counts.append(found.items.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy().astype(np.int32))
+        held.append(np.diff(offsets))
+        ids.append(batch.column(0).to_numpy().astype(np.int64))
+        toxic.append(batch.column(1).to_numpy().astype(np.int64))
+    ids, toxic, held, word, counts = map(np.concatenate, (ids, toxic, held, word, counts))
+    row = np.repeat(np.arange(len(ids), dtype=np.int32), held)
+    found = terms_of(list(number), row, word, counts)
+    del number, row, word, counts
+    return index_rows(ids, toxic, *found, toxic_rows, clean_rows)
+
+
+def closed(index: ToxicityIndex) -> bytes:
+    """Pickled and packed; neither this nor ``opened`` holds the pickle beside the index."""
+    packed = io.BytesIO()
+    with gzip.GzipFile(fileobj=packed, mode="wb", compresslevel=1, mtime=0) as file:
+        pickle.dump(index, file)
+    return packed.getvalue()
 
 
 def opened(index: ToxicityIndex | bytes) -> ToxicityIndex:
-    return pickle.loads(zlib.decompress(index)) if isinstance(index, bytes) else index
+    if not isinstance(index, bytes):
+        return index
+    with gzip.GzipFile(fileobj=io.BytesIO(index)) as file:
+        return pickle.load(file)
 
 
 def score(docs: DataFrame, index: ToxicityIndex | bytes) -> DataFrame:

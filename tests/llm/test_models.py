@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,44 @@ def test_blocks_are_made_of_alike_examples():
     assert sum(len(set(kinds[order[i: i + 16]])) for i in range(0, 400, 16)) <= 25 + 14
 
 
+def test_long_texts_are_compared_in_little_memory():
+    rng, names = random.Random(2), ["".join(chr(97 + (i // 26**p) % 26) for p in range(4)) for i in range(4000)]
+    index = index_of([(i, int(i % 4 == 0), rng.sample(names, 150)) for i in range(800)], 200, 600)
+    texts = index.vectors([rng.sample(names, 3800) for _ in range(60)])
+    tracemalloc.start()
+    best, cosine = index.nearest(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Some 110,000 postings a text; 197 MB where they are added up all at once.
+    assert peak < 60e6
+    alone = [index.nearest(part) for part in texts.parts(1)]
+    assert np.allclose(cosine, np.concatenate([c for _, c in alone])) and (best == np.concatenate([b for b, _ in alone])).all()
+
+
+def test_an_index_is_made_in_little_memory():
+    rng = random.Random(3)
+    names = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(30_000)]
+    rows = [(i, int(i % 4 == 0), rng.sample(names, 300)) for i in range(1500)]
+    batches = [pa.RecordBatch.from_arrays([
+        pa.array([i for i, _, _ in part], pa.int64()), pa.array([t for _, t, _ in part], pa.int32()),
+        pa.array([[(w, 1) for w in found] for _, _, found in part], pa.map_(pa.string(), pa.int64())),
+    ], ["doc_id", "toxic", "words"]) for part in (rows[:700], [], rows[700:])]
+    tracemalloc.start()
+    index = toxicity._fitted(iter([*batches, batches[0].slice(0, 0)]), 400, 1100)
+    peak = tracemalloc.get_traced_memory()[1]
+    packed = toxicity.closed(index)
+    tracemalloc.stop()
+    terms = len(index.examples) + (index.block_weights > 0).sum()
+    assert peak < 90 * terms  # 130 bytes a term of an example before
+    same, again = index_of(rows, 400, 1100), toxicity.opened(packed)
+    texts = [found for _, _, found in rows[:40]]
+    want = same.nearest(same.vectors(texts))
+    for one in (index, again):
+        best, cosine = one.nearest(one.vectors(texts))
+        assert np.allclose(cosine, want[1]) and (one.slope, one.shift) == pytest.approx((same.slope, same.shift))
+        assert (one.doc_ids[best[:, 0]] == same.doc_ids[want[0][:, 0]]).all()
+
+
 def test_terms_are_whole_words_and_beginnings():
     assert toxicity.words("Idiots idiot, ab_cd 7x Ünder") == ["idiots", "idiot", "ab", "cd", "x", "ünder"]
     assert toxicity.words(None) == toxicity.words("12 _ !") == []

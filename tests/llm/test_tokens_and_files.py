@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from forgepulse.llm import packing, token_files
+from forgepulse.llm import packing, token_files, tokens
 from forgepulse.llm.tokens import encoder, public_tokenizer
 from tests.llm.cases import documents, no_documents, odd_documents, odd_rows, prose
 
@@ -39,6 +39,18 @@ def test_any_vocabulary_is_encoded_like_the_library(name):
     assert np.frombuffer(encoder(path).ids(text), "<u4").tolist() == ids
 
 
+def test_a_worker_keeps_few_words_and_those_seen_first(monkeypatch):
+    assert tokens.REMEMBERED <= 300_000  # some 300 bytes each stay with the process, beside other stages
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    monkeypatch.setattr(tokens, "KEPT", 20)
+    one = tokens.TextEncoder(PATH)
+    texts = ["the first words"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)} 中{i}" for i in range(300)]
+    for text in texts:
+        assert one.ids(text) == library_ids(text).tobytes()
+        assert len(one.words) <= 50 and len(one.chunks) <= 50
+    assert {"the", "first", "words"} <= set(one.words)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 50), st.integers(0, 49407), st.integers(0, 2**32 - 1)), max_size=700))
 def test_blocks_round_trip(ids):
